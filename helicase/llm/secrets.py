@@ -1,0 +1,194 @@
+"""Secret scans: patterns, and password guess costs by dynamic programming.
+
+Three patterns find assignments, access keys and long hex strings.  Beside them every value in a credential context
+(``pwd:``, ``auth = ``, ``passphrase=`` ...) is segmented at least cost into dictionary words, dates, repeats,
+keyboard walks, sequences and brute-force spans; a value whose cheapest segmentation still needs 10**MIN_GUESSES
+guesses is a secret, even where no pattern knows its form.
+
+Defined results: a null or empty text has no spans.  Spans are code points, end exclusive, of the whole match.  Spans
+of the method never overlap those of the patterns or each other.  Repeated rows and other columns pass unchanged, but
+columns named as a result are replaced.  Texts are scanned whole.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from functools import lru_cache
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from helicase.llm.common import by_text
+
+KINDS = ("assign", "access", "hex", "guess")
+#: Log10 of the guesses from which a value in a credential context counts as secret.
+MIN_GUESSES = 10.0
+#: A value that is longer is segmented in runs of this many characters whose costs add up.
+RUN = 256
+
+ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)""", re.I | re.A)
+ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
+#: Every assignment has one of these in lower case.
+ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
+
+# Names of credential fields besides those of the assignment pattern.
+CONTEXT_NAMES = ("passphrase", "passcode", "pass", "pwd", "pin", "auth", "authorization", "bearer", "credential", "credentials", "login", "private_key", "access_key", "client_key", "session_key", "signature")
+CONTEXT = re.compile(r"""(?<![a-z0-9])(?:%s)["']?\x20*[:=]\x20*["']?([^\s"'<>,;]{6,})""" % "|".join(CONTEXT_NAMES), re.I | re.A)
+
+# Frequent words in passwords, most frequent first.
+WORDS = (
+    "password", "qwerty", "dragon", "monkey", "letmein", "login", "princess", "master", "welcome", "shadow", "sunshine",
+    "football", "baseball", "iloveyou", "admin", "secret", "summer", "winter", "spring", "autumn", "michael", "jordan",
+    "superman", "batman", "trustno", "hunter", "killer", "soccer", "charlie", "freedom", "whatever", "access", "flower",
+    "cheese", "computer", "internet", "hello", "love", "test", "user", "root", "guest", "default", "changeme", "pass",
+    "home", "house", "horse", "battery", "staple", "correct", "money", "happy", "purple", "orange", "yellow", "green",
+    "blue", "black", "white", "red", "silver", "golden", "tiger", "eagle", "falcon", "wizard", "star", "moon", "sun",
+    "angel", "baby", "the", "and", "you", "for", "that", "with", "this", "from", "have", "not", "are", "was", "his",
+    "her", "all", "one", "new", "man", "day", "get", "use", "way", "may", "say", "she", "how", "its", "our", "two",
+    "key", "token", "value", "example", "sample", "string", "number", "name", "word", "code", "data", "none", "null",
+)
+RANK = {w: i + 1 for i, w in enumerate(WORDS)}
+LONGEST = max(map(len, WORDS))
+# Characters that stand for letters.
+LEET = str.maketrans("4301!5$7@", "aeoliss" + "ta")
+# Keyboard rows.
+ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
+NEXT = {a + b for row in ROWS for s in (row, row[::-1]) for a, b in zip(s, s[1:], strict=False)}
+DATE = re.compile(r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d")
+YEAR = re.compile(r"(?:19|20)\d\d")
+REPEAT = re.compile(r"(.{1,16}?)\1+")
+#: What each further segment costs: an attacker must guess where it ends.
+CUT = 0.3
+
+
+def _brute(c: str) -> float:
+    if c.isdigit():
+        return 1.0
+    if c.isalpha():
+        return math.log10(26) if c.islower() else math.log10(52)
+    return math.log10(33) if c < "\x80" else 2.0
+
+
+def _run_guesses(value: str) -> float:
+    n, low = len(value), value.lower()
+    if len(low) != n:
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    plain = low.translate(LEET)
+    ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]  # from each start: (end, cost)
+    for i in range(n):
+        for j in range(i + 3, min(n, i + LONGEST) + 1):
+            rank = RANK.get(low[i:j])
+            leet = 0.0
+            if rank is None and (rank := RANK.get(plain[i:j])) is not None:
+                leet = 0.6
+            if rank is not None:
+                case = 0.0 if value[i:j] == low[i:j] else 0.3 if value[i:j][1:] == low[i + 1 : j] else 1.0
+                ends[i].append((j, math.log10(rank + 1) + leet + case))
+        for pattern, cost in ((DATE, math.log10(365 * 120)), (YEAR, math.log10(120))):
+            if m := pattern.match(value, i):
+                ends[i].append((m.end(), cost))
+        if (m := REPEAT.match(value, i)) and m.end() - i >= 3:
+            unit = m[1]
+            cost = _guesses(unit) if len(unit) < n else sum(map(_brute, unit))
+            ends[i].append((m.end(), cost + math.log10((m.end() - i) / len(unit) + 1)))
+        for follows, cost in ((lambda a, b: a + b in NEXT, 1.7), (lambda a, b: abs(ord(b) - ord(a)) == 1 and a.isalnum() and b.isalnum(), 1.3)):
+            j = i + 1
+            while j < n and follows(low[j - 1], low[j]):
+                j += 1
+            ends[i].extend((k, cost + math.log10(k - i)) for k in range(i + 3, j + 1))
+    best = [0.0] + [math.inf] * n  # ending in a segment of a known kind, or at the start
+    brute = [math.inf] * (n + 1)  # ending in a brute-force span
+    for i in range(n):
+        now = min(best[i], brute[i])
+        cut = CUT if i else 0.0
+        brute[i + 1] = min(brute[i + 1], _brute(value[i]) + min(brute[i], best[i] + cut))
+        for j, cost in ends[i]:
+            best[j] = min(best[j], now + cut + cost)
+    return min(best[n], brute[n])
+
+
+@lru_cache(maxsize=20_000)
+def _guesses(value: str) -> float:
+    return _run_guesses(value)
+
+
+def guesses(value: str) -> float:
+    """Log10 of the guesses that the cheapest segmentation needs; 0 for an empty value."""
+    return sum(_guesses(value[i : i + RUN]) for i in range(0, len(value), RUN))
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, kind's number, end) of the patterns' matches, in order."""
+    found = []
+    low = text.lower()
+    if any(h in low for h in ASSIGN_HINTS):
+        found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 6]
+    if "AKIA" in text:
+        found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
+    found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    return sorted(found)
+
+
+def guessed_spans(text: str, base: list[tuple[int, int, int]], least: float = MIN_GUESSES) -> list[tuple[int, int, int]]:
+    """Spans of values in a credential context that no pattern covers and that need 10**least guesses."""
+    found = []
+    if ":" in text or "=" in text:
+        for m in CONTEXT.finditer(text):
+            if not any(a < m.end() and m.start() < b for a, _, b in base) and guesses(m[1]) >= least:
+                found.append((m.start(1), 3, m.end(1)))
+    return found
+
+
+def spans(text: str, least: float = MIN_GUESSES) -> list[tuple[int, int, int]]:
+    base = base_spans(text)
+    return sorted(base + guessed_spans(text, base, least))
+
+
+def told(found: list[tuple[int, int, int]]) -> str:
+    return ",".join([f"{KINDS[k]}:{a}:{b}" for a, k, b in found])
+
+
+def redact(text: str, found: list[tuple[int, int, int]]) -> str:
+    """The text with each span replaced by its kind; of overlapping spans the first names the whole."""
+    out, at = [], 0
+    for a, k, b in found:
+        if a >= at:
+            out += [text[at:a], f"[{KINDS[k].upper()}]"]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
+def _scan(texts: list[str]) -> list[pa.Array]:
+    found = [spans(t) for t in texts]
+    base = [[s for s in f if s[1] < 3] for f in found]
+    counts = [pa.array([sum(s[1] == k for s in f) for f in base], pa.int64()) for k in range(3)]
+    digests = [hashlib.sha256(told(f).encode()).hexdigest() for f in base]
+    return [*counts, pa.array(digests), pa.array([told(f) for f in found])]
+
+
+def _redacted(texts: list[str]) -> list[pa.Array]:
+    return [pa.array([redact(t, spans(t)) for t in texts], pa.string())]
+
+
+def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """keep's columns with n_assign, n_access, n_hex, base_sha256 and spans."""
+    names = ["n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    keep = [c for c in keep if c not in names]
+    fields = [docs.schema[c] for c in keep] + [T.StructField(n, T.LongType() if n[:2] == "n_" else T.StringType()) for n in names]
+    rows = docs.select(*keep, *([] if text in keep else [text]))
+    return rows.mapInArrow(by_text(_scan, names, keep, text), T.StructType(fields))
+
+
+def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """docs with every secret in the text replaced by a mark; null texts become empty."""
+    keep = [c for c in docs.columns if c != text]
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(text, T.StringType())])
+    return docs.mapInArrow(by_text(_redacted, [text], keep, text), schema).select(*docs.columns)
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), ["doc_id"])
