@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from helicase.llm import bpe, chat, quality, secrets
+from helicase.llm import bpe, chat, fingerprints, mixing, quality, secrets
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
+    "op2_document_fingerprints": fingerprints.query,
     "op4_secret_scans": secrets.query,
     "op6_bpe": bpe.query,
     "op7_quality_rules": quality.query,
+    "op10_mixing_sources": mixing.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_mixing_sources": mixing.SQL,
+}
