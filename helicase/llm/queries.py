@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from helicase.llm import bpe, chat, fingerprints, mixing, quality, secrets
+from helicase.llm import bpe, chat, fingerprints, mixing, nearjoin, quality, secrets
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_secret_scans": secrets.query,
     "op6_bpe": bpe.query,
     "op7_quality_rules": quality.query,
+    "op9_ngram_jaccard_join": nearjoin.query,
     "op10_mixing_sources": mixing.query,
 }
 
