@@ -201,6 +201,20 @@ def read_back(formatted: DataFrame) -> DataFrame:
     return formatted.mapInArrow(_digest, DIGEST)
 
 
+SQL = f"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{END}{START}assistant ok' UNION ALL SELECT -1, 1, 'assistant', '{END}{START}assistant ok'),
+f AS (SELECT *, {len(START) + len(END) + 2} + length(replace(replace(replace(role, '\\', '\\\\'), chr(10), '\\n'), '|', '\\p')) + length(regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g')) AS chars FROM r)
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     said = F.lit(f"{END}{START}assistant ok")

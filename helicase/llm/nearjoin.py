@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helicase.llm.common import binary_parts, materialised, sliced
@@ -407,5 +407,35 @@ def joined(docs: DataFrame) -> DataFrame:
     )
 
 
+#: The same by brute force: distinct shingles of distinct texts, a self-join on shingles, and components by recursion.
+SQL = """
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+u AS (SELECT text, min(doc_id) AS node, count(*)::BIGINT AS n_copies FROM t GROUP BY text),
+w AS (SELECT node, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM u),
+s AS (SELECT DISTINCT node, unnest(list_transform(range(1, greatest(len(ws) - 3, 2)), lambda i: list_slice(ws, i, i + 4))) AS shingle FROM w WHERE len(ws) > 0),
+n AS (SELECT node, count(*) AS size FROM s GROUP BY node),
+c AS (SELECT a.node AS a, b.node AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.node <> b.node GROUP BY a.node, b.node),
+l AS (SELECT a, b FROM c JOIN n x ON x.node = a JOIN n y ON y.node = b WHERE 9 * common >= 4 * (x.size + y.size)),
+r AS (SELECT node, node AS reached FROM u UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.reached),
+k AS (SELECT node, min(reached) AS class_id FROM r GROUP BY node),
+d AS (SELECT a AS node, count(*)::BIGINT AS n_links FROM l GROUP BY a)
+SELECT t.doc_id, k.class_id, u.node AS text_id, u.n_copies, coalesce(d.n_links, 0)::BIGINT AS n_links
+FROM t JOIN u ON u.text = t.text JOIN k ON k.node = u.node LEFT JOIN d ON d.node = u.node
+"""
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """docs without the rows whose class has a smaller doc_id; rows with one doc_id count once, the first by text."""
+    classes = joined(docs)
+    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")) | F.col("doc_id").isNull())
+    kept = materialised(kept.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    rows = docs.join(kept.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")))
+    once, several = rows.where("rows = 1").select(*docs.columns), rows.where("rows > 1").select(*docs.columns)
+    if kept.where("rows > 1").isEmpty():
+        return once
+    first = Window.partitionBy("doc_id").orderBy("text")
+    return once.union(several.withColumn("kept_row", F.row_number().over(first)).where("kept_row = 1").select(*docs.columns))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from helicase.llm import bpe, chat, fingerprints, mixing, nearjoin, quality, secrets
+from helicase.llm import bpe, chat, fingerprints, mixing, nearjoin, quality, secretscan, sharding, toxicity, warc
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
     "op2_document_fingerprints": fingerprints.query,
-    "op4_secret_scans": secrets.query,
+    "op3_toxicity": toxicity.query,
+    "op4_secret_scans": secretscan.query,
+    "op5_sharding": sharding.query,
     "op6_bpe": bpe.query,
     "op7_quality_rules": quality.query,
+    "op8_warc": warc.query,
     "op9_ngram_jaccard_join": nearjoin.query,
     "op10_mixing_sources": mixing.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_chat_formatting": chat.SQL,
+    "op8_warc": warc.SQL,
+    "op9_ngram_jaccard_join": nearjoin.SQL,
     "op10_mixing_sources": mixing.SQL,
 }
