@@ -5,7 +5,7 @@ symbols have changed since are stale and skipped.  Decoding concatenates vocabul
 tokenizers library does for a file without a decoder.
 
 Normalising, splitting and merging never cross white space, so results are kept by white-space-free chunk in a
-memory that each Python worker bounds at CACHE_ENTRIES.  Texts with special tokens or with the separators U+001C to
+memory of two generations of CACHE_ENTRIES in each Python worker.  Texts with special tokens or with the separators U+001C to
 U+001F, which Python but not the file's pattern calls white space, are cut with patterns first; results are the same.
 
 Defined results: a null or empty text has no tokens.  Repeated rows and other columns pass unchanged, but columns
@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from helicase.llm.common import by_text
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_ENTRIES = 200_000
+#: Chunks that a generation of the memory holds: a full one replaces the one before, and what is used moves on.
+CACHE_ENTRIES = 300_000
 
 
 def byte_symbols() -> list[str]:
@@ -49,9 +50,10 @@ class Tokenizer:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix = model["end_of_word_suffix"] or ""
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        #: By pair of symbols, left << 20 | right: rank << 20 | the symbol that it becomes.
+        self.merges: dict[int, int] = {}
         for rank, (a, b) in enumerate(model["merges"]):
-            self.merges[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+            self.merges[self.vocab[a] << 20 | self.vocab[b]] = rank << 20 | self.vocab[a + b]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
         split = next(x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
@@ -60,34 +62,39 @@ class Tokenizer:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")")
         self.space = regex.compile(r"\p{White_Space}+")
         self.byte = byte_symbols()
-        self.memory: dict[str, tuple[list[int], str, str]] = {}
-
-    def merge(self, symbols: list[int]) -> list[int]:
-        """Merges by rank, the leftmost of equals first."""
-        n, merges = len(symbols), self.merges
-        if n < 2:
-            return symbols
-        symbol, left, right = [*symbols], [*range(-1, n - 1)], [*range(1, n), -1]
-        queue = [(*found, i) for i in range(n - 1) if (found := merges.get((symbol[i], symbol[i + 1])))]
-        queue = [(rank, i, new) for rank, new, i in queue]
+        self.memory: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
+
+    def merge(self, symbol: list[int]) -> list[int]:
+        """Merges by rank, the leftmost of equals first.  Queue entries are rank << 52 | place << 20 | new symbol."""
+        n, get = len(symbol), self.merges.get
+        queue = []
+        for i in range(n - 1):
+            if (found := get(symbol[i] << 20 | symbol[i + 1])) is not None:
+                queue.append(found >> 20 << 52 | i << 20 | found & 0xFFFFF)
+        if not queue:
+            return symbol
         heapq.heapify(queue)
+        left, right = [*range(-1, n - 1)], [*range(1, n), -1]
+        pop, push = heapq.heappop, heapq.heappush
         while queue:
-            _, i, new = heapq.heappop(queue)
+            entry = pop(queue)
+            i, new = entry >> 20 & 0xFFFFFFFF, entry & 0xFFFFF
             j = right[i]
             if symbol[i] < 0 or j < 0:
                 continue
-            now = merges.get((symbol[i], symbol[j]))
-            if now is None or now[1] != new:
+            now = get(symbol[i] << 20 | symbol[j])
+            if now is None or now & 0xFFFFF != new:
                 continue
             symbol[i], symbol[j] = new, -1
             right[i] = k = right[j]
             if k >= 0:
                 left[k] = i
-                if found := merges.get((new, symbol[k])):
-                    heapq.heappush(queue, (found[0], i, found[1]))
+                if (found := get(new << 20 | symbol[k])) is not None:
+                    push(queue, found >> 20 << 52 | i << 20 | found & 0xFFFFF)
             h = left[i]
-            if h >= 0 and (found := merges.get((symbol[h], new))):
-                heapq.heappush(queue, (found[0], h, found[1]))
+            if h >= 0 and (found := get(symbol[h] << 20 | new)) is not None:
+                push(queue, found >> 20 << 52 | h << 20 | found & 0xFFFFF)
         return [s for s in symbol if s >= 0]
 
     def word_ids(self, word: str) -> list[int]:
@@ -95,33 +102,34 @@ class Tokenizer:
         chars[-1] += self.suffix
         return self.merge([self.vocab[c] for c in chars if c in self.vocab])
 
-    def chunk(self, chunk: str) -> tuple[list[int], str, str]:
-        """Ids, ids as text and decoded text of a chunk without white space."""
-        text = unicodedata.normalize("NFC", chunk)
-        text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-        ids = [i for word in self.word.findall(text) for i in self.word_ids(word)]
-        found = ids, " ".join(map(str, ids)), " ".join(map(self.strings.__getitem__, ids))
+    def chunk(self, chunk: str) -> tuple[int, str, str]:
+        """Number of ids, ids as text and decoded text of a chunk without white space."""
+        found = self.older.get(chunk)
+        if found is None:
+            text = unicodedata.normalize("NFC", chunk)
+            text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
+            ids = [i for word in self.word.findall(text) for i in self.word_ids(word)]
+            found = len(ids), " ".join(map(str, ids)), " ".join(map(self.strings.__getitem__, ids))
         if len(self.memory) >= CACHE_ENTRIES:
-            self.memory.clear()
+            self.older, self.memory = self.memory, {}
         if len(chunk) <= 64:
             self.memory[chunk] = found
         return found
 
-    def pieces(self, text: str) -> list[tuple[list[int], str, str]]:
+    def pieces(self, text: str) -> list[tuple[int, str, str]]:
         """What chunk() gives, for each chunk and special token in turn."""
         plain = not any("\x1c" <= c <= "\x1f" for c in set(text))
         out = []
         for i, part in enumerate(self.cut.split(text)):
             if i % 2:
-                out.append(([self.special[part]], str(self.special[part]), part))
+                out.append((1, str(self.special[part]), part))
             else:
-                get = self.memory.get
                 chunks = part.split() if plain else [c for c in self.space.split(part) if c]
-                out.extend(found for c in chunks if (found := get(c) or self.chunk(c))[0])
+                out.extend([found for c in chunks if (found := self.memory.get(c) or self.chunk(c))[0]])
         return out
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids, _, _ in self.pieces(text) for i in ids]
+        return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split()]
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.strings[i] for i in ids if i in self.strings)
@@ -139,11 +147,11 @@ def encoder(path: str, what: tuple[str, ...]) -> Callable[[list[str]], list[pa.A
         for text in texts:
             found = of.pieces(text)
             if "ids" in out:
-                out["ids"].append([i for p in found for i in p[0]])
+                out["ids"].append([int(i) for p in found for i in p[1].split()])
             if "decoded" in out:
                 out["decoded"].append(" ".join([p[2] for p in found]))
             if "n_tokens" in out:
-                out["n_tokens"].append(sum([len(p[0]) for p in found]))
+                out["n_tokens"].append(sum([p[0] for p in found]))
             if "ids_sha256" in out:
                 out["ids_sha256"].append(hashlib.sha256(" ".join([p[1] for p in found]).encode()).hexdigest())
             if "decoded_sha256" in out:
