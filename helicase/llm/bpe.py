@@ -21,17 +21,18 @@ import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from helicase.llm.common import by_text
+from helicase.llm.common import SLICE_BYTES, by_text
 
 VOCABULARY = "word_bpe_49k.json"
 #: Chunks that a generation of the memory holds: a full one replaces the one before, and what is used moves on.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 250_000
 
 
 def byte_symbols() -> list[str]:
@@ -62,8 +63,13 @@ class Tokenizer:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")")
         self.space = regex.compile(r"\p{White_Space}+")
         self.byte = byte_symbols()
-        self.memory: dict[str, tuple[int, str, str]] = {}
-        self.older: dict[str, tuple[int, str, str]] = {}
+        #: Ids by chunk, a character for each id: short strings are the smallest objects for that.
+        self.memory: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        if max(self.strings) >= 0xD800:
+            raise ValueError("ids do not fit characters")
+        self.string_of = {chr(i): s for i, s in self.strings.items()}
+        self.number_of = {chr(i): str(i) for i in self.strings}
 
     def merge(self, symbol: list[int]) -> list[int]:
         """Merges by rank, the leftmost of equals first.  Queue entries are rank << 52 | place << 20 | new symbol."""
@@ -102,34 +108,33 @@ class Tokenizer:
         chars[-1] += self.suffix
         return self.merge([self.vocab[c] for c in chars if c in self.vocab])
 
-    def chunk(self, chunk: str) -> tuple[int, str, str]:
-        """Number of ids, ids as text and decoded text of a chunk without white space."""
+    def chunk(self, chunk: str) -> str:
+        """Ids of a chunk without white space, as characters."""
         found = self.older.get(chunk)
         if found is None:
             text = unicodedata.normalize("NFC", chunk)
             text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-            ids = [i for word in self.word.findall(text) for i in self.word_ids(word)]
-            found = len(ids), " ".join(map(str, ids)), " ".join(map(self.strings.__getitem__, ids))
+            found = "".join([chr(i) for word in self.word.findall(text) for i in self.word_ids(word)])
         if len(self.memory) >= CACHE_ENTRIES:
             self.older, self.memory = self.memory, {}
         if len(chunk) <= 64:
             self.memory[chunk] = found
         return found
 
-    def pieces(self, text: str) -> list[tuple[int, str, str]]:
-        """What chunk() gives, for each chunk and special token in turn."""
+    def ids(self, text: str) -> str:
+        """The text's ids, as characters."""
         plain = not any("\x1c" <= c <= "\x1f" for c in set(text))
         out = []
         for i, part in enumerate(self.cut.split(text)):
             if i % 2:
-                out.append((1, str(self.special[part]), part))
+                out.append(chr(self.special[part]))
             else:
                 chunks = part.split() if plain else [c for c in self.space.split(part) if c]
-                out.extend([found for c in chunks if (found := self.memory.get(c) or self.chunk(c))[0]])
-        return out
+                out += [self.memory.get(c) or self.chunk(c) for c in chunks]
+        return "".join(out)
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split()]
+        return [*map(ord, self.ids(text))]
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.strings[i] for i in ids if i in self.strings)
@@ -140,28 +145,39 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
+#: Text bytes that are encoded at a time where ids or decoded texts leave.
+STEP_BYTES = 2 << 20
+
+
 def encoder(path: str, what: tuple[str, ...]) -> Callable[[list[str]], list[pa.Array]]:
     def run(texts: list[str]) -> list[pa.Array]:
         of = tokenizer(path)
         out: dict[str, list] = {k: [] for k in what}
         for text in texts:
-            found = of.pieces(text)
+            ids = of.ids(text)
             if "ids" in out:
-                out["ids"].append([int(i) for p in found for i in p[1].split()])
-            if "decoded" in out:
-                out["decoded"].append(" ".join([p[2] for p in found]))
+                out["ids"].append(np.frombuffer(ids.encode("utf-16-le"), np.uint16).astype(np.int32))
             if "n_tokens" in out:
-                out["n_tokens"].append(sum([p[0] for p in found]))
+                out["n_tokens"].append(len(ids))
             if "ids_sha256" in out:
-                out["ids_sha256"].append(hashlib.sha256(" ".join([p[1] for p in found]).encode()).hexdigest())
-            if "decoded_sha256" in out:
-                out["decoded_sha256"].append(hashlib.sha256(" ".join([p[2] for p in found]).encode()).hexdigest())
-        kinds = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}
-        return [pa.array(v, kinds.get(k, pa.string())) for k, v in out.items()]
+                out["ids_sha256"].append(hashlib.sha256(" ".join(map(of.number_of.__getitem__, ids)).encode()).hexdigest())
+            if "decoded" in out or "decoded_sha256" in out:
+                decoded = " ".join(map(of.string_of.__getitem__, ids))
+                if "decoded" in out:
+                    out["decoded"].append(decoded)
+                if "decoded_sha256" in out:
+                    out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+        kinds = {"n_tokens": pa.int64()}
+        return [_lists(v) if k == "ids" else pa.array(v, kinds.get(k, pa.string())) for k, v in out.items()]
 
     return run
 
 
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
+
+
 KINDS = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType())}
 
 
@@ -173,7 +189,8 @@ def encode(docs: DataFrame, path: str, what: tuple[str, ...] = ("n_tokens", "ids
     keep = [c for c in (keep if keep is not None else [c for c in docs.columns if c != text]) if c not in what]
     fields = [docs.schema[c] for c in keep] + [T.StructField(k, KINDS.get(k, T.StringType())) for k in what]
     rows = docs.select(*keep, *([text] if text not in keep else []))
-    return rows.mapInArrow(by_text(encoder(path, what), list(what), keep, text), T.StructType(fields))
+    step = STEP_BYTES if {"ids", "decoded"} & {*what} else SLICE_BYTES
+    return rows.mapInArrow(by_text(encoder(path, what), list(what), keep, text, step), T.StructType(fields))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,7 +62,7 @@ def sliced(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Itera
         start = stop
 
 
-def by_text(fn: Callable[[list[str]], list[pa.Array]], names: list[str], keep: list[str], text: str = "text"):
+def by_text(fn: Callable[[list[str]], list[pa.Array]], names: list[str], keep: list[str], text: str = "text", most: int = SLICE_BYTES):
     """A mapInArrow function: columns in keep pass, fn makes the others from the texts (null: empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +70,7 @@ def by_text(fn: Callable[[list[str]], list[pa.Array]], names: list[str], keep: l
             if not whole.num_rows:
                 continue
             at = whole.schema.get_field_index(text)
-            for batch in sliced(whole, at):
+            for batch in sliced(whole, at, most):
                 texts = ["" if x is None else x for x in batch.column(at).to_pylist()]
                 kept = [batch.column(batch.schema.get_field_index(k)) for k in keep]
                 yield pa.RecordBatch.from_arrays([*kept, *fn(texts)], names=[*keep, *names])
