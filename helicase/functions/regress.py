@@ -1,0 +1,106 @@
+"""Least squares, logistic regression and its penalised form, in NumPy."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+
+from helicase.functions import dist
+
+
+def ols(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Coefficients, their standard errors and the residual sum of squares."""
+    inv = np.linalg.pinv(x.T @ x)
+    beta = inv @ x.T @ y
+    rss = float(((y - x @ beta) ** 2).sum())
+    df = max(1, len(y) - x.shape[1])
+    return beta, np.sqrt(np.maximum(np.diag(inv) * rss / df, 0)), rss
+
+
+def _prob(x: np.ndarray, beta: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ beta, -35, 35)))
+
+
+def loglik(x: np.ndarray, y: np.ndarray, beta: np.ndarray) -> float:
+    p = np.clip(_prob(x, beta), 1e-15, 1 - 1e-15)
+    return float((y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
+
+
+def logistic(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Coefficients, standard errors and whether Newton's method converged."""
+    beta = np.zeros(x.shape[1])
+    done = False
+    for _ in range(steps):
+        p = _prob(x, beta)
+        info = (x * (p * (1 - p))[:, None]).T @ x
+        try:
+            step = np.linalg.solve(info, x.T @ (y - p))
+        except np.linalg.LinAlgError:
+            break
+        beta = beta + np.clip(step, -8, 8)
+        if np.abs(step).max() < 1e-9:
+            done = True
+            break
+    p = _prob(x, beta)
+    cov = np.linalg.pinv((x * (p * (1 - p))[:, None]).T @ x)
+    return beta, np.sqrt(np.maximum(np.diag(cov), 0)), done
+
+
+def _penalised(x: np.ndarray, y: np.ndarray, beta: np.ndarray) -> float:
+    p = _prob(x, beta)
+    sign, logdet = np.linalg.slogdet((x * (p * (1 - p))[:, None]).T @ x)
+    return loglik(x, y, beta) + 0.5 * logdet if sign > 0 else -math.inf
+
+
+def firth(x: np.ndarray, y: np.ndarray, steps: int = 25, halvings: int = 10) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Logistic regression with Jeffreys' prior: finite estimates under separation."""
+    beta = np.zeros(x.shape[1])
+    now = _penalised(x, y, beta)
+    done = False
+    cov = np.eye(x.shape[1])
+    for _ in range(steps):
+        p = _prob(x, beta)
+        w = p * (1 - p)
+        cov = np.linalg.pinv((x * w[:, None]).T @ x)
+        leverage = w * ((x @ cov) * x).sum(1)
+        step = cov @ (x.T @ (y - p + leverage * (0.5 - p)))
+        size, best = 1.0, None
+        for _ in range(halvings):
+            value = _penalised(x, y, beta + size * step)
+            if value >= now - 1e-12:
+                best = value
+                break
+            size /= 2
+        if best is None:
+            break
+        beta, now = beta + size * step, best
+        if np.abs(size * step).max() < 1e-8:
+            done = True
+            break
+    return beta, np.sqrt(np.maximum(np.diag(cov), 0)), done
+
+
+def wald(beta: float, se: float) -> float:
+    return 2 * dist.norm_sf(abs(beta / se)) if se > 0 else math.nan
+
+
+def added_terms(base: np.ndarray, more: np.ndarray, y: np.ndarray, binary: bool) -> float:
+    """p of the columns in more on top of base: a likelihood ratio or an F test."""
+    more = more[:, more.std(0) > 0]
+    if not more.shape[1]:
+        return math.nan
+    full = np.column_stack([base, more])
+    k = np.linalg.matrix_rank(full) - np.linalg.matrix_rank(base)
+    if k <= 0:
+        return math.nan
+    if binary:
+        b0, _, _ = logistic(base, y)
+        b1, _, _ = logistic(full, y)
+        return dist.chi2_sf(max(0.0, 2 * (loglik(full, y, b1) - loglik(base, y, b0))), k)
+    _, _, rss0 = ols(base, y)
+    _, _, rss1 = ols(full, y)
+    df = len(y) - np.linalg.matrix_rank(full)
+    if df <= 0 or rss1 <= 0:
+        return math.nan
+    return dist.f_sf((rss0 - rss1) / k / (rss1 / df), k, df)
