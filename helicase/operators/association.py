@@ -201,3 +201,20 @@ def weight_gains(df: DataFrame, level: float = 0.05) -> DataFrame:
     """gene with gained or lost where weights changed significance; df: gene, q_plain, q_weighted."""
     change = F.when((F.col("q_plain") >= level) & (F.col("q_weighted") < level), "gained").when((F.col("q_plain") < level) & (F.col("q_weighted") >= level), "lost")
     return df.withColumn("change", change).where("change IS NOT NULL")
+
+
+def principal_components(calls: DataFrame, samples: DataFrame, k: int, buckets: int = 4096) -> DataFrame:
+    """sample_id, pc1..pck from dosages; variants beyond so many columns share them by hash, which keeps vectors bounded."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    n = calls.select("variant_id").distinct().count()
+    size = max(1, min(n, buckets))
+    at = F.pmod(F.xxhash64("variant_id"), F.lit(size)).cast("int")
+    rows = calls.where("dosage > 0").groupBy("sample_id", at.alias("i")).agg(F.sum("dosage").cast("double").alias("v"))
+    packed = rows.groupBy("sample_id").agg(F.map_from_entries(F.collect_list(F.struct("i", "v"))).alias("m"))
+    rows = samples.select("sample_id").join(packed, "sample_id", "left")
+    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
+    rows = rows.select("sample_id", array_to_vector(dense).alias("x"))
+    out = PCA(k=min(k, size), inputCol="x", outputCol="pc").fit(rows).transform(rows).select("sample_id", vector_to_array("pc").alias("pc"))
+    return out.select("sample_id", *(F.get("pc", F.lit(j)).alias(f"pc{j + 1}") for j in range(min(k, size))))

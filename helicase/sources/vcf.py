@@ -95,8 +95,11 @@ def chromosome_spans(records: DataFrame) -> DataFrame:
     return records.groupBy("chrom").agg(F.min("pos").alias("start"), F.max("pos").alias("end"))
 
 
-def fields(records: DataFrame, requested: list[str], samples: list[str]) -> DataFrame:
-    """Requested fields as text columns: fixed ones, ANN[0].X, NMD[0].X, GEN[*].X and GEN[i].X, others from INFO; NA if missing."""
+def fields(records: DataFrame, requested: list[str], samples: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Requested fields as text columns: fixed ones, ANN[0].X, NMD[0].X, GEN[*].X and GEN[i].X, others from INFO; NA if missing.
+
+    keep: columns of records that stand before them.
+    """
     at = {k: F.col(k) for k in ("info", "format", "samples")}
     out: list[Column] = []
     for name in requested:
@@ -114,7 +117,7 @@ def fields(records: DataFrame, requested: list[str], samples: list[str]) -> Data
                 out.append(text.or_na(text.blank_as_null(cell) if part != "GT" else cell).alias(f"GEN_{i}__{part}"))
         else:
             out.append(text.or_na(text.blank_as_null(F.element_at("info", F.lit(name)))).alias(identifier(name)))
-    return records.select(*out)
+    return records.select(*keep, *out)
 
 
 def calls(records: DataFrame, samples: list[str], gene: Column | None = None) -> DataFrame:
