@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that one step of an Arrow function handles at a time.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

@@ -41,6 +41,8 @@ TIED = 58
 BUCKET = 2048
 BLOCK = 1024
 DEPTH = 3
+#: Text bytes of a block where texts are compared exactly.
+BLOCK_BYTES = 4 << 20
 #: Text bytes handled at a time.
 STEP_BYTES = 2 << 20
 
@@ -147,9 +149,10 @@ def _embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sketch = np.zeros((n, POSITIONS), np.uint16)
             sketch[rows] = (mix(values) & _U(0xFFFF)).astype(np.uint16)
             raw = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * 2 * POSITIONS).astype(np.int32)), pa.py_buffer(sketch)])
+            size = np.diff(binary_parts(batch.column(2))[0]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(lists), pa.array(path[order].view(np.int64))), raw],
-                names=["doc_id", "text_hash", "paths", "sketch"],
+                [batch.column(0), batch.column(1), pa.array(size), pa.ListArray.from_arrays(pa.array(lists), pa.array(path[order].view(np.int64))), raw],
+                names=["doc_id", "text_hash", "size", "paths", "sketch"],
             )
 
 
@@ -322,7 +325,7 @@ def _common(token: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     _, at, times = np.unique(token, return_inverse=True, return_counts=True)
     shared = times[at] > 1
     at, row = at[shared], row[shared]
-    out = np.zeros((n, n), np.int64)
+    out = np.zeros((n, n), np.int32)
     if not len(at):
         return out
     _, at, times = np.unique(at, return_inverse=True, return_counts=True)
@@ -338,10 +341,26 @@ def _common(token: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
         part = (at >= low) & (at < low + 4096)
         dense = np.zeros((n, min(4096, len(times) - low)), np.float32)
         dense[row[part], at[part] - low] = 1.0
-        out += np.rint(dense @ dense.T).astype(np.int64)
+        out += np.rint(dense @ dense.T).astype(np.int32)
     return out
 
 
+def _roots(near: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric relation the place of its component's least node."""
+    order = np.argsort(node, kind="stable")
+    rank = np.empty(len(node), np.int32)
+    rank[order] = np.arange(len(node), dtype=np.int32)
+    label = rank.copy()
+    while True:
+        new = label.copy()
+        for part in np.array_split(np.arange(len(node)), max(1, len(node) // 256)):
+            new[part] = np.minimum(label[part], np.where(near[part], label[None, :], np.int32(len(node))).min(1))
+        new = np.minimum(new, new[order[new]])
+        if np.array_equal(new, label):
+            return order[label]
+        label = new
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (comp, lo, hi, block, node, text) sorted by the first three; per node its links in the pair of blocks and
     the least node that they connect it to there."""
@@ -361,21 +380,21 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             token, row = token[new], row[new]
             n = stop - start
             size = np.bincount(row, minlength=n)
-            common = _common(token, row, n)
-            near = (common > 0) & ((NEAR_NUM + NEAR_DEN) * common >= NEAR_NUM * (size[:, None] + size[None, :]))
+            near = _common(token, row, n)
+            weight = (NEAR_NUM * size).astype(np.int32)
+            near = (near > 0) & ((NEAR_NUM + NEAR_DEN) * near >= weight[:, None] + weight[None, :])
             np.fill_diagonal(near, False)
             if lo[start] != hi[start]:
                 near &= block[start:stop][:, None] != block[start:stop][None, :]
-            i, j = np.nonzero(near)
-            if not len(i):
-                continue
-            root = dict(zip(*(x.tolist() for x in local_stars(node[start:stop][i], node[start:stop][j])), strict=True))
-            for k, times in zip(*np.unique(i, return_counts=True), strict=True):
-                nodes.append(int(node[start + k]))
-                links.append(int(times))
-                roots.append(root.get(nodes[-1], nodes[-1]))
+            times = near.sum(1)
+            linked = np.flatnonzero(times)
+            if len(linked):
+                here = node[start:stop][linked]
+                nodes.append(here)
+                links.append(times[linked])
+                roots.append(here[_roots(near[np.ix_(linked, linked)], here)])
         if nodes:
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(links, pa.int64()), pa.array(roots, pa.int64())], names=["node", "links", "root"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (nodes, links, roots)], names=["node", "links", "root"])
 
 
 def joined(docs: DataFrame) -> DataFrame:
@@ -383,10 +402,11 @@ def joined(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
     hashed = docs.select("doc_id", F.unhex(F.md5("text")).alias("text_hash"), "text")
-    sets = materialised(hashed.mapInArrow(_embed, "doc_id bigint, text_hash binary, paths array<bigint>, sketch binary"), "sets")
+    sets = materialised(hashed.mapInArrow(_embed, "doc_id bigint, text_hash binary, size int, paths array<bigint>, sketch binary"), "sets")
     near = components(candidates(sets))
-    sizes = near.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    near = materialised(near.join(sizes, "root"), "near")
+    weighed = near.join(sets.groupBy(F.col("doc_id").alias("node")).agg(F.max("size").alias("size")), "node")
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int")
+    near = materialised(near.join(weighed.groupBy("root").agg(parts.alias("parts")), "root"), "near")
     rows = docs.join(near.withColumnRenamed("node", "doc_id"), "doc_id")
     rows = rows.select("root", F.pmod(F.xxhash64("doc_id"), "parts").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"), "doc_id", "text")
     rows = rows.select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "doc_id", "text")
