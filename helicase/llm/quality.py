@@ -26,8 +26,8 @@ LEVEL = 3
 CHUNK_BYTES = 4096
 CHUNK_SHARE = 0.3
 #: (from so many bytes, least ratio, largest ratio): the frame's fixed costs weigh more in short texts.
-BANDS = ((0, 0.0, 9.0), (256, 0.20, 1.0), (1024, 0.15, 0.85), (4096, 0.12, 0.80), (32768, 0.08, 0.75))
-CHUNK_BAND = (0.12, 0.80)
+BANDS = ((0, 0.0, 9.0), (256, 0.20, 0.95), (1024, 0.15, 0.75), (4096, 0.12, 0.70), (32768, 0.08, 0.65))
+CHUNK_BAND = (0.12, 0.72)
 # The symbols counted.
 SYMBOLS = "#*$%&|<>"
 
