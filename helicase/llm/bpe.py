@@ -5,7 +5,8 @@ symbols have changed since are stale and skipped.  Decoding concatenates vocabul
 tokenizers library does for a file without a decoder.
 
 Normalising, splitting and merging never cross white space, so results are kept by white-space-free chunk in a
-memory of two generations of CACHE_ENTRIES in each Python worker.  Texts with special tokens or with the separators U+001C to
+memory of two generations of CACHE_ENTRIES in each Python worker; another one holds words, which
+chunks of other case and punctuation share.  Texts with special tokens or with the separators U+001C to
 U+001F, which Python but not the file's pattern calls white space, are cut with patterns first; results are the same.
 
 Defined results: a null or empty text has no tokens.  Repeated rows and other columns pass unchanged, but columns
@@ -31,8 +32,10 @@ from pyspark.sql import types as T
 from helicase.llm.common import SLICE_BYTES, by_text
 
 VOCABULARY = "word_bpe_49k.json"
-#: Chunks that a generation of the memory holds: a full one replaces the one before, and what is used moves on.
-CACHE_ENTRIES = 250_000
+#: Entries that a generation of a memory holds: a full one replaces the one before, and what is used moves on.
+CACHE_ENTRIES = 120_000
+#: Longer chunks and words are not remembered.
+LONGEST_KEPT = 64
 
 
 def byte_symbols() -> list[str]:
@@ -63,9 +66,11 @@ class Tokenizer:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")")
         self.space = regex.compile(r"\p{White_Space}+")
         self.byte = byte_symbols()
-        #: Ids by chunk, a character for each id: short strings are the smallest objects for that.
+        #: Ids by chunk and by word, a character for each id: short strings are the smallest objects for that.
         self.memory: dict[str, str] = {}
         self.older: dict[str, str] = {}
+        self.words: dict[str, str] = {}
+        self.older_words: dict[str, str] = {}
         if max(self.strings) >= 0xD800:
             raise ValueError("ids do not fit characters")
         self.string_of = {chr(i): s for i, s in self.strings.items()}
@@ -103,21 +108,35 @@ class Tokenizer:
                 push(queue, found >> 20 << 52 | h << 20 | found & 0xFFFFF)
         return [s for s in symbol if s >= 0]
 
-    def word_ids(self, word: str) -> list[int]:
-        chars = [self.byte[b] for b in word.encode()]
-        chars[-1] += self.suffix
-        return self.merge([self.vocab[c] for c in chars if c in self.vocab])
+    def word_ids(self, word: str) -> str:
+        """Ids of a normalised word, as characters."""
+        found = self.older_words.get(word)
+        if found is None:
+            chars = [self.byte[b] for b in word.encode()]
+            chars[-1] += self.suffix
+            found = "".join(map(chr, self.merge([self.vocab[c] for c in chars if c in self.vocab])))
+        if len(self.words) >= CACHE_ENTRIES:
+            self.older_words, self.words = self.words, {}
+        if len(word) <= LONGEST_KEPT:
+            self.words[word] = found
+        return found
 
     def chunk(self, chunk: str) -> str:
         """Ids of a chunk without white space, as characters."""
         found = self.older.get(chunk)
         if found is None:
-            text = unicodedata.normalize("NFC", chunk)
+            text = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)
             text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-            found = "".join([chr(i) for word in self.word.findall(text) for i in self.word_ids(word)])
+            if text.isalpha():  # the same as the pattern finds, without it
+                words = (text,)
+            elif text[-1] in ".,;:!?" and text[:-1].isalpha():
+                words = (text[:-1], text[-1])
+            else:
+                words = self.word.findall(text)
+            found = "".join([self.words.get(w) or self.word_ids(w) for w in words])
         if len(self.memory) >= CACHE_ENTRIES:
             self.older, self.memory = self.memory, {}
-        if len(chunk) <= 64:
+        if len(chunk) <= LONGEST_KEPT:
             self.memory[chunk] = found
         return found
 

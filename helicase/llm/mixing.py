@@ -90,10 +90,10 @@ def mixed(docs: DataFrame, whole: bool = False, seed: str = SEED) -> DataFrame:
 
 def repeated(docs: DataFrame) -> DataFrame:
     """docs, every row as often as the mix takes it whole."""
-    taken = mixed(docs, whole=True).where("taken > 0 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("mixed_id"), F.floor(F.col("taken") / F.col("size")).cast("int").alias("times"))
-    times = taken.groupBy("mixed_id").agg(F.max("times").alias("times"))
-    rows = docs.join(times, F.col("doc_id") == F.col("mixed_id"))
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    taken = mixed(docs, whole=True).where("taken > 0").select(F.col("doc_id").alias("_mixed_id"), F.floor(F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    times = taken.groupBy("_mixed_id").agg(F.max("_times").alias("_times"))
+    rows = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_mixed_id")))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

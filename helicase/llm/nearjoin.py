@@ -13,7 +13,8 @@ in blocks, and counted.  Equal texts are one node throughout.  Only stars leave
 
 Defined results: a null text is empty; texts without words have no links.  class_id is the least doc_id of the linked
 texts' connected component, text_id that of equal texts, n_copies the rows with that text, n_links the different
-texts linked to it.  Repeated rows are copies.  An empty table gives no rows.
+texts linked to it.  Repeated rows are copies.  Null doc_ids are one number, less than all others, and null again in
+results.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,14 +39,17 @@ TARGET_RECALL = 0.999
 AGREE = 38
 #: Sketch positions that tie a near copy to its leader: what is near the copy then still agrees with the leader.
 TIED = 58
-BUCKET = 2048
-BLOCK = 1024
+BUCKET = 512
+BLOCK = 512
 DEPTH = 3
 #: Text bytes of a block where texts are compared exactly.
 BLOCK_BYTES = 4 << 20
 #: Text bytes handled at a time.
 STEP_BYTES = 2 << 20
 
+#: Stands for a null doc_id inside.
+NO_ID = -(1 << 63)
+
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
 _PINV = pow(_P, -1, 1 << 64)
@@ -400,7 +404,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def joined(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, text_id, n_copies, n_links for every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    docs = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
     hashed = docs.select("doc_id", F.unhex(F.md5("text")).alias("text_hash"), "text")
     sets = materialised(hashed.mapInArrow(_embed, "doc_id bigint, text_hash binary, size int, paths array<bigint>, sketch binary"), "sets")
     near = components(candidates(sets))
@@ -421,9 +425,9 @@ def joined(docs: DataFrame) -> DataFrame:
     linked = per_node.join(roots, "node")
     texts = sets.groupBy("text_hash").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("n_copies"))
     texts = texts.join(linked.withColumnRenamed("node", "text_id"), "text_id", "left")
-    own = F.when(F.col("doc_id") == -(1 << 63), F.lit(None)).otherwise(F.col("doc_id"))
+    shown = lambda c: F.when(c != NO_ID, c)
     return sets.select("doc_id", "text_hash").join(texts, "text_hash").select(
-        own.cast("bigint").alias("doc_id"), F.coalesce("root", "text_id").alias("class_id"), "text_id", "n_copies", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
+        shown(F.col("doc_id")).alias("doc_id"), shown(F.coalesce("root", "text_id")).alias("class_id"), shown(F.col("text_id")).alias("text_id"), "n_copies", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
     )
 
 
@@ -447,14 +451,15 @@ FROM t JOIN u ON u.text = t.text JOIN k ON k.node = u.node LEFT JOIN d ON d.node
 def representatives(docs: DataFrame) -> DataFrame:
     """docs without the rows whose class has a smaller doc_id; rows with one doc_id count once, the first by text."""
     classes = joined(docs)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")) | F.col("doc_id").isNull())
-    kept = materialised(kept.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    rows = docs.join(kept.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    once, several = rows.where("rows = 1").select(*docs.columns), rows.where("rows > 1").select(*docs.columns)
-    if kept.where("rows > 1").isEmpty():
+    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    kept = materialised(kept.groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("_rows")), "kept")
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")))
+    once = rows.where("_rows = 1").select(*docs.columns)
+    if kept.where("_rows > 1").isEmpty():
         return once
     first = Window.partitionBy("doc_id").orderBy("text")
-    return once.union(several.withColumn("kept_row", F.row_number().over(first)).where("kept_row = 1").select(*docs.columns))
+    several = rows.where("_rows > 1").withColumn("_place", F.row_number().over(first)).where("_place = 1")
+    return once.union(several.select(*docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

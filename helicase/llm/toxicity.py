@@ -4,7 +4,8 @@ Words become symbols: insult or threat (with a weight), target, negation, report
 symbols of a clause run the composed transducers: one remembers how far back a negation stands, one whether a
 reporting verb or a quotation mark has opened reported speech, one whether a target is near; an insult or threat
 leaves the composition with its weight scaled by their states.  A clause scores its strongest match and a share of
-its others, a text the sum over clauses, and a logistic curve turns sums into scores.
+its others; a text sums its different words, each at its best (repeated lines add nothing), and a logistic curve turns
+sums into scores.
 
 Lexicon and curve are learned from labelled rows: insults from words and word beginnings that toxic texts hold far
 more often than clean ones, counted in a distributed pass over at most MOST_LABELLED labelled rows (those of least
@@ -35,11 +36,13 @@ MOST_LABELLED = 20_000
 #: Learned words and beginnings, at most.
 MOST_ENTRIES = 4_000
 #: Features that a task keeps before it hands counts on.
-MOST_COUNTED = 400_000
+MOST_COUNTED = 150_000
 BEGINNINGS = (4, 5, 6)
 #: Natural log of how much more often toxic texts must hold an entry.
 LEAST_ODDS = 3.0
-MEMORY = 200_000
+#: Log likelihood ratio against chance that an entry must reach, so that rare words of few toxic texts stay out.
+LEAST_EVIDENCE = 13.0
+MEMORY = 150_000
 
 # Prior lexicon and the words of the other classes, in four languages.
 INSULTS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "clown", "pathetic", "worthless", "disgusting", "imbecile", "bastard", "dumb", "filth", "vermin", "idiota", "imbécile", "dummkopf", "abschaum", "crétin", "estúpido", "basura")
@@ -93,7 +96,7 @@ class Grammar:
         known = [memory[w] if w in memory else symbol(w) for w in words]
         if not any(k is not None and (k[0] == INSULT or k[0] == THREAT) for k in known):
             return 0.0
-        total = 0.0
+        best: dict[str, float] = {}
         clause: list[tuple[int, int, float]] = []
         for i, (word, k) in enumerate(zip(words, known, strict=True)):
             if k is not None:
@@ -101,13 +104,15 @@ class Grammar:
             if '"' in word or "“" in word:
                 clause.append((i, REPORT, 0.0))
             if word[-1] in ".!?;:" or i + 1 == len(words):
-                total += self.clause(clause)
+                for place, weight in self.clause(clause):
+                    w = bare(words[place])
+                    best[w] = max(best.get(w, 0.0), weight)
                 clause = []
-        return total
+        return sum(best.values())
 
     @staticmethod
-    def clause(symbols: list[tuple[int, int, float]]) -> float:
-        """Runs the composed transducers over (place, class, weight) of a clause."""
+    def clause(symbols: list[tuple[int, int, float]]) -> list[tuple[int, float]]:
+        """Runs the composed transducers over (place, class, weight) of a clause; the matches with their scaled weights."""
         negated_at, is_reported = -REACH - 1, False
         targets = [i for i, c, _ in symbols if c == TARGET]
         out = []
@@ -126,9 +131,9 @@ class Grammar:
                     weight *= NEGATED
                 if is_reported:
                     weight *= REPORTED
-                out.append(weight)
-        best = max(out, default=0.0)
-        return best + FURTHER * (sum(out) - best)
+                out.append((i, weight))
+        best = max(out, key=lambda x: x[1], default=(-1, 0.0))[0]
+        return [(i, w if i == best else FURTHER * w) for i, w in out]
 
     def score(self, text: str) -> float:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.offset + self.slope * math.log1p(self.matches(text))))))
@@ -165,14 +170,25 @@ def lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
     least = max(3, math.ceil(0.002 * n_toxic))
     odds = F.ln((F.col("toxic") + 0.5) / (n_toxic + 1.0)) - F.ln((F.col("clean") + 0.5) / (n_clean + 1.0))
     sums = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.col("toxic") >= least)
-    kept = sums.where(odds >= LEAST_ODDS).orderBy(F.desc("toxic"), "feature").limit(MOST_ENTRIES)
+    toxic, clean, base = F.col("toxic"), F.col("clean"), n_toxic / (n_toxic + n_clean)
+    seen = toxic + clean
+    evidence = toxic * F.ln(toxic / (seen * base)) + F.when(clean > 0, clean * F.ln(F.greatest(clean, F.lit(1)) / (seen * (1 - base)))).otherwise(0.0)
+    kept = sums.where((odds >= LEAST_ODDS) & (evidence >= LEAST_EVIDENCE)).orderBy(F.desc("toxic"), "feature").limit(MOST_ENTRIES)
     found = {r.feature: (r.toxic, r.clean) for r in kept.collect()}
     weights = {f"={w}": 1.5 for w in INSULTS}
+    longer: dict[str, list[tuple[int, int]]] = {}
+    for f, counted in found.items():
+        for n in BEGINNINGS:
+            if n < len(f) - 1:
+                longer.setdefault(f[1 : n + 1], []).append(counted)
     for f, (toxic, clean) in found.items():
         # a feature that a shorter beginning explains as well adds nothing
         shorter = [f"^{f[1:][:n]}" for n in BEGINNINGS if n < len(f) - 1 or (f[0] == "=" and n <= len(f) - 1)]
         if any(s in found and found[s][0] >= toxic and found[s][1] <= clean + 0.1 * found[s][0] for s in shorter):
             continue
+        # nor does a beginning whose toxic texts nearly all hold a longer one that fewer clean texts hold
+        if f[0] == "^" and any(t >= 0.8 * toxic and c < clean for t, c in longer.get(f[1:], ())):
+            continue
         strength = math.log((toxic + 0.5) / (n_toxic + 1.0)) - math.log((clean + 0.5) / (n_clean + 1.0))
         sure = toxic / (toxic + 8.0)
         weights[f] = max(weights.get(f, 0.0), min(3.0, 0.6 * strength * sure))
@@ -214,18 +230,17 @@ def learned(docs: DataFrame, labels: DataFrame) -> Grammar:
     return Grammar(weights, slope, offset)
 
 
-def scored(docs: DataFrame, grammar: Grammar, keep: list[str], text: str = "text") -> DataFrame:
-    """keep's columns with score and predicted."""
+def scored(docs: DataFrame, grammar: Grammar, keep: list[str], text: str = "text", names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """keep's columns with the score and, under the second name, whether it is one half or more."""
 
     def run(texts: list[str]) -> list[pa.Array]:
         scores = [grammar.score(t) for t in texts]
         return [pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())]
 
-    names = ["score", "predicted"]
     keep = [c for c in keep if c not in names]
-    fields = [docs.schema[c] for c in keep] + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    fields = [docs.schema[c] for c in keep] + [T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())]
     rows = docs.select(*keep, *([] if text in keep else [text]))
-    return rows.mapInArrow(by_text(run, names, keep, text), T.StructType(fields))
+    return rows.mapInArrow(by_text(run, list(names), keep, text), T.StructType(fields))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

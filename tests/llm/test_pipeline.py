@@ -42,6 +42,26 @@ def test_stages(spark):
         assert r.decoded == own.decode(r.ids)
 
 
+def test_stages_on_odd_rows(spark):
+    """Nulls in every column, repeated rows and columns named like the stages' own."""
+    rows = [(None, "no id here", None, None, None, 1.0, 2, 3), (1, None, "en", "a", 4, 1.0, 2, 3), (2, "one two three", None, "a", 13, 1.0, 2, 3), (2, "one two three", None, "a", 13, 1.0, 2, 3), (3, "", "en", None, 0, 1.0, 2, 3), (4, "password: hunter2hunter", "en", "b", 9, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, times int, copy int")
+    for empty in (False, True):
+        now = docs.limit(0) if empty else docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, now, SF).cache()
+            assert out.columns == docs.columns, name
+            assert {r.score for r in out.collect()} <= {1.0, None}
+            now = out
+        last = corpus_pipeline.encode(spark, now, SF)
+        assert last.count() == now.count()
+        if empty:
+            assert now.count() == 0
+        else:
+            assert {r.doc_id for r in now.collect()} <= {None, 1, 2, 3, 4}
+            assert now.where("text LIKE '%hunter2%'").count() == 0
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "ids", "decoded"]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "secrets", "mixing", "bpe"]

@@ -129,7 +129,7 @@ def test_grammar_composes():
     assert g.matches("kill the bug") == 0
     assert g.matches("i will kill you") > 0
     assert g.matches("nothing here") == 0
-    assert g.matches("idiot. idiot.") == 2 * plain
+    assert g.matches("idiot. idiot.") == plain
 
 
 def test_toxicity_without_labels(spark):
