@@ -28,7 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     labelled = spark.read.parquet(f"{sf_dir}/documents.parquet")
     grammar = toxicity.learned(labelled, labels)
-    return toxicity.scored(docs, grammar, docs.columns).where("predicted = 0").select(*docs.columns)
+    found = toxicity.scored(docs, grammar, docs.columns, names=("_toxicity", "_toxic"))
+    return found.where("_toxic = 0").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
