@@ -131,3 +131,18 @@ def phenotype_text(calls: DataFrame, phenotypes: DataFrame, key: str = "variant_
     rows = calls.where("dosage > 0").join(phenotypes, "sample_id", "left")
     cell = F.concat("sample_id", F.lit("("), F.array_join(F.array_sort(F.coalesce("terms", F.array().cast("array<string>"))), ","), F.lit(")"))
     return rows.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(cell)), ";").alias("phenotypes"))
+
+
+def of_transcripts(variants: DataFrame, ids: list[str], column: str = "FEATUREID") -> DataFrame:
+    """Rows annotated for one of the transcripts, whatever their version."""
+    return variants.where(F.substring_index(column, ".", 1).isin(*[i.split(".")[0] for i in ids]))
+
+
+def two_commonest(calls: DataFrame, key: str = "variant_id") -> DataFrame:
+    """key, gt: of several genotypes for a variant the two that occur most, by number and name, joined by commas."""
+    from pyspark.sql import Window
+
+    n = calls.groupBy(key, "gt").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "gt"))
+    kept = n.withColumn("i", rank).where("i <= 2")
+    return kept.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "gt"))), lambda x: x["gt"]), ",").alias("gt"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from helicase.functions import dist, kernels, regress, weights
 from helicase.functions.text import PTV_EFFECTS
 from helicase.operators.burden import fisher, gene_counts, cohort_sizes, odds
-from helicase.operators.correction import benjamini_hochberg, cauchy, weighted
+from helicase.operators.correction import benjamini_hochberg, cauchy, qq, weighted
 
 RESULT = "gene string, test string, p_value double, effect double, se double, ci_lower double, ci_upper double, warnings string"
 
@@ -197,6 +197,13 @@ def lambda_gc(results: DataFrame, p: str = "p_value") -> DataFrame:
     return spark.createDataFrame([(t, sum(v) / len(v)) for t, v in sorted(by.items())], "test string, lambda_gc double")
 
 
+def write_diagnostics(results: DataFrame, folder: str, p: str = "p_value") -> None:
+    """lambda_gc and qq tables of long results (test, p) as TSV folders."""
+    lambda_gc(results, p).write.mode("overwrite").csv(f"{folder}/lambda_gc", sep="\t", header=True)
+    rows = qq(results.where(~F.isnan(p)), p, ["test"])
+    rows.select("test", "expected_log10", "observed_log10").write.mode("overwrite").csv(f"{folder}/qq_data", sep="\t", header=True)
+
+
 def weight_gains(df: DataFrame, level: float = 0.05) -> DataFrame:
     """gene with gained or lost where weights changed significance; df: gene, q_plain, q_weighted."""
     change = F.when((F.col("q_plain") >= level) & (F.col("q_weighted") < level), "gained").when((F.col("q_plain") < level) & (F.col("q_weighted") >= level), "lost")

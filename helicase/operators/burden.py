@@ -151,3 +151,16 @@ def inflation(chi: list[float]) -> float | None:
         return None
     mid = len(chi) // 2
     return (chi[mid] if len(chi) % 2 else (chi[mid - 1] + chi[mid]) / 2) / 0.4549364231195724
+
+
+def by_shortened_ids(samples: DataFrame, phenotypes: DataFrame, removed: str) -> DataFrame:
+    """sample_id, terms: phenotypes under the sample's id, else under the id without the text that file names carry."""
+    own = samples.select("sample_id").join(phenotypes, "sample_id", "left")
+    short = F.replace("sample_id", F.lit(removed), F.lit(""))
+    other = phenotypes.select(F.col("sample_id").alias("_short"), F.col("terms").alias("_terms"))
+    return own.join(other, short == F.col("_short"), "left").select("sample_id", F.coalesce("terms", "_terms").alias("terms"))
+
+
+def few_carriers(genes: DataFrame, least: int = 10) -> DataFrame:
+    """gene_counts() with warnings where few cases carry anything."""
+    return genes.withColumn("warnings", F.when(F.col("case_carriers") < least, "LOW_CASE_CARRIERS").otherwise(""))

@@ -107,3 +107,38 @@ def test_components_separate_groups(spark):
     pcs = {r.sample_id: r.pc1 for r in association.principal_components(df, df.select("sample_id").distinct(), 2).collect()}
     assert len({pcs[f"s{s}"] > sum(pcs.values()) / 10 for s in range(5)}) == 1
     assert (pcs["s0"] > pcs["s9"]) == (pcs["s1"] > pcs["s8"])
+
+
+def test_small_helpers(spark, tmp_path):
+    samples = spark.createDataFrame([("a_L1",), ("b",)], "sample_id string")
+    terms = spark.createDataFrame([("a", ["x"]), ("b", ["y"])], "sample_id string, terms array<string>")
+    assert {r.sample_id: r.terms for r in burden.by_shortened_ids(samples, terms, "_L1").collect()} == {"a_L1": ["x"], "b": ["y"]}
+    genes = spark.createDataFrame([("g", 3), ("h", 30)], "gene string, case_carriers int")
+    assert {r.gene: r.warnings for r in burden.few_carriers(genes).collect()} == {"g": "LOW_CASE_CARRIERS", "h": ""}
+    assert annotate.of_transcripts(spark.createDataFrame([("NM_1.2",), ("NM_2.1",)], "FEATUREID string"), ["NM_1.5"]).count() == 1
+    calls = spark.createDataFrame([(1, g) for g in ("0/1", "0/1", "1/1", "0/0", "1/1", "0/1")], "variant_id int, gt string")
+    assert annotate.two_commonest(calls).first().gt == "0/1,1/1"
+    results = spark.createDataFrame([("t", 0.1 * i) for i in range(1, 10)], "test string, p_value double")
+    association.write_diagnostics(results, str(tmp_path / "d"))
+    assert spark.read.csv(str(tmp_path / "d" / "qq_data"), sep="\t", header=True).count() == 9
+    assert association.lambda_gc(results).first().lambda_gc == pytest.approx(1.0, abs=0.01)
+    gains = association.weight_gains(spark.createDataFrame([("g", 0.2, 0.01), ("h", 0.01, 0.2), ("i", 0.2, 0.2)], "gene string, q_plain double, q_weighted double"))
+    assert {r.gene: r.change for r in gains.collect()} == {"g": "gained", "h": "lost"}
+
+
+def test_engine_joins_tests(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    people = [(f"s{i:03d}", i < 40) for i in range(80)]
+    calls = [(v, f"g{v % 3}", p[0], int(rng.integers(1, 3)), int(v % 3 + 1)) for v in range(15) for p in people if rng.random() < (0.3 if v % 3 == 0 and p[1] else 0.1)]
+    df = spark.createDataFrame(calls, "variant_id bigint, gene string, sample_id string, dosage int, category int")
+    who = spark.createDataFrame(people, "sample_id string, is_case boolean")
+    weights = spark.createDataFrame([("g0", 2.0)], "gene string, weight double")
+    rows = {r.gene: r for r in association.run_all(df, who, ["fisher", "skato", "coast", "logistic_burden"], gene_weights=weights).collect()}
+    assert set(rows) == {"g0", "g1", "g2"}
+    assert rows["g0"].acat_o_pvalue < 0.01
+    assert rows["g0"].acat_o_pvalue < min(rows["g1"].acat_o_pvalue, rows["g2"].acat_o_pvalue)
+    assert rows["g0"].fdr_weight == pytest.approx(1.5)
+    with pytest.raises(ValueError, match="no test"):
+        association.run_all(df, who, ["absent"])
