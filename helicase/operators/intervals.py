@@ -30,14 +30,20 @@ def at_positions(variants: DataFrame, regions: DataFrame, size: int = BIN) -> Da
 
 
 def any_overlap(spans: DataFrame, regions: DataFrame, start: str, end: str, size: int = BIN) -> DataFrame:
-    """Rows whose span touches a region, once each."""
-    left = spans.withColumns({"_chrom": bare_chrom(F.col("chrom")), "_row": F.monotonically_increasing_id()})
-    right = _binned(regions.select(bare_chrom(F.col("chrom")).alias("_chrom"), F.col("start").alias("_start"), F.col("end").alias("_end")), "_start", "_end", size)
-    wide = left.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(start) / size), F.floor((F.col(end) - 1) / size))))
-    meets = (wide["_chrom"] == right["_chrom"]) & (wide["_bin"] == right["_bin"]) & (wide[start] < right["_end"]) & (right["_start"] < wide[end])
-    # a row that touches several bins may be found in each
-    kept = wide.join(right, meets, "left_semi")
-    return kept.groupBy("_row").agg(*(F.first(c, ignorenulls=False).alias(c) for c in spans.columns)).drop("_row")
+    """Rows whose span touches a region, once each.
+
+    Spans inside one bin, nearly all, meet regions in one semi-join; only longer ones are dealt to their bins and made
+    single again.
+    """
+    first, last = F.floor(F.col(start) / size), F.floor((F.col(end) - 1) / size)
+    rows = spans.withColumns({"_chrom": bare_chrom(F.col("chrom")), "_bin": first, "_last": last})
+    right = _binned(regions.select(bare_chrom(F.col("chrom")).alias("_rchrom"), F.col("start").alias("_rstart"), F.col("end").alias("_rend")), "_rstart", "_rend", size).withColumnRenamed("_bin", "_rbin")
+    meets = (F.col("_chrom") == F.col("_rchrom")) & (F.col("_bin") == F.col("_rbin")) & (F.col(start) < F.col("_rend")) & (F.col("_rstart") < F.col(end))
+    short = rows.where("_bin = _last").join(right, meets, "left_semi").select(*spans.columns)
+    wide = rows.where("_bin < _last").withColumn("_row", F.monotonically_increasing_id())
+    wide = wide.withColumn("_bin", F.explode(F.sequence("_bin", "_last"))).join(right, meets, "left_semi")
+    once = wide.groupBy("_row").agg(*(F.first(c, ignorenulls=False).alias(c) for c in spans.columns)).drop("_row")
+    return short.union(once)
 
 
 def merged(regions: DataFrame) -> DataFrame:

@@ -78,6 +78,8 @@ def test_intervals(spark):
     wide = spark.createDataFrame([("1", 0, 500_000)], "chrom string, start bigint, end bigint")
     assert sorted(map(tuple, intervals.intersected(wide, b).collect())) == [("1", 5, 35), ("1", 100_000, 200_000)]
     assert sorted(r.start for r in intervals.expanded(a, 7).collect()) == [0, 0, 3, 23]
+    spans = spark.createDataFrame([("chr1", 6, 7, "x"), ("1", 36, 99, "y"), ("1", 20, 60_000, "wide"), ("1", 50_000, 99_999, "no"), ("2", 5, 6, "z"), ("1", 6, 7, "x")], "chrom string, s bigint, e bigint, name string")
+    assert sorted(r.name for r in intervals.any_overlap(spans, b, "s", "e").collect()) == ["wide", "x", "x"]
 
 
 def test_sinks_and_stream(spark, path, tmp_path):
