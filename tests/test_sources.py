@@ -83,7 +83,7 @@ def test_intervals(spark):
 
 
 def test_sinks_and_stream(spark, path, tmp_path):
-    df = spark.createDataFrame([("1", None, "h")], "a_b string, c string, _x string")
+    df = spark.createDataFrame([("1", None, "h")], "a_b string, c string, _x string").coalesce(1)
     sinks.write_tsv(df, str(tmp_path / "out"), {"a b": "a_b"})
     text = next((tmp_path / "out").glob("part*")).read_text()
     assert text == "a b\tc\n1\tNA\n"
