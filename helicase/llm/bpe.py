@@ -33,7 +33,7 @@ from helicase.llm.common import SLICE_BYTES, by_text
 
 VOCABULARY = "word_bpe_49k.json"
 #: Entries that a generation of a memory holds: a full one replaces the one before, and what is used moves on.
-CACHE_ENTRIES = 120_000
+CACHE_ENTRIES = 200_000
 #: Longer chunks and words are not remembered.
 LONGEST_KEPT = 64
 
@@ -65,7 +65,10 @@ class Tokenizer:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")")
         self.space = regex.compile(r"\p{White_Space}+")
-        self.byte = byte_symbols()
+        #: Ids of a byte inside a word and at its end; a symbol that the vocabulary lacks (None) is left out.
+        self.inner = [self.vocab.get(c) for c in byte_symbols()]
+        self.final = [self.vocab.get(c + self.suffix) for c in byte_symbols()]
+        self.complete = None not in self.inner and None not in self.final
         #: Ids by chunk and by word, a character for each id: short strings are the smallest objects for that.
         self.memory: dict[str, str] = {}
         self.older: dict[str, str] = {}
@@ -112,9 +115,12 @@ class Tokenizer:
         """Ids of a normalised word, as characters."""
         found = self.older_words.get(word)
         if found is None:
-            chars = [self.byte[b] for b in word.encode()]
-            chars[-1] += self.suffix
-            found = "".join(map(chr, self.merge([self.vocab[c] for c in chars if c in self.vocab])))
+            raw, inner = word.encode(), self.inner
+            symbols = [inner[b] for b in raw]
+            symbols[-1] = self.final[raw[-1]]
+            if not self.complete:
+                symbols = [i for i in symbols if i is not None]
+            found = "".join(map(chr, self.merge(symbols)))
         if len(self.words) >= CACHE_ENTRIES:
             self.older_words, self.words = self.words, {}
         if len(word) <= LONGEST_KEPT:

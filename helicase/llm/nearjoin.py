@@ -39,8 +39,8 @@ TARGET_RECALL = 0.999
 AGREE = 38
 #: Sketch positions that tie a near copy to its leader: what is near the copy then still agrees with the leader.
 TIED = 58
-BUCKET = 512
-BLOCK = 512
+BUCKET = 2048
+BLOCK = 1024
 DEPTH = 3
 #: Text bytes of a block where texts are compared exactly.
 BLOCK_BYTES = 4 << 20
