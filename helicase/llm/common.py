@@ -67,6 +67,7 @@ def by_text(fn: Callable[[list[str]], list[pa.Array]], names: list[str], keep: l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            pa.default_memory_pool().release_unused()  # of the batch before
             if not whole.num_rows:
                 continue
             at = whole.schema.get_field_index(text)

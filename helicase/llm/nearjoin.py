@@ -45,7 +45,7 @@ DEPTH = 3
 #: Text bytes of a block where texts are compared exactly.
 BLOCK_BYTES = 4 << 20
 #: Text bytes handled at a time.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 #: Stands for a null doc_id inside.
 NO_ID = -(1 << 63)
@@ -139,6 +139,7 @@ def picks(values: np.ndarray, paths: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     start = seeds(runs(), 4)
     for whole in batches:
+        pa.default_memory_pool().release_unused()  # of the batch before
         for batch in sliced(whole, 2, STEP_BYTES):
             n = batch.num_rows
             values, rows = sketches(*binary_parts(batch.column(2)))
