@@ -208,19 +208,22 @@ def groups_of(batches: Iterator[pa.RecordBatch], n_keys: int, least: int = 20_00
         yield table, starts(table)
 
 
-def _agreeing(sketch: np.ndarray, left: np.ndarray, right: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows, one of left and one of right (equal or disjoint ranges of rows), that agree in so many positions."""
-    found_a, found_b = [], []
+def _tied(sketch: np.ndarray, node: np.ndarray, left: np.ndarray, right: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stars of the pairs of rows, one of left and one of right (equal or disjoint), that agree in so many positions."""
+    inside = len(left) == len(right) and np.array_equal(left, right)
+    rows = left if inside else np.concatenate([left, right])
+    near = np.zeros((len(rows), len(rows)), bool)
     columns = np.ascontiguousarray(sketch[right].T)
-    for block in np.array_split(left, max(1, len(left) // 256)):
+    at = 0 if inside else len(left)
+    for block in np.array_split(np.arange(len(left)), max(1, len(left) // 256)):
         same = np.zeros((len(block), len(right)), np.uint8)
         for k in range(POSITIONS):
-            same += sketch[block, k][:, None] == columns[k][None, :]
-        i, j = np.nonzero(same >= least)
-        found_a.append(block[i])
-        found_b.append(right[j])
-    a, b = np.concatenate(found_a), np.concatenate(found_b)
-    return a[a != b], b[a != b]
+            same += sketch[left[block], k][:, None] == columns[k][None, :]
+        near[block, at:] = same >= least
+    near |= near.T
+    root = _roots(near, node[rows])
+    moved = node[rows] != node[rows][root]
+    return node[rows][moved], node[rows][root][moved]
 
 
 def _edges(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -244,9 +247,9 @@ def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b.append(node[i + d])
         for g in np.flatnonzero(~small):
             rows = np.arange(first[g], first[g] + size[g])
-            i, j = _agreeing(sketch, rows, rows, AGREE)
-            a.append(node[i])
-            b.append(node[j])
+            x, y = _tied(sketch, node, rows, rows, AGREE)
+            a.append(x)
+            b.append(y)
         if a:
             yield from _edges(np.concatenate(a), np.concatenate(b))
 
@@ -261,9 +264,9 @@ def _brute_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             rows = np.arange(start, stop)
             left = rows[block[rows] == lo[start]]
             right = rows[block[rows] != lo[start]]
-            i, j = _agreeing(sketch, left, left if lo[start] == hi[start] else right, AGREE)
-            a.append(node[i])
-            b.append(node[j])
+            x, y = _tied(sketch, node, left, left if lo[start] == hi[start] else right, AGREE)
+            a.append(x)
+            b.append(y)
         yield from _edges(np.concatenate(a), np.concatenate(b))
 
 
