@@ -1,12 +1,12 @@
 """Secret scans: patterns, and password guess costs by dynamic programming.
 
 Three patterns find assignments, access keys and long hex strings.  Beside them every value in a credential context
-(``pwd:``, ``auth = ``, ``passphrase=`` ...) is segmented at least cost into dictionary words, dates, repeats,
+(``pwd:``, ``auth = ``, ``password=`` ...) is segmented at least cost into dictionary words, dates, repeats,
 keyboard walks, sequences and brute-force spans; a value whose cheapest segmentation still needs 10**MIN_GUESSES
-guesses is a secret, even where no pattern knows its form.
+guesses is a secret, even where no pattern knows its form or all of it.
 
 Defined results: a null or empty text has no spans.  Spans are code points, end exclusive, of the whole match.  Spans
-of the method never overlap those of the patterns or each other.  Repeated rows and other columns pass unchanged, but
+of the method never overlap those of the patterns or each other: of a value that patterns cover in part, the rest.  Repeated rows and other columns pass unchanged, but
 columns named as a result are replaced.  Texts are scanned whole.
 """
 
@@ -35,9 +35,10 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 #: Every assignment has one of these in lower case.
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-# Names of credential fields besides those of the assignment pattern.
+# Names of credential fields; those of the assignment pattern count inside longer names too, as there.
+ASSIGN_NAMES = ("password", "passwd", "secret", "token", "api_?key")
 CONTEXT_NAMES = ("passphrase", "passcode", "pass", "pwd", "pin", "auth", "authorization", "bearer", "credential", "credentials", "login", "private_key", "access_key", "client_key", "session_key", "signature")
-CONTEXT = re.compile(r"""(?<![a-z0-9])(?:%s)["']?\x20*[:=]\x20*["']?([^\s"'<>,;]{6,})""" % "|".join(CONTEXT_NAMES), re.I | re.A)
+CONTEXT = re.compile(r"""(?:%s|(?<![a-z0-9])(?:%s))["']?\x20*[:=]\x20*["']?([^\s"'<>,;]{6,})""" % ("|".join(ASSIGN_NAMES), "|".join(CONTEXT_NAMES)), re.I | re.A)
 
 # Frequent words in passwords, most frequent first.
 WORDS = (
@@ -134,12 +135,24 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def guessed_spans(text: str, base: list[tuple[int, int, int]], least: float = MIN_GUESSES) -> list[tuple[int, int, int]]:
-    """Spans of values in a credential context that no pattern covers and that need 10**least guesses."""
+    """Spans of values in a credential context that need 10**least guesses, without what base covers of them."""
     found = []
-    if ":" in text or "=" in text:
-        for m in CONTEXT.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, _, b in base) and guesses(m[1]) >= least:
-                found.append((m.start(1), 3, m.end(1)))
+    if ":" not in text and "=" not in text:
+        return found
+    m = CONTEXT.search(text)
+    while m:
+        at, end = m.span(1)
+        if guesses(m[1]) < least:
+            m = CONTEXT.search(text, at)  # a cheap value may be the next field's name
+            continue
+        for a, _, b in base:
+            if a < end and b > at:
+                if a > at:
+                    found.append((at, 3, a))
+                at = b
+        if at < end:
+            found.append((at, 3, end))
+        m = CONTEXT.search(text, end)
     return found
 
 
