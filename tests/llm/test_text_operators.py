@@ -188,6 +188,27 @@ def test_quality_bands():
     assert kept == [True, False, False]
 
 
+def noise_words(rnd, size):
+    out = ""
+    while len(out) < size:
+        out += "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(rnd.randint(5, 12))) + " "
+    return out[:size]
+
+
+def drawn_words(rnd, size):
+    bits = "the of and to in that was his it for on are with they be at one have this from by hot word but what some is you had water long very after sound most where".split()
+    return " ".join(rnd.choice(bits) for _ in range(size))[:size]
+
+
+def test_quality_bands_of_short_texts():
+    rnd = random.Random(15)
+    for size in (200, 255, 300, 383, 500, 511, 800, 1023, 2000, 4000):
+        kept = quality.measure([noise_words(rnd, size), drawn_words(rnd, size)])[6].to_pylist()
+        assert kept == [False, True], size
+    assert quality.band(100)[1] < 9 and quality.band(255)[0] > 0
+    assert not quality.compression(b"ab " * 40, quality.zstandard.ZstdCompressor(level=quality.LEVEL, write_checksum=False))[2]
+
+
 def test_quality_on_odd_tables(spark):
     rows = quality.measured(documents(spark, [None, "", "a b"]), ["doc_id", "spans"]).collect()
     assert all(r.base_failed and not r.kept for r in rows)
