@@ -1,9 +1,9 @@
 """Quality rules: counts of words, lines and repeats, and compression bands.
 
 The base counts words, symbols, repeated lines and words in repeated five-word windows.  Texts that pass it are
-compressed with zstandard, whole and in fixed chunks of bytes; a text whose whole ratio (compressed to plain bytes)
-leaves the band of its length, or of whose chunks more than CHUNK_SHARE leave the chunks' band, is rejected: below a
-band text repeats itself, above it is not text.
+compressed with zstandard, whole and, if longer than a chunk, in fixed chunks of bytes, the last of which takes what is
+left.  A text whose whole ratio (compressed to plain bytes) leaves the band of its length, or of whose bytes more than
+CHUNK_SHARE lie in chunks that leave theirs, is rejected: below a band text repeats itself, above it is not text.
 
 Defined results: a null or empty text has no words and fails.  Repeated rows and other columns pass unchanged, but
 columns named as a result are replaced.  Texts are measured whole.
@@ -31,6 +31,7 @@ BANDS = (
     (0, 0.40, 1.50), (128, 0.25, 0.98), (144, 0.25, 0.97), (160, 0.25, 0.94), (192, 0.25, 0.89), (224, 0.25, 0.87), (256, 0.20, 0.84), (320, 0.20, 0.82),
     (384, 0.20, 0.79), (512, 0.20, 0.75), (1024, 0.15, 0.70), (4096, 0.12, 0.70), (32768, 0.08, 0.65),
 )
+#: Of full chunks; the last one has the band of its length.
 CHUNK_BAND = (0.12, 0.72)
 # The symbols counted.
 SYMBOLS = "#*$%&|<>"
@@ -82,16 +83,21 @@ def band(size: int) -> tuple[float, float]:
     return next((lo, hi) for least, lo, hi in reversed(BANDS) if size >= least)
 
 
+def _fits(chunk: bytes, by: zstandard.ZstdCompressor) -> bool:
+    lo, hi = CHUNK_BAND if len(chunk) == CHUNK_BYTES else band(len(chunk))
+    return lo <= len(by.compress(chunk)) / len(chunk) <= hi
+
+
 def compression(raw: bytes, by: zstandard.ZstdCompressor) -> tuple[float, float, bool]:
-    """The whole ratio, the share of chunks outside their band, and whether the text stays."""
+    """The whole ratio, the share of bytes in chunks outside their band, and whether the text stays."""
     if not raw:
         return 0.0, 0.0, False
     ratio = len(by.compress(raw)) / len(raw)
     lo, hi = band(len(raw))
-    full = [raw[i : i + CHUNK_BYTES] for i in range(0, len(raw) - CHUNK_BYTES + 1, CHUNK_BYTES)]
     bad = 0.0
-    if len(full) > 1:
-        bad = sum(not CHUNK_BAND[0] <= len(by.compress(c)) / CHUNK_BYTES <= CHUNK_BAND[1] for c in full) / len(full)
+    if len(raw) > CHUNK_BYTES:
+        chunks = [raw[i : i + CHUNK_BYTES] for i in range(0, len(raw), CHUNK_BYTES)]
+        bad = sum(len(c) for c in chunks if not _fits(c, by)) / len(raw)
     return ratio, bad, lo <= ratio <= hi and bad <= CHUNK_SHARE
 
 

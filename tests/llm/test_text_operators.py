@@ -209,6 +209,20 @@ def test_quality_bands_of_short_texts():
     assert not quality.compression(b"ab " * 40, quality.zstandard.ZstdCompressor(level=quality.LEVEL, write_checksum=False))[2]
 
 
+def test_quality_measures_every_chunk():
+    """Noise of a third of the text or more is found wherever it lies, in texts of one full chunk as well."""
+    rnd = random.Random(16)
+    for full, rest in ((4096, 4095), (8192, 4095), (4096, 2100), (4096, 4096)):
+        text = drawn_words(rnd, full).ljust(full, "x") + noise_words(rnd, rest)
+        ratio, bad, stays = quality.compression(text.encode(), quality.zstandard.ZstdCompressor(level=quality.LEVEL, write_checksum=False))
+        assert ratio <= 0.70
+        assert bad == pytest.approx(rest / (full + rest))
+        assert not stays
+    by = quality.zstandard.ZstdCompressor(level=quality.LEVEL, write_checksum=False)
+    assert quality.compression(drawn_words(rnd, 10_000).encode(), by)[1:] == (0.0, True)
+    assert quality.compression(noise_words(rnd, 4096).encode(), by)[1] == 0.0
+
+
 def test_quality_on_odd_tables(spark):
     rows = quality.measured(documents(spark, [None, "", "a b"]), ["doc_id", "spans"]).collect()
     assert all(r.base_failed and not r.kept for r in rows)
