@@ -4,12 +4,12 @@ Each stage takes (spark, docs, sf_dir), works on every row of docs and returns a
 Parquet and read again as the next stage's docs.  All but the last return the columns of documents.
 
 1 toxicity: documents that the grammar learned from labels marks toxic go.
-2 near_duplicates: of each class of linked or equal texts the document with the least doc_id stays.
+2 near_duplicates: of each class of linked or equal texts the document that is first by doc_id and text stays.
 3 secrets: every secret found in a text is replaced by a mark of its kind.
 4 mixing: every document is repeated as often as the mix takes it; documents are kept whole.
 5 bpe: doc_id, n_tokens, ids and decoded text of each row.
 
-Null texts are empty texts from the third stage on.  Rows with one doc_id count as one document in the second stage.
+Null texts are empty texts from the third stage on.  Different texts with one doc_id, or none, are different documents.
 """
 
 from __future__ import annotations

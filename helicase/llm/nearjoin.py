@@ -9,12 +9,14 @@ runs follows from the target recall: a pair at the threshold shares BRANCHING *
 run misses it with the extinction probability of that branching process at most.
 
 Sketches only tie candidates together; every pair inside a candidate component is then compared exactly on its sets,
-in blocks, and counted.  Equal texts are one node throughout.  Only stars leave a bucket or block, never all pairs.
+in blocks, and counted.  Equal texts are one node throughout, different ones never, whatever their doc_ids: a node is
+the text's 64-bit hash (n texts have a collision with a chance of n * n / 2**65).  Only stars leave a bucket or block,
+never all pairs.
 
 Defined results: a null text is empty; texts without words have no links.  class_id is the least doc_id of the linked
 texts' connected component, text_id that of equal texts, n_copies the rows with that text, n_links the different
-texts linked to it.  Repeated rows are copies.  Null doc_ids are one number, less than all others, and null again in
-results.  An empty table gives no rows.
+texts linked to it.  Repeated rows are copies.  Null doc_ids come before all others and are null again in results;
+where doc_ids repeat or are null, different classes may show one class_id.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -157,7 +159,7 @@ def _embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = np.diff(binary_parts(batch.column(2))[0]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(size), pa.ListArray.from_arrays(pa.array(lists), pa.array(path[order].view(np.int64))), raw],
-                names=["doc_id", "text_hash", "size", "paths", "sketch"],
+                names=["doc_id", "node", "size", "paths", "sketch"],
             )
 
 
@@ -290,11 +292,10 @@ def _counted(rows: DataFrame) -> DataFrame:
     return materialised(rows.join(n, "path"), "paths")
 
 
-def candidates(sets: DataFrame) -> DataFrame:
-    """Edges (a, b) whose components hold every pair of near texts; sets: doc_id, text_hash, paths, sketch."""
-    sketch = sets.select(F.col("doc_id").alias("node"), "sketch")
-    picked = sets.select("text_hash", "doc_id", F.explode("paths").alias("path"))
-    rows = _counted(picked.groupBy("path", "text_hash").agg(F.min("doc_id").alias("node")).select("path", "node"))
+def candidates(sets: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Edges (a, b) whose components hold every pair of near texts; sets: node, paths (copies have equal ones); sketch: node,
+    sketch, once each."""
+    rows = _counted(sets.select(F.explode("paths").alias("path"), "node").distinct())
 
     def brute(small: DataFrame) -> DataFrame:
         with_sketch = small.join(sketch, "node").select("path", "node", "sketch")
@@ -369,19 +370,27 @@ def _roots(near: np.ndarray, node: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _once(batches: Iterator[pa.RecordBatch], keys: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+    """The first row of each run of rows with equal numbers in these columns."""
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.column_stack([batch.column(k).to_numpy() for k in keys])
+        new = np.append(last is None or bool((values[0] != last).any()), (values[1:] != values[:-1]).any(1))
+        last = values[-1]
+        yield batch if new.all() else batch.filter(pa.array(new))
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (comp, lo, hi, block, node, text) sorted by the first three; per node its links in the pair of blocks and
+    """Rows (comp, lo, hi, block, node, text) sorted by the first three and node; per node its links in the pair of blocks and
     the least node that they connect it to there."""
-    for table, first in groups_of(batches, 3, 256):
+    for table, first in groups_of(_once(batches, (0, 1, 2, 4)), 3, 256):
         lo, hi, block, node = (table.column(c).to_numpy() for c in (1, 2, 3, 4))
         offsets, data = binary_parts(table.column(5))
         nodes, links, roots = [], [], []
         for start, stop in zip(first, np.append(first[1:], table.num_rows), strict=True):
-            _, once = np.unique(node[start:stop], return_index=True)
-            keep = np.zeros(stop - start, bool)
-            keep[once] = True
             token, row = tokens(offsets[start : stop + 1], data)
-            token, row = token[keep[row]], row[keep[row]]
             order = np.lexsort((token, row))
             token, row = token[order], row[order]
             new = np.append(True, (token[1:] != token[:-1]) | (row[1:] != row[:-1]))[: len(token)]
@@ -405,20 +414,25 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (nodes, links, roots)], names=["node", "links", "root"])
 
 
-def joined(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id, text_id, n_copies, n_links for every row of docs (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    hashed = docs.select("doc_id", F.unhex(F.md5("text")).alias("text_hash"), "text")
-    sets = materialised(hashed.mapInArrow(_embed, "doc_id bigint, text_hash binary, size int, paths array<bigint>, sketch binary"), "sets")
-    near = components(candidates(sets))
-    weighed = near.join(sets.groupBy(F.col("doc_id").alias("node")).agg(F.max("size").alias("size")), "node")
+def _numbered(docs: DataFrame) -> tuple[Column, Column]:
+    """A row's doc_id without nulls and its text's node."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)), F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _classed(docs: DataFrame) -> DataFrame:
+    """doc_id (NO_ID for null), node, root (the least node linked to it), class_id, text_id, n_copies, n_links for every row."""
+    number, node = _numbered(docs)
+    docs = docs.select(number.alias("doc_id"), node.alias("node"), F.coalesce("text", F.lit("")).alias("text"))
+    sets = materialised(docs.mapInArrow(_embed, "doc_id bigint, node bigint, size int, paths array<bigint>, sketch binary"), "sets")
+    texts = materialised(sets.groupBy("node").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("n_copies"), F.max("size").alias("size"), F.first("sketch").alias("sketch")), "texts")
+    near = components(candidates(sets, texts.select("node", "sketch"))).join(texts.select("node", "text_id", "size"), "node")
     parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int")
-    near = materialised(near.join(weighed.groupBy("root").agg(parts.alias("parts")), "root"), "near")
-    rows = docs.join(near.withColumnRenamed("node", "doc_id"), "doc_id")
-    rows = rows.select("root", F.pmod(F.xxhash64("doc_id"), "parts").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"), "doc_id", "text")
-    rows = rows.select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "doc_id", "text")
-    found = rows.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi").mapInArrow(_verify, "node bigint, links bigint, root bigint")
+    near = materialised(near.join(near.groupBy("root").agg(parts.alias("parts")), "root"), "near")
+    ids = materialised(near.select(F.col("text_id").alias("doc_id")).distinct(), "ids")  # narrow, so that it filters texts where they lie for longer
+    rows = docs.join(ids, "doc_id", "left_semi").join(near.select("node", F.col("text_id").alias("doc_id"), "root", "parts"), ["node", "doc_id"])
+    rows = rows.select("root", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"), "node", "text")
+    rows = rows.select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "text")
+    found = rows.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "node").mapInArrow(_verify, "node bigint, links bigint, root bigint")
     found = materialised(found, "links")
     per_node = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     wide = near.where("parts > 1").select("node")
@@ -426,15 +440,20 @@ def joined(docs: DataFrame) -> DataFrame:
     roots = found.join(wide, "node", "left_anti").select("node", "root")
     if not several.isEmpty():
         roots = roots.union(components(several.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    linked = per_node.join(roots, "node")
-    texts = sets.groupBy("text_hash").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("n_copies"))
-    texts = texts.join(linked.withColumnRenamed("node", "text_id"), "text_id", "left")
-    shown = lambda c: F.when(c != NO_ID, c)
-    return sets.select("doc_id", "text_hash").join(texts, "text_hash").select(
-        shown(F.col("doc_id")).alias("doc_id"), shown(F.coalesce("root", "text_id")).alias("class_id"), shown(F.col("text_id")).alias("text_id"), "n_copies", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
+    linked = materialised(per_node.join(roots, "node").join(near.select("node", "text_id"), "node"), "linked")
+    least = linked.groupBy("root").agg(F.min("text_id").alias("class_id"))
+    linked = linked.join(least, "root").select("node", "n_links", "root", "class_id")
+    return sets.select("doc_id", "node").join(texts.select("node", "text_id", "n_copies").join(linked, "node", "left"), "node").select(
+        "doc_id", "node", F.coalesce("root", "node").alias("root"), F.coalesce("class_id", "text_id").alias("class_id"), "text_id", "n_copies", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
     )
 
 
+def joined(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id, text_id, n_copies, n_links for every row of docs (doc_id, text)."""
+    shown = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
+    return _classed(docs).select(shown("doc_id"), shown("class_id"), shown("text_id"), "n_copies", "n_links")
+
+
 #: The same by brute force: distinct shingles of distinct texts, a self-join on shingles, and components by recursion.
 SQL = """
 WITH RECURSIVE t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -453,15 +472,15 @@ FROM t JOIN u ON u.text = t.text JOIN k ON k.node = u.node LEFT JOIN d ON d.node
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """docs without the rows whose class has a smaller doc_id; rows with one doc_id count once, the first by text."""
-    classes = joined(docs)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = materialised(kept.groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("_rows")), "kept")
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")))
+    """Of each class of linked or equal texts one row of docs, the first by doc_id and text."""
+    hits = _classed(docs).where("doc_id = class_id").groupBy(F.col("root").alias("_root"), F.col("node").alias("_kept_node"), F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("_n"))
+    kept = materialised(hits.withColumn("_rows", F.sum("_n").over(Window.partitionBy("_root"))), "kept")
+    number, node = _numbered(docs)
+    rows = docs.withColumns({"_kept_id": number, "_kept_node": node}).join(kept, ["_kept_node", "_kept_id"])
     once = rows.where("_rows = 1").select(*docs.columns)
     if kept.where("_rows > 1").isEmpty():
         return once
-    first = Window.partitionBy("doc_id").orderBy("text")
+    first = Window.partitionBy("_root").orderBy("text")
     several = rows.where("_rows > 1").withColumn("_place", F.row_number().over(first)).where("_place = 1")
     return once.union(several.select(*docs.columns))
 

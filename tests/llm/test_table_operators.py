@@ -328,6 +328,21 @@ def test_join_of_odd_tables(spark):
     assert len(kept[0]) == 6
 
 
+def test_join_of_different_texts_with_one_id(spark):
+    """Texts are judged by themselves where doc_ids repeat or are null."""
+    rnd = random.Random(17)
+    base = prose(rnd, 100).split()
+    near = [" ".join([*base[:k], "other", *base[k:]]) for k in (10, 50, 90)]
+    lone = [prose(rnd, 40) for _ in range(4)]
+    rows = [doc(None, near[0]), doc(None, near[1]), doc(8, near[2]), doc(None, lone[0]), doc(None, lone[1]), doc(None, None), doc(9, lone[2]), doc(9, lone[3]), doc(9, lone[3])]
+    found = nearjoin.joined(documents(spark, rows)).collect()
+    assert sorted((r.doc_id or -1, r.class_id or -1, r.n_copies, r.n_links) for r in found) == [
+        (-1, -1, 1, 0), (-1, -1, 1, 0), (-1, -1, 1, 0), (-1, -1, 1, 2), (-1, -1, 1, 2), (8, -1, 1, 2), (9, 9, 1, 0), (9, 9, 2, 0), (9, 9, 2, 0),
+    ]
+    kept = nearjoin.representatives(documents(spark, rows)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(None, min(near[:2])), (None, lone[0]), (None, lone[1]), (None, None), (9, lone[2]), (9, lone[3])])
+
+
 def test_runs_reach_the_target():
     assert nearjoin.runs(0.999) > nearjoin.runs(0.9) >= 1
 
