@@ -210,18 +210,66 @@ def weight_gains(df: DataFrame, level: float = 0.05) -> DataFrame:
     return df.withColumn("change", change).where("change IS NOT NULL")
 
 
-def principal_components(calls: DataFrame, samples: DataFrame, k: int, buckets: int = 4096) -> DataFrame:
-    """sample_id, pc1..pck from dosages; variants beyond so many columns share them by hash, which keeps vectors bounded."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    n = calls.select("variant_id").distinct().count()
-    size = max(1, min(n, buckets))
-    at = F.pmod(F.xxhash64("variant_id"), F.lit(size)).cast("int")
-    rows = calls.where("dosage > 0").groupBy("sample_id", at.alias("i")).agg(F.sum("dosage").cast("double").alias("v"))
-    packed = rows.groupBy("sample_id").agg(F.map_from_entries(F.collect_list(F.struct("i", "v"))).alias("m"))
-    rows = samples.select("sample_id").join(packed, "sample_id", "left")
-    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
-    rows = rows.select("sample_id", array_to_vector(dense).alias("x"))
-    out = PCA(k=min(k, size), inputCol="x", outputCol="pc").fit(rows).transform(rows).select("sample_id", vector_to_array("pc").alias("pc"))
-    return out.select("sample_id", *(F.get("pc", F.lit(j)).alias(f"pc{j + 1}") for j in range(min(k, size))))
+def _gram(samples: int, width: int = 4096):
+    """A function of Arrow batches (entries: list of (sample's place, dosage)): the batches' Gram matrix by rows."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros((samples, samples))
+
+        def add(lists: pa.Array) -> None:
+            flat = lists.flatten()
+            at, column = flat.field("i").to_numpy(), lists.value_parent_indices().to_numpy()
+            block = np.zeros((samples, len(lists)))
+            np.add.at(block, (at, column), flat.field("v").to_numpy())
+            np.add(total, block @ block.T, out=total)
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, width):
+                add(batch.column(0).slice(start, width))
+        used = np.flatnonzero(total.any(1))
+        for start in range(0, len(used), 256):
+            rows = used[start : start + 256]
+            yield pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int32)), pa.array(list(total[rows]), pa.list_(pa.float64()))], names=["i", "row"])
+
+    return run
+
+
+def _row_sum(table):
+    """One row of the Gram matrix from those of all tasks."""
+    import pyarrow as pa
+
+    total = table.column("row").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1).sum(0)
+    return pa.table({"i": table.column("i").slice(0, 1), "row": pa.array([total], pa.list_(pa.float64()))})
+
+
+def principal_components(calls: DataFrame, samples: DataFrame, k: int) -> DataFrame:
+    """sample_id, pc1..pck from dosages: exact for any number of variants, from the Gram matrix of the samples.
+
+    Memory is samples times samples; a component's sign is such that its largest entry is positive.
+    """
+    import numpy as np
+
+    spark = calls.sparkSession
+    ids = sorted(r[0] for r in samples.select("sample_id").distinct().collect())
+    n = len(ids)
+    places = spark.createDataFrame(list(zip(ids, range(n), strict=True)), samples.select("sample_id").schema.add("i", "integer"))
+    rows = calls.where("dosage > 0").join(places, "sample_id").groupBy("variant_id", "i").agg(F.sum("dosage").cast("double").alias("v"))
+    packed = rows.groupBy("variant_id").agg(F.collect_list(F.struct("i", "v")).alias("entries")).select("entries")
+    gram = np.zeros((n, n))
+    for r in packed.mapInArrow(_gram(n), "i int, row array<double>").groupBy("i").applyInArrow(_row_sum, "i int, row array<double>").toLocalIterator():
+        gram[r.i] = r.row
+    # rows are centred by variant as PCA does for columns: the components are those of the centred matrix
+    k = min(k, n, max(1, calls.select("variant_id").distinct().count()))
+    mean = gram.mean(0)
+    values, vectors = np.linalg.eigh(gram - mean[None, :] - mean[:, None] + gram.mean())
+    top = np.argsort(-values, kind="stable")[:k]
+    found = vectors[:, top] * np.sqrt(np.maximum(values[top], 0.0))
+    found *= np.where(found[np.abs(found).argmax(0), np.arange(k)] < 0, -1.0, 1.0)
+    schema = samples.select("sample_id").schema
+    for j in range(k):
+        schema = schema.add(f"pc{j + 1}", "double")
+    out = spark.createDataFrame([(s, *map(float, row)) for s, row in zip(ids, found, strict=True)], schema)
+    return samples.select("sample_id").join(out, "sample_id")

@@ -109,6 +109,22 @@ def test_components_separate_groups(spark):
     assert (pcs["s0"] > pcs["s9"]) == (pcs["s1"] > pcs["s8"])
 
 
+def test_components_are_exact_for_many_variants(spark):
+    """More variants than the former 4096 shared columns: components equal those of the whole centred matrix."""
+    import numpy as np
+
+    rng = np.random.default_rng(18)
+    dosage = rng.integers(0, 3, (12, 6000)) * (rng.random((12, 6000)) < 0.4)
+    calls = [(int(v), f"s{s:02}", int(dosage[s, v])) for s, v in zip(*np.nonzero(dosage), strict=True)]
+    df = spark.createDataFrame(calls, "variant_id bigint, sample_id string, dosage int").repartition(5)
+    samples = spark.createDataFrame([(f"s{s:02}",) for s in range(12)], "sample_id string")
+    found = association.principal_components(df, samples, 3)
+    assert found.columns == ["sample_id", "pc1", "pc2", "pc3"]
+    rows = np.array([tuple(r)[1:] for r in found.orderBy("sample_id").collect()])
+    u, s, _ = np.linalg.svd(dosage - dosage.mean(0), full_matrices=False)
+    assert np.allclose(np.abs(rows), np.abs(u[:, :3] * s[:3]), atol=1e-6)
+
+
 def test_small_helpers(spark, tmp_path):
     samples = spark.createDataFrame([("a_L1",), ("b",)], "sample_id string")
     terms = spark.createDataFrame([("a", ["x"]), ("b", ["y"])], "sample_id string, terms array<string>")
