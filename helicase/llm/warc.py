@@ -6,7 +6,8 @@ payloads that with the least page_id is a response, the others revisit it.
 
 The reader checks every record: version line, headers, length, block and payload digests.  After a failed check it
 searches the next gzip member or version line that begins a valid record, goes on from there, and reports the bytes
-between as a gap with the reason.  Reports and records are rows of one table.
+between as a gap with the reason; inside a member's content, and in what comes out of a damaged one, it does the same.
+A record alone in its member fails with the member, whose checksum is its own.  Reports and records are rows of one table.
 
 Defined results: a null payload or URL is empty; line breaks in a URL are percent-encoded.  Null page_ids come after
 all others; of repeated rows with one page_id all are responses if one is.  An empty table gives no rows.  Payloads
@@ -133,38 +134,58 @@ def parse(data: memoryview | bytes, start: int) -> tuple[dict[str, str], bytes,
     return head, block, start + end + 8 + size
 
 
-def member(data: memoryview, start: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member at start, fed in steps so that nothing beyond is copied."""
+def member(data: memoryview, start: int) -> tuple[bytes, int, str, bool]:
+    """Content and end of the gzip member at start, fed in steps so that nothing beyond is copied; if it is damaged also
+    why, and then the content is what comes out before, and whether it may be wrong."""
     by, out, at, step = zlib.decompressobj(31), [], start, FIRST_BYTES
-    try:
-        while not by.eof:
-            if at >= len(data):
-                raise ValueError("member is cut off")
-            piece = data[at : at + step]
+    while not by.eof:
+        if at >= len(data):
+            return b"".join(out), at, "member is cut off", False
+        piece, before = data[at : at + step], by.copy()
+        try:
             out.append(by.decompress(piece))
-            at += len(piece)
-            step = min(step * 2, 1 << 20)
-    except zlib.error as e:
-        raise ValueError(f"bad member: {e}") from None
-    return b"".join(out), at - len(by.unused_data)
-
-
-def at_offset(data: memoryview, start: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The records of the member, or the plain record, at start, and where it ends."""
-    if bytes(data[start : start + 3]) == GZIP:
-        content, end = member(data, start)
-        found, at = [], 0
-        while at < len(content):
-            head, block, at = parse(content, at)
-            found.append((head, block))
-        if not found:
-            raise ValueError("empty member")
-        return found, end
+        except zlib.error as e:
+            if len(piece) == 1:
+                return b"".join(out), at, f"bad member: {e}", True
+            by, step = before, len(piece) // 2
+            continue
+        at += len(piece)
+        step = min(step * 2, 1 << 20)
+    return b"".join(out), at - len(by.unused_data), "", False
+
+
+def inside(content: bytes, sure: bool) -> Iterator[tuple[int, int, str, dict[str, str], bytes]]:
+    """(start, end, problem, headers, block) of the records and, with a problem, gaps of a member's content."""
+    at, gap, why = 0, -1, ""
+    while at < len(content):
+        try:
+            head, block, end = parse(content, at)
+            if not sure and not head.get("warc-block-digest", "").startswith("sha1:"):
+                raise ValueError("no digest in a damaged member")
+            checked(head, block)
+        except ValueError as e:
+            if gap < 0:
+                gap, why = at, str(e)
+            at = content.find(VERSION, at + 1)
+            if at < 0:
+                break
+            continue
+        if gap >= 0:
+            yield gap, at, why, {}, b""
+            gap = -1
+        yield at, end, "", head, block
+        at = end
+    if gap >= 0:
+        yield gap, len(content), why, {}, b""
+
+
+def plain(data: memoryview, start: int) -> tuple[dict[str, str], bytes, int]:
+    """Headers, block and end of the plain record at start, read no further than it may reach."""
     size = 1 << 16
-    while True:  # a plain record: read no further than it may reach
+    while True:
         try:
             head, block, end = parse(data[start : start + size], 0)
-            return [(head, block)], start + end
+            return head, block, start + end
         except ValueError:
             if start + size >= len(data):
                 raise
@@ -185,31 +206,57 @@ def payload_of(head: dict[str, str], block: bytes) -> tuple[bytes | None, int |
     return None, None
 
 
+def checked(head: dict[str, str], block: bytes) -> tuple[str, int | None, bytes | None]:
+    """The payload's digest as said, its length and the payload; ValueError if the digest differs."""
+    body, size = payload_of(head, block)
+    said = head.get("warc-payload-digest", "")
+    if body is not None and said.startswith("sha1:") and said[5:] != digest(body):
+        raise ValueError("payload digest differs")
+    return said.removeprefix("sha1:"), size, body
+
+
 def salvage(raw: bytes) -> Iterator[tuple]:
-    """Rows (offset, length, kind, problem, type, id, uri, refers_to, digest, payload bytes, payload) of an archive."""
+    """Rows (offset, length, kind, problem, type, id, uri, refers_to, digest, payload bytes, payload) of an archive.
+
+    Records and gaps inside a gzip member have its offset and length; a gap's problem names the bytes of its content.
+    """
     data, at, n = memoryview(raw), 0, len(raw)
     gap, why = -1, ""
+
+    def told(start: int, end: int, head: dict[str, str], block: bytes) -> tuple:
+        return (start, end - start, "record", None, head.get("warc-type"), head.get("warc-record-id"), head.get("warc-target-uri"), head.get("warc-refers-to"), *checked(head, block))
+
     while at < n:
+        rows, damage, lost = [], "", ""
         try:
-            found, end = at_offset(data, at)
-            rows = []
-            for head, block in found:
-                body, size = payload_of(head, block)
-                said = head.get("warc-payload-digest", "")
-                if body is not None and said.startswith("sha1:") and said[5:] != digest(body):
-                    raise ValueError("payload digest differs")
-                rows.append((at, end - at, "record", None, head.get("warc-type"), head.get("warc-record-id"), head.get("warc-target-uri"), head.get("warc-refers-to"), said.removeprefix("sha1:"), size, body))
+            if bytes(data[at : at + 3]) == GZIP:
+                content, end, damage, doubtful = member(data, at)
+                parts = list(inside(content, not doubtful))
+                ends = [p[1] for p in parts if not p[2]]
+                alone = len(ends) == 1 and not content.startswith(VERSION, ends[0]) and not parts[0][2]
+                if not ends or (damage and alone):
+                    raise ValueError(damage or (parts[0][2] if parts else "empty member"))
+                if damage and parts[-1][2]:
+                    parts.pop()  # the member's end, which the gap after it stands for
+                for a, b, problem, head, block in parts:
+                    rows.append((at, end - at, "gap", f"bytes {a} to {b} of the member: {problem}", *[None] * 7) if problem else told(at, end, head, block))
+            else:
+                head, block, end = plain(data, at)
+                rows.append(told(at, end, head, block))
         except ValueError as e:
-            if gap < 0:
-                gap, why = at, str(e)
-            places = [p for p in (raw.find(GZIP, at + 1), raw.find(VERSION, at + 1)) if p >= 0]
-            at = min(places, default=n)
-            continue
-        if gap >= 0:
-            yield (gap, at - gap, "gap", why, *[None] * 7)
-            gap = -1
-        yield from rows
-        at = end
+            lost = str(e)
+        if not lost:
+            if gap >= 0:
+                yield (gap, max(0, at - gap), "gap", why, *[None] * 7)
+                gap = -1
+            yield from rows
+            if not damage:
+                at = end
+                continue
+        if gap < 0:
+            gap, why = (at, lost) if lost else (end, damage)
+        places = [p for p in (raw.find(GZIP, at + 1), raw.find(VERSION, at + 1)) if p >= 0]
+        at = min(places, default=n)
     if gap >= 0:
         yield (gap, n - gap, "gap", why, *[None] * 7)
 

@@ -252,6 +252,33 @@ def test_warc_salvage(compress):
     assert [r[2] for r in warc.salvage(b"no archive")] == ["gap"]
 
 
+def test_warc_salvage_inside_members():
+    """Archives gzipped as one member, or with several records a member, lose only the records that are hurt."""
+    records = members(12, False)
+    ids = [f"<urn:x-page:{i}>" for i in range(12)]
+
+    def packed(raw):
+        by = zlib.compressobj(6, zlib.DEFLATED, 31)
+        return by.compress(raw) + by.flush()
+
+    hurt = [r.replace(b"payload 5 ", b"payload X ", 1) for r in records]
+    for data in (packed(b"".join(hurt)), packed(b"".join(hurt[:4])) + packed(b"".join(hurt[4:8])) + packed(b"".join(hurt[8:]))):
+        rows = list(warc.salvage(data))
+        assert [r[5] for r in rows if r[2] == "record"] == ids[:5] + ids[6:]
+        assert ["block digest differs" in r[3] for r in rows if r[2] == "gap"] == [True]
+    rnd = random.Random(19)
+    long = [warc.record(i, f"http://x/{i}", rnd.randbytes(3000), None, True) for i in range(12)]
+    whole = packed(b"".join(long))
+    for data in (whole[: len(whole) // 2], whole[: len(whole) // 2] + packed(long[11])):
+        rows = list(warc.salvage(data))
+        found = [r[5] for r in rows if r[2] == "record"]
+        assert found[:5] == ids[:5]
+        assert ("<urn:x-page:11>" in found) == (len(data) != len(whole) // 2)
+        assert sum(r[2] == "gap" for r in rows) == 1
+    rows = list(warc.salvage(whole[:-8] + b"\0" * 8))
+    assert [r[5] for r in rows if r[2] == "record"] == ids
+
+
 def test_warc_salvage_through_spark(spark, tmp_path):
     parts = members(5)
     (tmp_path / "a.warc.gz").write_bytes(parts[0] + b"garbage" + parts[1] + parts[2][:-9] + parts[3])
