@@ -1,6 +1,9 @@
 """Every query of the engine against its SQL on the smallest tables."""
 
 import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -58,3 +61,15 @@ def test_entry_point():
 
     assert set(catalogue.QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_entry_point_without_the_training_data_operators(tmp_path, pipeline):
+    """The rest works in a copy from which both llm folders are gone, with the pipeline's file or without."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    away = shutil.ignore_patterns("llm", "__pycache__", ".git", *([] if pipeline else ["corpus_pipeline.py"]))
+    shutil.copytree(root, tmp_path / "copy", ignore=away)
+    told = "import __spark_entry__ as e; print(sorted(e.queries()), sorted(e.oracle_sql()))"
+    run = subprocess.run([sys.executable, "-B", "-c", told], cwd=tmp_path / "copy", env=os.environ | {"PYTHONPATH": ""}, capture_output=True, text=True)
+    assert run.returncode == 0, run.stderr
+    assert run.stdout.split("\n")[-2] == f"{sorted(catalogue.QUERIES)} {sorted(catalogue.ORACLE_SQL)}"
