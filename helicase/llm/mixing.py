@@ -10,11 +10,14 @@ more than MOST_EPOCHS times its own, and what that leaves is shared again by wei
 closed form: with sources by cap per weight, all before some place are capped and the others get level * weight.
 
 A source may hold any share of the rows: rows are grouped by source and key range, prefix sums are window sums inside
-such a group plus the sums of the groups before, which come from a table of sums.  Only doc_id, source, size and key
-are shuffled.  Sources themselves are few: their table is ordered in one task.
-
-Defined results: a null text has no words and is never taken.  Rows with one doc_id have one key and go by size;
-repeated rows are documents like any other.  A source without words has target 0.  An empty table gives no rows.
+such a group plus the sums of the groups before, which come from a table of sums.  The number of ranges grows with the
+table, so a group holds about RANGE_ROWS rows at most (but rows with one doc_id have one key and so one group; only
+their numbers are in it).  Only doc_id, source, size and key are shuffled.  Sources themselves are few: their table,
+a row each, is ordered in one task.
+
+Defined results: a null text has no words and is never taken.  Rows with one doc_id have one key if their quality is
+one, and go by size; repeated rows are documents like any other.  A source without words has target 0.  An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -28,8 +31,12 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_EPOCHS = 2
 SEED = "mix-1"
-#: Key ranges per source, into which its rows are dealt.
+#: Key ranges per source into which its rows are dealt: so many at least, and at most, and one for so many rows.
 RANGES = 256
+MOST_RANGES = 1 << 20
+RANGE_ROWS = 20_000
+#: Hidden column by which repeated() knows rows.
+ROW = "_mixing_row"
 # Characters that lower a document's quality.
 SYMBOLS = "#*$%&|<>"
 
@@ -66,12 +73,14 @@ def targets(sizes: DataFrame) -> DataFrame:
     return rows.select("skey", "source_size", F.least("cap", F.coalesce("level", F.lit(0.0)) * F.col("weight")).alias("target"))
 
 
-def mixed(docs: DataFrame, whole: bool = False, seed: str = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken for each row of docs (doc_id, source, text)."""
-    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), (-F.ln(uniform(F.col("doc_id"), seed)) / quality(F.col("text"))).alias("key"))
+def mixed(docs: DataFrame, whole: bool = False, seed: str = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, size, source_size, target, taken and keep's columns for each row of docs (doc_id, source, text)."""
+    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), (-F.ln(uniform(F.col("doc_id"), seed)) / quality(F.col("text"))).alias("key"), *keep)
     rows = rows.withColumn("skey", F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), "source")))
-    reach = F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * RANGES).cast("int")
-    rows = materialised(rows.select("doc_id", "size", "key", "skey", F.least(reach, F.lit(RANGES - 1)).alias("reach")), "mix")
+    rows = materialised(rows.select("doc_id", "size", "key", "skey", *keep), "mix")
+    ranges = min(MOST_RANGES, max(RANGES, rows.count() // RANGE_ROWS))
+    reach = F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * ranges).cast("int")
+    rows = rows.withColumn("reach", F.least(reach, F.lit(ranges - 1)))
     sums = rows.groupBy("skey", "reach").agg(F.sum("size").alias("part"))
     aims = targets(sums.groupBy("skey").agg(F.sum("part").alias("source_size")))
     ahead = Window.partitionBy("skey").orderBy("reach").rowsBetween(Window.unboundedPreceding, -1)
@@ -85,15 +94,28 @@ def mixed(docs: DataFrame, whole: bool = False, seed: str = SEED) -> DataFrame:
         extra = F.when(left * 2 >= F.col("size"), F.col("size")).otherwise(F.lit(0))
     else:
         extra = F.least("size", F.greatest(left, F.lit(0)))
-    return rows.select("doc_id", "size", "source_size", "target", (epochs * F.col("size") + extra).cast("bigint").alias("taken"))
+    return rows.select("doc_id", "size", "source_size", "target", (epochs * F.col("size") + extra).cast("bigint").alias("taken"), *keep)
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """docs, every row as often as the mix takes it whole."""
-    taken = mixed(docs, whole=True).where("taken > 0").select(F.col("doc_id").alias("_mixed_id"), F.floor(F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    times = taken.groupBy("_mixed_id").agg(F.max("_times").alias("_times"))
-    rows = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_mixed_id")))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    """docs, every row as often as the mix takes it whole.
+
+    Rows are known by a hash of all their columns: rows that share it are alike, whatever other rows share their doc_id.
+    What the mix takes of such a group is dealt evenly; the few groups that a budget crosses, one a source at most, give
+    what is left over as copies of one row.
+    """
+    known = docs.withColumn(ROW, F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns)))
+    taken = mixed(known, whole=True, keep=(ROW,)).where("size > 0").groupBy(ROW)
+    taken = taken.agg(F.count("*").alias("n"), F.sum(F.floor(F.col("taken") / F.col("size"))).alias("times")).where("times > 0")
+    each, left = (F.floor(F.col("times") / F.col("n"))).cast("int"), (F.col("times") % F.col("n")).cast("int")
+    taken = materialised(taken.select(ROW, each.alias("_mixing_each"), left.alias("_mixing_left")), "taken")
+    rows = known.join(taken, ROW)
+    copies = lambda n: F.explode(F.sequence(F.lit(1), F.col(n)))
+    every = rows.where("_mixing_each > 0").withColumn("_mixing_copy", copies("_mixing_each")).select(*docs.columns)
+    if taken.where("_mixing_left > 0").isEmpty():
+        return every
+    one = rows.where("_mixing_left > 0").groupBy(ROW, "_mixing_left").agg(F.first(F.struct(*docs.columns)).alias("_mixing_one"))
+    return every.union(one.withColumn("_mixing_copy", copies("_mixing_left")).select("_mixing_one.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

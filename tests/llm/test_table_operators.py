@@ -474,6 +474,24 @@ def test_whole_documents_are_repeated(spark):
     assert Counter(r.doc_id for r in out.collect()) == Counter({r.doc_id: int(r.taken / r.size) for r in found if r.taken})
 
 
+def test_repeated_rows_give_what_the_mix_takes(spark):
+    """One doc_id over unlike texts, null ids and repeated rows: the words written are those taken."""
+    rnd = random.Random(15)
+    rows = [doc(rnd.choice([1, 2, None, i]), prose(rnd, rnd.randint(1, 30)), rnd.choice("abc")) for i in range(120)]
+    rows += [doc(7, "the same row again", "a")] * 41 + [doc(None, "no id and many of it", "b")] * 30 + [(7, None, None, None, None, None), (7, "x", None, None, "", None), (7, "x", None, "", None, None)]
+    docs = documents(spark, rows)
+    taken = mixing.mixed(docs, whole=True).agg(F.sum("taken")).first()[0]
+    out = mixing.repeated(docs)
+    got = Counter(map(tuple, out.collect()))
+    assert sum(len(r[1].split()) * n for r, n in got.items()) == taken
+    assert set(got) <= set(rows)
+    held = Counter(rows)
+    assert all(n <= 2 * held[r] for r, n in got.items())
+    clash = docs.withColumns({"size": F.lit(1), "taken": F.lit(2), "skey": F.lit("z"), "n": F.lit(3), "times": F.lit(4)})
+    assert mixing.repeated(clash).columns == clash.columns
+    assert mixing.repeated(clash).count() == sum(got.values())
+
+
 def test_gamma_quantiles():
     q = fingerprints.gamma2_quantiles(6)
     assert q == sorted(q)
