@@ -1,11 +1,12 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols: insult or threat (with a weight), target, negation, reporting, clause end, or other.  Over the
-symbols of a clause run the composed transducers: one remembers how far back a negation stands, one whether a
-reporting verb or a quotation mark has opened reported speech, one whether a target is near; an insult or threat
-leaves the composition with its weight scaled by their states.  A clause scores its strongest match and a share of
-its others; a text sums its different words, each at its best (repeated lines add nothing), and a logistic curve turns
-sums into scores.
+Words become symbols: insult or threat (with a weight), target, negation, contrast, reporting, or none; a tick follows
+each word.  Six weighted transducers read them: insults and threats emit matches; targets scale a match by whether one
+stands near it, before or after (then a path awaits it); negations scale every match up to the clause's end or a
+contrast; reporting verbs and quotation marks open reported speech; the last one counts a clause's strongest match
+whole and a share of the others.  They are composed once; a clause scores its best path, the sum of its matches times
+their factors.  A text sums its different words, each at its best (repeated lines add nothing), and a logistic curve
+turns sums into scores.
 
 Lexicon and curve are learned from labelled rows: insults from words and word beginnings that toxic texts hold far
 more often than clean ones, counted in a distributed pass over at most MOST_LABELLED labelled rows (those of least
@@ -33,8 +34,6 @@ from helicase.llm.common import by_text, materialised, sliced
 
 #: Labelled rows that the lexicon and the curve are learned from, at most.
 MOST_LABELLED = 20_000
-#: Learned words and beginnings, at most.
-MOST_ENTRIES = 4_000
 #: Features that a task keeps before it hands counts on.
 MOST_COUNTED = 150_000
 BEGINNINGS = (4, 5, 6)
@@ -49,17 +48,66 @@ INSULTS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "clown", "pathe
 THREATS = ("kill", "hurt", "destroy", "crush", "beat", "burn", "hang", "shoot", "töten", "tuer", "matar", "vernichten", "détruire", "destruir")
 TARGETS = ("you", "your", "you're", "they", "them", "he", "she", "him", "her", "this", "these", "those", "all", "du", "dich", "ihr", "euch", "sie", "tu", "toi", "vous", "ils", "elles", "tú", "ustedes", "ellos", "ellas")
 NEGATIONS = ("not", "no", "never", "isn't", "aren't", "don't", "wasn't", "nicht", "kein", "keine", "nie", "pas", "jamais", "nunca", "jamás")
-REPORTS = ("said", "says", "wrote", "called", "quoted", "claimed", "sagte", "schrieb", "dit", "écrit", "dijo", "escribió")
+REPORTS = ("said", "says", "say", "wrote", "called", "quoted", "claimed", "sagte", "schrieb", "dit", "écrit", "dijo", "escribió")
+CONTRASTS = ("but", "however", "aber", "sondern", "mais", "pero", "sino")
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-FIXED = {w: c for c, ws in ((REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (THREAT, THREATS)) for w in ws}
-#: How far a negation reaches (words), and how near a target must be.
-REACH = 3
+TICK, INSULT, THREAT, TARGET, NEGATION, REPORT, CONTRAST = range(7)
+FIXED = {w: c for c, ws in ((CONTRAST, CONTRASTS), (REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (THREAT, THREATS)) for w in ws}
+#: How near a target must be (words).
 NEAR = 4
 NEGATED, REPORTED, TARGETED, FURTHER = 0.3, 0.5, 1.25, 0.5
 #: A threat counts only with a target.
 THREAT_WEIGHT = 2.0
 
+#: A transducer: by state and symbol the arcs (next state, factor), and the final states.  It starts in state 0; symbols
+#: without arcs leave the state as it is; a state that is not final must be left.
+Arcs = dict[tuple[int, int], list[tuple[int, float]]]
+Transducer = tuple[Arcs, set[int]]
+
+
+def _targets() -> Transducer:
+    """State k > 0: a target stood so near that k - 1 more words may follow; -k: one must come within k - 1 words."""
+    reach = NEAR + 1
+    arcs: Arcs = {(0, INSULT): [(0, 1.0), (-reach, TARGETED)], (0, THREAT): [(-reach, 1.0)], (0, TARGET): [(reach, 1.0)]}
+    arcs[0, THREAT].append((0, 0.0))
+    for k in range(1, reach + 1):
+        arcs |= {(k, INSULT): [(k, TARGETED)], (k, TARGET): [(reach, 1.0)], (k, TICK): [(k - 1, 1.0)]}
+        arcs |= {(-k, INSULT): [(-k, TARGETED)], (-k, TARGET): [(reach, 1.0)], (-k, TICK): [(1 - k, 1.0)] if k > 1 else []}
+    return arcs, set(range(reach + 1))
+
+
+#: Insult, threat, target, negation, reported speech, and which match counts whole.
+GRAMMAR: tuple[Transducer, ...] = (
+    ({(0, INSULT): [(0, 1.0)]}, {0}),
+    ({(0, THREAT): [(0, THREAT_WEIGHT)]}, {0}),
+    _targets(),
+    ({(0, NEGATION): [(1, 1.0)], (1, CONTRAST): [(0, 1.0)], (1, INSULT): [(1, NEGATED)], (1, THREAT): [(1, NEGATED)]}, {0, 1}),
+    ({(0, REPORT): [(1, 1.0)], (1, INSULT): [(1, REPORTED)], (1, THREAT): [(1, REPORTED)]}, {0, 1}),
+    ({(0, c): [(1, 1.0), (0, FURTHER)] for c in (INSULT, THREAT)} | {(1, c): [(1, FURTHER)] for c in (INSULT, THREAT)}, {0, 1}),
+)
+
+
+def composed(parts: tuple[Transducer, ...]) -> tuple[list[list[list[tuple[int, float]]]], list[bool]]:
+    """Their composition over common symbols: by state and symbol the arcs, and which states are final."""
+    number = {(0,) * len(parts): 0}
+    arcs, states = [], [(0,) * len(parts)]
+    for state in states:
+        by_symbol = []
+        for symbol in range(CONTRAST + 1):
+            ways: list[tuple[tuple[int, ...], float]] = [((), 1.0)]
+            for (own, _), q in zip(parts, state, strict=True):
+                ways = [((*to, q2), f * f2) for to, f in ways for q2, f2 in own.get((q, symbol), [(q, 1.0)])]
+            for to, _ in ways:
+                if to not in number:
+                    number[to] = len(states)
+                    states.append(to)
+            by_symbol.append([(number[to], f) for to, f in ways])
+        arcs.append(by_symbol)
+    return arcs, [all(q in final for q, (_, final) in zip(state, parts, strict=True)) for state in states]
+
+
+ARCS, FINAL = composed(GRAMMAR)
+
 _EDGE = re.compile(r"^[^\w]+|[^\w]+$")
 
 
@@ -72,6 +120,15 @@ def features(word: str) -> list[str]:
     return [f"={word}", *(f"^{word[:n]}" for n in BEGINNINGS if len(word) >= n)]
 
 
+def _ticked(paths: dict[int, tuple[float, tuple]]) -> dict[int, tuple[float, tuple]]:
+    now: dict[int, tuple[float, tuple]] = {}
+    for q, found in paths.items():
+        for to, _ in ARCS[q][TICK]:
+            if to not in now or found[0] > now[to][0]:
+                now[to] = found
+    return now
+
+
 class Grammar:
     def __init__(self, lexicon: dict[str, float], slope: float, offset: float) -> None:
         self.lexicon, self.slope, self.offset = lexicon, slope, offset
@@ -112,28 +169,28 @@ class Grammar:
 
     @staticmethod
     def clause(symbols: list[tuple[int, int, float]]) -> list[tuple[int, float]]:
-        """Runs the composed transducers over (place, class, weight) of a clause; the matches with their scaled weights."""
-        negated_at, is_reported = -REACH - 1, False
-        targets = [i for i, c, _ in symbols if c == TARGET]
+        """The matches, with their scaled weights, of the best path over (place, class, weight) of a clause."""
+        paths: dict[int, tuple[float, tuple]] = {0: (0.0, ())}  # by state: the best sum and, from the last on, its matches
+        at = symbols[0][0] if symbols else 0
+        for place, symbol, weight in symbols:
+            for _ in range(min(place - at, NEAR + 2)):
+                paths = _ticked(paths)
+            at = place
+            now: dict[int, tuple[float, tuple]] = {}
+            gain = weight if symbol == INSULT else 1.0
+            match = symbol in (INSULT, THREAT)
+            for q, (total, back) in paths.items():
+                for to, factor in ARCS[q][symbol]:
+                    new = total + factor * gain if match else total
+                    if to not in now or new > now[to][0]:
+                        now[to] = (new, (place, factor * gain, back) if match else back)
+            paths = now
+        _, back = max((found for q, found in paths.items() if FINAL[q]), key=lambda x: x[0], default=(0.0, ()))
         out = []
-        for i, c, weight in symbols:
-            if c == NEGATION:
-                negated_at = i
-            elif c == REPORT:
-                is_reported = True
-            elif c in (INSULT, THREAT):
-                targeted = any(abs(i - t) <= NEAR for t in targets)
-                if c == THREAT:
-                    weight = THREAT_WEIGHT if targeted else 0.0
-                elif targeted:
-                    weight *= TARGETED
-                if i - negated_at <= REACH:
-                    weight *= NEGATED
-                if is_reported:
-                    weight *= REPORTED
-                out.append((i, weight))
-        best = max(out, key=lambda x: x[1], default=(-1, 0.0))[0]
-        return [(i, w if i == best else FURTHER * w) for i, w in out]
+        while back:
+            out.append((back[0], back[1]))
+            back = back[2]
+        return out[::-1]
 
     def score(self, text: str) -> float:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.offset + self.slope * math.log1p(self.matches(text))))))
@@ -173,8 +230,8 @@ def lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
     toxic, clean, base = F.col("toxic"), F.col("clean"), n_toxic / (n_toxic + n_clean)
     seen = toxic + clean
     evidence = toxic * F.ln(toxic / (seen * base)) + F.when(clean > 0, clean * F.ln(F.greatest(clean, F.lit(1)) / (seen * (1 - base)))).otherwise(0.0)
-    kept = sums.where((odds >= LEAST_ODDS) & (evidence >= LEAST_EVIDENCE)).orderBy(F.desc("toxic"), "feature").limit(MOST_ENTRIES)
-    found = {r.feature: (r.toxic, r.clean) for r in kept.collect()}
+    kept = sums.where((odds >= LEAST_ODDS) & (evidence >= LEAST_EVIDENCE))
+    found = {r.feature: (r.toxic, r.clean) for r in kept.collect()}  # few: MOST_LABELLED bounds the texts they come from
     weights = {f"={w}": 1.5 for w in INSULTS}
     longer: dict[str, list[tuple[int, int]]] = {}
     for f, counted in found.items():

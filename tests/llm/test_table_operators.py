@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import math
 import os
 import random
@@ -132,6 +133,83 @@ def test_grammar_composes():
     assert g.matches("idiot. idiot.") == plain
 
 
+def every_path(symbols):
+    """The best sum over all paths through the single transducers, none of them composed."""
+    steps, at = [], symbols[0][0]
+    for place, symbol, weight in symbols:
+        steps += [(toxicity.TICK, 0.0)] * (place - at) + [(symbol, weight)]
+        at = place
+    best = None
+    paths = [((0,) * len(toxicity.GRAMMAR), 0.0)]
+    for symbol, weight in steps:
+        longer = []
+        for state, total in paths:
+            ways = itertools.product(*(arcs.get((q, symbol), [(q, 1.0)]) for q, (arcs, _) in zip(state, toxicity.GRAMMAR, strict=True)))
+            for way in ways:
+                gain = math.prod(f for _, f in way) * {toxicity.INSULT: weight, toxicity.THREAT: 1.0}.get(symbol, 0.0)
+                longer.append((tuple(q for q, _ in way), total + gain))
+        paths = longer
+    for state, total in paths:
+        if all(q in final for q, (_, final) in zip(state, toxicity.GRAMMAR, strict=True)):
+            best = total if best is None else max(best, total)
+    return best
+
+
+def test_best_path_equals_all_paths():
+    rnd = random.Random(20)
+    for _ in range(400):
+        places = sorted(rnd.choices(range(14), k=rnd.randint(1, 7)))
+        symbols = [(p, c, rnd.choice([0.5, 1.5, 3.0]) if c == toxicity.INSULT else 0.0) for p in places for c in [rnd.choice([1, 1, 2, 3, 4, 5, 6])]]
+        assert sum(w for _, w in toxicity.Grammar.clause(symbols)) == pytest.approx(every_path(symbols))
+
+
+def test_query_equals_all_paths(spark, tmp_path, monkeypatch):
+    """The whole query against a reading of every text by itself that enumerates paths; repeated rows score alike."""
+    rnd = random.Random(21)
+    rows, labels = [], []
+    bits = ["you", "not", "never", "said", "but", "idiot", "moron.", "kill", "they", "vequille", "fine,", "word", '"loser"', "here!"]
+    for i in range(300):
+        words = prose(rnd, 12).split() + [rnd.choice(bits[:3] + bits[4:5] + bits[11:12]) for _ in range(4)] + ([rnd.choice(bits) for _ in range(5)] + ["vequille"] if i % 4 == 0 else [])
+        rnd.shuffle(words)
+        rows.append(doc(i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    rows += rows[:7] + [doc(None, "you idiot"), doc(None, None)]
+    written(spark.createDataFrame(labels, "doc_id bigint, toxic int"), tmp_path, "labels")
+    docs = documents(spark, rows)
+    found = toxicity.query(spark, written(docs, tmp_path)).collect()
+    grammar = toxicity.learned(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    held = {}
+    for i, text, *_ in rows:
+        best = {}
+        words = (text or "").split()
+        clause = []
+        for place, word in enumerate(words):
+            k = grammar.symbol(word)
+            clause += ([(place, *k)] if k else []) + ([(place, toxicity.REPORT, 0.0)] if '"' in word else [])
+            if word[-1] in ".!?;:" or place + 1 == len(words):
+                if clause:
+                    assert sum(w for _, w in toxicity.Grammar.clause(clause)) == pytest.approx(every_path(clause))
+                for at, weight in toxicity.Grammar.clause(clause):
+                    w = toxicity.bare(words[at])
+                    best[w] = max(best.get(w, 0.0), weight)
+                clause = []
+        held.setdefault(i, []).append(round(1 / (1 + math.exp(-(grammar.offset + grammar.slope * math.log1p(sum(best.values()))))), 9))
+    got = defaultdict(list)
+    for r in found:
+        got[r.doc_id].append(round(r.score, 9))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in held.items()}
+
+
+def test_negation_reaches_the_clauses_end():
+    g = toxicity.Grammar({"=idiot": 2.0}, 4.0, -2.5)
+    plain = g.matches("i will kill you")
+    assert g.matches("I will not, ever, at any time, kill you") == pytest.approx(0.3 * plain)
+    assert g.matches("not now but i will kill you") == plain
+    assert g.matches("not now. i will kill you") == plain
+    assert g.matches("never did anyone there say you idiot") < 0.5 * g.matches("you idiot")
+    assert g.matches("idiot you idiot") == g.matches("you idiot")
+
+
 def test_toxicity_without_labels(spark):
     docs = documents(spark, [doc(1, "you idiot"), doc(2, "fine")])
     grammar = toxicity.learned(docs, spark.createDataFrame([], "doc_id bigint, toxic int"))
