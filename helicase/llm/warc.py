@@ -8,16 +8,22 @@ The reader checks every record: version line, headers, length, block and payload
 searches the next gzip member or version line that begins a valid record, goes on from there, and reports the bytes
 between as a gap with the reason; inside a member's content, and in what comes out of a damaged one, it does the same.
 A record alone in its member fails with the member, whose checksum is its own.  Reports and records are rows of one table.
+The search passes over an archive once: the next place of each mark is looked for only when the last one is passed, and
+what follows a mark is read no further than its headers (HEADER_BYTES at most) unless they promise a record.
+
+The folder is a URI that pyarrow's file systems open on every executor (file, hdfs, s3, gs; s3a is read as s3).  Archives
+are read through Spark, which holds one at a time: ARCHIVE_BYTES or one longer record, 2 GB at most.
 
 Defined results: a null payload or URL is empty; line breaks in a URL are percent-encoded.  Null page_ids come after
-all others; of repeated rows with one page_id all are responses if one is.  An empty table gives no rows.  Payloads
-of any length are written whole.
+all others; of repeated rows with one page_id all are responses if one is, and where all page_ids of a payload are null
+each is a response.  An empty table gives no rows.  Payloads of any length are written whole.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,6 +37,8 @@ from helicase.llm.common import shared_dir, sliced
 
 ARCHIVE_BYTES = 16 << 20
 FIRST_BYTES = 4096
+#: Headers of a record, and bytes of a gzip member before its first content, are at most this long.
+HEADER_BYTES = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GZIP = b"\x1f\x8b\x08"
@@ -62,7 +70,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 def _writer(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = fs.FileSystem.from_uri(re.sub("^s3a:", "s3:", folder))
         held, size, given = [], 0, []
 
         def roll() -> None:
@@ -107,40 +115,44 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/manifest")
 
 
-def parse(data: memoryview | bytes, start: int) -> tuple[dict[str, str], bytes, int]:
+def parse(data: bytes, start: int) -> tuple[dict[str, str], bytes, int]:
     """Headers, block and end of the plain record at start; ValueError says what is wrong."""
-    data = bytes(data[start:]) if isinstance(data, memoryview) else data[start:] if start else data
-    if not data.startswith(VERSION):
+    if not data.startswith(VERSION, start):
         raise ValueError("no version line")
-    end = data.find(b"\r\n\r\n")
+    end = data.find(b"\r\n\r\n", start, start + HEADER_BYTES)
     if end < 0:
         raise ValueError("headers do not end")
-    lines = data[:end].split(b"\r\n")[1:]
     head = {}
-    for line in lines:
+    for line in data[start:end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise ValueError("bad header line")
         head[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
-    if not head.get("content-length", "").isdigit():
+    if not re.fullmatch("[0-9]{1,18}", head.get("content-length", "")):
         raise ValueError("no content length")
-    size = int(head["content-length"])
-    block = data[end + 4 : end + 4 + size]
-    if len(block) < size or data[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
+    begin, stop = end + 4, end + 4 + int(head["content-length"])
+    if data[stop : stop + 4] != b"\r\n\r\n":
         raise ValueError("block does not end where it should")
+    block = data[begin:stop]
     said = head.get("warc-block-digest", "")
     if said.startswith("sha1:") and said[5:] != digest(block):
         raise ValueError("block digest differs")
-    return head, block, start + end + 8 + size
+    return head, block, stop + 4
 
 
 def member(data: memoryview, start: int) -> tuple[bytes, int, str, bool]:
     """Content and end of the gzip member at start, fed in steps so that nothing beyond is copied; if it is damaged also
     why, and then the content is what comes out before, and whether it may be wrong."""
     by, out, at, step = zlib.decompressobj(31), [], start, FIRST_BYTES
+    # reserved flags, or a first block of no known kind right after a header without further fields
+    flags = data[start + 3] if start + 3 < len(data) else 0
+    if flags & 0xE0 or (not flags and start + 10 < len(data) and data[start + 10] & 6 == 6):
+        return b"", start, "bad member: no gzip header", True
     while not by.eof:
         if at >= len(data):
             return b"".join(out), at, "member is cut off", False
+        if at - start > HEADER_BYTES and not any(out):
+            return b"", at, "bad member: no content", True
         piece, before = data[at : at + step], by.copy()
         try:
             out.append(by.decompress(piece))
@@ -179,19 +191,6 @@ def inside(content: bytes, sure: bool) -> Iterator[tuple[int, int, str, dict[str
         yield gap, len(content), why, {}, b""
 
 
-def plain(data: memoryview, start: int) -> tuple[dict[str, str], bytes, int]:
-    """Headers, block and end of the plain record at start, read no further than it may reach."""
-    size = 1 << 16
-    while True:
-        try:
-            head, block, end = parse(data[start : start + size], 0)
-            return head, block, start + end
-        except ValueError:
-            if start + size >= len(data):
-                raise
-            size *= 8
-
-
 def payload_of(head: dict[str, str], block: bytes) -> tuple[bytes | None, int | None]:
     """Payload and its full length; a revisit has only the length."""
     if "application/http" not in head.get("content-type", ""):
@@ -222,6 +221,7 @@ def salvage(raw: bytes) -> Iterator[tuple]:
     """
     data, at, n = memoryview(raw), 0, len(raw)
     gap, why = -1, ""
+    marks = {GZIP: -1, VERSION: -1}  # the next place of each, looked for anew when it is passed
 
     def told(start: int, end: int, head: dict[str, str], block: bytes) -> tuple:
         return (start, end - start, "record", None, head.get("warc-type"), head.get("warc-record-id"), head.get("warc-target-uri"), head.get("warc-refers-to"), *checked(head, block))
@@ -241,7 +241,7 @@ def salvage(raw: bytes) -> Iterator[tuple]:
                 for a, b, problem, head, block in parts:
                     rows.append((at, end - at, "gap", f"bytes {a} to {b} of the member: {problem}", *[None] * 7) if problem else told(at, end, head, block))
             else:
-                head, block, end = plain(data, at)
+                head, block, end = parse(raw, at)
                 rows.append(told(at, end, head, block))
         except ValueError as e:
             lost = str(e)
@@ -255,8 +255,11 @@ def salvage(raw: bytes) -> Iterator[tuple]:
                 continue
         if gap < 0:
             gap, why = (at, lost) if lost else (end, damage)
-        places = [p for p in (raw.find(GZIP, at + 1), raw.find(VERSION, at + 1)) if p >= 0]
-        at = min(places, default=n)
+        for mark, place in marks.items():
+            if place <= at:
+                found = raw.find(mark, at + 1)
+                marks[mark] = n if found < 0 else found
+        at = min(marks.values())
     if gap >= 0:
         yield (gap, n - gap, "gap", why, *[None] * 7)
 
@@ -282,8 +285,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_archives(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Records and gaps of the archives (plain or gzip) at those paths, which only Spark must be able to open."""
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(_read, RECORDS)
+    """Records and gaps of the archives (plain or gzip, named *.warc or *.warc.gz) at those paths or in those folders, which
+    only Spark must be able to open."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc{,.gz}").load(paths).select("path", "content").mapInArrow(_read, RECORDS)
 
 
 SQL = """
@@ -292,7 +296,7 @@ d AS (SELECT page_id, octet_length(raw)::BIGINT AS payload_bytes, sha1(raw) || '
 f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)
 SELECT page_id, payload_bytes,
   list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, (1 + (5 * i) // 4)::INT, 2))::INT >> (3 - (5 * i) % 4)::INT) & 31) + 1)::INT, 1)), 'string_agg', '') AS payload_digest,
-  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+  CASE WHEN page_id = first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
 FROM f
 """
 
@@ -300,10 +304,9 @@ FROM f
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     folder = shared_dir(spark, "warc")
-    files = [f"{folder}/archives/{r.file}" for r in write_archives(pages, folder).select("file").collect()]
-    if not files:
-        return pages.limit(0).selectExpr("page_id", "0L payload_bytes", "'' payload_digest", "'' record_type", "0L refers_to")
-    rows = read_archives(spark, files).where("kind = 'record'")
+    files = write_archives(pages, folder).select("file")
+    rows = read_archives(spark, f"{folder}/archives").where("kind = 'record'")
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '<urn:x-page:(-?[0-9]+)>', 1) AS bigint)")
     refers = F.when(F.col("record_type") == "revisit", number("refers_to"))
-    return rows.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", refers.alias("refers_to"))
+    rows = rows.select(F.substring_index("file", "/", -1).alias("file"), number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", refers.alias("refers_to"))
+    return rows.join(files, "file", "left_semi").drop("file")

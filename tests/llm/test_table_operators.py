@@ -6,6 +6,7 @@ import itertools
 import math
 import os
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -357,6 +358,35 @@ def test_warc_salvage_inside_members():
     assert [r[5] for r in rows if r[2] == "record"] == ids
 
 
+def test_warc_salvage_takes_linear_time():
+    """Damaged bytes full of marks, of half-valid records and of cut gzip headers: twice the bytes, about twice the time."""
+    record = members(1, False)[0]
+    made = (
+        lambda n: b"WARC/1.1\r\n" * n, lambda n: b"\x1f\x8b\x08" * n, lambda n: b"\x1f\x8b\x08\x00\0\0\0\0\0\x03ab" * n, lambda n: b"\x1f\x8b\x08\x08\0\0\0\0\0\x03name" * (n // 4),
+        lambda n: record[:-9] * (n // 50), lambda n: (record[:60] + b"\x1f\x8b") * (n // 8), lambda n: zlib.compress(b"x" * n, 0, 31)[:-1],
+    )
+    for make in made:
+        times = []
+        for n in (15_000, 60_000):
+            began = time.time()
+            assert all(r[2] == "gap" for r in warc.salvage(make(n)))
+            times.append(time.time() - began)
+        assert times[1] < 10 * times[0] + 1.0, (make(2)[:20], times)
+    noise = random.Random(5).randbytes(4 << 20)
+    began = time.time()
+    assert [r[2] for r in warc.salvage(noise * 4 + members(1)[0])] == ["gap", "record"]
+    assert time.time() - began < 20
+
+
+def test_warc_of_odd_page_ids(spark, tmp_path):
+    """Null and repeated page_ids: every row is written and read; the least page_id of a payload is a response."""
+    rows = [(1, "a", "x", "f"), (1, "b", "x", "f"), (None, "c", "x", "f"), (2, "d", "x", "f"), (None, "e", "y", "f"), (None, "f", "y", "f"), (3, "g", None, "f"), (3, "g", None, "f")]
+    written(pages(spark, rows), tmp_path, "pages")
+    found = warc.query(spark, str(tmp_path)).collect()
+    got = Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in found)
+    assert got == Counter({(1, 1, "response", None): 2, (None, 1, "revisit", 1): 1, (2, 1, "revisit", 1): 1, (None, 1, "response", None): 2, (3, 0, "response", None): 2})
+
+
 def test_warc_salvage_through_spark(spark, tmp_path):
     parts = members(5)
     (tmp_path / "a.warc.gz").write_bytes(parts[0] + b"garbage" + parts[1] + parts[2][:-9] + parts[3])
