@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from helicase.llm import fingerprints, graph, mixing, nearjoin, sharding, toxicity, warc
@@ -72,24 +73,107 @@ def test_fingerprints_of_edited_equal_fingerprints_of_that_text(spark, tmp_path)
     assert all(a[i].edited_fingerprint == b[i].fingerprint for i in range(30))
 
 
+def weighted(text):
+    w = text.split()
+    terms = [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if w else []
+    return {t: n * sum(map(len, t)) for t, n in Counter(terms).items()}
+
+
+def generalised_jaccard(x, y):
+    a, b = weighted(x), weighted(y)
+    larger = sum(max(a.get(k, 0), b.get(k, 0)) for k in a.keys() | b.keys())
+    return sum(min(a[k], b[k]) for k in a.keys() & b.keys()) / larger if larger else 1.0
+
+
+def gamma_at(p):
+    """The quantile of gamma(2, 1) by bisection on ln x, without cancellation at either end."""
+    lo, hi = -40.0, 5.0
+    for _ in range(80):
+        x = math.exp((lo + hi) / 2)
+        below = x * x / 2 * (1 - 2 * x / 3 + x * x / 4) if x < 1e-4 else -math.expm1(-x) - x * math.exp(-x)
+        lo, hi = ((lo + hi) / 2, hi) if below < p else (lo, (lo + hi) / 2)
+    return math.exp((lo + hi) / 2)
+
+
+def sampled(text, k):
+    """The code of the k-th sample, term by term, with exact quantiles."""
+    bits = lambda h, at, n: (h >> at) & ((1 << n) - 1)
+    best = None
+    for term, weight in weighted(text).items():
+        h = 42
+        for word in term:
+            h = xxhash.xxh64_intdigest(word.encode(), h)
+        own = xxhash.xxh64_intdigest(k.to_bytes(4, "little"), xxhash.xxh64_intdigest(h.to_bytes(8, "little"), 42))
+        more, fine = (xxhash.xxh64_intdigest(x.to_bytes(4, "little"), own) for x in (1, 2))
+        ri, ci = bits(own, 0, 12), bits(own, 12, 12)
+        end = gamma_at(4095 / 4096)
+        r = end - math.log((bits(more, 0, 32) + 0.5) * 2.0**-32 * min(1.0, (bits(more, 32, 32) + 0.5) * 2.0**-32 * (1 + end))) if ri == 4095 else gamma_at((ri + (bits(own, 44, 10) + 0.5) / 1024) / 4096)
+        c = gamma_at((ci + ((fine >> 12) + 0.5) * 2.0**-52) / 4096 if ci < fingerprints.LOW_CELLS else (ci + (bits(own, 54, 10) + 0.5) / 1024) / 4096)
+        b = bits(own, 24, 20) * 2.0**-20
+        t = math.floor(math.log(weight) / r + b)
+        found = (math.log(c) - r * (t - b + 1), (h ^ (t << 7)) & 0xFFFFFFFF)
+        best = found if best is None else min(best, found)
+    return best[1]
+
+
+def test_fingerprints_equal_an_exact_sampler(spark, tmp_path):
+    rnd = random.Random(22)
+    rows = [doc(i, " ".join([prose(rnd, rnd.randint(5, 30))] * rnd.randint(1, 3))) for i in range(12)] + [doc(50, "one two")]
+    found = {r.doc_id: r.fingerprint for r in fingerprints.query(spark, written(documents(spark, rows), tmp_path)).collect()}
+    same = [int(found[i][8 * k : 8 * k + 8], 16) == sampled(text, k) for i, text, *_ in rows for k in range(fingerprints.SAMPLES)]
+    assert np.mean(same) > 0.985  # the table is interpolated: near ties may fall otherwise
+
+
 def test_collision_rate_is_generalised_jaccard(spark, tmp_path):
+    """Of texts whose shingles differ, and of texts that only repeat them differently often."""
     rnd = random.Random(3)
     rows = [doc(i, prose(rnd, 250)) for i in range(60)]
-    found = {r.doc_id: r.near_edited for r in fingerprints.query(spark, written(documents(spark, rows), tmp_path)).collect()}
-
-    def weighted(text):
-        w = text.split()
-        return {tuple(w[i : i + 5]): sum(map(len, w[i : i + 5])) for i in range(len(w) - 4)}
-
+    found = {r.doc_id: r.near_edited for r in fingerprints.query(spark, written(documents(spark, rows), tmp_path / "a")).collect()}
     off = []
     for i in range(60):
         own, following = rows[i][1], rows[(i + 1) % 60][1]
         n = len(own) // 4
-        a, b = weighted(own), weighted(own[: len(own) - n] + following[:n])
-        both = sum(a[k] for k in a.keys() & b.keys())
-        off.append(found[i] - both / (sum(a.values()) + sum(b.values()) - both))
-    assert abs(np.mean(off)) < 0.03
+        off.append(found[i] - generalised_jaccard(own, own[: len(own) - n] + following[:n]))
+    assert abs(np.mean(off)) < 0.02
     assert np.std(off) < 0.1
+    rows = []
+    for i in range(0, 120, 2):
+        line, rest = prose(rnd, 30), prose(rnd, 40)
+        rows += [doc(i, f"{line} {rest}"), doc(i + 1, " ".join([line] * (2 + i // 40)) + f" {rest}")]
+    found = {r.doc_id: r.near_next for r in fingerprints.query(spark, written(documents(spark, rows), tmp_path / "b")).collect()}
+    off = [found[i] - generalised_jaccard(rows[i][1], rows[i + 1][1]) for i in range(0, 120, 2)]
+    assert abs(np.mean(off)) < 0.02
+    assert max(found[i] for i in range(80, 120, 2)) < 0.75
+
+
+def test_least_samples_of_many_terms_follow_their_law(spark):
+    """The least a of terms of total weight W is exponential with mean 1 / W, for few terms and for many."""
+    for groups, terms, weight in ((400, 20, 3.0), (8, 60_000, 40.0)):
+        rows = spark.range(groups * terms).select((F.col("id") % groups).alias("g"), F.xxhash64("id").alias("term"), *fingerprints.tables(F.col("id") >= 0))
+        rows = rows.select("*", F.explode(F.lit([0])).alias("zero"))
+        least = [F.min(fingerprints.packed_sample(F.col("term"), F.lit(math.log(weight)), F.lit(k))).alias(f"m{k}") for k in range(8)]
+        found = rows.groupBy("g").agg(*least).drop("g").collect()
+        a = np.array([[math.exp((m >> 32) / (1 << 23) - 101.0) for m in r] for r in found]).ravel() * weight * terms
+        assert abs(a.mean() - 1) < 5 / math.sqrt(len(a))
+        assert abs((a < math.log(2)).mean() - 0.5) < 3 / math.sqrt(len(a))
+
+
+def test_next_of_null_and_repeated_doc_ids(spark, tmp_path):
+    """One doc_id over most rows, and null ones: each row has one next, which the order by doc_id allows."""
+    rnd = random.Random(23)
+    rows = [doc(7 if i % 5 else rnd.choice([None, 3, 900]), prose(rnd, 6) + f" {i}") for i in range(1500)] + [doc(7, "same text here")] * 20
+    found = fingerprints.with_next(documents(spark, rows).select("doc_id", "text")).where("NOT ghost").collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter((r[0], r[1]) for r in rows)
+    assert Counter(r.next_text for r in found) == Counter(r[1] for r in rows)  # one cycle or several: each row follows once
+    ids = {}
+    for i, text, *_ in rows:
+        ids.setdefault(text, i)
+    order = [None, 3, 7, 900]
+    steps = Counter((order.index(r.doc_id), order.index(ids[r.next_text])) for r in found)
+    assert [steps[x] for x in ((0, 1), (1, 2), (2, 3), (3, 0))] == [1] * 4
+    assert sum(n for (a, b), n in steps.items() if a != b) == 4
+    assert max(Counter(r.bucket for r in found).values()) < 150
+    assert fingerprints.query(spark, written(documents(spark, rows), tmp_path)).count() == len(rows)
 
 
 def test_single_and_no_document(spark, tmp_path):
@@ -602,9 +686,9 @@ def test_repeated_rows_give_what_the_mix_takes(spark):
 
 def test_gamma_quantiles():
     q = fingerprints.gamma2_quantiles(6)
-    assert q == sorted(q)
-    assert np.mean(q) == pytest.approx(2.0, abs=0.05)
-    assert 1 - (1 + q[31]) * math.exp(-q[31]) == pytest.approx(31.5 / 64, abs=1e-9)
+    assert list(q) == sorted(q)
+    assert len(q) == 65
+    assert all(q[i] == pytest.approx(gamma_at(i / 64), rel=1e-9) for i in range(1, 64))
 
 
 def test_shared_folder(spark):
