@@ -7,17 +7,20 @@ rewritten: all others stay where they are and are read in place.
 
 Rows larger than a fraction of a shard (so few that the driver holds them: HEAVY per shard) are placed one by one
 first, so that what the flow cuts are small rows and new shards come out near equal.  A block holds BLOCK_BYTES or
-so, its number comes from a hash, so no shard, source or group of copies meets in one task.
+so (more where MOST_BLOCKS of them would not do; the driver holds a number for each), its number comes from a hash of
+doc_id and the text's checksum, so no shard, source, doc_id or group of copies meets in one task.
 
-Defined results: a null text has no bytes; a row's size is its UTF-8 bytes plus 8.  Rows with one doc_id stay in one
-old shard and block.  Null doc_ids are one such number.  Repeated rows each have a slot.  An empty table gives no
-rows.  The law is ``bytes``; slots number a shard's rows by old shard, block, doc_id and checksum.
+Defined results: a null text has no bytes; a row's size is its UTF-8 bytes plus 8.  Rows with one doc_id and one text
+stay in one old shard and block, and go to one new shard if they are large.  Null doc_ids are one such number.  Repeated
+rows each have a slot.  An empty table gives no rows.  The law is ``bytes``; slots number a shard's rows by old shard,
+block, doc_id and checksum.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helicase.llm.common import shared_dir
 
@@ -25,6 +28,7 @@ OLD_SHARDS = 16
 NEW_SHARDS = 24
 BLOCK_BYTES = 128 << 20
 LEAST_BLOCKS = 16
+MOST_BLOCKS = 4096  # of an old shard
 #: Rows above 1 / HEAVY of a new shard's bytes are placed one by one; there are HEAVY per shard at most.
 HEAVY = 200
 FRAME_BYTES = 8
@@ -64,30 +68,36 @@ def min_cost_flow(supply: list[int], demand: list[int], cost: list[list[int]]) -
     return flow
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = OLD_SHARDS, block_bytes: int = BLOCK_BYTES) -> None:
-    """Lays docs (doc_id, text, others) out as path/old_shard=/block=, with columns size and text_crc32."""
+def write_shards(docs: DataFrame, path: str, shards: int = OLD_SHARDS, block_bytes: int = BLOCK_BYTES) -> T.StructType:
+    """Lays docs (doc_id, text, others) out as path/old_shard=/block=, with columns size and text_crc32; the layout's schema."""
     raw = F.coalesce("text", F.lit("")).cast("binary")
     rows = docs.withColumns({"size": (F.octet_length(raw) + FRAME_BYTES).cast("bigint"), "text_crc32": F.crc32(raw)})
     total = rows.agg(F.sum("size")).first()[0] or 0
-    blocks = max(LEAST_BLOCKS, -(-total // (shards * block_bytes)))
-    rows = rows.withColumns({"old_shard": F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"), "block": F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(blocks)).cast("int")})
-    rows.repartition("old_shard", "block").write.partitionBy("old_shard", "block").parquet(path)
-
-
-def plan(lights: dict[tuple[int, int], int], heavies: list[tuple[int, int | None, int]], capacity: list[int]) -> tuple[dict, dict, dict]:
-    """Where everything goes: shards of heavy rows by doc_id; per old shard the ranges (from, to, shard) of its light
-    bytes; per block its first byte in that order.  lights: bytes by (old shard, block); heavies: (old shard, doc_id, size).
+    blocks = min(MOST_BLOCKS, max(LEAST_BLOCKS, -(-total // (shards * block_bytes))))
+    deal = lambda salt, n: F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit(salt)), F.lit(n)).cast("int")
+    rows = rows.withColumns({"old_shard": deal(0, shards), "block": deal(1, blocks)})
+    tasks = min(shards * blocks, total // block_bytes)
+    by = ("old_shard", "block")
+    # beyond the session's number of partitions each block has a task, whatever the setting
+    rows = rows.repartition(tasks, *by) if tasks > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows.repartition(*by)
+    rows.write.partitionBy(*by).parquet(path)
+    return rows.schema
+
+
+def plan(lights: dict[tuple[int, int], int], heavies: list[tuple[int, tuple, int]], capacity: list[int]) -> tuple[dict, dict, dict]:
+    """Where everything goes: shards of heavy rows by key; per old shard the ranges (from, to, shard) of its light
+    bytes; per block its first byte in that order.  lights: bytes by (old shard, block); heavies: (old shard, key, size).
     """
     n, load, heavy = len(capacity), [0] * len(capacity), {}
     moving = []
-    for shard, doc_id, size in sorted(heavies, key=lambda h: (-h[2], h[0], str(h[1]))):
+    for shard, key, size in sorted(heavies, key=lambda h: (-h[2], h[0], str(h[1]))):
         if shard < n and load[shard] + size <= capacity[shard]:
-            heavy[doc_id] = shard
+            heavy[key] = shard
             load[shard] += size
         else:
-            moving.append((doc_id, size))
-    for doc_id, size in moving:
-        heavy[doc_id] = best = max(range(n), key=lambda j: (capacity[j] - load[j], -j))
+            moving.append((key, size))
+    for key, size in moving:
+        heavy[key] = best = max(range(n), key=lambda j: (capacity[j] - load[j], -j))
         load[best] += size
     base, supply = {}, {}
     for (shard, block), size in sorted(lights.items()):
@@ -111,12 +121,13 @@ def plan(lights: dict[tuple[int, int], int], heavies: list[tuple[int, int | None
     return heavy, ranges, base
 
 
-def reshard(spark: SparkSession, old: str, new: str, shards: int = NEW_SHARDS, capacity: list[int] | None = None) -> DataFrame:
+def reshard(spark: SparkSession, old: str, new: str, shards: int = NEW_SHARDS, capacity: list[int] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Rewrites what must move from old (as write_shards left it) to new, and returns all rows with their shard.
 
-    capacity: bytes of the new shards (equal if None); scaled if they don't sum to what there is.
+    capacity: bytes of the new shards (equal if None); scaled if they don't sum to what there is.  schema: that of old, which
+    must be given where old may be empty.
     """
-    rows = spark.read.parquet(old)
+    rows = (spark.read.schema(schema) if schema else spark.read).parquet(old)
     total, most = rows.agg(F.sum("size"), F.max("size")).first()
     if total is None:
         return rows.withColumn("shard", F.lit(0))
@@ -124,9 +135,9 @@ def reshard(spark: SparkSession, old: str, new: str, shards: int = NEW_SHARDS, c
     limit = max(1, min(capacity) // HEAVY)
     is_heavy = F.col("size") > limit
     lights = {(r.old_shard, r.block): r.s for r in rows.where(~is_heavy).groupBy("old_shard", "block").agg(F.sum("size").alias("s")).collect()}
-    found = rows.where(is_heavy).groupBy("old_shard", "block", "doc_id").agg(F.sum("size").alias("s")).collect()
-    heavy, ranges, base = plan(lights, [(r.old_shard, r.doc_id, r.s) for r in found], capacity)
-    disturbed = {(r.old_shard, r.block) for r in found if heavy[r.doc_id] != r.old_shard}
+    found = rows.where(is_heavy).groupBy("old_shard", "block", "doc_id", "text_crc32").agg(F.sum("size").alias("s")).collect()
+    heavy, ranges, base = plan(lights, [(r.old_shard, (r.doc_id, r.text_crc32), r.s) for r in found], capacity)
+    disturbed = {(r.old_shard, r.block) for r in found if heavy[r.doc_id, r.text_crc32] != r.old_shard}
     whole, cut = {}, []
     everywhere = {*lights, *((r.old_shard, r.block) for r in found)}
     for key in everywhere:
@@ -138,11 +149,13 @@ def reshard(spark: SparkSession, old: str, new: str, shards: int = NEW_SHARDS, c
             cut.append(key)
     quiet = [k for k, j in whole.items() if j == k[0] and k not in disturbed]
     where = "old_shard int, block int, base bigint, whole int"
-    loud = spark.createDataFrame([(*k, base.get(k, 0), whole.get(k)) for k in everywhere if k not in set(quiet)], where)
-    placed = spark.createDataFrame([(d, j) for d, j in heavy.items()], "heavy_id bigint, heavy_shard int")
-    moving = spark.read.option("basePath", old).parquet(*[f"{old}/old_shard={s}/block={b}" for s, b in everywhere if (s, b) not in set(quiet)]) if len(quiet) < len(everywhere) else rows.limit(0)
+    quiet_keys = {*quiet}
+    moving_keys = sorted(k for k in everywhere if k not in quiet_keys)
+    loud = spark.createDataFrame([(*k, base.get(k, 0), whole.get(k)) for k in moving_keys], where)
+    placed = spark.createDataFrame([(*d, j) for d, j in heavy.items()], "heavy_id bigint, heavy_crc bigint, heavy_shard int")
+    moving = spark.read.option("basePath", old).parquet(*[f"{old}/old_shard={s}/block={b}" for s, b in moving_keys]) if moving_keys else rows.limit(0)
     columns = [c for c in rows.columns if c not in ("old_shard", "block")]
-    moving = moving.join(F.broadcast(loud), ["old_shard", "block"]).join(F.broadcast(placed), is_heavy & F.col("doc_id").eqNullSafe(F.col("heavy_id")), "left")
+    moving = moving.join(F.broadcast(loud), ["old_shard", "block"]).join(F.broadcast(placed), is_heavy & F.col("doc_id").eqNullSafe(F.col("heavy_id")) & (F.col("text_crc32") == F.col("heavy_crc")), "left")
     bounds = F.lit([[b for _, b, _ in ranges.get(s, [])] or [0] for s in range(max(s for s, _ in everywhere) + 1)])
     targets = F.lit([[j for _, _, j in ranges.get(s, [])] or [0] for s in range(max(s for s, _ in everywhere) + 1)])
 
@@ -161,7 +174,7 @@ def reshard(spark: SparkSession, old: str, new: str, shards: int = NEW_SHARDS, c
     if quiet:
         stay = spark.read.option("basePath", old).parquet(*[f"{old}/old_shard={s}/block={b}" for s, b in quiet])
         parts.append(stay.select(*columns, F.col("old_shard").cast("int"), F.col("block").cast("int"), F.col("old_shard").cast("int").alias("shard")))
-    if len(quiet) < len(everywhere):
+    if moving_keys:
         parts.append(spark.read.schema(f"{_ddl(rows, columns)}, old_shard int, block int, shard int").parquet(new).select(*columns, "old_shard", "block", "shard"))
     return parts[0] if len(parts) == 1 else parts[0].union(parts[1])
 
@@ -182,6 +195,6 @@ def slots(rows: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     old, new = shared_dir(spark, "shards-old"), shared_dir(spark, "shards-new")
-    write_shards(docs, old)
-    rows = slots(reshard(spark, old, new).select("doc_id", "size", "text_crc32", "shard", "old_shard", "block"))
+    schema = write_shards(docs, old)
+    rows = slots(reshard(spark, old, new, schema=schema).select("doc_id", "size", "text_crc32", "shard", "old_shard", "block"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

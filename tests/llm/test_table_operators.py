@@ -344,6 +344,25 @@ def test_resharding(spark, tmp_path):
     assert {r.law for r in found} == {"bytes"}
 
 
+def test_resharding_of_hot_doc_ids(spark, tmp_path):
+    """One doc_id, and null, over most rows: no block holds them all, and shards are as equal as ever."""
+    rnd = random.Random(24)
+    rows = [doc((7, None, 7, i)[i % 4], prose(rnd, rnd.randint(1, 40))) for i in range(2000)] + [doc(7, "y" * 5000), doc(None, "z" * 5000), doc(7, "w" * 4000)] * 2
+    found = sharding.query(spark, written(documents(spark, rows), tmp_path)).collect()
+    assert Counter((r.doc_id, r.size) for r in found) == Counter((r[0], len(r[1]) + 8) for r in rows)
+    sizes, slots = Counter(), defaultdict(list)
+    for r in found:
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert max(sizes.values()) - min(sizes.values()) <= 2 * 5008
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    sharding.write_shards(documents(spark, rows).select("doc_id", "text"), f"{tmp_path}/old")
+    blocks = spark.read.parquet(f"{tmp_path}/old").groupBy("old_shard", "block").count().collect()
+    assert max(r["count"] for r in blocks) < 40
+    empty = documents(spark, rows).limit(0)
+    assert sharding.query(spark, written(empty, tmp_path / "none")).count() == 0
+
+
 def test_resharding_rewrites_only_what_moves(spark, tmp_path):
     rnd = random.Random(7)
     docs = documents(spark, [doc(i, prose(rnd, 30)) for i in range(3000)])
