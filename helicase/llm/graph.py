@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helicase.llm.common import materialised
+from helicase.llm.common import discard, materialised, shared_dir
 
 MOST_ROUNDS = 60
 
@@ -34,10 +34,12 @@ def local_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the component's least node) for every node of the edges (a, b), by alternating large and small stars.
 
-    Each round is written below spark.checkpoint.dir, so a lost executor costs no more than a round.
+    Each round is written below spark.checkpoint.dir, so a lost executor costs no more than a round; the one before goes.
     """
+    spark = edges.sparkSession
+    path = shared_dir(spark, "cc")
     down = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    down = materialised(down, "cc")
+    down = materialised(down, "cc", path)
     before = None
     for _ in range(MOST_ROUNDS):
         # large star: of a node's neighbours, the larger ones are tied to the least of all
@@ -47,7 +49,9 @@ def components(edges: DataFrame) -> DataFrame:
         # small star: of a node's smaller neighbours and itself, all are tied to the least
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         down = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", F.col("m").alias("v"))).distinct()
-        down = materialised(down, "cc")
+        last, path = path, shared_dir(spark, "cc")
+        down = materialised(down, "cc", path)
+        discard(spark, last)
         now = down.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -6,6 +6,8 @@ import itertools
 import math
 import os
 import random
+import subprocess
+import sys
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -16,7 +18,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from helicase.llm import fingerprints, graph, mixing, nearjoin, sharding, toxicity, warc
-from helicase.llm.common import shared_dir
+from helicase.llm.common import discard, shared_dir
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 WORDS = [f"{a}{b}" for a in ("th", "er", "on", "an", "re", "he", "in") for b in ("a", "e", "o", "ing", "ed", "ly")]
@@ -710,7 +712,24 @@ def test_gamma_quantiles():
     assert all(q[i] == pytest.approx(gamma_at(i / 64), rel=1e-9) for i in range(1, 64))
 
 
-def test_shared_folder(spark):
+def test_shared_folder(spark, tmp_path):
     path = shared_dir(spark, "x")
     assert path.startswith("file:")
     assert path != shared_dir(spark, "x")
+    assert os.path.dirname(path) == os.path.dirname(shared_dir(spark, "y"))
+    spark.range(3).write.parquet(path)
+    discard(spark, path)
+    assert not os.path.exists(path.removeprefix("file:"))
+    code = f"""
+from pyspark.sql import SparkSession
+from helicase.llm.common import materialised
+s = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "{tmp_path}").getOrCreate()
+assert materialised(s.range(3), "x").count() == 3
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True)
+    left = lambda: [x for x in os.listdir(tmp_path) if x.startswith("local-")]
+    for _ in range(50):
+        if not left():
+            break
+        time.sleep(0.2)
+    assert not left()
