@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helicase.llm import bpe, mixing, nearjoin, secretscan, toxicity
-from helicase.llm.common import shared_dir
+from helicase.llm.common import discard, shared_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -61,9 +61,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS), None
     for name, stage in STAGES:
         path = shared_dir(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if last:
+            discard(spark, last)
+        last = path
     return docs
