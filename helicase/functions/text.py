@@ -49,9 +49,10 @@ def amino(aa: Column) -> Column:
 
 
 def protein_change(hgvs: Column) -> Column:
-    """struct<ref_aa, aa_pos, alt_aa> of a substitution; null fields for anything else, frameshifts too."""
-    three, one = r"p\.([A-Z][a-z]{2})(\d+)([A-Z][a-z]{2})(?![a-z])", r"p\.([A-Z])(\d+)([A-Z*])(?![A-Za-z])"
-    is_three, is_one = hgvs.rlike(three) & ~hgvs.contains("fs"), hgvs.rlike(one) & ~hgvs.contains("fs")
+    """struct<ref_aa, aa_pos, alt_aa> of a substitution or stop, in parentheses or not; null fields for anything else,
+    frameshifts too."""
+    three, one = r"p\.\(?([A-Z][a-z]{2})(\d+)([A-Z][a-z]{2}|\*)(?![a-z])", r"p\.\(?([A-Z])(\d+)([A-Z*])(?![a-z])"
+    is_three, is_one = hgvs.rlike(three), hgvs.rlike(one)
 
     def part(i: int) -> Column:
         return F.when(is_three, F.regexp_extract(hgvs, three, i)).when(is_one, F.regexp_extract(hgvs, one, i))

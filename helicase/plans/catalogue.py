@@ -41,16 +41,89 @@ def r6(c: Column | str, name: str | None = None) -> Column:
 def variant_schema() -> Schema:
     return Schema(
         {"FILTER": F.col("filter"), "QUAL": F.col("cadd"), "CADD": F.col("cadd"), "AF": F.col("af"), "ID": F.col("p_name"), "EFFECT": F.col("effect")},
-        {("ANN", "IMPACT"): F.array("impact", F.lit("MODIFIER")), ("dbNSFP_gnomAD_exomes_AF", None): F.array("af"), ("dbNSFP_gnomAD_exomes_AC", None): F.array("ac")},
+        {("ANN", "IMPACT"): F.array("impact", F.lit("MODIFIER")), ("dbNSFP_gnomAD_exomes_AF", None): F.array("af"), ("dbNSFP_gnomAD_exomes_AC", None): F.array("ac"), ("dbNSFP_gnomAD_genomes_AF", None): F.array(F.col("revel") / 100), ("dbNSFP_gnomAD_genomes_AC", None): F.array(F.when(F.col("variant_id") % 3 != 0, "1"))},
     )
 
 
-@query("SELECT variant_id, gene, impact FROM variants WHERE impact IN ('HIGH', 'MODERATE') AND (af < 0.001 OR ac IS NULL) AND filter = 'PASS' AND cadd >= 10")
+@query("SELECT variant_id, gene, impact FROM variants WHERE impact IN ('HIGH', 'MODERATE') AND (af < 0.001 OR ac IS NULL) AND (revel / 100 < 0.001 OR variant_id % 3 = 0) AND filter = 'PASS' AND cadd >= 10")
 def filter_preset_high_rare(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scoring.preset_filter(a.variants(spark, sf_dir), variant_schema(), ["coding", "1percent", "pass"], "CADD >= 10")
     return rows.select("variant_id", "gene", "impact")
 
 
+ANNOTATED = """, annotated AS (SELECT *, variant_id AS k, CASE WHEN variant_id % 11 <> 0 THEN af END AS ex_af, ac::DOUBLE AS ex_ac, ((variant_id * 37) % 1000)::DOUBLE / 10000.0::DOUBLE AS ge_af, CASE WHEN variant_id % 6 <> 0 THEN (variant_id % 4)::DOUBLE END AS ge_ac,
+ CASE variant_id % 5 WHEN 0 THEN 'Pathogenic' WHEN 1 THEN 'Benign' WHEN 2 THEN 'Conflicting_pathogenic' WHEN 3 THEN 'likely_pathogenic' ELSE '.' END AS sig1, CASE variant_id % 4 WHEN 1 THEN 'benign' WHEN 2 THEN 'Pathogenic' WHEN 3 THEN 'Conflicting' END AS sig2,
+ (variant_id % 7 - 4)::DOUBLE AS spidex, (variant_id % 10)::DOUBLE / 10.0::DOUBLE AS ada, (variant_id % 8)::DOUBLE / 8.0::DOUBLE AS rf, variant_id % 9 = 0 AS lof, variant_id % 13 = 0 AS nmd,
+ 30 + variant_id % 50 AS dp0, 20 + variant_id % 60 AS dp1, (variant_id % 100)::DOUBLE / 100.0::DOUBLE AS af0, CASE WHEN variant_id % 8 <> 0 THEN (variant_id % 97)::DOUBLE / 100.0::DOUBLE END AS af1, variant_id % 3 = 0 AS het0, variant_id % 2 = 0 AS hom1, variant_id % 10 = 0 AS cosmic FROM variants)"""
+
+
+def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """variants with the annotation that the presets read: frequencies, significance, predictions, two samples' values."""
+    k = F.col("variant_id")
+    words = lambda n, *w: F.get(F.lit([*w]), (k % n).cast("int"))
+    text_of = lambda c: c.cast("string")
+    return a.variants(spark, sf_dir).withColumns({
+        "ex_af": F.array(F.when(k % 11 != 0, text_of(F.col("af")))), "ex_ac": F.array("ac"), "ge_af": F.array(text_of((k * 37) % 1000 / 10000.0)), "ge_ac": F.array(F.when(k % 6 != 0, text_of(k % 4)).otherwise(".")),
+        "sig1": words(5, "Pathogenic", "Benign", "Conflicting_pathogenic", "likely_pathogenic", "."), "sig2": F.when(k % 4 != 0, words(4, "", "benign", "Pathogenic", "Conflicting")),
+        "spidex": k % 7 - 4.0, "ada": k % 10 / 10.0, "rf": k % 8 / 8.0, "lof": F.when(k % 9 == 0, F.array(F.lit("0.1"), F.lit("0.95"))).when(k % 9 == 1, F.array(F.lit("0.5"))),
+        "nmd": F.when(k % 13 == 0, F.array(F.lit("0.91"))), "dp": F.array(text_of(30 + k % 50), text_of(20 + k % 60)), "gaf": F.array(text_of(k % 100 / 100.0), F.when(k % 8 != 0, text_of(k % 97 / 100.0)).otherwise(".")),
+        "gts": F.array(F.when(k % 3 == 0, "0/1").otherwise("0/0"), F.when(k % 2 == 0, "1/1").otherwise("0/1")), "known": F.when(k % 10 == 0, "COSV1").when(k % 10 < 5, ".").otherwise("rs1"),
+    })
+
+
+def annotated_schema() -> Schema:
+    scalars = {"FILTER": "filter", "ID": "known", "dbNSFP_clinvar_clnsig": "sig1", "ClinVar_CLNSIG": "sig2", "dbNSFP_REVEL_score": "revel", "dbNSFP_CADD_phred": "cadd", "splice_spidex_dpsi_zscore": "spidex", "splice_dbscSNV_ada_score": "ada", "splice_dbscSNV_rf_score": "rf"}
+    freq = {("dbNSFP_gnomAD_exomes_AF", None): "ex_af", ("dbNSFP_gnomAD_exomes_AC", None): "ex_ac", ("dbNSFP_gnomAD_genomes_AF", None): "ge_af", ("dbNSFP_gnomAD_genomes_AC", None): "ge_ac", ("dbNSFP_gnomAD4.1_joint_AF", None): "ge_af", ("dbNSFP_gnomAD4.1_joint_AC", None): "ge_ac"}
+    own = {("GEN", "DP"): "dp", ("GEN", "AF"): "gaf", ("GEN", "GT"): "gts", ("LOF", "PERC"): "lof", ("NMD", "PERC"): "nmd"}
+    arrays = {k: F.col(c) for k, c in (freq | own).items()}
+    arrays |= {("ANN", "IMPACT"): F.array("impact", F.lit("x")), ("AC", None): F.array(F.col("variant_id") % 1000), ("QUAL", None): F.array(F.col("cadd") * 5)}
+    return Schema({k: F.col(c) for k, c in scalars.items()}, arrays)
+
+
+def _preset_rules() -> dict[str, str]:
+    """What each preset asks, in SQL over ANNOTATED."""
+    below = lambda x: f"((coalesce(ex_af < {x}, FALSE) OR ex_ac IS NULL) AND (ge_af < {x} OR ge_ac IS NULL))"
+    either = lambda x: f"(coalesce(ex_af < {x}, FALSE) OR ex_ac IS NULL OR ge_af < {x} OR ge_ac IS NULL)"
+    few = "((ex_ac IS NULL OR ex_ac <= 2) AND (ge_ac IS NULL OR ge_ac <= 2))"
+    bad = "(variant_id % 5 IN (0, 3) OR variant_id % 4 = 2)"
+    splice = "(spidex <= -2 AND (ada >= 0.6 OR rf >= 0.6))"
+    passed = "(filter IS NULL OR filter = 'PASS')"
+    predicted = "(revel >= 0.9 OR cadd >= 30)"
+    broken = "(lof OR nmd OR impact = 'HIGH')"
+    deep, quiet, seen = "dp0 >= 20 AND dp1 >= 20", "coalesce(af0 < 0.03, TRUE)", "coalesce(af1 >= 0.05, FALSE)"
+    return {
+        "pass": "filter = 'PASS'", "not_artefact": "variant_id % 1000 <= 513 AND cadd * 5 >= 100", "not_benign": "variant_id % 5 <> 1 AND variant_id % 4 <> 1", "5percent_or_pathogenic": f"{either(0.05)} OR {bad}",
+        "5percent": below(0.05), "1percent": below(0.001), "rare": below(0.0001), "super_rare": few, "pathogenic": bad, "coding": "impact IN ('HIGH', 'MODERATE')", "high": "impact = 'HIGH'", "moderate": "impact = 'MODERATE'",
+        "moderate_and_high_prediction": f"impact = 'MODERATE' AND {predicted}", "high_splice_prediction": f"impact = 'MODERATE' AND {splice}", "low": "impact = 'LOW'", "high_or_moderate": "impact IN ('HIGH', 'MODERATE')",
+        "high_or_moderate_or_low": "impact <> 'MODIFIER'", "high_or_moderate_or_high_splice_prediction": f"impact IN ('HIGH', 'MODERATE') OR {splice}", "high_or_moderate_or_high_splice_prediction_or_high_prediction": f"impact IN ('HIGH', 'MODERATE') OR {splice} OR {predicted}",
+        "modifier": "impact = 'MODIFIER'", "high_or_lof_or_nmd": broken, "high_or_pathogenic": f"impact = 'HIGH' OR {bad}",
+        "aif": f"({either(0.05)} OR {bad}) AND ({bad} OR {either(0.01)} AND ({splice} OR (impact = 'MODERATE' AND {predicted}) OR {broken}))",
+        "mutect2_TvsN_pass": f"({few} OR cosmic) AND {passed} AND dp0 >= 50 AND coalesce(af1 < 0.03, TRUE) AND af0 >= 0.05", "mutect2_TvsN": f"({few} OR cosmic) AND (dp0 >= 50 OR dp1 >= 50) AND coalesce(af1 < 0.03, TRUE) AND af0 >= 0.05",
+        "mutect2_To_pass": f"({few} OR cosmic) AND {passed} AND (dp0 >= 50 OR dp1 >= 50) AND af0 >= 0.05", "somatic": f"{few} AND {deep} AND {quiet} AND {seen}", "somatic_pass": f"{few} AND {passed} AND {deep} AND {quiet} AND {seen}",
+        "somatic_strict": f"{few} AND {passed} AND dp0 >= 50 AND dp1 >= 50 AND coalesce(af0 < 0.01, TRUE) AND {seen}", "loh": f"het0 AND (hom1 OR coalesce(af1 >= 0.85, FALSE)) AND {deep}", "germline_shared": f"af0 >= 0.2 AND coalesce(af1 >= 0.2, FALSE) AND {deep}",
+        "tumor_only": f"{few} AND {passed} AND dp1 >= 20 AND {seen}",
+    }
+
+
+@query(ANNOTATED + " SELECT variant_id, array_to_string(list_filter([" + ", ".join(f"CASE WHEN {rule} THEN '{name}' END" for name, rule in _preset_rules().items()) + "], lambda x: x IS NOT NULL), ',') AS presets FROM annotated")
+def filter_presets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helicase.plans.filterlang import PRESETS, compile_filter, composed
+
+    hit = [F.when(compile_filter(composed([name]), annotated_schema()), name) for name in PRESETS]
+    return annotated(spark, sf_dir).select("variant_id", F.array_join(F.array_compact(F.array(*hit)), ",").alias("presets"))
+
+
+@query(ANNOTATED + " SELECT variant_id, (ge_af < 0.05 OR ge_ac IS NULL) AND dp0 >= 40 AND dp1 >= 30 AND coalesce(af1 < 0.1, TRUE) AND af0 >= 0.2 AS kept FROM annotated")
+def filter_profile_and_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other annotation release, and a pair of samples the other way round."""
+    from helicase.plans.filterlang import PRESETS, compile_filter, composed
+
+    known = PRESETS | {"own": "(GEN[{normal_idx}].DP >= {normal_dp_min}) & (GEN[{tumor_idx}].DP >= {tumor_dp_min}) & ((GEN[{normal_idx}].AF < {normal_af_max}) | (na GEN[{normal_idx}].AF)) & (GEN[{tumor_idx}].AF >= {tumor_af_min})"}
+    pair = {"tumor_idx": 0, "normal_idx": 1, "tumor_dp_min": 40, "normal_dp_min": 30, "tumor_af_min": 0.2, "normal_af_max": 0.1}
+    text = composed(["5percent", "own"], None, "dbnsfp5", known, pair)
+    return annotated(spark, sf_dir).select("variant_id", compile_filter(text, annotated_schema()).alias("kept"))
+
+
 @query("SELECT variant_id, impact FROM variants WHERE NOT (coalesce(filter, '') = 'q10') AND (regexp_matches(p_name, '^(red|blue)') OR (effect = 'stop_gained' AND af <= 0.01)) AND filter IS NOT NULL")
 def filter_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
     from helicase.plans.filterlang import compile_filter
@@ -140,10 +213,10 @@ def mendelian_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", child.alias("child"), genotype.is_mendelian_consistent(child, father, mother).alias("fits"), genotype.could_be_de_novo(child, father, mother).alias("de_novo"))
 
 
-@query("""SELECT variant_id, CASE WHEN p_size % 4 < 2 THEN 'R' END AS ref_aa, CASE WHEN p_size % 4 < 2 THEN p_size END AS aa_pos, CASE p_size % 4 WHEN 0 THEN 'W' WHEN 1 THEN '*' END AS alt_aa FROM variants""")
+@query("""SELECT variant_id, CASE WHEN p_size % 9 < 6 THEN 'R' END AS ref_aa, CASE WHEN p_size % 9 < 6 THEN p_size END AS aa_pos, CASE p_size % 9 WHEN 0 THEN 'W' WHEN 1 THEN '*' WHEN 2 THEN 'H' WHEN 3 THEN '*' WHEN 4 THEN 'H' WHEN 5 THEN '*' END AS alt_aa FROM variants""")
 def hgvs_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("p_size").cast("string")
-    hgvs = F.when(F.col("p_size") % 4 == 0, F.concat(F.lit("p.Arg"), n, F.lit("Trp"))).when(F.col("p_size") % 4 == 1, F.concat(F.lit("p.R"), n, F.lit("*"))).when(F.col("p_size") % 4 == 2, F.concat(F.lit("p.Arg"), n, F.lit("fs"))).otherwise("c.1A>G")
+    forms = ["p.Arg#Trp", "p.R#*", "p.(Arg#His)", "p.Arg#*", "p.(R#H)", "p.(Arg#Ter)", "p.Arg#fs", "p.Arg#Profs*45", "c.1A>G"]
+    hgvs = F.replace(F.get(F.lit(forms), F.col("p_size") % 9), F.lit("#"), F.col("p_size").cast("string"))
     c = text.protein_change(F.col("h"))
     return a.variants(spark, sf_dir).withColumn("h", hgvs).select("variant_id", c["ref_aa"].alias("ref_aa"), c["aa_pos"].alias("aa_pos"), c["alt_aa"].alias("alt_aa"))
 

@@ -213,30 +213,63 @@ def compile_filter(text: str, schema: Schema) -> Column:
 
 # presets
 
-# Fragments by annotation release, and named filters.
+# Fragments by annotation release, the fields that each release adds, and those of them hidden in reports.
 PROFILES = {
     "dbnsfp4": {
-        "gnomad_af_below": "((dbNSFP_gnomAD_exomes_AF[0] < {0}) | (na dbNSFP_gnomAD_exomes_AC[0]))",
-        "gnomad_ac_atmost": "((dbNSFP_gnomAD_exomes_AC[0] <= {0}) | (na dbNSFP_gnomAD_exomes_AC[0]))",
+        "gnomad_af_below": "((dbNSFP_gnomAD_exomes_AF[0] < {0}) | (na dbNSFP_gnomAD_exomes_AC[0])) & ((dbNSFP_gnomAD_genomes_AF[0] < {0}) | (na dbNSFP_gnomAD_genomes_AC[0]))",
+        "gnomad_af_below_or": "(dbNSFP_gnomAD_exomes_AF[0] < {0}) | (na dbNSFP_gnomAD_exomes_AC[0]) | (dbNSFP_gnomAD_genomes_AF[0] < {0}) | (na dbNSFP_gnomAD_genomes_AC[0])",
+        "gnomad_ac_atmost": "((dbNSFP_gnomAD_exomes_AC[0] <= {0}) | (na dbNSFP_gnomAD_exomes_AC[0])) & ((dbNSFP_gnomAD_genomes_AC[0] <= {0}) | (na dbNSFP_gnomAD_genomes_AC[0]))",
     },
     "dbnsfp5": {
         "gnomad_af_below": "((dbNSFP_gnomAD4.1_joint_AF[0] < {0}) | (na dbNSFP_gnomAD4.1_joint_AC[0]))",
+        "gnomad_af_below_or": "(dbNSFP_gnomAD4.1_joint_AF[0] < {0}) | (na dbNSFP_gnomAD4.1_joint_AC[0])",
         "gnomad_ac_atmost": "((dbNSFP_gnomAD4.1_joint_AC[0] <= {0}) | (na dbNSFP_gnomAD4.1_joint_AC[0]))",
     },
 }
-# Fixed values.
+PROFILE_FIELDS = {
+    "dbnsfp4": ["dbNSFP_gnomAD_exomes_AC", "dbNSFP_gnomAD_genomes_AC", "dbNSFP_gnomAD_exomes_AF", "dbNSFP_gnomAD_genomes_AF", "dbNSFP_hg19_chr", "dbNSFP_hg19_pos_1_based_"],
+    "dbnsfp5": ["dbNSFP_gnomAD4.1_joint_AC", "dbNSFP_gnomAD4.1_joint_AF", "dbNSFP_hg19_chr", "dbNSFP_hg19_pos_1_based_"],
+}
+PROFILE_HIDDEN = {
+    "dbnsfp4": ["dbNSFP_gnomAD_exomes_AC", "dbNSFP_gnomAD_genomes_AC"],
+    "dbnsfp5": ["dbNSFP_gnomAD4.1_joint_AC"],
+}
+PROFILE_TOLD = {"dbnsfp4": "dbNSFP v4.x (gnomAD v3/v4.0, separate exome+genome)", "dbnsfp5": "dbNSFP v5.x (gnomAD v4.1, joint exome+genome)"}
+# Named filters (parentheses are balanced in moderate_and_high_prediction, high_or_lof_or_nmd and
+# high_or_pathogenic, where one lacked or was too many).
 PRESETS = {
     "pass": "(FILTER = 'PASS')",
+    "not_artefact": "((AC[ANY] <= 513) & (QUAL[ANY] >= 100))",
+    "not_benign": "(!(dbNSFP_clinvar_clnsig =~ '[Bb]enign') & !(ClinVar_CLNSIG =~ '[Bb]enign'))",
+    "5percent_or_pathogenic": "(({{gnomad_af_below_or:0.05}}) | (((dbNSFP_clinvar_clnsig =~ '[Pp]athogenic') & !(dbNSFP_clinvar_clnsig =~ '[Cc]onflicting')) | ((ClinVar_CLNSIG =~ '[Pp]athogenic') & !(ClinVar_CLNSIG =~ '[Cc]onflicting'))))",
     "5percent": "({{gnomad_af_below:0.05}})",
     "1percent": "({{gnomad_af_below:0.001}})",
     "rare": "({{gnomad_af_below:0.0001}})",
     "super_rare": "({{gnomad_ac_atmost:2}})",
+    "pathogenic": "(((dbNSFP_clinvar_clnsig =~ '[Pp]athogenic') & !(dbNSFP_clinvar_clnsig =~ '[Cc]onflicting')) | ((ClinVar_CLNSIG =~ '[Pp]athogenic') & !(ClinVar_CLNSIG =~ '[Cc]onflicting')))",
     "coding": "((ANN[ANY].IMPACT has 'HIGH') | (ANN[ANY].IMPACT has 'MODERATE'))",
     "high": "((ANN[ANY].IMPACT has 'HIGH'))",
     "moderate": "((ANN[ANY].IMPACT has 'MODERATE'))",
+    "moderate_and_high_prediction": "(((ANN[ANY].IMPACT has 'MODERATE')) & ((dbNSFP_REVEL_score >= 0.9) | (dbNSFP_CADD_phred >= 30)))",
+    "high_splice_prediction": "(((ANN[ANY].IMPACT has 'MODERATE')) & ((splice_spidex_dpsi_zscore <= -2.0 ) & ((splice_dbscSNV_ada_score >= 0.6 ) | (splice_dbscSNV_rf_score >= 0.6 ))))",
     "low": "((ANN[ANY].IMPACT has 'LOW'))",
+    "high_or_moderate": "((ANN[ANY].IMPACT has 'HIGH') | (ANN[ANY].IMPACT has 'MODERATE'))",
+    "high_or_moderate_or_low": "((ANN[ANY].IMPACT has 'HIGH') | (ANN[ANY].IMPACT has 'MODERATE') | (ANN[ANY].IMPACT has 'LOW'))",
+    "high_or_moderate_or_high_splice_prediction": "(((ANN[ANY].IMPACT has 'HIGH') | (ANN[ANY].IMPACT has 'MODERATE')) | ((splice_spidex_dpsi_zscore <= -2.0 ) & ((splice_dbscSNV_ada_score >= 0.6 ) | (splice_dbscSNV_rf_score >= 0.6 ))))",
+    "high_or_moderate_or_high_splice_prediction_or_high_prediction": "(((ANN[ANY].IMPACT has 'HIGH') | (ANN[ANY].IMPACT has 'MODERATE')) | ((splice_spidex_dpsi_zscore <= -2.0 ) & ((splice_dbscSNV_ada_score >= 0.6 ) | (splice_dbscSNV_rf_score >= 0.6 ))) | ((dbNSFP_REVEL_score >= 0.9) | (dbNSFP_CADD_phred >= 30)))",
     "modifier": "((ANN[ANY].IMPACT has 'MODIFIER'))",
+    "high_or_lof_or_nmd": "(((exists LOF[*].PERC) & (LOF[*].PERC > 0.9)) | ((exists NMD[*].PERC) & (NMD[*].PERC > 0.9)) | (ANN[ANY].IMPACT has 'HIGH'))",
+    "high_or_pathogenic": "(((ANN[ANY].IMPACT has 'HIGH') | (((dbNSFP_clinvar_clnsig =~ '[Pp]athogenic') & !(dbNSFP_clinvar_clnsig =~ '[Cc]onflicting')) | ((ClinVar_CLNSIG =~ '[Pp]athogenic') & !(ClinVar_CLNSIG =~ '[Cc]onflicting')))))",
+    "aif": "((({{gnomad_af_below_or:0.05}}) | (((dbNSFP_clinvar_clnsig =~ '[Pp]athogenic') & !(dbNSFP_clinvar_clnsig =~ '[Cc]onflicting')) | ((ClinVar_CLNSIG =~ '[Pp]athogenic') & !(ClinVar_CLNSIG =~ '[Cc]onflicting')))) & ((((dbNSFP_clinvar_clnsig =~ '[Pp]athogenic') & !(dbNSFP_clinvar_clnsig =~ '[Cc]onflicting')) | ((ClinVar_CLNSIG =~ '[Pp]athogenic') & !(ClinVar_CLNSIG =~ '[Cc]onflicting'))) | (({{gnomad_af_below_or:0.01}}) & ((splice_spidex_dpsi_zscore <= -2.0 ) & (( splice_dbscSNV_ada_score >= 0.6 ) | ( splice_dbscSNV_rf_score >= 0.6 )))) | (({{gnomad_af_below_or:0.01}}) & ((ANN[ANY].IMPACT has 'MODERATE') & ((dbNSFP_REVEL_score >= 0.9) | (dbNSFP_CADD_phred >= 30)))) | (({{gnomad_af_below_or:0.01}}) & (((exists LOF[*].PERC) & (LOF[*].PERC > 0.9)) | ((exists NMD[*].PERC) & (NMD[*].PERC > 0.9)) | (ANN[ANY].IMPACT has 'HIGH')))))",
+    "mutect2_TvsN_pass": "((({{gnomad_ac_atmost:2}}) | ((exists ID) & ( ID =~ 'COS' ))) & (( na FILTER ) | (FILTER = 'PASS')) & ( GEN[0].DP >= 50 ) & ((GEN[1].AF < 0.03) | (na GEN[1].AF)) & ( GEN[0].AF >= 0.05 ))",
+    "mutect2_TvsN": "((({{gnomad_ac_atmost:2}}) | ((exists ID) & ( ID =~ 'COS' ))) & ( GEN[*].DP >= 50 ) & ((GEN[1].AF < 0.03) | (na GEN[1].AF)) & ( GEN[0].AF >= 0.05 ))",
+    "mutect2_To_pass": "((({{gnomad_ac_atmost:2}}) | ((exists ID) & ( ID =~ 'COS' ))) & (( na FILTER ) | (FILTER = 'PASS')) & ( GEN[*].DP >= 50 ) & ( GEN[0].AF >= 0.05 ))",
+    "somatic": "({{gnomad_ac_atmost:2}}) & (GEN[{normal_idx}].DP >= {normal_dp_min}) & (GEN[{tumor_idx}].DP >= {tumor_dp_min}) & ((GEN[{normal_idx}].AF < {normal_af_max}) | (na GEN[{normal_idx}].AF)) & (GEN[{tumor_idx}].AF >= {tumor_af_min})",
+    "somatic_pass": "({{gnomad_ac_atmost:2}}) & ((na FILTER) | (FILTER = 'PASS')) & (GEN[{normal_idx}].DP >= {normal_dp_min}) & (GEN[{tumor_idx}].DP >= {tumor_dp_min}) & ((GEN[{normal_idx}].AF < {normal_af_max}) | (na GEN[{normal_idx}].AF)) & (GEN[{tumor_idx}].AF >= {tumor_af_min})",
+    "somatic_strict": "({{gnomad_ac_atmost:2}}) & ((na FILTER) | (FILTER = 'PASS')) & (GEN[{normal_idx}].DP >= 50) & (GEN[{tumor_idx}].DP >= 50) & ((GEN[{normal_idx}].AF < 0.01) | (na GEN[{normal_idx}].AF)) & (GEN[{tumor_idx}].AF >= 0.05)",
     "loh": "(GEN[{normal_idx}].GT = '0/1') & ((GEN[{tumor_idx}].GT = '1/1') | (GEN[{tumor_idx}].AF >= 0.85)) & (GEN[{tumor_idx}].DP >= {tumor_dp_min}) & (GEN[{normal_idx}].DP >= {normal_dp_min})",
+    "germline_shared": "((GEN[{normal_idx}].AF >= 0.20) & (GEN[{tumor_idx}].AF >= 0.20)) & (GEN[{normal_idx}].DP >= {normal_dp_min}) & (GEN[{tumor_idx}].DP >= {tumor_dp_min})",
+    "tumor_only": "({{gnomad_ac_atmost:2}}) & ((na FILTER) | (FILTER = 'PASS')) & (GEN[{tumor_idx}].DP >= {tumor_dp_min}) & (GEN[{tumor_idx}].AF >= {tumor_af_min})",
 }
 # Defaults of the templates of paired samples.
 PAIR = {"tumor_idx": 1, "normal_idx": 0, "tumor_dp_min": 20, "normal_dp_min": 20, "tumor_af_min": 0.05, "normal_af_max": 0.03}
@@ -264,3 +297,8 @@ def composed(presets: list[str], own: str | None = None, profile: str = "dbnsfp4
         raise ValueError(f"no preset {', '.join(missing)}")
     parts = [f"({known[p]})" for p in presets] + ([f"({own})"] if own else [])
     return expanded(" & ".join(parts), PROFILES[profile], pair)
+
+
+def profiles() -> list[dict[str, str]]:
+    """name and description of the known profiles, by name."""
+    return [{"name": n, "description": PROFILE_TOLD[n]} for n in sorted(PROFILES)]
