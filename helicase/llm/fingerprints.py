@@ -38,8 +38,10 @@ SAMPLES = 64
 SHINGLE = 5
 TABLE_BITS = 12
 #: Samples that are computed in one row.
-BLOCK = 8
+BLOCK = 16
 TABLES = ("re", "rd", "ce", "cd")
+#: A shingle of more code points weighs as one of these; they are the lower bits of a term, a hash its upper ones.
+MOST_LENGTH = (1 << 16) - 1
 #: Cells of the table at its low end in which c is computed.
 LOW_CELLS = 16
 MOST_BUCKETS = 65_536
@@ -115,7 +117,7 @@ def packed_sample(term: Column, log_weight: Column, k: Column) -> Column:
     log_a = log_c - r * (t - b + F.lit(1.0))
     # the least a of 2**40 terms of weight 2**40 is about exp(-56), and ln c - r (t - b + 1) is at most ln c
     rank = ((F.greatest(log_a, F.lit(-100.0)) + F.lit(101.0)) * F.lit(float(1 << 23))).cast("bigint")
-    code = term.bitwiseXOR(F.shiftleft(t, 7)).bitwiseAND(F.lit((1 << 32) - 1))
+    code = F.shiftrightunsigned(term, 16).bitwiseXOR(F.shiftleft(t, 7)).bitwiseAND(F.lit((1 << 32) - 1))
     return F.shiftleft(rank, 32).bitwiseOR(code)
 
 
@@ -132,7 +134,7 @@ def at_most(key: Column, bounds: list[int], df: DataFrame, name: str) -> DataFra
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """bucket, seq, ghost, doc_id, text, next_text: every document with the text of the next by doc_id.
+    """bucket, row, ghost, doc_id, text, next_text: every document with the text of the next by doc_id.
 
     Rows with ghost stand for the first documents of the following bucket; the caller drops them at the end.
     """
@@ -168,15 +170,15 @@ def with_next(docs: DataFrame) -> DataFrame:
     order = Window.partitionBy("bucket").orderBy("sort_key", "ghost", "hash", "text")
     placed = placed.withColumn("sort_key", last)
     return placed.select(
-        "bucket", F.row_number().over(order).alias("seq"), "ghost", "doc_id", "text", F.coalesce(F.lead("text").over(order), F.lit("")).alias("next_text")
+        "bucket", F.row_number().over(order).alias("row"), "ghost", "doc_id", "text", F.coalesce(F.lead("text").over(order), F.lit("")).alias("next_text")
     )
 
 
 def fingerprints(pairs: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """Of rows with bucket, seq, ghost, doc_id, n_chars, edited_raw, text, edited and front (the common front, whose
-    last word may go on differently): the signatures of text and edited as arrays a and b of codes (null: no term)."""
+    """Of rows with bucket, row (a number inside the bucket), text, edited and front (the common front, whose last word may
+    go on differently): bucket, row and the signatures of text and edited as arrays a and b of codes (null: no term)."""
     whole = F.coalesce(F.size(words(F.col("front"))), F.lit(0)) - 1
-    rows = pairs.select("bucket", "seq", "ghost", "doc_id", "n_chars", "edited_raw", words(F.col("text")).alias("w"), words(F.col("edited")).alias("e"), whole.alias("whole"))
+    rows = pairs.select("bucket", "row", words(F.col("text")).alias("w"), words(F.col("edited")).alias("e"), whole.alias("whole"))
     # a trailing empty word comes from white space at the end
     n_w, n_e = (F.coalesce(F.size(c) - F.when(F.get(c, F.size(c) - 1) == "", 1).otherwise(0), F.lit(0)) for c in (F.col("w"), F.col("e")))
     rows = rows.withColumns({"nw": n_w, "ne": n_e, "whole": F.greatest("whole", F.lit(0))})
@@ -187,36 +189,39 @@ def fingerprints(pairs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         F.when(F.col("nw") > 0, F.sequence(F.lit(0), last_w)).otherwise(none),
         F.when((F.col("ne") > 0) & (last_e >= start_e), F.sequence(-1 - last_e, -1 - start_e)).otherwise(none),
     )
-    key = ["bucket", "seq", "ghost", "doc_id", "n_chars", "edited_raw"]
-    rows = rows.select(*key, "w", "e", "nw", "ne", "whole", starts.alias("starts"))
-    rows = rows.select(*key, "w", "e", "nw", "ne", "whole", F.explode_outer("starts").alias("i"))
+    rows = rows.select("bucket", "row", "w", "e", "nw", "ne", "whole", starts.alias("starts"))
+    rows = rows.select("bucket", "row", "w", "e", "nw", "ne", "whole", F.explode_outer("starts").alias("i"))
 
     def at(j: int) -> Column:
         in_w, in_e = F.col("i") + F.lit(j), F.lit(-1 + j) - F.col("i")
         return F.when(F.col("i") >= 0, F.when(in_w < F.col("nw"), F.get("w", in_w))).otherwise(F.when(in_e < F.col("ne"), F.get("e", in_e)))
 
-    rows = rows.select(*key, "whole", "i", *(at(j).alias(f"t{j}") for j in range(SHINGLE)))
+    rows = rows.select("bucket", "row", "whole", "i", *(at(j).alias(f"t{j}") for j in range(SHINGLE)))
     parts = [F.col(f"t{j}") for j in range(SHINGLE)]
-    weight = sum((F.coalesce(F.length(p), F.lit(0)) for p in parts[1:]), F.length(parts[0]))
-    kind = F.when(F.col("i") < 0, 2).when(F.col("i") + F.lit(SHINGLE) <= F.col("whole"), 1).otherwise(0)
-    rows = rows.select(*key, kind.alias("kind"), F.when(F.col("i").isNotNull(), F.xxhash64(*parts)).alias("term"), weight.alias("weight"))
-    rows = rows.groupBy(*key, "term").agg(F.max("weight").alias("weight"), F.count_if(F.col("kind") <= 1).alias("na"), F.count_if(F.col("kind") >= 1).alias("nb"))
-    held = lambda kind, times: F.struct(F.lit(kind).alias("kind"), F.col(times).alias("times"))
-    ways = F.when(F.col("na") == F.col("nb"), F.array(held(1, "na"))).when(F.col("nb") == 0, F.array(held(0, "na"))).when(F.col("na") == 0, F.array(held(2, "nb")))
+    length = sum((F.coalesce(F.length(p), F.lit(0)) for p in parts[1:]), F.length(parts[0]))
+    # the rows to count are many, so they are small: a term carries its length, the two counts share a number
+    term = F.xxhash64(*parts).bitwiseAND(F.lit(~MOST_LENGTH)).bitwiseOR(F.least(length, F.lit(MOST_LENGTH)).cast("bigint"))
+    in_text, in_edited = F.col("i").isNull() | (F.col("i") >= 0), (F.col("i") < 0) | (F.col("i") + F.lit(SHINGLE) <= F.col("whole"))
+    held = F.when(in_text, F.lit(1)).otherwise(F.lit(0)) + F.when(in_edited, F.lit(1 << 32)).otherwise(F.lit(0))
+    rows = rows.select("bucket", "row", F.when(F.col("i").isNotNull(), term).alias("term"), held.alias("held"))
+    rows = rows.groupBy("bucket", "row", "term").agg(F.sum("held").alias("held"))
+    rows = rows.select("bucket", "row", "term", F.col("held").bitwiseAND(F.lit((1 << 32) - 1)).alias("na"), F.shiftrightunsigned("held", 32).alias("nb"))
+    way = lambda kind, times: F.struct(F.lit(kind).alias("kind"), F.col(times).alias("times"))
+    ways = F.when(F.col("na") == F.col("nb"), F.array(way(1, "na"))).when(F.col("nb") == 0, F.array(way(0, "na"))).when(F.col("na") == 0, F.array(way(2, "nb")))
     there = F.col("bucket").isNotNull() & (F.col("bucket") >= 0)
-    rows = rows.select(*key, "term", "weight", *tables(there), ways.otherwise(F.array(held(0, "na"), held(2, "nb"))).alias("ways"))
-    rows = rows.select(*key, "term", "weight", *TABLES, F.inline("ways"))
+    rows = rows.select("bucket", "row", "term", *tables(there), ways.otherwise(F.array(way(0, "na"), way(2, "nb"))).alias("ways"))
+    rows = rows.select("bucket", "row", "term", *TABLES, F.inline("ways"))
     # a term becomes a row for each block of samples, so that expressions are planned and compiled for one block only
-    weight = F.ln((F.col("weight") * F.col("times")).cast("double")).alias("lw")
-    rows = rows.select(*key, "kind", "term", *TABLES, weight, F.explode(F.sequence(F.lit(0), F.lit(samples // BLOCK - 1))).alias("block"))
+    weight = F.ln((F.col("term").bitwiseAND(F.lit(MOST_LENGTH)) * F.col("times")).cast("double")).alias("lw")
+    rows = rows.select("bucket", "row", "kind", "term", *TABLES, weight, F.explode(F.sequence(F.lit(0), F.lit(samples // BLOCK - 1))).alias("block"))
     least = [F.min(packed_sample(F.col("term"), F.col("lw"), F.col("block") * BLOCK + F.lit(j))).alias(f"m{j}") for j in range(BLOCK)]
-    by_kind = rows.groupBy(*key, "kind", "block").agg(*least)
+    by_kind = rows.groupBy("bucket", "row", "kind", "block").agg(*least)
     code = F.lit((1 << 32) - 1)
     both = [F.min(F.when(of, F.col(f"m{j}"))).bitwiseAND(code).alias(f"{c}{j}") for c, of in (("a", F.col("kind") <= 1), ("b", F.col("kind") >= 1)) for j in range(BLOCK)]
-    by_block = by_kind.groupBy(*key, "block").agg(*both)
+    by_block = by_kind.groupBy("bucket", "row", "block").agg(*both)
     block = F.struct("block", *(F.array(*(F.col(f"{c}{j}") for j in range(BLOCK))).alias(c) for c in "ab"))
-    found = by_block.groupBy(*key).agg(F.array_sort(F.collect_list(block)).alias("blocks"))
-    return found.select(*key, *(F.flatten(F.col("blocks")[c]).alias(c) for c in "ab"))
+    found = by_block.groupBy("bucket", "row").agg(F.array_sort(F.collect_list(block)).alias("blocks"))
+    return found.select("bucket", "row", *(F.flatten(F.col("blocks")[c]).alias(c) for c in "ab"))
 
 
 def likeness(x: Column, y: Column, samples: int = SAMPLES) -> Column:
@@ -233,11 +238,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     rows = rows.withColumn("front", F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - cut))
     rows = rows.withColumn("edited", F.concat(F.col("front"), F.substring(F.col("next_text"), F.lit(1), cut)))
-    rows = rows.withColumn("edited_raw", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)))
-    found = fingerprints(rows)
-    following = F.lead("a").over(Window.partitionBy("bucket").orderBy("seq"))
-    found = found.withColumn("next", following).where(~F.col("ghost"))
-    return found.select(
-        "doc_id", "n_chars", F.lower(F.hex("edited_raw")).alias("edited_sha256"), as_text(F.col("a")).alias("fingerprint"), as_text(F.col("b")).alias("edited_fingerprint"),
+    found = fingerprints(rows).withColumn("next", F.lead("a").over(Window.partitionBy("bucket").orderBy("row")))
+    found = found.select(
+        "bucket", "row", as_text(F.col("a")).alias("fingerprint"), as_text(F.col("b")).alias("edited_fingerprint"),
         likeness(F.col("a"), F.col("b")).alias("near_edited"), likeness(F.col("a"), F.col("next")).alias("near_next"),
     )
+    # the documents' own columns join what their terms gave: narrow rows on both sides
+    own = rows.where(~F.col("ghost")).select("bucket", "row", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    return own.hint("merge").join(found, ["bucket", "row"]).drop("bucket", "row")

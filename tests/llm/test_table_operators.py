@@ -105,6 +105,7 @@ def sampled(text, k):
         h = 42
         for word in term:
             h = xxhash.xxh64_intdigest(word.encode(), h)
+        h = h & ~0xFFFF | sum(map(len, term))
         own = xxhash.xxh64_intdigest(k.to_bytes(4, "little"), xxhash.xxh64_intdigest(h.to_bytes(8, "little"), 42))
         more, fine = (xxhash.xxh64_intdigest(x.to_bytes(4, "little"), own) for x in (1, 2))
         ri, ci = bits(own, 0, 12), bits(own, 12, 12)
@@ -113,7 +114,7 @@ def sampled(text, k):
         c = gamma_at((ci + ((fine >> 12) + 0.5) * 2.0**-52) / 4096 if ci < fingerprints.LOW_CELLS else (ci + (bits(own, 54, 10) + 0.5) / 1024) / 4096)
         b = bits(own, 24, 20) * 2.0**-20
         t = math.floor(math.log(weight) / r + b)
-        found = (math.log(c) - r * (t - b + 1), (h ^ (t << 7)) & 0xFFFFFFFF)
+        found = (math.log(c) - r * (t - b + 1), ((h >> 16) ^ (t << 7)) & 0xFFFFFFFF)
         best = found if best is None else min(best, found)
     return best[1]
 
