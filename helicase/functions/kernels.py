@@ -25,6 +25,9 @@ class Null:
     variance: np.ndarray
     binary: bool
 
+    def observed(self) -> np.ndarray:
+        return self.y
+
 
 def fit_null(y: np.ndarray, covariates: np.ndarray | None = None, binary: bool = True) -> Null:
     x = np.ones((len(y), 1)) if covariates is None else np.column_stack([np.ones(len(y)), covariates])
@@ -83,6 +86,14 @@ def burden_score(null: Null, g: np.ndarray, w: np.ndarray) -> float:
     return dist.chi2_sf(float(b[:, 0] @ null.residual) ** 2 / var, 1) if var > 0 else math.nan
 
 
+def collapsed_score(null: Null, g: np.ndarray, w: np.ndarray) -> float:
+    """The score test of the weighted sum of variants with the variance that kernel programs give it alone: covariates are
+    not taken out of the sum, and a binary trait counts with variance one, so the test is conservative."""
+    b = g @ w
+    var = float(b @ b) * (1.0 if null.binary else float(null.variance[0]))
+    return dist.chi2_sf(float(b @ null.residual) ** 2 / var, 1) if var > 0 else math.nan
+
+
 def _moments(lam: np.ndarray) -> tuple[float, float, float]:
     """Mean, standard deviation and degrees of freedom of the matching chi-squared."""
     c1, c2, c3, c4 = (float((lam**k).sum()) for k in (1, 2, 3, 4))
@@ -117,28 +128,68 @@ def skat_o(null: Null, g: np.ndarray, w: np.ndarray) -> tuple[float, float]:
     least = min(ps)
     if not least > 0:
         return least, rhos[ps.index(least)]
-    points = []
-    for mean, sd, df in shapes:
-        points.append((dist.chi2_isf(least, df) - df) / math.sqrt(2 * df) * sd + mean)
-    mid = z.mean(1)
-    mm = float(mid @ mid)
-    cof = z.T @ mid / mm
-    along = np.outer(mid, cof)
-    rest = z - along
-    lam = _gram(rest)
-    remain = 4 * float(((along.T @ along) * (rest.T @ rest)).sum())
-    mean, var = float(lam.sum()), 2 * float((lam**2).sum()) + remain
-    tau = [mm * (p * p * r + float((cof**2).sum()) * (1 - r)) for r in rhos]
-    x, weight = NODES
-    nodes, shares = 20 * (x + 1), 20 * weight
-    level = np.min([(pt - t * nodes) / (1 - r) for pt, t, r in zip(points, tau, rhos, strict=True)], axis=0)
-    q = (level - mean) * math.sqrt(max(var - remain, 0)) / math.sqrt(var) + mean
-    beyond = np.where(level > mean * 1e4, 0.0, 1.0)
-    inner = (q > 0) & (level > 0) & (level <= mean * 1e4)
-    if inner.any():
-        beyond[inner] = np.clip(quadform.p_values(q[inner], lam), 0, 1)
-    total = float((shares * (1 - beyond) * np.exp(-nodes / 2) / np.sqrt(2 * math.pi * nodes)).sum())
-    return min(max(1 - total, 0.0) or least, least * len(rhos)), rhos[ps.index(least)]
+    # the quantile of each mixture at the least p
+    points = np.array([mean + sd * (dist.chi2_isf(least, df) - df) / math.sqrt(2 * df) for mean, sd, df in shapes])
+    pairs = SharedDirection.of(z)
+    shares = np.array([1 - r for r in rhos])
+    along = np.array([pairs.along(r) for r in rhos])
+    beyond = pairs.beyond(lambda u: np.min((points[:, None] - along[:, None] * u) / shares[:, None], axis=0))
+    return min(beyond if beyond > 0 else least, least * len(rhos)), rhos[ps.index(least)]
+
+
+@dataclass
+class SharedDirection:
+    """What all mixtures have in common: the mean direction of the roots, whose square is a chi-squared variable u, and the
+    rest of each root, a quadratic form with weights lam and a further variance from what still ties it to the direction."""
+
+    variants: int
+    length: float
+    loading: float
+    lam: np.ndarray
+    tied: float
+
+    @classmethod
+    def of(cls, z: np.ndarray) -> SharedDirection:
+        direction = z.mean(1)
+        length = float(direction @ direction)
+        if not length > 0:
+            return cls(z.shape[1], 0.0, 0.0, _gram(z), 0.0)
+        on = direction @ z / length
+        rest = z - direction[:, None] * on
+        # on the direction and off it the roots' products add up to the variance of their mixed terms
+        tied = 4 * length * float(on @ (rest.T @ rest) @ on)
+        return cls(z.shape[1], length, float(on @ on), _gram(rest), tied)
+
+    def along(self, rho: float) -> float:
+        """How much of a mixture's statistic a unit of u brings."""
+        return self.length * (self.variants**2 * rho + self.loading * (1 - rho))
+
+    def beyond(self, level) -> float:
+        """The chance that the rest exceeds level(u), over u; where inversion fails, by its matching chi-squared."""
+        mean, pure = float(self.lam.sum()), 2 * float((self.lam**2).sum())
+        var = pure + self.tied
+        nodes, weights = 20 * (NODES[0] + 1), 20 * NODES[1]
+        weights = weights * np.exp(-nodes / 2) / np.sqrt(2 * math.pi * nodes)
+        at = level(nodes)
+        inside = (at > 0) & (at <= mean * 1e4)
+        upper = np.where(at > mean * 1e4, 0.0, 1.0)
+        if inside.any():
+            scaled = (at[inside] - mean) * math.sqrt(pure / var) + mean if var > 0 else at[inside]
+            found = np.where(scaled > 0, quadform.p_values(np.maximum(scaled, 1e-300), self.lam), 1.0)
+            if not np.isfinite(found).all():
+                return self.matched(level)
+            upper[inside] = np.clip(found, 0, 1)
+        return max(1 - float((weights * (1 - upper)).sum()), 0.0)
+
+    def matched(self, level) -> float:
+        """The same with the rest as a chi-squared variable of its mean, variance and kurtosis, on finer nodes."""
+        c2, c4 = float((self.lam**2).sum()), float((self.lam**4).sum())
+        mean, var, df = float(self.lam.sum()), 2 * c2 + self.tied, c2**2 / c4
+        x, w = np.polynomial.legendre.leggauss(512)
+        u = 20 * (x + 1)
+        scaled = (level(u) - mean) / math.sqrt(var) * math.sqrt(2 * df) + df
+        below = np.array([1 - dist.chi2_sf(max(s, 0.0), df) for s in scaled])
+        return max(1 - float((20 * w * below * np.exp(-u / 2) / np.sqrt(2 * math.pi * u)).sum()), 0.0)
 
 
 def per_variant(null: Null, g: np.ndarray, w: np.ndarray) -> float | None:
@@ -156,8 +207,9 @@ def allelic_series(null: Null, g: np.ndarray, category: np.ndarray, by: tuple[fl
     weights of category and frequency, and their combination, in which SKAT-O has the weight of the six."""
     keep = np.isin(category, (1, 2, 3)) & (g.sum(0) > 0)
     g, category = g[:, keep], category[keep]
-    if not g.shape[1]:
-        return {"p": None}
+    absent = [name for k, name in ((1, "BMV"), (2, "DMV"), (3, "PTV")) if not (category == k).any()]
+    if len(absent) == 3:
+        return {"p": None, "status": "skipped", "reason": "ALL_CATEGORIES_EMPTY"}
     counts = np.column_stack([g[:, category == k].sum(1) for k in (1, 2, 3)])
     out: dict[str, float | None] = {}
     scale = np.array(by)
@@ -168,5 +220,6 @@ def allelic_series(null: Null, g: np.ndarray, category: np.ndarray, by: tuple[fl
     aaf = np.clip(g.mean(0) / 2, 1e-8, 1 - 1e-8)
     out["allelic_skat"] = skat_o(null, g, np.sqrt(scale[category - 1] / (aaf * (1 - aaf))))[0]
     ps = [None if v is None or math.isnan(v) else v for v in out.values()]
+    out["status"], out["reason"] = ("partial", f"MISSING_{'_'.join(absent)}") if absent else ("complete", "")
     out["p"] = cauchy(ps, [1.0] * 6 + [6.0])
     return out

@@ -44,12 +44,15 @@ def parse_spec(spec: str) -> tuple[str, float, float]:
 
 
 def by_spec(spec: str, maf: Column, phred: Column | None = None, score: Column | None = None) -> Column:
+    """Weights by their specification; cadd and revel without a column of scores raise, combined takes what there is."""
     name, a, b = parse_spec(spec)
+    if (name == "cadd" and phred is None) or (name == "revel" and score is None):
+        raise ValueError(f"weights {spec} need a column of {name} scores")
     if name == "uniform":
         return uniform()
-    if name == "cadd" and phred is not None:
+    if name == "cadd":
         return cadd(maf, phred, 40.0, a, b)
-    if name == "revel" and score is not None:
+    if name == "revel":
         return revel(maf, score, a, b)
     if name == "combined":
         return combined(maf, phred, score)

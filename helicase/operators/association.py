@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from helicase.functions import dist, kernels, regress, weights
 from helicase.functions.text import PTV_EFFECTS
-from helicase.operators.burden import fisher, gene_counts, cohort_sizes, odds
-from helicase.operators.correction import benjamini_hochberg, cauchy, qq, weighted
+from helicase.operators.burden import checked, cohort_sizes, fisher, gene_counts, odds
+from helicase.operators.correction import benjamini_hochberg, bonferroni, cauchy, qq, weighted
 
-RESULT = "gene string, test string, p_value double, effect double, se double, ci_lower double, ci_upper double, warnings string"
+RESULT = "gene string, test string, p_value double, effect double, se double, ci_lower double, ci_upper double, warnings string, status string"
 
 
 def site_filter(calls: DataFrame, n_samples: int, most_missing: float = 0.10) -> DataFrame:
@@ -103,19 +103,49 @@ def _p_only(f: Callable) -> Callable:
     return lambda null, g, w, cat: {"p_value": f(null, g, w, cat), "warnings": ""}
 
 
+def coast(null: kernels.Null, g: np.ndarray, _: np.ndarray, category: np.ndarray) -> dict:
+    found = kernels.allelic_series(null, g, category)
+    return {"p_value": found["p"], "warnings": found["reason"], "status": found["status"]}
+
+
 #: Tests by name; each takes (null model, genotypes, weights, categories).
 TESTS: dict[str, Callable] = {
     "logistic_burden": logistic_burden,
     "linear_burden": linear_burden,
     "skat": _p_only(lambda null, g, w, _: kernels.skat(null, g, w)[0]),
     "skato": _p_only(lambda null, g, w, _: kernels.skat_o(null, g, w)[0]),
+    "burden": _p_only(lambda null, g, w, _: kernels.collapsed_score(null, g, w)),
     "acat_v": _p_only(lambda null, g, w, _: kernels.per_variant(null, g, w)),
-    "coast": _p_only(lambda null, g, _, cat: kernels.allelic_series(null, g, cat)["p"]),
+    "coast": coast,
 }
+#: Other names of tests.
+ALIASES = {"skat_python": "skat", "skat_o": "skato"}
+
+
+def test_names(tests: list[str]) -> list[str]:
+    """Known names, once each; unknown ones raise."""
+    found = list(dict.fromkeys(ALIASES.get(t, t) for t in tests))
+    unknown = [t for t in found if t not in TESTS and t != "fisher"]
+    if unknown:
+        raise ValueError(f"no test {', '.join(unknown)}; known: {', '.join(sorted({*TESTS, 'fisher', *ALIASES}))}")
+    return found
+
+
+def backend(name: str = "auto") -> str:
+    """What computes kernel tests: this engine for python and auto; others raise."""
+    if name not in ("python", "auto"):
+        raise ValueError(f"no backend {name}: python and auto are known")
+    return "python"
+
+
+def without(null: kernels.Null, keep: np.ndarray) -> kernels.Null:
+    """The null model of some samples only, fitted anew."""
+    return kernels.fit_null(null.observed()[keep], null.x[keep][:, 1:] if null.x.shape[1] > 1 else None, null.binary)
 
 
 def test_genes(calls: DataFrame, null: kernels.Null, samples: list[str], tests: list[str]) -> DataFrame:
-    """Long results of calls (gene, variant_id, sample_id, dosage, weight, category) for the samples in their order."""
+    """Long results of calls (gene, variant_id, sample_id, dosage, weight, category and, optionally, masked) for the samples
+    in their order.  Samples that are masked in a gene are left out of it; its null model is then fitted without them."""
     unknown = [t for t in tests if t not in TESTS]
     if unknown:
         raise ValueError(f"no test {', '.join(unknown)}")
@@ -128,17 +158,22 @@ def test_genes(calls: DataFrame, null: kernels.Null, samples: list[str], tests:
         if not len(variants):
             return pd.DataFrame(columns=columns)
         gene, g = pdf["gene"].iloc[0], np.zeros((len(samples), len(variants)))
-        at = np.searchsorted(variants, pdf["variant_id"].to_numpy())
-        g[pdf["sample_id"].map(place).to_numpy(), at] = pdf["dosage"].to_numpy()
+        at, who = np.searchsorted(variants, pdf["variant_id"].to_numpy()), pdf["sample_id"].map(place).to_numpy()
+        g[who, at] = pdf["dosage"].to_numpy()
         w, cat = np.ones(len(variants)), np.zeros(len(variants), int)
         w[at], cat[at] = pdf["weight"].to_numpy(), pdf["category"].to_numpy()
+        model, masked = null, np.unique(who[pdf["masked"].to_numpy()])
+        if len(masked):
+            keep = np.setdiff1d(np.arange(len(samples)), masked)
+            model, g = without(null, keep), g[keep]
         rows = []
         for name in tests:
-            found = TESTS[name](null, g, w, cat)
+            found = TESTS[name](model, g, w, cat)
             rows.append({"gene": gene, "test": name, **{k: None for k in columns[2:]}, **found})
         return pd.DataFrame(rows, columns=columns)
 
-    return calls.select("gene", "variant_id", "sample_id", "dosage", "weight", "category").groupBy("gene").applyInPandas(run, RESULT)
+    rows = calls if "masked" in calls.columns else calls.withColumn("masked", F.lit(False))
+    return rows.select("gene", "variant_id", "sample_id", "dosage", "weight", "category", "masked").groupBy("gene").applyInPandas(run, RESULT)
 
 
 def fisher_results(calls: DataFrame, who: DataFrame) -> DataFrame:
@@ -147,38 +182,80 @@ def fisher_results(calls: DataFrame, who: DataFrame) -> DataFrame:
     rows = rows.withColumns({"c": F.lit(n_case) - F.col("a"), "d": F.lit(n_control) - F.col("b")})
     ratio, low, high = odds(F.col("a"), F.col("b"), F.col("c"), F.col("d"))
     rows = fisher(rows, "a", "b", "c", "d", "p_value")
-    return rows.select("gene", F.lit("fisher").alias("test"), "p_value", ratio.alias("effect"), F.lit(None).cast("double").alias("se"), low.alias("ci_lower"), high.alias("ci_upper"), F.lit("").alias("warnings"))
-
-
-def run_all(calls: DataFrame, who: DataFrame, tests: list[str], covariates: DataFrame | None = None, weight_spec: str = "beta:1,25", gene_weights: DataFrame | None = None, least_alleles: int = 5) -> DataFrame:
-    """One row per gene: <test>_pvalue and <test>_effect, the combined acat_o_pvalue, and its q-value (only that is corrected).
-
-    calls: gene, variant_id, sample_id, dosage and, if COAST runs, category; who: sample_id, is_case.
+    return rows.select("gene", F.lit("fisher").alias("test"), "p_value", ratio.alias("effect"), F.lit(None).cast("double").alias("se"), low.alias("ci_lower"), high.alias("ci_upper"), F.lit("").alias("warnings"), F.lit(None).cast("string").alias("status"))
+
+
+def observed(calls: DataFrame, n_samples: int, most_missing_site: float = 0.10, most_missing_sample: float = 0.80) -> DataFrame:
+    """calls of variants that few samples miss, with masked: whether the sample misses most of the gene's kept variants."""
+    kept = site_filter(calls, n_samples, most_missing_site)
+    mask = masked_samples(kept, most_missing_sample).withColumn("masked", F.lit(True))
+    return kept.join(mask, ["gene", "sample_id"], "left").withColumn("masked", F.coalesce("masked", F.lit(False)))
+
+
+def design(samples: list[str], covariates: DataFrame | None, components: DataFrame | None = None) -> np.ndarray | None:
+    """The covariates' and components' columns (numbers by sample_id) side by side in the samples' order; a sample without
+    a row in either raises."""
+    parts = []
+    for what, table in (("covariates", covariates), ("components", components)):
+        if table is None:
+            continue
+        others = [c for c in table.columns if c != "sample_id"]
+        by = {r[0]: r[1:] for r in table.select("sample_id", *others).collect()}
+        absent = [s for s in samples if s not in by]
+        if absent:
+            raise ValueError(f"no {what} for {', '.join(absent[:5])}")
+        parts.append(np.array([by[s] for s in samples], float))
+    return np.column_stack(parts) if parts else None
+
+
+def run_all(
+    calls: DataFrame, who: DataFrame, tests: list[str], covariates: DataFrame | None = None, weight_spec: str = "beta:1,25", gene_weights: DataFrame | None = None, least_alleles: int = 5,
+    components: DataFrame | None = None, correction: str = "fdr", least_cases: int = 10, least_carriers: int = 10, most_missing_site: float = 0.10, most_missing_sample: float = 0.80,
+) -> DataFrame:
+    """One row per gene: n_cases, n_controls, n_variants, <test>_pvalue and <test>_effect, the combined acat_o_pvalue, its
+    q-value (only that is corrected) and warnings.
+
+    calls: gene, variant_id, sample_id, dosage and, where weights or COAST need them, cadd, revel and category; who:
+    sample_id, is_case.  Fewer than least_cases cases raise.  With skat or skato the combination holds acat_v too.
     """
+    tests = test_names(tests)
     people = who.orderBy("sample_id").collect()
     samples = [r.sample_id for r in people]
     y = np.array([float(r.is_case) for r in people])
-    x = None
-    if covariates is not None:
-        by = {r[0]: r[1:] for r in covariates.collect()}
-        x = np.array([by[s] for s in samples], float)
-    rows = imputed(calls, len(samples))
-    rows = rows.withColumn("weight", weights.by_spec(weight_spec, F.col("maf")))
+    n_case, n_control = int(y.sum()), int(len(y) - y.sum())
+    cohort_notes = checked(n_case, n_control, least_cases)
+    kept = observed(calls, len(samples), most_missing_site, most_missing_sample)
+    rows = imputed(kept, len(samples))
+    scores = [F.col(c) if c in calls.columns else None for c in ("cadd", "revel")]
+    rows = rows.withColumn("weight", weights.by_spec(weight_spec, F.col("maf"), *scores))
     if "category" not in rows.columns:
         rows = rows.withColumn("category", F.lit(0))
-    rows = rows.join(enough_alleles(calls, least_alleles), "gene", "left_semi")
+    rows = rows.join(enough_alleles(kept, least_alleles), "gene", "left_semi")
     others = [t for t in tests if t != "fisher"]
-    parts = [test_genes(rows, kernels.fit_null(y, x), samples, others)] if others else []
+    if "acat_v" not in others and {"skat", "skato"} & set(others):
+        others.append("acat_v")
+    ordered = [t for t in tests if t == "fisher"] + others
+    parts = [test_genes(rows, kernels.fit_null(y, design(samples, covariates, components)), samples, others)] if others else []
     parts += [fisher_results(calls, who)] if "fisher" in tests else []
     long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    wide = long.groupBy("gene").pivot("test", tests).agg(F.first("p_value").alias("pvalue"), F.first("effect").alias("effect"))
-    n = calls.where("dosage > 0").groupBy("gene").agg(F.count_distinct("variant_id").alias("n_variants"))
-    wide = wide.join(n, "gene", "left").withColumnsRenamed({f"skato_{k}": f"skat_o_{k}" for k in ("pvalue", "effect")})
-    ps = [F.nanvl(F.col(f"{'skat_o' if t == 'skato' else t}_pvalue"), F.lit(None).cast("double")) for t in tests]
+    found = [F.first("p_value").alias("pvalue"), F.first("effect").alias("effect"), F.first("status").alias("status"), F.first("warnings").alias("warnings")]
+    wide = long.groupBy("gene").pivot("test", ordered).agg(*found)
+    carriers = gene_counts(calls, who).select("gene", "n_variants", "case_carriers")
+    wide = wide.join(carriers, "gene", "left").withColumnsRenamed({f"skato_{k}": f"skat_o_{k}" for k in ("pvalue", "effect", "status", "warnings")})
+    names = ["skat_o" if t == "skato" else t for t in ordered]
+    ps = [F.nanvl(F.col(f"{t}_pvalue"), F.lit(None).cast("double")) for t in names]
     wide = wide.withColumn("acat_o_pvalue", cauchy(ps))
+    few = F.when(F.coalesce("case_carriers", F.lit(0)) < least_carriers, F.lit("LOW_CASE_CARRIERS"))
+    own = [F.when(F.col(f"{t}_warnings") != "", F.col(f"{t}_warnings")) for t in names]
+    wide = wide.withColumn("warnings", F.array_join(F.array_compact(F.array(few, *own, *map(F.lit, cohort_notes))), ";"))
     if gene_weights is not None:
-        return weighted(wide, gene_weights, "fdr", "acat_o_pvalue", "acat_o_qvalue")
-    return benjamini_hochberg(wide, "acat_o_pvalue", "acat_o_qvalue")
+        wide = weighted(wide, gene_weights, correction, "acat_o_pvalue", "acat_o_qvalue")
+    else:
+        wide = (benjamini_hochberg if correction == "fdr" else bonferroni)(wide, "acat_o_pvalue", "acat_o_qvalue")
+    extra = ["coast_status"] if "coast" in names else []
+    extra += ["fdr_weight"] if gene_weights is not None else []
+    counts = [F.lit(n_case).cast("bigint").alias("n_cases"), F.lit(n_control).cast("bigint").alias("n_controls"), "n_variants"]
+    return wide.select("gene", *counts, *(f"{t}_{k}" for t in names for k in ("pvalue", "effect")), "acat_o_pvalue", "acat_o_qvalue", *extra, "warnings")
 
 
 def lambda_gc(results: DataFrame, p: str = "p_value") -> DataFrame:
@@ -197,11 +274,30 @@ def lambda_gc(results: DataFrame, p: str = "p_value") -> DataFrame:
     return spark.createDataFrame([(t, sum(v) / len(v)) for t, v in sorted(by.items())], "test string, lambda_gc double")
 
 
-def write_diagnostics(results: DataFrame, folder: str, p: str = "p_value") -> None:
-    """lambda_gc and qq tables of long results (test, p) as TSV folders."""
+def diagnostics_summary(results: DataFrame, n_case: int, n_control: int, notes: list[str], p: str = "p_value") -> list[str]:
+    """Lines that tell cohort sizes, tests, their inflation (flagged below 100 tests), cohort warnings and flagged genes."""
+    n = {r[0]: r[1] for r in results.where(F.col(p).isNotNull() & ~F.isnan(p)).groupBy("test").count().collect()}
+    gc = {r.test: r.lambda_gc for r in lambda_gc(results, p).collect()}
+    out = ["Association diagnostics", "", f"cases: {n_case}", f"controls: {n_control}", "", "Tests:", *(f"  {t}" for t in sorted(n)), "", "Inflation (lambda GC):"]
+    out += [f"  {t}: {gc[t]:.4f} (n={n[t]}){' unreliable: fewer than 100 tests' if n[t] < 100 else ''}" for t in sorted(gc)] or ["  no valid p-values"]
+    out += ["", "Cohort warnings:", *(f"  {w}" for w in notes)] if notes else []
+    if "warnings" in results.columns:
+        flagged = results.where("warnings <> ''").select("gene").distinct().count()
+        out += ["", f"Genes with warnings: {flagged}"]
+    return out
+
+
+def write_diagnostics(results: DataFrame, folder: str, p: str = "p_value", cohort: tuple[int, int] | None = None, notes: list[str] = ()) -> None:
+    """lambda_gc and qq tables of long results (test, p) as TSV folders, and, with the cohort's sizes, a summary as text.
+
+    The qq table has what a plot shows; drawing is left to its reader.
+    """
     lambda_gc(results, p).write.mode("overwrite").csv(f"{folder}/lambda_gc", sep="\t", header=True)
     rows = qq(results.where(~F.isnan(p)), p, ["test"])
     rows.select("test", "expected_log10", "observed_log10").write.mode("overwrite").csv(f"{folder}/qq_data", sep="\t", header=True)
+    if cohort is not None:
+        lines = diagnostics_summary(results, *cohort, list(notes), p)
+        results.sparkSession.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/summary")
 
 
 def weight_gains(df: DataFrame, level: float = 0.05) -> DataFrame:

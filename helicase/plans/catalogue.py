@@ -616,8 +616,8 @@ def _association(tests: list[str], quantitative: bool = False) -> Query:
             people = a.samples(spark, sf_dir).orderBy("sample_id").select("sample_id", "s_acctbal").collect()
             null = kernels.fit_null(np.array([r.s_acctbal for r in people]), None, False)
             rows = association.imputed(association_inputs(spark, sf_dir), len(people)).withColumn("weight", F.lit(1.0))
-            return _rounded(association.test_genes(rows, null, [r.sample_id for r in people], tests)).drop("warnings")
-        return _rounded(association.run_all(association_inputs(spark, sf_dir), a.cohort(spark, sf_dir), tests))
+            return _rounded(association.test_genes(rows, null, [r.sample_id for r in people], tests)).drop("warnings", "status")
+        return _rounded(association.run_all(association_inputs(spark, sf_dir), a.cohort(spark, sf_dir), tests, least_cases=1))
 
     return run
 
