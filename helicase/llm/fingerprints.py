@@ -136,7 +136,8 @@ def at_most(key: Column, bounds: list[int], df: DataFrame, name: str) -> DataFra
 def with_next(docs: DataFrame) -> DataFrame:
     """bucket, row, ghost, doc_id, text, next_text: every document with the text of the next by doc_id.
 
-    Rows with ghost stand for the first documents of the following bucket; the caller drops them at the end.
+    Rows with ghost stand for the first documents of the following bucket, under no doc_id that counts; the caller drops
+    them at the end.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     keyed = docs.withColumns({"key": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST)), "hash": F.shiftrightunsigned(F.xxhash64("text"), 1)})
@@ -165,12 +166,14 @@ def with_next(docs: DataFrame) -> DataFrame:
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("ghost"))
     again = F.struct(F.get(target, F.col("bucket")).alias("bucket"), F.lit(True).alias("ghost"))
     is_first = (F.col("key") == F.get(first_key, F.col("bucket"))) & (F.col("hash") == F.get(first_hash, F.col("bucket")))
-    placed = keyed.select("key", "hash", "doc_id", "text", F.inline(F.when(is_first, F.array(own, again)).otherwise(F.array(own))))
+    # only these columns are exchanged, whatever a reader of the result needs, so that all readers share one exchange
+    placed = keyed.select("key", "hash", F.col("doc_id").isNotNull().alias("known"), "text", F.inline(F.when(is_first, F.array(own, again)).otherwise(F.array(own))))
     last = F.when(F.col("ghost"), F.lit((1 << 63) - 1)).otherwise(F.col("key"))
-    order = Window.partitionBy("bucket").orderBy("sort_key", "ghost", "hash", "text")
-    placed = placed.withColumn("sort_key", last)
+    placed = placed.select("bucket", last.alias("sort_key"), (F.col("known").cast("int") * 2 + F.col("ghost").cast("int")).alias("flag"), "hash", "text").repartition("bucket")
+    order = Window.partitionBy("bucket").orderBy("sort_key", "flag", "hash", "text")
+    doc_id = F.when(F.col("flag") >= 2, F.col("sort_key")).cast(docs.schema["doc_id"].dataType)
     return placed.select(
-        "bucket", F.row_number().over(order).alias("row"), "ghost", "doc_id", "text", F.coalesce(F.lead("text").over(order), F.lit("")).alias("next_text")
+        "bucket", F.row_number().over(order).alias("row"), (F.col("flag") % 2 == 1).alias("ghost"), doc_id.alias("doc_id"), "text", F.coalesce(F.lead("text").over(order), F.lit("")).alias("next_text")
     )
 
 
