@@ -123,11 +123,34 @@ def identifiers(names: list[str]) -> dict[str, str]:
     return out
 
 
+# Prefixes of extracted fields and what stands for them in a report's header.
+HEADER_PREFIXES = (("ANN[*].", ""), ("ANN[0].", ""), ("GEN[*].", ""), ("GEN[0].", ""), ("NMD[*].", "NMD_"), ("NMD[0].", "NMD_"), ("LOF[*].", "LOF_"), ("LOF[0].", "LOF_"))
+# Short names of the extracted columns that everything downstream expects.
+ALIASES = {f"ANN_0__{n}": n for n in ("GENE", "EFFECT", "IMPACT", "HGVS_C", "HGVS_P", "FEATUREID")}
+
+
 def header_name(name: str) -> str:
-    """GEN[3].DP -> DP_3, ANN[0].X -> X, NMD[0].X -> NMD_X."""
-    if m := re.fullmatch(r"GEN\[(\d+)\]\.(\w+)", name):
-        return f"{m[2]}_{m[1]}"
-    return name.replace("ANN[0].", "").replace("NMD[0].", "NMD_")
+    """GEN[3].DP -> DP_3, ANN[0].X and GEN[*].X -> X, NMD[0].X -> NMD_X, LOF[*].X -> LOF_X."""
+    name = re.sub(r"GEN\[(\d+)\]\.(\w+)", r"\2_\1", name)
+    for prefix, short in HEADER_PREFIXES:
+        name = name.replace(prefix, short)
+    return name
+
+
+def with_fields(fields: str, extra: list[str]) -> str:
+    """A field list separated by blanks with those appended that it lacks."""
+    out = fields.split()
+    out += [f for f in dict.fromkeys(extra) if f not in out]
+    return " ".join(out)
+
+
+# What makes a column's name that of numbers.
+NUMERIC_NAMES = re.compile(r"(^|_)(AF|AC|AD|DP|GQ)(_|$)|score|phred|frequency", re.I)
+
+
+def numeric_names(names: list[str]) -> list[str]:
+    """Columns that hold numbers by their names."""
+    return [n for n in names if NUMERIC_NAMES.search(n)]
 
 
 def annotation_name(stem: str) -> str:
@@ -135,10 +158,12 @@ def annotation_name(stem: str) -> str:
 
 
 def list_name(path: str) -> str:
-    """A column name for a gene list file."""
-    stem = re.sub(r"(\.(txt|tsv|csv|list|gz))+$", "", path.rsplit("/", 1)[-1])
-    clean = annotation_name(stem)
-    return clean if clean and not clean[0].isdigit() else f"list_{clean}"
+    """A column name for a gene list file: without its extensions, letters, digits and single _; never empty or numeric."""
+    base = path.rsplit("/", 1)[-1]
+    first = base.rsplit(".", 1)[0] if "." in base.lstrip(".") else base
+    stem = re.sub(r"(\.(txt|list|tsv|csv|genes|gene))+$", "", first, flags=re.I) or first
+    clean = re.sub(r"_+", "_", re.sub(r"[^\w]", "_", stem)).strip("_") or "unnamed_list"
+    return f"list_{clean}" if clean[0].isdigit() else clean
 
 
 def short_name(base: str, most: int = 50) -> str:

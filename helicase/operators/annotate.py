@@ -146,3 +146,97 @@ def two_commonest(calls: DataFrame, key: str = "variant_id") -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "gt"))
     kept = n.withColumn("i", rank).where("i <= 2")
     return kept.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "gt"))), lambda x: x["gt"]), ",").alias("gt"))
+
+
+def with_aliases(df: DataFrame) -> DataFrame:
+    """df with the short names of extracted columns added where they are absent."""
+    return df.withColumns({short: F.col(f"`{long}`") for long, short in text.ALIASES.items() if long in df.columns and short not in df.columns})
+
+
+def without_columns(df: DataFrame, names: list[str]) -> DataFrame:
+    """df without those of the columns that it has."""
+    return df.drop(*[n for n in names if n in df.columns])
+
+
+def without_samples(df: DataFrame, samples: list[str], keep: list[str] | None = None) -> DataFrame:
+    """df without the samples' columns (GEN_i__X, or named as a sample), but for those to keep."""
+    import re
+
+    kept = {*(keep or [])}
+    return df.drop(*[c for c in df.columns if c not in kept and (c in samples or re.fullmatch(r"GEN_\d+__\w+", c))])
+
+
+def as_numbers(df: DataFrame) -> DataFrame:
+    """df with the columns that hold numbers by their names as doubles; what is no number is null."""
+    return df.withColumns({c: F.col(f"`{c}`").cast("string").try_cast("double") for c in text.numeric_names(df.columns)})
+
+
+def packed_phenotype_text(variants: DataFrame, phenotypes: DataFrame, key: str = "variant_id") -> DataFrame:
+    """phenotype_text() from packed cells (column GT)."""
+    rows = unpacked(variants, key).where(~F.col("gt").isin(*NOT_PACKED)).withColumn("dosage", F.lit(1))
+    return phenotype_text(rows, phenotypes, key)
+
+
+def phenotypes_of(samples: DataFrame, phenotypes: DataFrame) -> DataFrame:
+    """One row, phenotypes: the terms of each sample (in the order of place) joined by commas, samples by semicolons."""
+    rows = samples.join(phenotypes, "sample_id", "left").select("place", F.array_join(F.array_sort(F.coalesce("terms", F.array().cast("array<string>"))), ",").alias("t"))
+    return rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "t"))), lambda x: x["t"]), ";").alias("phenotypes"))
+
+
+def phenotypes_like_genotypes(samples: DataFrame, phenotypes: DataFrame) -> DataFrame:
+    """One row, phenotypes: sample(term,term) of every sample in the order of place, joined by semicolons."""
+    rows = samples.join(phenotypes, "sample_id", "left")
+    cell = F.concat("sample_id", F.lit("("), F.array_join(F.array_sort(F.coalesce("terms", F.array().cast("array<string>"))), ","), F.lit(")"))
+    return rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", cell.alias("t")))), lambda x: x["t"]), ";").alias("phenotypes"))
+
+
+def aligned_phenotypes(rows: DataFrame, samples: list[str], column: str = "phenotypes", sep: str = ",") -> DataFrame:
+    """sample_id, terms (distinct, sorted) from cells whose groups, split at semicolons, follow the samples' order; a cell
+    with another number of groups is passed over."""
+    groups = F.split(F.col(column), ";")
+    cells = rows.where(F.size(groups) == len(samples)).select(F.posexplode(groups).alias("i", "cell"))
+    bare = F.regexp_replace("cell", r"^[^(]*\(|\)$", "")
+    terms = F.filter(F.transform(F.split(bare, sep), lambda t: F.trim(t)), lambda t: t != "")
+    found = cells.select(F.get(F.lit(samples), F.col("i")).alias("sample_id"), terms.alias("terms"))
+    return found.groupBy("sample_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("terms")))).alias("terms"))
+
+
+def cardinality(df: DataFrame, columns: list[str], most: float = 0.5) -> DataFrame:
+    """name, n_distinct, share (of rows) and repeated: whether so few values occur that a dictionary pays."""
+    one = df.agg(F.count("*").alias("_n"), *(F.count_distinct(F.col(f"`{c}`")).alias(c) for c in columns))
+    pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
+    rows = one.selectExpr("_n", f"stack({len(columns)}, {pairs}) AS (name, n_distinct)")
+    return rows.select("name", "n_distinct", (F.col("n_distinct") / F.nullif("_n", F.lit(0))).alias("share")).withColumn("repeated", F.coalesce(F.col("share") < most, F.lit(False)))
+
+
+def with_reports(variants: DataFrame, reports: DataFrame) -> DataFrame:
+    """variants with links, the paths of their browser reports: reports has chrom, pos, ref, alt, sample_id and path."""
+    keys = ["chrom", "pos", "ref", "alt"]
+    told = reports.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sample_id", "path"))), lambda x: F.concat(x["sample_id"], F.lit(":"), x["path"])), ";").alias("links"))
+    return variants.join(told, keys, "left").withColumn("links", F.coalesce("links", F.lit("")))
+
+
+def report_jobs(variants: DataFrame, calls: DataFrame, reads: DataFrame, flanking: int = 50, key: str = "variant_id") -> DataFrame:
+    """One row per variant and carrier with reads (sample_id, path): the region that a browser report shows and a file name
+    that is safe everywhere.  What draws a report runs outside."""
+    carried = calls.where("dosage > 0").select(key, "sample_id").join(reads.withColumnRenamed("path", "reads"), "sample_id")
+    rows = carried.join(variants.select(key, "chrom", "pos", "ref", "alt"), key)
+    start = F.greatest(F.col("pos") - flanking, F.lit(1))
+    name = F.concat_ws("_", "sample_id", "chrom", F.col("pos").cast("string"), _short("ref"), _short("alt"))
+    region = F.concat("chrom", F.lit(":"), start.cast("string"), F.lit("-"), (F.col("pos") + F.length("ref") - 1 + flanking).cast("string"))
+    return rows.select(key, "sample_id", "chrom", "pos", "ref", "alt", "reads", region.alias("region"), F.concat(F.regexp_replace(name, "[^A-Za-z0-9._-]", "_"), F.lit("_report.html")).alias("path"))
+
+
+def _short(allele: str, most: int = 10) -> Column:
+    """An allele, or its beginning and a hash of it if it is long."""
+    c = F.col(allele)
+    return F.when(F.length(c) <= most, c).otherwise(F.concat(F.substring(c, 1, 3), F.lit("_"), F.substring(F.md5(c), 1, 6)))
+
+
+def first_rows(variants: DataFrame, key: str = "variant_id", order: tuple[str, ...] = ("gene",)) -> DataFrame:
+    """One row a key: of several the first by the order's columns, then by all others as text."""
+    from pyspark.sql import Window
+
+    others = [F.col(f"`{c}`").cast("string") for c in variants.columns if c != key and c not in order]
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order, *others))
+    return variants.withColumn("_place", place).where("_place = 1").drop("_place")

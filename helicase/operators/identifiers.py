@@ -92,3 +92,17 @@ def pseudonymised_pedigree(pedigree: DataFrame, names: DataFrame) -> DataFrame:
         rows = rows.join(names.select(F.col("sample_id").alias(c), F.col("pseudonym").alias("_p")), c, "left").withColumn(c, F.coalesce("_p", c)).drop("_p")
     family = F.dense_rank().over(Window.orderBy("family_id"))
     return rows.withColumn("family_id", F.concat(F.lit("FAM"), _number(family)))
+
+
+def pseudonymised_text(rows: DataFrame, column: str, names: DataFrame, key: str = "variant_id") -> DataFrame:
+    """rows with the sample ids in a text cell replaced: words before a bracket, colon or separator that are sample ids.
+
+    The cell is taken apart into words and what stands between, words are joined with the pseudonyms, and all is put
+    together again; no id is replaced inside a longer word.
+    """
+    piece = r"([A-Za-z0-9_.-]+|[^A-Za-z0-9_.-]+)"
+    parts = rows.select(key, F.posexplode(F.regexp_extract_all(F.col(column), F.lit(piece))).alias("_i", "_word"))
+    told = parts.join(names.select(F.col("sample_id").alias("_word"), "pseudonym"), "_word", "left")
+    cell = F.struct("_i", F.coalesce("pseudonym", "_word").alias("t"))
+    whole = told.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(cell)), lambda x: x["t"]), "").alias("_told"))
+    return rows.join(whole, key, "left").withColumn(column, F.coalesce("_told", F.col(column))).drop("_told")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helicase.model import CHROM_MT, CHROM_X
+from helicase.sources.store import materialised
 
 # Rank of each pattern.
 PRIORITY = {
@@ -32,6 +33,18 @@ DESCRIPTIONS = {
     "x_linked_recessive": "Mutation on X chromosome, primarily affects males",
     "x_linked_dominant": "Mutation on X chromosome affects both sexes",
     "mitochondrial": "Inherited through maternal lineage only",
+    "de_novo_candidate": "Possible new mutation (parental data incomplete)",
+    "compound_heterozygous_possible": "Possible compound heterozygous (phase uncertain)",
+    "compound_heterozygous_possible_no_pedigree": "Possible compound heterozygous (no family data)",
+    "compound_heterozygous_possible_missing_parents": "Possible compound heterozygous (missing parent data)",
+    "compound_heterozygous_possible_missing_parent_genotypes": "Possible compound heterozygous (missing genotypes)",
+    "autosomal_recessive_possible": "Possible recessive inheritance (incomplete data)",
+    "x_linked_recessive_possible": "Possible X-linked recessive (incomplete data)",
+    "x_linked_dominant_possible": "Possible X-linked dominant (incomplete data)",
+    "autosomal_dominant_possible": "Possible dominant inheritance (incomplete data)",
+    "homozygous": "Homozygous variant (single sample)",
+    "reference": "No variant present",
+    "non_mendelian": "Does not follow Mendelian inheritance patterns",
     "unknown": "Inheritance pattern could not be determined",
     "none": "No inheritance pattern detected",
 }
@@ -70,10 +83,10 @@ def _listed(*parts: tuple[Column, str]) -> Column:
     return F.filter(F.array(*(F.when(c, F.lit(name)) for c, name in parts)), lambda x: x.isNotNull())
 
 
-def patterns(calls: DataFrame, variants: DataFrame, fam: DataFrame) -> DataFrame:
+def patterns(calls: DataFrame, variants: DataFrame, fam: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """variant_id, patterns: per carrier in sample order de novo, dominant, recessive, X, mitochondrial or the fallback,
-    repeated ones once."""
-    rows = trios(calls, fam).where("c > 0").join(variants.select("variant_id", "chrom"), "variant_id")
+    repeated ones once.  known: trios(), if they are there already."""
+    rows = (trios(calls, fam) if known is None else known).where("c > 0").join(variants.select("variant_id", "chrom"), "variant_id")
     no = F.lit(False)
     f, m, aff, hom = F.col("f"), F.col("m"), F.col("affected"), F.col("c") == 2
     f_has, m_has = F.coalesce(f > 0, no), F.coalesce(m > 0, no)
@@ -109,16 +122,18 @@ def patterns(calls: DataFrame, variants: DataFrame, fam: DataFrame) -> DataFrame
 
 
 def single_sample_pattern(dosage: Column) -> Column:
+    """Without parents only the dosage tells; a missing one is unknown."""
     return F.when(dosage == 0, "reference").when(dosage == 2, "homozygous").otherwise("unknown")
 
 
-def compound_hets(calls: DataFrame, fam: DataFrame) -> DataFrame:
+def compound_hets(calls: DataFrame, fam: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """gene, sample_id, variant_id, type, partners (sorted): heterozygous variants of a gene that may sit on the two
-    copies, by what the parents carry."""
+    copies, by what the parents carry.  known: trios(), if they are there already.
+
+    A sample's variants of a gene are one list, in which each looks for its partners.
+    """
     het = calls.where("dosage = 1").select("gene", "variant_id", "sample_id").distinct()
-    several = Window.partitionBy("gene", "sample_id")
-    het = het.withColumn("_n", F.count("*").over(several)).where("_n > 1").drop("_n")
-    t = trios(calls, fam).select(F.col("child_id").alias("sample_id"), "variant_id", "f", "m", "father_in", "mother_in", "affected")
+    t = (trios(calls, fam) if known is None else known).select(F.col("child_id").alias("sample_id"), "variant_id", "f", "m", "father_in", "mother_in", "affected")
     rows = het.join(t, ["sample_id", "variant_id"])
     no = F.lit(False)
     f, m = F.coalesce(F.col("f") > 0, no), F.coalesce(F.col("m") > 0, no)
@@ -126,23 +141,53 @@ def compound_hets(calls: DataFrame, fam: DataFrame) -> DataFrame:
     origin = origin.when(F.col("father_in"), F.when(f, "known").otherwise("other")).when(F.col("mother_in"), F.when(m, "known").otherwise("other"))
     kind = F.when(F.col("father_in") & F.col("mother_in"), "compound_heterozygous")
     kind = kind.when(F.col("father_in") | F.col("mother_in"), "compound_heterozygous_possible_missing_parents").otherwise("compound_heterozygous_possible_no_pedigree")
-    rows = rows.select("gene", "sample_id", "variant_id", kind.alias("type"), origin.alias("origin"), "affected")
-    other = rows.select("gene", "sample_id", F.col("variant_id").alias("partner"), F.col("origin").alias("partner_origin"))
-    pair = rows.join(other, ["gene", "sample_id"]).where("variant_id <> partner")
-    fits = (
-        F.when(F.col("type") == "compound_heterozygous", (F.col("partner_origin") != "unclear") & (F.col("origin") != F.col("partner_origin")))
-        .when(F.col("origin").isNotNull(), F.col("origin") != F.col("partner_origin"))
-        .otherwise(F.col("affected"))
-    )
-    return pair.where(fits).groupBy("gene", "sample_id", "variant_id", "type").agg(F.array_sort(F.collect_set("partner")).alias("partners"))
+    rows = rows.select("gene", "sample_id", kind.alias("type"), "affected", F.struct("variant_id", origin.alias("origin")).alias("v"))
+    groups = rows.groupBy("gene", "sample_id", "type", "affected").agg(F.array_sort(F.collect_list("v")).alias("vs")).where(F.size("vs") > 1)
+    rows = groups.select("gene", "sample_id", "type", "affected", "vs", F.explode("vs").alias("v"))
+
+    def fits(o: Column) -> Column:
+        apart = F.col("v.origin") != o["origin"]
+        return (o["variant_id"] != F.col("v.variant_id")) & (
+            F.when(F.col("type") == "compound_heterozygous", (o["origin"] != "unclear") & apart).when(F.col("v.origin").isNotNull(), apart).otherwise(F.col("affected"))
+        )
+
+    partners = F.transform(F.filter("vs", fits), lambda o: o["variant_id"])
+    return rows.select("gene", "sample_id", F.col("v.variant_id").alias("variant_id"), "type", partners.alias("partners")).where(F.size("partners") > 0)
 
 
 def pair_type(father_1: Column, mother_1: Column, father_2: Column, mother_2: Column) -> Column:
-    """cis, trans or ambiguous for two heterozygous variants, from the parents' dosages."""
-    f1, m1, f2, m2 = (F.coalesce(c > 0, F.lit(False)) for c in (father_1, mother_1, father_2, mother_2))
-    trans = (f1 & ~m1 & ~f2 & m2) | (~f1 & m1 & f2 & ~m2)
-    cis = (f1 & ~m1 & f2 & ~m2) | (~f1 & m1 & ~f2 & m2)
-    return F.when(trans, "trans").when(cis, "cis").otherwise("ambiguous")
+    """struct<phase, type> of two heterozygous variants from the parents' dosages (-1 missing): trans if each parent gave
+    one, cis if one parent gave both, ambiguous if a variant may come from either, else unknown."""
+    dosages = (father_1, mother_1, father_2, mother_2)
+    missing = sum((c == -1).cast("int") for c in dosages) > 0
+    f1, m1, f2, m2 = (F.coalesce(c > 0, F.lit(False)) for c in dosages)
+    only_father_1, only_mother_1, only_father_2, only_mother_2 = f1 & ~m1, m1 & ~f1, f2 & ~m2, m2 & ~f2
+    phase = (
+        F.when(missing, "unknown").when((only_father_1 & only_mother_2) | (only_mother_1 & only_father_2), "trans")
+        .when((only_father_1 & only_father_2) | (only_mother_1 & only_mother_2), "cis").when((f1 & m1) | (f2 & m2), "ambiguous").otherwise("unknown")
+    )
+    kind = F.when(missing, "compound_heterozygous_possible_missing_parent_genotypes").when(phase == "trans", "compound_heterozygous").when(phase == "cis", "not_compound_heterozygous")
+    return F.struct(phase.alias("phase"), kind.otherwise("compound_heterozygous_possible").alias("type"))
+
+
+def parents_of(pedigree: DataFrame) -> DataFrame:
+    """sample_id, father_id, mother_id; null where none is named."""
+    return pedigree.select("sample_id", F.nullif("father_id", F.lit("0")).alias("father_id"), F.nullif("mother_id", F.lit("0")).alias("mother_id"))
+
+
+def affected_of(pedigree: DataFrame) -> DataFrame:
+    """Rows of affected samples."""
+    return pedigree.where(F.col("affected") if "affected" in pedigree.columns else F.col("affected_status") == "2")
+
+
+def members_of(pedigree: DataFrame) -> DataFrame:
+    """family_id, members in order of their ids."""
+    return pedigree.groupBy("family_id").agg(F.array_sort(F.collect_set("sample_id")).alias("members"))
+
+
+def pattern_counts(rows: DataFrame, column: str = "pattern") -> DataFrame:
+    """The patterns by how often they are told, most first."""
+    return rows.groupBy(F.col(column).alias("pattern")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "pattern")
 
 
 SEGREGATING = ("de_novo", "autosomal_dominant", "autosomal_recessive", "compound_heterozygous", "x_linked_recessive", "x_linked_dominant", "mitochondrial")
@@ -165,12 +210,13 @@ def _counts() -> dict[str, Column]:
     }
 
 
-def segregation(calls: DataFrame, variants: DataFrame, fam: DataFrame) -> DataFrame:
-    """variant_id and, for each pattern that can be checked, seg_<pattern> (boolean) and conf_<pattern>."""
+def segregation(calls: DataFrame, variants: DataFrame, fam: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """variant_id and, for each pattern that can be checked, seg_<pattern> (boolean) and conf_<pattern>.  known: trios(), if
+    they are there already."""
     counts = _counts()
     blank = fam.withColumns({"c": F.lit(0), "f": F.when(F.col("father_in"), 0), "m": F.when(F.col("mother_in"), 0)})
     zero = blank.agg(*(F.coalesce(F.sum(v.cast("int")), F.lit(0)).alias(k) for k, v in counts.items())).first().asDict()
-    t = trios(calls, fam)
+    t = trios(calls, fam) if known is None else known
     told = t.select("variant_id", *(v.cast("int").alias(k) for k, v in counts.items()), "father_in", "mother_in", "sex", "affected")
     blanked = told.withColumns({"c": F.lit(0), "f": F.when(F.col("father_in"), 0), "m": F.when(F.col("mother_in"), 0)})
     more = blanked.groupBy("variant_id").agg(*(F.sum(F.col(k) - v.cast("int")).alias(k) for k, v in counts.items()))
@@ -227,17 +273,58 @@ def prioritised(found: DataFrame, seg: DataFrame | None = None) -> DataFrame:
     return rows.select("variant_id", F.when(none, "unknown").otherwise(F.get("ranked", F.lit(0))["name"]).alias("pattern"), F.when(none, 0.0).otherwise(sure).alias("confidence"))
 
 
-def analysed(calls: DataFrame, variants: DataFrame, fam: DataFrame) -> DataFrame:
-    """variant_id, pattern, confidence, all_patterns, description, samples: the three passes together."""
-    found = patterns(calls, variants, fam)
-    pairs = compound_hets(calls, fam).groupBy("variant_id").agg(F.array_sort(F.collect_set("type")).alias("types"))
-    found = found.join(pairs, "variant_id", "left").select("variant_id", F.array_distinct(F.concat("patterns", F.coalesce("types", F.array().cast("array<string>")))).alias("patterns"))
-    best = prioritised(found, segregation(calls, variants, fam))
+def analysed(calls: DataFrame, variants: DataFrame, fam: DataFrame, detailed: bool = False) -> DataFrame:
+    """variant_id, pattern, confidence, all_patterns, description, samples: the three passes together, over trios that are
+    made and written once.  detailed: with details() too."""
+    known = materialised(trios(calls, fam), "trios")
+    found = patterns(calls, variants, fam, known)
+    pairs = compound_hets(calls, fam, known)
+    kinds = pairs.groupBy("variant_id").agg(F.array_sort(F.collect_set("type")).alias("types"))
+    found = found.join(kinds, "variant_id", "left").select("variant_id", F.array_distinct(F.concat("patterns", F.coalesce("types", F.array().cast("array<string>")))).alias("patterns"))
+    seg = segregation(calls, variants, fam, known)
+    best = prioritised(found, seg)
     carriers = calls.where("dosage > 0").groupBy("variant_id").agg(F.array_sort(F.collect_set("sample_id")).alias("samples"))
     text = F.create_map(*[F.lit(v) for kv in DESCRIPTIONS.items() for v in kv])
     rows = variants.select("variant_id").join(best, "variant_id", "left").join(found, "variant_id", "left").join(carriers, "variant_id", "left")
     pattern = F.coalesce("pattern", F.lit("unknown"))
-    return rows.select("variant_id", pattern.alias("pattern"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.col("patterns").alias("all_patterns"), F.coalesce(F.element_at(text, pattern), F.lit("Unknown inheritance pattern")).alias("description"), "samples")
+    rows = rows.select("variant_id", pattern.alias("pattern"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.col("patterns").alias("all_patterns"), F.coalesce(F.element_at(text, pattern), F.lit("Unknown inheritance pattern")).alias("description"), "samples")
+    return rows.join(details(rows, calls, fam, pairs, seg), "variant_id", "left") if detailed else rows
+
+
+def single_samples(calls: DataFrame) -> DataFrame:
+    """variant_id, sample_id, pattern of calls without a pedigree, by dosage alone."""
+    return calls.select("variant_id", "sample_id", single_sample_pattern(F.col("dosage")).alias("pattern"))
+
+
+def details(rows: DataFrame, calls: DataFrame, fam: DataFrame, pairs: DataFrame, seg: DataFrame) -> DataFrame:
+    """variant_id, details: JSON with the pattern, all patterns, confidence, description, how well the pattern segregates,
+    and for each carrier its genotype, whether it is affected and its compound-heterozygous partners.
+
+    rows: as analysed() gives them; calls may have gt, else it follows from the dosage; pairs and seg: as compound_hets()
+    and segregation() give them.
+    """
+    gt = F.col("gt") if "gt" in calls.columns else F.when(F.col("dosage") == 2, "1/1").otherwise("0/1")
+    carried = calls.where("dosage > 0 OR dosage IS NULL").select("variant_id", "sample_id", gt.alias("genotype")).where("genotype <> './.'")
+    carried = carried.join(fam.select("sample_id", "affected", "place"), "sample_id")
+    carried = carried.join(pairs.select("variant_id", "sample_id", F.col("gene").alias("pair_gene"), F.col("type").alias("pair_type"), F.transform("partners", lambda p: p.cast("string")).alias("partners")), ["variant_id", "sample_id"], "left")
+    one = F.struct(
+        "sample_id", "genotype", "affected", F.col("partners").alias("compound_het_partners"), F.col("pair_gene").alias("compound_het_gene"), F.col("pair_type").alias("compound_het_configuration")
+    )
+    het = F.col("genotype").isin("0/1", "1/0", "0|1", "1|0")
+    told = carried.groupBy("variant_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", one.alias("s")))), lambda x: x["s"]).alias("samples_with_pattern"),
+        F.count_if("affected").alias("affected_count"), F.count_if(het & ~F.col("affected")).alias("carrier_count"),
+    )
+    value = F.lit(None).cast("double")
+    for p in SEGREGATING:
+        value = F.when(F.col("pattern") == p, F.col(f"conf_{p}")).otherwise(value)
+    wide = rows.drop("samples").join(told, "variant_id", "left").join(seg, "variant_id", "left")
+    whole = F.struct(
+        F.col("pattern").alias("primary_pattern"), "all_patterns", "confidence", F.col("description").alias("pattern_description"), value.alias("segregation_p_value"),
+        F.coalesce("samples_with_pattern", F.expr("cast(array() AS array<struct<sample_id:string,genotype:string,affected:boolean,compound_het_partners:array<string>,compound_het_gene:string,compound_het_configuration:string>>)")).alias("samples_with_pattern"),
+        F.coalesce("affected_count", F.lit(0)).alias("affected_count"), F.coalesce("carrier_count", F.lit(0)).alias("carrier_count"),
+    )
+    return wide.select("variant_id", F.to_json(whole).alias("details"))
 
 
 def as_columns(rows: DataFrame, mode: str = "full") -> DataFrame:
@@ -247,5 +334,5 @@ def as_columns(rows: DataFrame, mode: str = "full") -> DataFrame:
         return base.select("variant_id", "Inheritance_Pattern")
     if mode == "columns":
         return base.select("variant_id", "Inheritance_Pattern", F.format_string("%.2f", "confidence").alias("Inheritance_Confidence"), F.col("description").alias("Inheritance_Description"), F.array_join("samples", ",").alias("Inheritance_Samples"))
-    details = F.to_json(F.struct(F.col("pattern").alias("primary_pattern"), "all_patterns", "confidence", F.col("description").alias("pattern_description"), F.col("samples").alias("samples_with_pattern")))
-    return base.select("variant_id", "Inheritance_Pattern", details.alias("Inheritance_Details"))
+    told = F.to_json(F.struct(F.col("pattern").alias("primary_pattern"), "all_patterns", "confidence", F.col("description").alias("pattern_description"), F.col("samples").alias("samples_with_pattern")))
+    return base.select("variant_id", "Inheritance_Pattern", (F.col("details") if "details" in rows.columns else told).alias("Inheritance_Details"))

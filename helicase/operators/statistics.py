@@ -10,6 +10,49 @@ from pyspark.sql import functions as F
 from helicase.plans.pyexpr import Aggregates, ExpressionError, named
 
 
+# Statistics where no configuration names others.
+DEFAULT = {
+    "dataset_stats": [
+        {"name": "total_variants", "expression": "len(df)"},
+        {"name": "total_genes", "expression": "df['GENE'].nunique()", "required_columns": ["GENE"]},
+        {"name": "total_samples", "expression": "len([col for col in df.columns if col.endswith('_GT')])"},
+        {"name": "high_impact_count", "expression": "(df['IMPACT'] == 'HIGH').sum()", "required_columns": ["IMPACT"]},
+        {"name": "moderate_impact_count", "expression": "(df['IMPACT'] == 'MODERATE').sum()", "required_columns": ["IMPACT"]},
+        {"name": "mean_allele_frequency", "expression": "pd.to_numeric(df['gnomAD_exomes_AF'], errors='coerce').mean()", "required_columns": ["gnomAD_exomes_AF"]},
+    ],
+    "gene_stats": [
+        {"name": "variant_count", "expression": "size()", "groupby": "GENE"},
+        {"name": "high_impact_variants", "expression": "(group_df['IMPACT'] == 'HIGH').sum()", "groupby": "GENE", "required_columns": ["IMPACT"]},
+        {"name": "mean_cadd_score", "expression": "pd.to_numeric(group_df['dbNSFP_CADD_phred'], errors='coerce').mean()", "groupby": "GENE", "required_columns": ["dbNSFP_CADD_phred"]},
+        {"name": "max_cadd_score", "expression": "pd.to_numeric(group_df['dbNSFP_CADD_phred'], errors='coerce').max()", "groupby": "GENE", "required_columns": ["dbNSFP_CADD_phred"]},
+        {"name": "unique_consequences", "expression": "group_df['Consequence'].nunique()", "groupby": "GENE", "required_columns": ["Consequence"]},
+    ],
+    "grouped_stats": [
+        {"name": "variants_by_impact_and_gene", "expression": "size()", "groupby": ["GENE", "IMPACT"], "output_format": "pivot"},
+        {"name": "inheritance_pattern_summary", "expression": "size()", "groupby": ["Inheritance_Pattern"], "required_columns": ["Inheritance_Pattern"]},
+    ],
+}
+
+
+def configured(df: DataFrame, config: dict | None = None) -> dict[str, DataFrame]:
+    """The tables of a configuration (the default one if None): dataset, genes, and one per grouped statistic by name;
+    those whose columns are not there are left out."""
+    config = DEFAULT if config is None else config
+    out = {"dataset": dataset(df, config.get("dataset_stats", []))}
+    genes = [s for s in config.get("gene_stats", []) if s.get("groupby", "GENE") in df.columns]
+    if _usable(df, genes):
+        out["genes"] = per_gene(df, genes)
+    for s in config.get("grouped_stats", []):
+        if all(c in df.columns for c in [*s["groupby"], *s.get("required_columns", [])]) and _usable(df, [s]):
+            out[s["name"]] = grouped(df, s)
+    return out
+
+
+def united(tables: list[DataFrame]) -> DataFrame:
+    """Tables of statistics one below the other; a column that one lacks is null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
 def basic(variants: DataFrame, calls: DataFrame, n_samples: int) -> DataFrame:
     """metric, value: variants, samples, genes, het and hom calls, and counts by EFFECT and IMPACT."""
     one = variants.agg(F.count("*").alias("Number of variants"), F.count_distinct("GENE").alias("Number of genes"))

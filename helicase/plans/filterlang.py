@@ -302,3 +302,8 @@ def composed(presets: list[str], own: str | None = None, profile: str = "dbnsfp4
 def profiles() -> list[dict[str, str]]:
     """name and description of the known profiles, by name."""
     return [{"name": n, "description": PROFILE_TOLD[n]} for n in sorted(PROFILES)]
+
+
+def table_filter(df, text: str):
+    """Rows of a table of text columns that meet an expression over its columns; a syntax error or unknown column raises."""
+    return df.where(compile_filter(text, Schema({c: F.col(f"`{c}`") for c in df.columns})))

@@ -154,10 +154,13 @@ def read_gene_weights(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pm5_lookup(spark: SparkSession, path: str) -> DataFrame:
+    """gene, aa_pos, ref_aa, alt_aa, clnsig, review of a lookup: one object with all keys, or an object a line."""
     raw = spark.read.text(path, wholetext=True)
     entry = "array<struct<ref_aa:string,alt_aa:string,clnsig:string,review:string>>"
     table = F.from_json("value", F.lit(f"struct<lookup:map<string,{entry}>>"))
-    rows = raw.select(F.explode(table["lookup"]).alias("key", "entries")).select("key", F.inline("entries"))
+    rows = raw.select(F.explode(table["lookup"]).alias("key", "entries"))
+    lines = spark.read.text(path).select(F.from_json("value", F.lit(f"struct<key:string,entries:{entry}>")).alias("o")).where("o.key IS NOT NULL")
+    rows = rows.union(lines.select("o.key", "o.entries")).select("key", F.inline("entries"))
     return rows.select(F.substring_index("key", ":", 1).alias("gene"), F.substring_index("key", ":", -1).try_cast("int").alias("aa_pos"), "ref_aa", "alt_aa", "clnsig", "review")
 
 
@@ -179,3 +182,44 @@ def read_sample_files(spark: SparkSession, pattern: str, sample_regex: str) -> D
     """All matching TSVs together, with the sample that each path names."""
     df = spark.read.csv(pattern, sep="\t", header=True, nullValue="", quote="", enforceSchema=False)
     return df.withColumn("sample_id", F.regexp_extract(F.col("_metadata.file_path"), sample_regex, 1))
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict[str, dict[str, str]]:
+    """Rows of a small TSV by their first column."""
+    df = read_delimited(spark, path)
+    return {r[0]: r.asDict() for r in df.collect()}
+
+
+def read_reads(spark: SparkSession, path: str) -> DataFrame:
+    """sample_id, path of a file of sample,reads lines (comma or tab)."""
+    f = F.split("value", "[,\t]")
+    rows = spark.read.text(path).where("trim(value) <> '' AND NOT startswith(value, '#')")
+    return rows.select(F.trim(F.get(f, F.lit(0))).alias("sample_id"), F.trim(F.get(f, F.lit(1))).alias("path")).where("path <> ''")
+
+
+def read_gene_coordinates(spark: SparkSession, path: str) -> DataFrame:
+    """gene, chrom, start, end (0-based, half-open) of a BED of genes, or of the genes of a GTF or GFF."""
+    if not path.removesuffix(".gz").endswith((".gtf", ".gff", ".gff3")):
+        return read_bed(spark, path).select(F.col("name").alias("gene"), "chrom", "start", "end")
+    f = F.split("value", "\t")
+    name = F.regexp_extract(F.get(f, F.lit(8)), r'(?:gene_name|gene|Name)[ =]"?([^";]+)', 1)
+    rows = spark.read.text(path).where(~F.col("value").startswith("#")).where(F.get(f, F.lit(2)) == "gene")
+    return rows.select(name.alias("gene"), F.regexp_replace(F.get(f, F.lit(0)), "^chr", "").alias("chrom"), (F.get(f, F.lit(3)).cast("bigint") - 1).alias("start"), F.get(f, F.lit(4)).cast("bigint").alias("end")).where("gene <> ''")
+
+
+def gene_regions(coordinates: DataFrame, genes: list[str], expand: int = 0, prefix: str = "") -> DataFrame:
+    """chrom, start, end in order: the genes' intervals (all, if that is the list), widened, overlapping ones merged.
+
+    A gene without coordinates raises.
+    """
+    from helicase.operators import intervals
+
+    rows = coordinates
+    if genes != ["all"]:
+        wanted = coordinates.sparkSession.createDataFrame([(g,) for g in genes], "gene string")
+        absent = sorted(r.gene for r in wanted.join(coordinates, "gene", "left_anti").collect())
+        if absent:
+            raise ValueError(f"no coordinates for {', '.join(absent[:10])}")
+        rows = coordinates.join(F.broadcast(wanted), "gene", "left_semi")
+    merged = intervals.merged(intervals.expanded(rows.select("chrom", "start", "end"), expand))
+    return merged.withColumn("chrom", F.concat(F.lit(prefix), "chrom")).orderBy("chrom", "start", "end")

@@ -9,13 +9,143 @@ from helicase.functions import genotype, text
 from helicase.functions.text import identifier
 from helicase.operators import intervals
 from helicase.plans.filterlang import Schema, compile_filter
+from helicase.sources.store import located
+
+
+#: Compressed bytes that one task of a block-gzip file reads.
+SPLIT_BYTES = 64 << 20
+BLOCK_MARK = b"\x1f\x8b\x08\x04"
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a VCF, plain or gzip (by suffix); a path may be a folder or a pattern."""
+    """Lines of a VCF, plain or gzip (by suffix); a path may be a folder or a pattern.
+
+    A single gzip file whose blocks can be read apart (bgzip) is read in ranges of SPLIT_BYTES, others as a whole.
+    """
+    if path.endswith((".gz", ".bgz")) and not any(c in path for c in "*?[{"):
+        found, store = located(spark, path)
+        if store.exists(found) and store.isFile(found):
+            size = store.getFileStatus(found).getLen()
+            head = _head(spark, path)
+            if size > SPLIT_BYTES and head[:4] == BLOCK_MARK and b"BC\x02\x00" in head:
+                return block_lines(spark, store.makeQualified(found).toString(), size)
     return spark.read.text(path)
 
 
+def _head(spark: SparkSession, path: str) -> bytes:
+    found, store = located(spark, path)
+    stream = store.open(found)
+    try:
+        return bytes(stream.readNBytes(18))
+    finally:
+        stream.close()
+
+
+def block_lines(spark: SparkSession, path: str, size: int, split: int = 0) -> DataFrame:
+    """Lines (column value) of a block-gzip file, ranges of its bytes in tasks of their own.
+
+    A range has the blocks that begin in it; the line that a range's first block begins with belongs to the range before,
+    which reads on to its end.
+    """
+    split = split or SPLIT_BYTES
+    starts = spark.range(0, max(1, -(-size // split)), 1, max(1, -(-size // split))).select((F.col("id") * split).alias("start"))
+    return starts.mapInArrow(_block_reader(path, size, split), "value string")
+
+
+def _block_reader(path: str, size: int, split: int):
+    def run(batches):
+        import re
+        import zlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, name = fs.FileSystem.from_uri(re.sub("^s3a:", "s3:", path))
+
+        def begins(stream, at: int) -> int:
+            """Where the next block begins at or after at; the file's size if there is none."""
+            while at < size:
+                stream.seek(at)
+                data = stream.read(1 << 17)
+                place = data.find(BLOCK_MARK)
+                while place >= 0:
+                    if len(data) < place + 18 and at + len(data) < size:
+                        break
+                    # the extra field of a block names its size, and after it another block or the file's end follows
+                    if data[place + 12 : place + 16] == b"BC\x02\x00":
+                        length = int.from_bytes(data[place + 16 : place + 18], "little") + 1
+                        stream.seek(at + place + length)
+                        if at + place + length == size or stream.read(4) == BLOCK_MARK:
+                            return at + place
+                    place = data.find(BLOCK_MARK, place + 1)
+                at += max(1, len(data) - 17) if place < 0 else place
+            return size
+
+        def content(stream, at: int) -> tuple[bytes, int]:
+            stream.seek(at)
+            head = stream.read(18)
+            length = int.from_bytes(head[16:18], "little") + 1
+            return zlib.decompress(head + stream.read(length - 18), 31), at + length
+
+        for batch in batches:
+            for start in batch.column(0).to_pylist():
+                with store.open_input_file(name) as stream:
+                    at, stop = begins(stream, start), begins(stream, min(size, start + split))
+                    if at >= stop:
+                        continue
+                    rest, first = b"", at > 0
+                    while at < stop:
+                        data, at = content(stream, at)
+                        whole, _, rest = (rest + data).rpartition(b"\n")
+                        if not whole and not rest.count(b"\n") and b"\n" not in rest and not _:
+                            continue
+                        found = whole.split(b"\n")
+                        if first:
+                            found, first = found[1:], False
+                        if found:
+                            yield pa.RecordBatch.from_arrays([pa.array([x.decode() for x in found], pa.string())], names=["value"])
+                    # the last line goes on in the next range's blocks, or ends the file
+                    while at < size:
+                        data, at = content(stream, at)
+                        line, end, _ = data.partition(b"\n")
+                        rest += line
+                        if end:
+                            break
+                    if rest and not first:
+                        yield pa.RecordBatch.from_arrays([pa.array([rest.decode()], pa.string())], names=["value"])
+
+    return run
+
+
+def write_sorted(records: DataFrame, path: str, files: int | None = None) -> None:
+    """Records as Parquet in order of chromosome and position, so that ranges of them are found by the files' statistics."""
+    rows = records.repartitionByRange(files, "chrom", "pos") if files else records.repartitionByRange("chrom", "pos")
+    rows.sortWithinPartitions("chrom", "pos").write.mode("overwrite").parquet(path)
+
+
+#: Regions that a scan names one by one; beyond them it names each chromosome's first and last position.
+MOST_RANGES = 200
+#: Reference bases that a record is taken to have at most where a scan is narrowed; longer ones are looked up apart.
+LONG_REF = 1000
+
+
+def scan_regions(spark: SparkSession, path: str, regions: DataFrame) -> DataFrame:
+    """Records of write_sorted()'s files that touch a region: position ranges reach the files, the join is exact."""
+    rows = spark.read.parquet(path)
+    spans = regions.select("chrom", "start", "end").limit(MOST_RANGES + 1).collect()
+    if len(spans) > MOST_RANGES:
+        spans = regions.groupBy("chrom").agg(F.min("start").alias("start"), F.max("end").alias("end")).collect()
+    near = F.lit(False)
+    for r in spans:
+        near = near | ((F.col("chrom") == r.chrom) & (F.col("pos") > r.start - LONG_REF) & (F.col("pos") <= r.end))
+    return overlapping(rows.where(near | (F.length("ref") > LONG_REF)), regions)
+
+
+def count_records(spark: SparkSession, path: str) -> int:
+    """Records of a VCF, its header left out."""
+    return lines(spark, path).where(~F.col("value").startswith("#") & (F.col("value") != "")).count()
+
+
 def parsed(raw: DataFrame) -> DataFrame:
     """Records of VCF lines (column value).  INFO becomes a map (a flag maps to the empty text); . is null."""
     f = F.split("value", "\t")
@@ -75,6 +205,37 @@ def header_fields(raw: DataFrame) -> DataFrame:
     return rows.orderBy("source", F.lower("id"))
 
 
+def matching_fields(header: DataFrame, pattern: str | None = None, source: str | None = None) -> DataFrame:
+    """Header fields of INFO or FORMAT alone, or whose id or description has the pattern, whatever its case."""
+    rows = header.where(F.col("source") == source) if source else header
+    if pattern:
+        rows = rows.where(F.lower("id").contains(pattern.lower()) | F.lower("description").contains(pattern.lower()))
+    return rows
+
+
+def told_fields(header: DataFrame, as_json: bool = False) -> str:
+    """Header fields for reading: JSON, or a table in columns."""
+    import json
+
+    rows = [r.asDict() for r in header.collect()]
+    if as_json:
+        return json.dumps(rows, indent=1)
+    names = ["source", "id", "number", "type", "description"]
+    width = {n: max([len(n), *(len(r[n] or "") for r in rows)]) for n in names[:-1]}
+    line = lambda r: "  ".join([*((r[n] or "").ljust(width[n]) for n in names[:-1]), r["description"] or ""]).rstrip()
+    return "\n".join([line({n: n.upper() for n in names}), *map(line, rows)])
+
+
+def regular(raw: DataFrame, names: list[str]) -> DataFrame:
+    """Lines of a delimited table (column value) as exactly these columns, in text: cells beyond them become EXTRA_0 and
+    so on where any row has them, cells that a row lacks are NA, empty and . ones too."""
+    f = F.split("value", "\t")
+    widest = raw.agg(F.max(F.size(f))).first()[0] or 0
+    names = names + [f"EXTRA_{i}" for i in range(max(0, widest - len(names)))]
+    cell = lambda i: F.coalesce(text.blank_as_null(F.get(f, F.lit(i))), F.lit("NA"))
+    return raw.select(*(cell(i).alias(n) for i, n in enumerate(names)))
+
+
 def missing_fields(header: DataFrame, requested: list[str]) -> list[str]:
     """Requested fields that neither the header nor the record itself has."""
     fixed = {"CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER"}

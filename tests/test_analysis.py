@@ -43,7 +43,10 @@ def test_whole_run(spark, inputs):
     rows = {r.pos: r for r in found.variants.collect()}
     assert sorted(rows) == [100, 200, 300]
     assert rows[100].Inheritance_Pattern == "compound_heterozygous"
-    assert json.loads(rows[100].Inheritance_Details)["samples_with_pattern"] == ["C", "F"]
+    told = json.loads(rows[100].Inheritance_Details)
+    assert [x["sample_id"] for x in told["samples_with_pattern"]] == ["C", "F"]
+    assert told["samples_with_pattern"][0] == {"sample_id": "C", "genotype": "0/1", "affected": True, "compound_het_partners": ["1:200:A>G"], "compound_het_gene": "G1", "compound_het_configuration": "compound_heterozygous"}
+    assert (told["affected_count"], told["carrier_count"], told["segregation_p_value"]) == (1, 1, 1.0)
     assert rows[100].Custom_Annotation == "Region=promoter_r"
     assert rows[300].GT == "C(1/1);F(0/1);M(0/1)"
     assert rows[100].s == 3

@@ -13,7 +13,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 if not os.path.isdir(SF):
     pytest.skip("no tables", allow_module_level=True)
 
-from helicase.plans import catalogue  # noqa: E402
+from helicase.plans import catalogue_io as catalogue  # noqa: E402
 
 
 @pytest.fixture(scope="module")
