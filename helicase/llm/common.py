@@ -2,59 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-
-#: Text bytes that one step of an Arrow function handles at a time.
-SLICE_BYTES = 4 << 20
-
-
-#: By application and base folder: the folder below which this process writes.
-_roots: dict[tuple[str, str], str] = {}
-
-
-def _path(spark: SparkSession, path: str):
-    """Hadoop's path and the file system that holds it."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
 
+from helicase.sources.store import discard, materialised, shared_dir
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder, as a qualified URI, below spark.checkpoint.dir, which every executor sees; it goes when the driver ends.
+__all__ = ["by_text", "binary_parts", "discard", "materialised", "shared_dir", "sliced"]
 
-    Only where the setting is missing (tests in local mode) is a temporary folder made and set.
-    """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", "")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="helicase-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    key = spark.sparkContext.applicationId, base
-    if key not in _roots:
-        root, store = _path(spark, f"{base.rstrip('/')}/{key[0]}-{uuid.uuid4().hex}")
-        store.mkdirs(root)
-        store.deleteOnExit(root)
-        _roots[key] = store.makeQualified(root).toString()
-    return f"{_roots[key]}/{name}-{uuid.uuid4().hex}"
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Deletes a folder that nothing reads any more."""
-    found, store = _path(spark, path)
-    store.delete(found, True)
-
-
-def materialised(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Writes df as Parquet below the shared folder (to that path, if given) and reads it again: lineage ends there."""
-    path = path or shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Text bytes that one step of an Arrow function handles at a time.
+SLICE_BYTES = 4 << 20
 
 
 def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
