@@ -94,15 +94,17 @@ def pseudonymised_pedigree(pedigree: DataFrame, names: DataFrame) -> DataFrame:
     return rows.withColumn("family_id", F.concat(F.lit("FAM"), _number(family)))
 
 
-def pseudonymised_text(rows: DataFrame, column: str, names: DataFrame, key: str = "variant_id") -> DataFrame:
-    """rows with the sample ids in a text cell replaced: words before a bracket, colon or separator that are sample ids.
+def pseudonymised_text(rows: DataFrame, columns: list[str], names: DataFrame, key: str = "variant_id") -> DataFrame:
+    """rows with the sample ids in text cells replaced: whole words that are sample ids.
 
-    The cell is taken apart into words and what stands between, words are joined with the pseudonyms, and all is put
-    together again; no id is replaced inside a longer word.
+    Cells are taken apart into words and what stands between, words are joined with the pseudonyms once for all columns,
+    and all is put together again; no id is replaced inside a longer word.
     """
     piece = r"([A-Za-z0-9_.-]+|[^A-Za-z0-9_.-]+)"
-    parts = rows.select(key, F.posexplode(F.regexp_extract_all(F.col(column), F.lit(piece))).alias("_i", "_word"))
+    cells = F.array(*(F.struct(F.lit(c).alias("_column"), F.col(c).alias("_cell")) for c in columns))
+    parts = rows.select(key, F.inline(cells)).where("_cell IS NOT NULL").select(key, "_column", F.posexplode(F.regexp_extract_all(F.col("_cell"), F.lit(piece))).alias("_i", "_word"))
     told = parts.join(names.select(F.col("sample_id").alias("_word"), "pseudonym"), "_word", "left")
-    cell = F.struct("_i", F.coalesce("pseudonym", "_word").alias("t"))
-    whole = told.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(cell)), lambda x: x["t"]), "").alias("_told"))
-    return rows.join(whole, key, "left").withColumn(column, F.coalesce("_told", F.col(column))).drop("_told")
+    part = F.struct("_i", F.coalesce("pseudonym", "_word").alias("t"))
+    whole = told.groupBy(key, "_column").agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x["t"]), "").alias("_told"))
+    wide = whole.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_column", "_told"))).alias("_told"))
+    return rows.join(wide, key, "left").withColumns({c: F.coalesce(F.element_at("_told", F.lit(c)), F.col(c)) for c in columns}).drop("_told")

@@ -215,46 +215,59 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
     extracted = [f for f in wanted if f.lower() not in own and f != "ANN[0].GENE"]
     if s.transcripts and "ANN[0].FEATUREID" not in extracted:
         extracted.append("ANN[0].FEATUREID")
-    variants = annotate.first_rows(vcf.fields(base, extracted, samples, own))
-    variants = variants.withColumnsRenamed({f"ANN_0__{n}": n for n in ("EFFECT", "IMPACT", "HGVS_P", "HGVS_C", "FEATUREID")})
-    if s.transcripts:
-        variants = annotate.of_transcripts(variants, [r.value for r in tables.read_lines(spark, s.transcripts).collect()])
-    variants = variants.join(annotate.packed(calls), "variant_id", "left")
-    labels = [annotate.region_labels(variants, tables.read_bed(spark, p, labelled=True)) for p in s.annotate_regions]
-    labels += [annotate.gene_list_labels(variants, tables.read_gene_list(spark, p)) for p in s.annotate_gene_lists]
-    if s.gene_json:
-        mapping = json.loads(s.gene_json_mapping or "{}")
-        for p in s.gene_json:
-            labels.append(annotate.attribute_labels(variants, tables.read_gene_json(spark, p, mapping["identifier"], mapping.get("dataFields", []))))
-    if labels:
-        variants = annotate.custom_annotation(variants, labels)
-    if s.pm5_lookup:
-        change = text.protein_change(F.col("HGVS_P"))
-        told = variants.select("*", change["ref_aa"].alias("ref_aa"), change["aa_pos"].alias("aa_pos"), change["alt_aa"].alias("alt_aa"))
-        variants = annotate.pm5(told, tables.read_pm5_lookup(spark, s.pm5_lookup)).drop("ref_aa", "aa_pos", "alt_aa")
+
+    def extract() -> DataFrame:
+        rows = annotate.first_rows(vcf.fields(base, extracted, samples, own))
+        rows = rows.withColumnsRenamed({f"ANN_0__{n}": n for n in ("EFFECT", "IMPACT", "HGVS_P", "HGVS_C", "FEATUREID")})
+        if s.transcripts:
+            rows = annotate.of_transcripts(rows, [r.value for r in tables.read_lines(spark, s.transcripts).collect()])
+        return rows.join(annotate.packed(calls), "variant_id", "left")
+
+    every = {k: v for k, v in asdict(s).items() if k not in ("work", "restart")}
+    fields_only = {k: every[k] for k in ("fields", "profile_fields", "transcripts", "genotype_modes", "late_filter")}
+    # every annotation is made from this table by itself and joined to it once, so the plan grows with their number
+    plain = steps.step("fields", extract, fields_only)
     people = spark.createDataFrame([(n, i) for i, n in enumerate(samples)], "sample_id string, place int")
-    if s.pedigree:
-        ped = tables.read_ped(spark, s.pedigree).withColumn("affected", F.col("affected_status") == "2")
-        found = inheritance.analysed(calls, variants, inheritance.family(ped, people), detailed=s.inheritance_mode == "full")
-        variants = variants.join(inheritance.as_columns(found, s.inheritance_mode), "variant_id", "left")
     terms = None
     if s.phenotypes:
         terms = tables.read_phenotypes(spark, s.phenotypes, s.sample_column, s.value_column)
         if s.remove_from_samples:
             terms = burden.by_shortened_ids(people, terms, s.remove_from_samples)
-        variants = variants.join(annotate.phenotype_text(calls, terms), "variant_id", "left")
     who = _who(spark, s, people, terms)
-    if who is not None:
-        variants = variants.join(burden.variant_counts(calls, who), "variant_id", "left")
-    if s.scoring_model:
-        variants = scoring.apply_scoring(variants, tables.read_scoring_model(s.scoring_model))
-    if s.final_filter:
-        variants = scoring.final_filter(variants, s.final_filter)
+    jobs = annotate.report_jobs(plain, calls, tables.read_reads(spark, s.reads)) if s.reads else None
+
+    def annotated() -> DataFrame:
+        parts: list[DataFrame] = []
+        labels = [annotate.region_labels(plain, tables.read_bed(spark, p, labelled=True)) for p in s.annotate_regions]
+        labels += [annotate.gene_list_labels(plain, tables.read_gene_list(spark, p)) for p in s.annotate_gene_lists]
+        mapping = json.loads(s.gene_json_mapping or "{}")
+        labels += [annotate.attribute_labels(plain, tables.read_gene_json(spark, p, mapping["identifier"], mapping.get("dataFields", []))) for p in s.gene_json]
+        key = plain.select("variant_id")
+        if labels:
+            parts.append(annotate.custom_annotation(key, labels))
+        if s.pm5_lookup:
+            change = text.protein_change(F.col("HGVS_P"))
+            told = plain.select("variant_id", "gene", change["ref_aa"].alias("ref_aa"), change["aa_pos"].alias("aa_pos"), change["alt_aa"].alias("alt_aa"))
+            parts.append(annotate.pm5(told, tables.read_pm5_lookup(spark, s.pm5_lookup)).select("variant_id", "PM5", "PM5_evidence_count", "PM5_known_variants"))
+        if s.pedigree:
+            ped = tables.read_ped(spark, s.pedigree).withColumn("affected", F.col("affected_status") == "2")
+            found = inheritance.analysed(calls, plain.select("variant_id", "chrom"), inheritance.family(ped, people), detailed=s.inheritance_mode == "full")
+            parts.append(inheritance.as_columns(found, s.inheritance_mode))
+        if terms is not None:
+            parts.append(annotate.phenotype_text(calls, terms))
+        if who is not None:
+            parts.append(burden.variant_counts(calls, who))
+        rows = plain
+        for part in parts:
+            rows = rows.join(part, "variant_id", "left")
+        if jobs is not None:
+            rows = annotate.with_reports(rows, jobs)
+        if s.scoring_model:
+            rows = scoring.apply_scoring(rows, tables.read_scoring_model(s.scoring_model))
+        return scoring.final_filter(rows, s.final_filter) if s.final_filter else rows
+
+    variants = steps.step("annotated", annotated, every)
     variants = identifiers.links(identifiers.variant_ids(variants), s.links)
-    jobs = None
-    if s.reads:
-        jobs = annotate.report_jobs(variants, calls, tables.read_reads(spark, s.reads))
-        variants = annotate.with_reports(variants, jobs)
     stats, made = None, {}
     if s.statistics:
         asked = None
@@ -273,8 +286,7 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
             raise ValueError(f"no pseudonyms {s.pseudonyms}: {', '.join(ways)} are known")
         names = ways[s.pseudonyms](people)
         told = ["GT", "phenotypes", "Inheritance_Details", "Inheritance_Samples", "links"]
-        for c in [c for c in told if c in variants.columns]:
-            variants = identifiers.pseudonymised_text(variants, c, names)
+        variants = identifiers.pseudonymised_text(variants, [c for c in told if c in variants.columns], names)
         calls = identifiers.pseudonymised_calls(calls, names)
     return Result(variants, calls, stats, table, tested, made, names, jobs, steps)
 

@@ -400,7 +400,7 @@ def pseudonym_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(", n AS (SELECT sample_id, 'P' || (row_number() OVER (ORDER BY sample_id))::VARCHAR AS p FROM samples) SELECT variant_id, string_agg(p || '(' || gt || ')', ';' ORDER BY c.sample_id) AS \"GT\" FROM calls c JOIN n ON n.sample_id = c.sample_id GROUP BY variant_id")
 def pseudonymised_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sample ids inside packed cells under their pseudonyms."""
-    return identifiers.pseudonymised_text(annotate.packed(a.calls(spark, sf_dir)), "GT", identifiers.custom(a.samples(spark, sf_dir), "P{index}"))
+    return identifiers.pseudonymised_text(annotate.packed(a.calls(spark, sf_dir)), ["GT"], identifiers.custom(a.samples(spark, sf_dir), "P{index}"))
 
 
 @query(", n AS (SELECT sample_id, 'P' || (row_number() OVER (ORDER BY sample_id))::VARCHAR AS p FROM samples) SELECT variant_id, p AS sample_id, dosage FROM calls c JOIN n ON n.sample_id = c.sample_id")

@@ -29,12 +29,12 @@ class Steps:
     _chain: str = ""
     _anew: bool = False
 
-    def digest(self, name: str) -> str:
-        return hashlib.sha256(json.dumps([name, self.settings, self._chain], sort_keys=True, default=str).encode()).hexdigest()
+    def digest(self, name: str, more: dict | None = None) -> str:
+        return hashlib.sha256(json.dumps([name, self.settings, more, self._chain], sort_keys=True, default=str).encode()).hexdigest()
 
-    def step(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """The step's table: read if it is there and made from the same, else made and written."""
-        path, mark, digest = f"{self.folder}/{name}", f"{self.folder}/{name}.digest", self.digest(name)
+    def step(self, name: str, make: Callable[[], DataFrame], more: dict | None = None) -> DataFrame:
+        """The step's table: read if it is there and made from the same settings (and more of them), else made and written."""
+        path, mark, digest = f"{self.folder}/{name}", f"{self.folder}/{name}.digest", self.digest(name, more)
         self._anew = self._anew or not self.resume or name == self.restart
         found = not self._anew and exists(self.spark, mark) and text_of(self.spark, mark) == digest
         if not found:

@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     s = (
-        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[4]")).appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints"))).config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
