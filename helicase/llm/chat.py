@@ -4,10 +4,15 @@ Rows of conversations become formatted text: per turn a header, the escaped text
 laid out in numpy: the lengths of all segments, their cumulative offsets, then the indices that scatter constants,
 roles and texts into one preallocated Arrow buffer, which becomes the output column without a copy.
 
+Rows are dealt by ranges of conversation and turn, so a conversation of any length is sorted and formatted by as many
+tasks as it needs: its rows leave in stretches, one a task, and a stretch longer than PART_BYTES of text in parts.  Read
+one after another by stretch and part they are the conversation; most are one row.  Only a digest over a conversation
+that many tasks share must pass it in order: read_back() streams what may go on in another task to one that does, and
+digests all others where they are.
+
 Defined results: rows go by turn (null first), then role, then text; repeated rows are turns like any other.  A null
-text or role is empty.  Null conv_ids are one conversation.  A conversation longer than PART_BYTES of text leaves as
-several rows (part 0, 1, ...) to be read one after another, so no task holds an unbounded one; all others are one
-row.  An empty table gives no rows.  Other columns of the input are ignored.
+text or role is empty.  Null conv_ids are one conversation.  Rows with one conv_id and turn are in one stretch.  An
+empty table gives no rows.  Other columns of the input are ignored.
 
 Inside texts ``<``, any backslashes, ``|`` gets one backslash more, so no text holds ``<|``; roles escape backslash,
 newline and bar.  Both are undone exactly by ``unescape`` and ``unescape_role``.
@@ -25,10 +30,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helicase.llm.common import binary_parts, sliced
+from helicase.llm.common import binary_parts, materialised, sliced
 
 START, END = "<|im_start|>", "<|im_end|>"
 PART_BYTES = 8 << 20
+#: Formatted bytes of a conversation that a digest holds until it knows that the conversation ends in its task.
+HELD_BYTES = 32 << 20
 #: Segments up to this length are scattered by index, longer ones copied as slices.
 SCATTER_BYTES = 4096
 
@@ -150,10 +157,10 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
-    """conv_id, part, n_turns, formatted, and the byte spans of the loss mask (assistant texts) in each part."""
+    """conv_id, part, n_turns, formatted, the byte spans of the loss mask (assistant texts) in each part, and stretch."""
     rows = rows.select(F.col("conv_id").cast("bigint"), "role", "text", F.col("turn"))
-    rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return rows.select("conv_id", "role", "text").mapInArrow(_format, FORMATTED)
+    rows = rows.repartitionByRange("conv_id", "turn").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return rows.select("conv_id", "role", "text").mapInArrow(_format, FORMATTED).withColumn("stretch", F.spark_partition_id())
 
 
 def read_part(formatted: str) -> list[tuple[str, str]]:
@@ -167,38 +174,100 @@ def read_part(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
-    now: list | None = None
+_DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+_RAW = pa.schema([("part", pa.int32()), ("formatted", pa.string()), ("loss_start", pa.list_(pa.int32())), ("loss_bytes", pa.list_(pa.int32())), ("stretch", pa.int32())])
+WITH_RAW = f"{DIGEST}, part int, formatted string, loss_start array<int>, loss_bytes array<int>, stretch int"
+
+
+class Digest:
+    """The digests of one conversation, part by part."""
+
+    def __init__(self, conv: int | None) -> None:
+        self.conv, self.turns, self.loss_chars, self.chars = conv, 0, 0, 0
+        self.all, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, formatted: str, at: list[int], size: list[int]) -> None:
+        for role, text in read_part(formatted):
+            self.turns += 1
+            self.all.update(f"{role}\n{text}\n".encode())
+        raw = formatted.encode()
+        for a, n in zip(at, size, strict=True):
+            text = unescape(raw[a : a + n].decode())
+            self.loss_chars += len(text)
+            self.loss.update(text.encode())
+        self.chars += len(formatted)
+
+    def row(self) -> tuple:
+        return self.conv, self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(conv_id, part, formatted, loss_start, loss_bytes, stretch) of each row."""
+    at = [batch.schema.get_field_index(c) for c in ("conv_id", "part", "formatted", "loss_start", "loss_bytes", "stretch")]
+    yield from zip(*(batch.column(i).to_pylist() for i in at), strict=True)
 
-    def row(x: list) -> tuple:
-        return x[0], x[1], x[2].hexdigest(), x[3], x[4].hexdigest(), x[5]
 
+def _told(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+
+
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of conversations whose parts come one after another."""
+    now: Digest | None = None
     for batch in batches:
         done = []
-        for conv, part, formatted, at, size in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4, 5)), strict=True):
-            if part == 0:
+        for conv, _, formatted, at, size, _ in _rows(batch):
+            if now is None or now.conv != conv:
                 if now:
-                    done.append(row(now))
-                now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            for role, text in read_part(formatted):
-                now[1] += 1
-                now[2].update(f"{role}\n{text}\n".encode())
-            raw = formatted.encode()
-            for a, n in zip(at, size, strict=True):
-                text = unescape(raw[a : a + n].decode())
-                now[3] += len(text)
-                now[4].update(text.encode())
-            now[5] += len(formatted)
+                    done.append(now.row())
+                now = Digest(conv)
+            now.add(formatted, at, size)
         if done:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), schema.types, strict=True)], schema=schema)
+            yield _told(done, _DIGEST)
     if now:
-        yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row(now), schema.types, strict=True)], schema=schema)
+        yield _told([now.row()], _DIGEST)
+
+
+def _digest_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of conversations that begin and end in this task, and the rows of others as they are: those of the first and
+    the last one, which may go on elsewhere, and of any that is longer than HELD_BYTES."""
+    schema = pa.schema([*_DIGEST, *_RAW])
+    now: Digest | None = None
+    held: list[tuple] | None = None  # the rows of the present conversation; None once they pass as they are
+    size = 0
+
+    def raw(row: tuple) -> tuple:
+        return (row[0], *[None] * 5, *row[1:])
+
+    for batch in batches:
+        out = []
+        for row in _rows(batch):
+            if now is None or now.conv != row[0]:
+                if now and held is not None:
+                    out.append((*now.row(), *[None] * 5))
+                held, size = None if now is None else [], 0
+                now = Digest(row[0])
+            if held is None:
+                out.append(raw(row))
+                continue
+            now.add(*row[2:5])
+            held.append(row)
+            size += len(row[2])
+            if size > HELD_BYTES:
+                out += map(raw, held)
+                held = None
+        if out:
+            yield _told(out, schema)
+    if held:
+        yield _told(list(map(raw, held)), schema)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of what format_conversations gave, read from its strings and mask; its partitions and order must be kept."""
-    return formatted.mapInArrow(_digest, DIGEST)
+    """Digests of what format_conversations gave, read from its strings and mask."""
+    found = materialised(formatted.mapInArrow(_digest_inside, WITH_RAW), "digests")
+    names = _DIGEST.names
+    parts = found.where("formatted IS NOT NULL").select("conv_id", *_RAW.names).repartition("conv_id").sortWithinPartitions("conv_id", "stretch", "part")
+    return found.where("formatted IS NULL").select(*names).union(parts.mapInArrow(_digest, DIGEST))
 
 
 SQL = f"""

@@ -52,10 +52,27 @@ def test_long_conversation_leaves_in_parts(spark, monkeypatch):
     by = Counter(x for b in parts for x in b.column(0).to_pylist())
     assert by[1] > 1
     assert all(b.column(3).nbytes < 40_000 for b in parts)
+    parts = [b.append_column("stretch", pa.array([0] * b.num_rows, pa.int32())) for b in parts]
     done = pa.Table.from_batches(list(chat._digest(iter(parts)))).to_pylist()
     assert {r["conv_id"]: tuple(r.values())[1:5] for r in done} == expected(rows)
 
 
+def test_one_conversation_over_most_rows(spark, monkeypatch):
+    """It is formatted by many tasks; its digest is that of the whole, as are those of what lies beside it."""
+    monkeypatch.setattr(chat, "HELD_BYTES", 2000)
+    rows = [(9, t, "assistant" if t % 2 else "user", f"turn {t} <|im_end|> " * 9, "p", 1) for t in range(600)]
+    rows += [(c, t, "assistant", f"{c} {t}", "p", 1) for c in (*range(8), *range(10, 40)) for t in range(3)] + [(None, None, "user", "n", "p", 1)] * 3 + [(12, t, "user", "long " * 300, "p", 1) for t in range(4, 9)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table would be one task
+    try:
+        formatted = chat.format_conversations(conversations(spark, rows))
+        stretches = {r.stretch for r in formatted.where("conv_id = 9").select("stretch").collect()}
+        found = chat.read_back(formatted).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(stretches) > 1
+    assert {r.conv_id: tuple(r)[1:5] for r in found} == expected(rows)
+
+
 def test_escape_is_reversible_and_hides_marks():
     for text in [*ODD, "<|", "<\\|", "<\\\\|x", "<<|", "<|<|\\"]:
         escaped = chat.escape(pa.array([text]))[0].as_py()
