@@ -54,12 +54,88 @@ def cauchy(ps: list[float | None], weights: list[float] | None = None) -> float
     return 1 / (t * math.pi) if t > 1e15 else 0.5 - math.atan(t) / math.pi
 
 
-def _roots(null: Null, gw: np.ndarray) -> np.ndarray:
-    """Z with Z'Z the covariance of the weighted scores (halved)."""
-    v = np.sqrt(null.variance)[:, None]
-    xv = null.x * v
-    z = gw * v
-    return (z - xv @ (np.linalg.pinv(xv) @ z)) / math.sqrt(2)
+@dataclass
+class Genotypes:
+    """Dosages above zero of n samples and p variants, by sample; all others are zero."""
+
+    n: int
+    p: int
+    row: np.ndarray
+    col: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def of(cls, g: np.ndarray | Genotypes) -> Genotypes:
+        if isinstance(g, Genotypes):
+            return g
+        row, col = np.nonzero(g)
+        return cls(*g.shape, row, col, np.asarray(g, float)[row, col])
+
+    @classmethod
+    def cells(cls, n: int, p: int, row: np.ndarray, col: np.ndarray, value: np.ndarray) -> Genotypes:
+        """From cells in any order; of several in one place the last counts."""
+        place = row.astype(np.int64) * p + col
+        place, last = np.unique(place[::-1], return_index=True)
+        value = value[::-1][last]
+        kept = value != 0
+        return cls(n, p, place[kept] // p, place[kept] % p, value[kept].astype(float))
+
+    def totals(self) -> np.ndarray:
+        return np.bincount(self.col, self.value, self.p)
+
+    def carried(self, w: np.ndarray) -> np.ndarray:
+        """Each sample's weighted sum of dosages."""
+        return np.bincount(self.row, self.value * w[self.col], self.n)
+
+    def variants(self, keep: np.ndarray) -> Genotypes:
+        place, here = np.cumsum(keep) - 1, keep[self.col]
+        return Genotypes(self.n, int(keep.sum()), self.row[here], place[self.col[here]], self.value[here])
+
+    def samples(self, keep: np.ndarray) -> Genotypes:
+        inside = np.zeros(self.n, bool)
+        inside[keep] = True
+        place, here = np.cumsum(inside) - 1, inside[self.row]
+        return Genotypes(int(inside.sum()), self.p, place[self.row[here]], self.col[here], self.value[here])
+
+    def blocks(self, size: int = 2048):
+        """(samples, dense dosages) of so many carriers at a time."""
+        who, at = np.unique(self.row, return_inverse=True)
+        ends = np.searchsorted(at, np.arange(0, len(who) + size, size))
+        for k, start in enumerate(range(0, len(who), size)):
+            cut = slice(ends[k], ends[k + 1])
+            dense = np.zeros((min(size, len(who) - start), self.p))
+            dense[at[cut] - start, self.col[cut]] = self.value[cut]
+            yield who[start : start + size], dense
+
+
+@dataclass
+class Scored:
+    """Score of each variant, their covariance given the covariates (halved), and the products of their columns: sums over
+    blocks of carriers, so memory is variants times variants, whatever the number of samples."""
+
+    score: np.ndarray
+    gram: np.ndarray
+    cross: np.ndarray
+
+    @classmethod
+    def of(cls, null: Null, g: np.ndarray | Genotypes) -> Scored:
+        g = Genotypes.of(g)
+        score, cross, with_x = np.zeros(g.p), np.zeros((g.p, g.p)), np.zeros((g.p, null.x.shape[1]))
+        for who, dense in g.blocks():
+            v = dense * null.variance[who][:, None]
+            score += null.residual[who] @ dense
+            cross += dense.T @ v
+            with_x += v.T @ null.x[who]
+        inside = with_x @ np.linalg.pinv(null.x.T @ (null.x * null.variance[:, None])) @ with_x.T
+        return cls(score, (cross - inside) / 2, cross)
+
+    def weighted(self, w: np.ndarray) -> Scored:
+        both = np.outer(w, w)
+        return Scored(self.score * w, self.gram * both, self.cross * both)
+
+    def single(self) -> bool:
+        """Whether the columns are all multiples of one."""
+        return len(self.score) < 2 or np.linalg.matrix_rank(self.cross, hermitian=True) < 2
 
 
 def _lambdas(m: np.ndarray) -> np.ndarray:
@@ -68,28 +144,25 @@ def _lambdas(m: np.ndarray) -> np.ndarray:
     return lam[lam > up.mean() / 1e5] if len(up) else lam[:0]
 
 
-def _gram(z: np.ndarray) -> np.ndarray:
-    return _lambdas(z.T @ z if z.shape[1] <= z.shape[0] else z @ z.T)
+def skat(null: Null, g: np.ndarray | Genotypes, w: np.ndarray) -> tuple[float, str]:
+    s = Scored.of(null, g).weighted(w)
+    return (math.nan, "rank") if s.single() else quadform.p_value(float((s.score**2).sum()) / 2, _lambdas(s.gram))
 
 
-def skat(null: Null, g: np.ndarray, w: np.ndarray) -> tuple[float, str]:
-    gw = g * w
-    if np.linalg.matrix_rank(gw) < 2:
-        return math.nan, "rank"
-    q = float(((gw.T @ null.residual) ** 2).sum()) / 2
-    return quadform.p_value(q, _gram(_roots(null, gw)))
+def _summed(s: Scored) -> float:
+    """The score test of the sum of all variants."""
+    var = 2 * float(s.gram.sum())
+    return dist.chi2_sf(float(s.score.sum()) ** 2 / var, 1) if var > 1e-12 * float(np.abs(s.cross).sum()) else math.nan
 
 
-def burden_score(null: Null, g: np.ndarray, w: np.ndarray) -> float:
-    b = (g * w).sum(1, keepdims=True)
-    var = 2 * float((_roots(null, b) ** 2).sum())
-    return dist.chi2_sf(float(b[:, 0] @ null.residual) ** 2 / var, 1) if var > 0 else math.nan
+def burden_score(null: Null, g: np.ndarray | Genotypes, w: np.ndarray) -> float:
+    return _summed(Scored.of(null, g).weighted(w))
 
 
-def collapsed_score(null: Null, g: np.ndarray, w: np.ndarray) -> float:
+def collapsed_score(null: Null, g: np.ndarray | Genotypes, w: np.ndarray) -> float:
     """The score test of the weighted sum of variants with the variance that kernel programs give it alone: covariates are
     not taken out of the sum, and a binary trait counts with variance one, so the test is conservative."""
-    b = g @ w
+    b = Genotypes.of(g).carried(w)
     var = float(b @ b) * (1.0 if null.binary else float(null.variance[0]))
     return dist.chi2_sf(float(b @ null.residual) ** 2 / var, 1) if var > 0 else math.nan
 
@@ -106,17 +179,14 @@ def _moments(lam: np.ndarray) -> tuple[float, float, float]:
     return c1, math.sqrt(2 * c2), df
 
 
-def skat_o(null: Null, g: np.ndarray, w: np.ndarray) -> tuple[float, float]:
+def skat_o(null: Null, g: np.ndarray | Genotypes, w: np.ndarray) -> tuple[float, float]:
     """p of the best mixture, corrected for the search, and that mixture."""
-    gw = g * w
-    p = gw.shape[1]
-    if p == 1 or np.linalg.matrix_rank(gw) < 2:
-        return burden_score(null, g, w), 1.0
-    score = gw.T @ null.residual
-    z = _roots(null, gw)
+    s = Scored.of(null, g).weighted(w)
+    if s.single():
+        return _summed(s), 1.0
+    score, a, p = s.score, s.gram, len(s.score)
     rhos = [min(r, RHO_MOST) for r in RHO]
     ps, shapes = [], []
-    a = z.T @ z
     for r in rhos:
         q = ((1 - r) * float((score**2).sum()) + r * float(score.sum()) ** 2) / 2
         # the root of (1 - r) I + r J has one direction of its own
@@ -130,7 +200,7 @@ def skat_o(null: Null, g: np.ndarray, w: np.ndarray) -> tuple[float, float]:
         return least, rhos[ps.index(least)]
     # the quantile of each mixture at the least p
     points = np.array([mean + sd * (dist.chi2_isf(least, df) - df) / math.sqrt(2 * df) for mean, sd, df in shapes])
-    pairs = SharedDirection.of(z)
+    pairs = SharedDirection.of(a)
     shares = np.array([1 - r for r in rhos])
     along = np.array([pairs.along(r) for r in rhos])
     beyond = pairs.beyond(lambda u: np.min((points[:, None] - along[:, None] * u) / shares[:, None], axis=0))
@@ -149,16 +219,17 @@ class SharedDirection:
     tied: float
 
     @classmethod
-    def of(cls, z: np.ndarray) -> SharedDirection:
-        direction = z.mean(1)
-        length = float(direction @ direction)
-        if not length > 0:
-            return cls(z.shape[1], 0.0, 0.0, _gram(z), 0.0)
-        on = direction @ z / length
-        rest = z - direction[:, None] * on
+    def of(cls, gram: np.ndarray) -> SharedDirection:
+        """From the roots' products."""
+        p = len(gram)
+        shared = gram.sum(1) / p
+        length = float(shared.mean())
+        if not length > 1e-14 * float(np.trace(gram)):
+            return cls(p, 0.0, 0.0, _lambdas(gram), 0.0)
+        on = shared / length
+        rest = gram - length * np.outer(on, on)
         # on the direction and off it the roots' products add up to the variance of their mixed terms
-        tied = 4 * length * float(on @ (rest.T @ rest) @ on)
-        return cls(z.shape[1], length, float(on @ on), _gram(rest), tied)
+        return cls(p, length, float(on @ on), _lambdas(rest), max(0.0, 4 * length * float(on @ rest @ on)))
 
     def along(self, rho: float) -> float:
         """How much of a mixture's statistic a unit of u brings."""
@@ -192,32 +263,32 @@ class SharedDirection:
         return max(1 - float((20 * w * below * np.exp(-u / 2) / np.sqrt(2 * math.pi * u)).sum()), 0.0)
 
 
-def per_variant(null: Null, g: np.ndarray, w: np.ndarray) -> float | None:
+def per_variant(null: Null, g: np.ndarray | Genotypes, w: np.ndarray) -> float | None:
     """Score tests of single variants, combined with weights w^2 maf (1 - maf)."""
-    ps, weights = [], []
-    for j in range(g.shape[1]):
-        ps.append(burden_score(null, g[:, j : j + 1], np.ones(1)))
-        maf = g[:, j].mean() / 2
-        weights.append(float(w[j] ** 2 * maf * (1 - maf)))
-    return cauchy(ps, [max(x, 1e-12) for x in weights])
+    g = Genotypes.of(g)
+    s = Scored.of(null, g)
+    maf, var = g.totals() / (2 * g.n), 2 * np.diag(s.gram)
+    ps = [dist.chi2_sf(float(x) ** 2 / float(v), 1) if v > 1e-12 * c else math.nan for x, v, c in zip(s.score, var, np.diag(s.cross), strict=True)]
+    return cauchy(ps, [max(float(x), 1e-12) for x in w**2 * maf * (1 - maf)])
 
 
-def allelic_series(null: Null, g: np.ndarray, category: np.ndarray, by: tuple[float, ...] = (1.0, 2.0, 3.0)) -> dict[str, float | None]:
+def allelic_series(null: Null, g: np.ndarray | Genotypes, category: np.ndarray, by: tuple[float, ...] = (1.0, 2.0, 3.0)) -> dict[str, float | None]:
     """Six burden tests over categories 1..3 (counts and indicators; joint, weighted sum, weighted maximum), SKAT-O with
     weights of category and frequency, and their combination, in which SKAT-O has the weight of the six."""
-    keep = np.isin(category, (1, 2, 3)) & (g.sum(0) > 0)
-    g, category = g[:, keep], category[keep]
+    g = Genotypes.of(g)
+    keep = np.isin(category, (1, 2, 3)) & (g.totals() > 0)
+    g, category = g.variants(keep), category[keep]
     absent = [name for k, name in ((1, "BMV"), (2, "DMV"), (3, "PTV")) if not (category == k).any()]
     if len(absent) == 3:
         return {"p": None, "status": "skipped", "reason": "ALL_CATEGORIES_EMPTY"}
-    counts = np.column_stack([g[:, category == k].sum(1) for k in (1, 2, 3)])
+    counts = np.column_stack([g.carried((category == k).astype(float)) for k in (1, 2, 3)])
     out: dict[str, float | None] = {}
     scale = np.array(by)
     for name, n in (("count", counts), ("ind", (counts > 0).astype(float))):
         out[f"base_{name}"] = regress.added_terms(null.x, n, null.y, null.binary)
         out[f"sum_{name}"] = regress.added_terms(null.x, (n * scale).sum(1, keepdims=True), null.y, null.binary)
         out[f"max_{name}"] = regress.added_terms(null.x, (n * scale).max(1, keepdims=True), null.y, null.binary)
-    aaf = np.clip(g.mean(0) / 2, 1e-8, 1 - 1e-8)
+    aaf = np.clip(g.totals() / (2 * g.n), 1e-8, 1 - 1e-8)
     out["allelic_skat"] = skat_o(null, g, np.sqrt(scale[category - 1] / (aaf * (1 - aaf))))[0]
     ps = [None if v is None or math.isnan(v) else v for v in out.values()]
     out["status"], out["reason"] = ("partial", f"MISSING_{'_'.join(absent)}") if absent else ("complete", "")

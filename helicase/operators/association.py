@@ -1,7 +1,8 @@
 """Rare-variant association: genotype matrices, tests by gene, the engine that joins their results.
 
 The null model is fitted once on the cohort and shipped with the function.  Genes are groups of one long table; a
-group holds a gene's calls, so memory is samples times the gene's variants.
+group holds a gene's carriers, and kernel tests need sums of their products alone, so memory is the gene's calls and its
+variants times variants, never samples times variants.
 """
 
 from __future__ import annotations
@@ -69,8 +70,8 @@ def _wald_row(beta: float, se: float, p: float, extra: list[str]) -> dict:
     return {"p_value": p, "effect": beta, "se": se, "ci_lower": beta - 1.959963984540054 * se, "ci_upper": beta + 1.959963984540054 * se, "warnings": ";".join(extra)}
 
 
-def logistic_burden(null: kernels.Null, g: np.ndarray, w: np.ndarray, _: np.ndarray) -> dict:
-    b = (g * w).sum(1)
+def logistic_burden(null: kernels.Null, g: kernels.Genotypes, w: np.ndarray, _: np.ndarray) -> dict:
+    b = kernels.Genotypes.of(g).carried(w)
     carrier, notes = b > 0, []
     on, off = int((carrier & (null.y == 1)).sum()), int((carrier & (null.y == 0)).sum())
     if on + off < 3:
@@ -89,8 +90,8 @@ def logistic_burden(null: kernels.Null, g: np.ndarray, w: np.ndarray, _: np.ndar
     return _wald_row(float(beta[-1]), float(se[-1]), regress.wald(float(beta[-1]), float(se[-1])), notes)
 
 
-def linear_burden(null: kernels.Null, g: np.ndarray, w: np.ndarray, _: np.ndarray) -> dict:
-    b = (g * w).sum(1)
+def linear_burden(null: kernels.Null, g: kernels.Genotypes, w: np.ndarray, _: np.ndarray) -> dict:
+    b = kernels.Genotypes.of(g).carried(w)
     if not b.std() > 0:
         return {"p_value": math.nan, "warnings": "NO_CARRIERS"}
     x = np.column_stack([null.x, b])
@@ -157,15 +158,15 @@ def test_genes(calls: DataFrame, null: kernels.Null, samples: list[str], tests:
         variants = np.sort(pdf["variant_id"].unique())
         if not len(variants):
             return pd.DataFrame(columns=columns)
-        gene, g = pdf["gene"].iloc[0], np.zeros((len(samples), len(variants)))
+        gene = pdf["gene"].iloc[0]
         at, who = np.searchsorted(variants, pdf["variant_id"].to_numpy()), pdf["sample_id"].map(place).to_numpy()
-        g[who, at] = pdf["dosage"].to_numpy()
+        g = kernels.Genotypes.cells(len(samples), len(variants), who, at, pdf["dosage"].to_numpy(float))
         w, cat = np.ones(len(variants)), np.zeros(len(variants), int)
         w[at], cat[at] = pdf["weight"].to_numpy(), pdf["category"].to_numpy()
         model, masked = null, np.unique(who[pdf["masked"].to_numpy()])
         if len(masked):
             keep = np.setdiff1d(np.arange(len(samples)), masked)
-            model, g = without(null, keep), g[keep]
+            model, g = without(null, keep), g.samples(keep)
         rows = []
         for name in tests:
             found = TESTS[name](model, g, w, cat)

@@ -291,41 +291,41 @@ def interval_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.balanced(nation_regions(spark, sf_dir), 4).select("name", "chunk")
 
 
-@query(""", lists AS (SELECT DISTINCT 'list' || (p_size % 3) AS list_name, p_brand AS gene FROM part WHERE p_size < 12), cells AS (SELECT variant_id, unnest([upper(p_brand), upper(p_type)]) AS gene FROM variants)
+@query(""", lists AS (SELECT DISTINCT 'list' || (p_size % 3) AS list_name, CASE WHEN p_size < 12 THEN p_brand ELSE 'other' END AS gene FROM part), cells AS (SELECT variant_id, unnest([upper(p_brand), upper(p_type)]) AS gene FROM variants)
  SELECT variant_id, string_agg(DISTINCT 'InGeneList=' || list_name, ';' ORDER BY 'InGeneList=' || list_name) AS labels FROM cells c JOIN lists l ON upper(l.gene) = c.gene GROUP BY variant_id""")
 def gene_list_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = a.table(spark, sf_dir, "part").where("p_size < 12").select(F.concat(F.lit("list"), (F.col("p_size") % 3).cast("string")).alias("list_name"), F.col("p_brand").alias("gene")).distinct()
+    lists = a.table(spark, sf_dir, "part").select(F.concat(F.lit("list"), (F.col("p_size") % 3).cast("string")).alias("list_name"), F.when(F.col("p_size") < 12, F.col("p_brand")).otherwise("other").alias("gene")).distinct()
     v = a.variants(spark, sf_dir).select("variant_id", F.concat_ws(",", "p_brand", "p_type").alias("gene"))
     return annotate.gene_list_labels(v, lists).select("variant_id", F.array_join("labels", ";").alias("labels"))
 
 
-@query(""", attrs AS (SELECT upper(p_brand) AS gene, max(p_size)::VARCHAR AS k, max(p_type) AS t FROM part WHERE p_size % 2 = 0 GROUP BY upper(p_brand))
- SELECT variant_id, k AS largest, t AS kind FROM variants v LEFT JOIN attrs ON attrs.gene = upper(v.p_brand)""")
+@query(""", attrs AS (SELECT upper(p_brand) AS gene, max(p_size)::VARCHAR AS k, max(p_type) AS t FROM part GROUP BY upper(p_brand))
+ SELECT variant_id, k AS largest, t AS kind FROM variants v LEFT JOIN attrs ON v.p_size % 2 = 0 AND attrs.gene = upper(v.p_brand)""")
 def json_gene_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = a.table(spark, sf_dir, "part").where("p_size % 2 = 0").groupBy(F.upper("p_brand").alias("gene")).agg(F.max("p_size").cast("string").alias("largest"), F.max("p_type").alias("kind"))
+    made = a.table(spark, sf_dir, "part").groupBy(F.upper("p_brand").alias("gene")).agg(F.max("p_size").cast("string").alias("largest"), F.max("p_type").alias("kind"))
     raw = made.select("gene", F.to_json(F.struct("largest", "kind")).alias("j")).select("gene", F.from_json("j", "map<string,string>").alias("attributes"))
-    v = a.variants(spark, sf_dir).select("variant_id", F.col("p_brand").alias("gene"))
+    v = a.variants(spark, sf_dir).select("variant_id", F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).otherwise("none").alias("gene"))
     return annotate.attribute_columns(v, raw, ["largest", "kind"]).select("variant_id", "largest", "kind")
 
 
-@query(REGIONS + """, labels AS (SELECT variant_id, 'Region=' || name AS l FROM variants v JOIN regions r ON v.chrom = r.chrom AND v.pos >= r.start AND v.pos < r."end" UNION SELECT variant_id, 'InGeneList=small' FROM variants WHERE p_brand IN (SELECT p_brand FROM part WHERE p_size < 3)),
+@query(REGIONS + """, labels AS (SELECT variant_id, 'Region=' || name AS l FROM variants v JOIN regions r ON v.chrom = r.chrom AND v.pos >= r.start AND v.pos < r."end" UNION SELECT variant_id, 'InGeneList=small' FROM variants WHERE p_brand IN (SELECT CASE WHEN p_size < 3 THEN p_brand ELSE 'none' END FROM part)),
  c AS (SELECT variant_id, string_agg(l, ';' ORDER BY l) AS t FROM labels GROUP BY variant_id) SELECT v.variant_id, coalesce(t, '') AS "Custom_Annotation" FROM variants v LEFT JOIN c ON c.variant_id = v.variant_id""")
 def custom_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = a.variants(spark, sf_dir).select("variant_id", "chrom", "pos", F.col("p_brand").alias("gene"))
-    lists = a.table(spark, sf_dir, "part").where("p_size < 3").select(F.lit("small").alias("list_name"), F.col("p_brand").alias("gene"))
+    lists = a.table(spark, sf_dir, "part").select(F.lit("small").alias("list_name"), F.when(F.col("p_size") < 3, F.col("p_brand")).otherwise("none").alias("gene"))
     return annotate.custom_annotation(v, [annotate.region_labels(v, nation_regions(spark, sf_dir)), annotate.gene_list_labels(v, lists)]).select("variant_id", "Custom_Annotation")
 
 
-LOOKUP = ", lookup AS (SELECT DISTINCT p_brand AS gene, p_size AS aa_pos, 'R' AS ref_aa, substr('ACDEFGHIKL', (p_partkey % 10 + 1)::INT, 1) AS alt_aa, CASE WHEN p_partkey % 3 = 0 THEN 'P' ELSE 'LP' END AS clnsig FROM part WHERE p_partkey % 4 = 0) "
+LOOKUP = ", lookup AS (SELECT DISTINCT p_brand AS gene, p_size AS aa_pos, CASE WHEN p_partkey % 4 = 0 THEN 'R' ELSE 'K' END AS ref_aa, substr('ACDEFGHIKL', (p_partkey % 10 + 1)::INT, 1) AS alt_aa, CASE WHEN p_partkey % 3 = 0 THEN 'P' ELSE 'LP' END AS clnsig FROM part) "
 
 
 def part_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     aa = F.substring(F.lit("ACDEFGHIKL"), (k % 10 + 1).cast("int"), F.lit(1))
-    return a.table(spark, sf_dir, "part").where(k % 4 == 0).select(F.col("p_brand").alias("gene"), F.col("p_size").alias("aa_pos"), F.lit("R").alias("ref_aa"), aa.alias("alt_aa"), F.when(k % 3 == 0, "P").otherwise("LP").alias("clnsig")).distinct()
+    return a.table(spark, sf_dir, "part").select(F.col("p_brand").alias("gene"), F.col("p_size").alias("aa_pos"), F.when(k % 4 == 0, "R").otherwise("K").alias("ref_aa"), aa.alias("alt_aa"), F.when(k % 3 == 0, "P").otherwise("LP").alias("clnsig")).distinct()
 
 
-@query(LOOKUP + """, hits AS (SELECT v.variant_id, l.alt_aa, l.clnsig, v.p_size FROM variants v JOIN lookup l ON l.gene = v.p_brand AND l.aa_pos = v.p_size AND l.alt_aa <> substr('ACDEFGHIKL', (v.variant_id % 10 + 1)::INT, 1)),
+@query(LOOKUP + """, hits AS (SELECT v.variant_id, l.alt_aa, l.clnsig, v.p_size FROM variants v JOIN lookup l ON l.gene = v.p_brand AND l.aa_pos = v.p_size AND l.ref_aa = 'R' AND l.alt_aa <> substr('ACDEFGHIKL', (v.variant_id % 10 + 1)::INT, 1)),
  g AS (SELECT variant_id, count(*) AS n, count(*) FILTER (WHERE clnsig = 'P') AS p, string_agg('p.R' || p_size || alt_aa || '(' || clnsig || ')', ';' ORDER BY 'p.R' || p_size || alt_aa || '(' || clnsig || ')') AS t FROM hits GROUP BY variant_id)
  SELECT v.variant_id, CASE WHEN p >= 2 THEN 'PM5_Strong' WHEN p = 1 THEN 'PM5' WHEN p = 0 THEN 'PM5_Supporting' ELSE '' END AS "PM5", coalesce(n, 0)::BIGINT AS "PM5_evidence_count", coalesce(t, '') AS "PM5_known_variants" FROM variants v LEFT JOIN g ON g.variant_id = v.variant_id""")
 def pm5_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -541,9 +541,15 @@ def qq_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return correction.qq(part_tests(spark, sf_dir)).select("id", r6("expected_log10", "expected_log10"), r6("observed_log10", "observed_log10"))
 
 
-@query()
+#: The normal distribution function above zero, by its series.
+PHI = "(0.5 + exp(-({z}) * ({z}) / 2) / sqrt(2 * pi()) * list_sum(list_transform(range(0, 90), lambda j: exp((2 * j + 1) * ln({z}) - (lgamma(2.0 * j + 2) - j * ln(2) - lgamma(j + 1.0))))))"
+
+
+@query(TESTS + f""", mids AS (SELECT p FROM (SELECT p, row_number() OVER (ORDER BY p) AS i, count(*) OVER () AS n FROM tests) WHERE i IN ((n + 1) // 2, n // 2 + 1)),
+ r AS (SELECT p, 1.0::DOUBLE AS z, 0 AS it FROM mids UNION ALL SELECT p, z - ({PHI.format(z="z")} - (1 - p / 2)) / (exp(-z * z / 2) / sqrt(2 * pi())), it + 1 FROM r WHERE it < 30)
+ SELECT 'made' AS test, round(avg(z * z) / 0.4549364231195724, 6) AS lambda_gc FROM r WHERE it = 30""")
 def lambda_gc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return association.lambda_gc(part_tests(spark, sf_dir).withColumn("test", F.lit("made")), "p")
+    return association.lambda_gc(part_tests(spark, sf_dir).withColumn("test", F.lit("made")), "p").select("test", r6("lambda_gc", "lambda_gc"))
 
 
 MISSING = ", n AS (SELECT count(*) AS n FROM samples), mc AS (SELECT variant_id, gene, sample_id, CASE WHEN (variant_id * 31 + substr(sample_id, 2)::BIGINT) % 11 = 0 THEN NULL ELSE dosage END AS dosage FROM all_calls) "
@@ -632,6 +638,28 @@ def linear_burden(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("gene", F.round(F.col("effect") + 0.0000123, 2).alias("effect"))  # off ties: balances have two decimals
 
 
+LOGISTIC = f""", n AS (SELECT count(*) FILTER (WHERE is_case) AS n1, count(*) FILTER (WHERE NOT is_case) AS n0 FROM samples), w AS (SELECT variant_id, 25 * power(1 - greatest(sum(dosage)::DOUBLE / (2 * (n1 + n0)), 1e-8), 24) AS w FROM all_calls, n GROUP BY variant_id, n1, n0),
+ b AS (SELECT gene, sample_id, sum(dosage * w) AS b FROM calls c JOIN w ON w.variant_id = c.variant_id GROUP BY gene, sample_id), g AS (SELECT gene FROM calls GROUP BY gene HAVING sum(dosage) >= 5),
+ k AS (SELECT gene FROM b JOIN samples s ON s.sample_id = b.sample_id, n GROUP BY gene, n1, n0 HAVING count(*) FILTER (WHERE is_case) BETWEEN 1 AND n1 - 1 AND count(*) FILTER (WHERE NOT is_case) BETWEEN 1 AND n0 - 1),
+ f AS (SELECT g.gene, list(coalesce(b.b, 0) ORDER BY s.sample_id) AS bs, list(is_case::INT::DOUBLE ORDER BY s.sample_id) AS ys FROM g JOIN k ON k.gene = g.gene CROSS JOIN samples s LEFT JOIN b ON b.gene = g.gene AND b.sample_id = s.sample_id GROUP BY g.gene),
+ r AS (SELECT gene, bs, ys, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS se, 0 AS it FROM f
+  UNION ALL SELECT gene, bs, ys, b0 + (w2 * s0 - w1 * s1) / (w0 * w2 - w1 * w1), b1 + (w0 * s1 - w1 * s0) / (w0 * w2 - w1 * w1), sqrt(w0 / (w0 * w2 - w1 * w1)), it + 1 FROM (
+   SELECT *, list_sum(list_transform(range(1, len(bs) + 1), lambda i: ys[i] - mu[i])) AS s0, list_sum(list_transform(range(1, len(bs) + 1), lambda i: bs[i] * (ys[i] - mu[i]))) AS s1, list_sum(list_transform(range(1, len(bs) + 1), lambda i: mu[i] * (1 - mu[i]))) AS w0,
+    list_sum(list_transform(range(1, len(bs) + 1), lambda i: bs[i] * mu[i] * (1 - mu[i]))) AS w1, list_sum(list_transform(range(1, len(bs) + 1), lambda i: bs[i] * bs[i] * mu[i] * (1 - mu[i]))) AS w2
+   FROM (SELECT *, list_transform(bs, lambda x: 1 / (1 + exp(-(b0 + b1 * x)))) AS mu FROM r WHERE it < 25)))
+ SELECT gene, round(b1, 4) AS effect, round(2 * (1 - {PHI.format(z="greatest(abs(b1 / se), 1e-9)")}), 5) AS p_value FROM r WHERE it = 25 AND se < 100"""
+
+
+@query(LOGISTIC)
+def logistic_burden_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Effects and p-values of genes that cases and controls both carry and both lack, so that the plain fit exists."""
+    calls, who = a.calls(spark, sf_dir), a.cohort(spark, sf_dir)
+    n1, n0 = burden.cohort_sizes(who)
+    mixed = burden.gene_counts(calls, who).where(f"case_carriers BETWEEN 1 AND {n1 - 1} AND control_carriers BETWEEN 1 AND {n0 - 1}").select("gene")
+    rows = association.run_all(calls, who, ["logistic_burden"], least_cases=1).where("NOT contains(warnings, 'FIRTH')").join(mixed, "gene", "left_semi")
+    return rows.select("gene", F.round("logistic_burden_effect", 4).alias("effect"), F.round("logistic_burden_pvalue", 5).alias("p_value"))
+
+
 QUERIES["linear_burden_full"] = _association(["linear_burden"], True)
 QUERIES["logistic_burden"] = _association(["logistic_burden"])
 QUERIES["skat"] = _association(["skat"])

@@ -246,8 +246,9 @@ def manifest_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
  FROM calls c JOIN variants v ON v.variant_id = c.variant_id JOIN samples s ON s.sample_id = c.sample_id WHERE s.s_suppkey % 3 = 0""")
 def report_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a browser report is drawn for: carriers whose reads a file names."""
-    s = a.samples(spark, sf_dir).where("s_suppkey % 3 = 0")
-    reads = tables.read_reads(spark, written(spark, "reads", s.select(tabbed("sample_id", F.concat(F.lit("r/"), "sample_id"), sep=",")), ["# sample,reads"], "csv"))
+    s = a.samples(spark, sf_dir)
+    named = F.when(F.col("s_suppkey") % 3 == 0, F.col("sample_id")).otherwise(F.concat(F.lit("other_"), "sample_id"))
+    reads = tables.read_reads(spark, written(spark, "reads", s.select(tabbed(named, F.concat(F.lit("r/"), "sample_id"), sep=",")), ["# sample,reads"], "csv"))
     return annotate.report_jobs(a.variants(spark, sf_dir), a.calls(spark, sf_dir), reads).select("variant_id", "sample_id", "reads", "region", "path")
 
 
@@ -374,8 +375,9 @@ def metadata_and_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gene_list_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = a.variants(spark, sf_dir).select("variant_id", F.concat(F.lit("g"), F.col("p_size").cast("string")).alias("gene"))
     sizes = a.table(spark, sf_dir, "part").select("p_size").distinct()
-    lists = sizes.where("p_size < 20").select(F.lit("small ones.txt").alias("list_name"), F.concat(F.lit("G"), F.col("p_size").cast("string")).alias("gene"))
-    lists = lists.union(sizes.where("p_size % 2 = 0").select(F.lit("2nd.genes.txt"), F.concat(F.lit("g"), F.col("p_size").cast("string"))))
+    gene = lambda hit, g: F.when(hit, F.concat(F.lit(g), F.col("p_size").cast("string"))).otherwise("none")
+    lists = sizes.select(F.lit("small ones.txt").alias("list_name"), gene(F.col("p_size") < 20, "G").alias("gene"))
+    lists = lists.union(sizes.select(F.lit("2nd.genes.txt"), gene(F.col("p_size") % 2 == 0, "g")))
     return annotate.gene_list_flags(v, lists, ["small ones.txt", "2nd.genes.txt"]).drop("gene")
 
 

@@ -115,7 +115,7 @@ def test_mixture_of_tests_falls_back():
     finally:
         quadform.p_values = saved
     assert matched == pytest.approx(exact, rel=0.1)
-    flat = kernels.SharedDirection.of(np.array([[1.0, -1.0], [2.0, -2.0]]))
+    flat = kernels.SharedDirection.of(np.array([[5.0, -5.0], [-5.0, 5.0]]))
     assert flat.along(0.5) == 0.0
 
 
@@ -136,3 +136,26 @@ def test_allelic_series_tells_its_status():
     strong = kernels.allelic_series(kernels.fit_null(y), g, category)
     assert strong["p"] < 0.01
     assert all(0 < v <= 1 for k, v in strong.items() if k not in ("status", "reason"))
+
+
+def test_sums_over_blocks_equal_whole_matrices():
+    """Scores and covariances from blocks of carriers are those of the dense, projected matrix, with covariates too."""
+    rng = np.random.default_rng(11)
+    n, p = 300, 12
+    g = (rng.random((n, p)) < 0.1) * rng.integers(1, 3, (n, p)).astype(float)
+    y, x = (rng.random(n) < 0.4).astype(float), rng.standard_normal((n, 2))
+    for null in (kernels.fit_null(y, x), kernels.fit_null(x[:, 0] + y, x[:, 1:], False)):
+        v = np.sqrt(null.variance)[:, None]
+        xv, z = null.x * v, g * v
+        z = (z - xv @ np.linalg.lstsq(xv, z, rcond=None)[0]) / math.sqrt(2)
+        cells = kernels.Genotypes.of(g)
+        found = kernels.Scored.of(null, cells)
+        assert np.allclose(found.gram, z.T @ z, atol=1e-8)
+        assert np.allclose(found.score, g.T @ null.residual)
+        assert [len(w) for w, _ in cells.blocks(7)][:-1] == [7] * (len(np.unique(cells.row)) // 7 - (len(np.unique(cells.row)) % 7 == 0))
+        assert sum(d.sum() for _, d in cells.blocks(7)) == g.sum()
+    assert np.allclose(cells.carried(np.arange(p) + 1.0), g @ (np.arange(p) + 1.0))
+    assert np.allclose(cells.samples(np.arange(0, n, 2)).totals(), g[::2].sum(0))
+    assert np.allclose(cells.variants(np.arange(p) % 3 == 0).totals(), g.sum(0)[::3])
+    twice = kernels.Genotypes.cells(3, 2, np.array([0, 1, 0]), np.array([1, 0, 1]), np.array([1.0, 2.0, 0.0]))
+    assert (twice.row.tolist(), twice.value.tolist()) == ([1], [2.0])
