@@ -46,13 +46,27 @@ def any_overlap(spans: DataFrame, regions: DataFrame, start: str, end: str, size
     return short.union(once)
 
 
+#: Bases of a stretch, in which intervals are ordered together.
+STRETCH = 1 << 20
+
+
 def merged(regions: DataFrame) -> DataFrame:
-    """Overlapping and book-ended intervals of a chromosome as one: gaps and islands."""
-    order = Window.partitionBy("chrom").orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = regions.select("chrom", "start", "end").withColumn("_new", F.when(F.col("start") > reach, 1).when(reach.isNull(), 1).otherwise(0))
-    rows = rows.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy("chrom", "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
+    """Overlapping and book-ended intervals of a chromosome as one.
+
+    Intervals are ordered within stretches of their starts; how far those before a stretch reach, and how many islands
+    begin before it, come from tables of one row a stretch, so no task orders a whole chromosome.
+    """
+    rows = regions.select("chrom", "start", "end", F.floor(F.col("start") / STRETCH).alias("_s"))
+    earlier = Window.partitionBy("chrom").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    tops = rows.groupBy("chrom", "_s").agg(F.max("end").alias("_top")).select("chrom", "_s", F.max("_top").over(earlier).alias("_before"))
+    order = Window.partitionBy("chrom", "_s").orderBy("start", "end")
+    reach = F.greatest("_before", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.join(tops, ["chrom", "_s"]).withColumn("_new", (reach.isNull() | (F.col("start") > reach)).cast("int"))
+    rows = rows.withColumn("_i", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = rows.groupBy("chrom", "_s", "_i").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("_new").alias("_new"))
+    counts = parts.groupBy("chrom", "_s").agg(F.sum("_new").alias("_n")).select("chrom", "_s", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
+    whole = parts.join(counts, ["chrom", "_s"]).groupBy("chrom", (F.col("_first") + F.col("_i")).alias("_island"))
+    return whole.agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
 def intersected(a: DataFrame, b: DataFrame, size: int = BIN) -> DataFrame:
@@ -74,12 +88,3 @@ def balanced(regions: DataFrame, n: int) -> DataFrame:
     size = F.col("end") - F.col("start")
     total = F.sum(size).over(Window.partitionBy(F.lit(1)))
     return regions.withColumn("chunk", F.least(F.floor((F.sum(size).over(order) - size) * n / total), F.lit(n - 1)).cast("int"))
-
-
-def same_style(a: DataFrame, b: DataFrame) -> None:
-    """Raises if one side writes chr before chromosomes and the other does not, or if a side is empty."""
-    has = [df.agg(F.max(F.col("chrom").startswith("chr").cast("int"))).first()[0] for df in (a, b)]
-    if None in has:
-        raise ValueError("no intervals")
-    if has[0] != has[1]:
-        raise ValueError("chromosome names differ in their chr prefix")

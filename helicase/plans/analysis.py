@@ -159,7 +159,12 @@ def _tested(spark: SparkSession, s: Settings, calls: DataFrame, variants: DataFr
     score = lambda *found: next((F.col(f"`{names[n]}`") for n in found if n in names), None)
     told = [F.col("variant_id")]
     told += [c.alias(n) for n, c in (("cadd", score("cadd", "dbnsfp_cadd_phred")), ("revel", score("revel", "dbnsfp_revel_score"))) if c is not None]
-    if "coast" in tests:
+    if "coast" in tests and a.coast_classification:
+        scored = scoring.apply_scoring(variants, tables.read_scoring_model(a.coast_classification))
+        made = [c for c in scored.columns if c not in variants.columns]
+        variants, kind = scored, F.coalesce(F.col(made[-1]).cast("int"), F.lit(0))
+        told.append(kind.alias("category"))
+    elif "coast" in tests:
         effect, impact = score("effect"), score("impact")
         if effect is None or impact is None:
             raise ValueError("coast needs the fields of effect and impact")
@@ -294,7 +299,7 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
 def write(found: Result, s: Settings, out: str, formats: list[str]) -> None:
     """The tables as folders, and what the formats ask for: tsv (one file), xlsx, html, json, archive."""
     spark = found.variants.sparkSession
-    base = text.output_name(s.vcf, s.genes)
+    base = text.short_name(text.output_name(s.vcf, s.genes))
     names = config.workspace(out, base)
     sinks.write_tsv(found.variants, f"{out}/variants")
     parts = {"statistics": found.statistics, "gene_burden": found.burden, "association": found.association}

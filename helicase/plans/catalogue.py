@@ -193,14 +193,14 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT l_partkey AS variant_id, l_suppkey, CASE WHEN q > 48 THEN 'hom_alt' WHEN q > 44 THEN 'het' WHEN q > 40 THEN 'missing' ELSE 'ref' END AS kind,
-  CASE WHEN q > 48 THEN 2 WHEN q > 44 THEN 1 WHEN q > 42 THEN NULL WHEN q > 40 THEN 1 ELSE 0 END AS dosage, CASE WHEN q > 48 THEN 2 WHEN q > 44 THEN 1 WHEN q > 40 THEN -1 ELSE 0 END AS code, q > 44 AND q <= 48 AS phased
+  CASE WHEN q > 48 THEN 2 WHEN q > 44 THEN 1 WHEN q > 42 THEN NULL WHEN q > 40 THEN 1 ELSE 0 END AS dosage, CASE WHEN q > 48 THEN 2 WHEN q > 44 THEN 1 WHEN q > 40 THEN -1 ELSE 0 END AS code, q > 44 AND q <= 48 AS phased, q > 42 AND q <= 44 AS missing, q > 40 AND q <= 42 AS multi
   FROM (SELECT l_partkey, l_suppkey, max(l_quantity) AS q FROM lineitem GROUP BY ALL)""", base=False)
 def genotype_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = a.table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.max("l_quantity").alias("q"))
     gt = F.when(F.col("q") > 48, "1/1").when(F.col("q") > 44, "1|0").when(F.col("q") > 42, "./1").when(F.col("q") > 40, "1/2").otherwise("0/0")
     rows = q.withColumn("gt", gt)
     g = F.col("gt")
-    return rows.select(F.col("l_partkey").alias("variant_id"), "l_suppkey", genotype.genotype_type(g).alias("kind"), genotype.association_dosage(g).alias("dosage"), genotype.encoded(g).alias("code"), genotype.is_phased(g).alias("phased"))
+    return rows.select(F.col("l_partkey").alias("variant_id"), "l_suppkey", genotype.genotype_type(g).alias("kind"), genotype.association_dosage(g).alias("dosage"), genotype.encoded(g).alias("code"), genotype.is_phased(g).alias("phased"), genotype.is_missing(g).alias("missing"), genotype.is_multi_allelic(g).alias("multi"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, c1 || '/' || c2 AS child, NOT ((c1 = f1 OR c1 = f2) AND (c2 = m1 OR c2 = m2) OR (c2 = f1 OR c2 = f2) AND (c1 = m1 OR c1 = m2)) = FALSE AS fits,
@@ -502,6 +502,14 @@ def gene_burden_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(burden.gene_burden(a.calls(spark, sf_dir), a.cohort(spark, sf_dir), "alleles"))
 
 
+@query(_burden_sql(1, "cc", "kc", "carriers"))
+def gene_burden_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from packed cells."""
+    cells = annotate.unpacked(annotate.packed(a.calls(spark, sf_dir)))
+    rows = cells.withColumn("dosage", genotype.association_dosage(F.col("gt"))).join(a.variants(spark, sf_dir).select("variant_id", "gene"), "variant_id")
+    return _rounded(burden.gene_burden(rows, a.cohort(spark, sf_dir), "samples"))
+
+
 TESTS = ", tests AS (SELECT p_partkey AS id, p_partkey::VARCHAR AS gene, ((p_partkey * 7919) % 10007 + 1)::DOUBLE / 20014.0::DOUBLE AS p, 1.0::DOUBLE + p_size % 3 AS w FROM part) "
 
 

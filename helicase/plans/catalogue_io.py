@@ -15,6 +15,7 @@ from helicase.plans import config
 from helicase.plans.catalogue import ORACLE_SQL, QUERIES, coast_classify, fam, missing_calls, nation_regions, query, r6
 from helicase.sources import sheets, sinks, tables, vcf
 from helicase.sources.store import located, put_text, shared_dir, text_of
+from helicase.streaming import vcf_folder
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -124,6 +125,28 @@ def irregular_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vcf.regular(spark.read.text(written(spark, "rows", a.table(spark, sf_dir, "part").select(line.alias("value")))), ["A", "B"])
 
 
+@query("SELECT variant_id, chrom FROM variants WHERE p_size > 10")
+def vcf_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that arrive in a folder, filtered as a stream and appended to a table."""
+    base = shared_dir(spark, "stream")
+    vcf_lines(spark, sf_dir).repartition(3).write.text(f"{base}/in")
+    vcf_folder.to_parquet(vcf_folder.records(spark, f"{base}/in", "QUAL > 10"), f"{base}/out", f"{base}/at").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(F.col("id").cast("bigint").alias("variant_id"), F.col("chrom").cast("string").alias("chrom"))
+
+
+@query("SELECT chrom, count(*)::BIGINT AS n FROM variants GROUP BY chrom")
+def vcf_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in batches, each of which leaves its counts under its own number."""
+    base = shared_dir(spark, "batches")
+    vcf_lines(spark, sf_dir).repartition(3).write.text(f"{base}/in")
+
+    def step(rows: DataFrame, batch: int) -> None:
+        rows.groupBy("chrom").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{base}/out/batch={batch}")
+
+    vcf_folder.in_batches(vcf_folder.records(spark, f"{base}/in"), step, f"{base}/at").awaitTermination()
+    return spark.read.parquet(f"{base}/out").groupBy("chrom").agg(F.sum("n").alias("n"))
+
+
 # side tables
 
 
