@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -296,33 +297,34 @@ def candidates(sets: DataFrame, sketch: DataFrame) -> DataFrame:
     """Edges (a, b) whose components hold every pair of near texts; sets: node, paths (copies have equal ones); sketch: node,
     sketch, once each."""
     rows = _counted(sets.select(F.explode("paths").alias("path"), "node").distinct())
-
-    def brute(small: DataFrame) -> DataFrame:
-        with_sketch = small.join(sketch, "node").select("path", "node", "sketch")
-        return with_sketch.repartition("path").sortWithinPartitions("path").mapInArrow(_brute, "a bigint, b bigint")
+    small, ties = [], []  # buckets to compare by brute force, all in one pass at the end, and what leaders tied
 
     def blocks(n: str, most: int) -> Column:
         return F.ceil(F.col(n) / most).cast("int")
 
-    found = brute(rows.where(F.col("n") <= BUCKET))
-    large = rows.where(F.col("n") > BUCKET)
+    def sorted_out(rows: DataFrame) -> DataFrame:
+        small.append(rows.where(F.col("n") <= BUCKET).select("path", "node"))
+        return rows.where(F.col("n") > BUCKET)
+
+    large = sorted_out(rows)
     for _ in range(DEPTH):
-        if large.isEmpty():
-            return found
         for _ in range(2):
+            if large.isEmpty():
+                break
             block = F.pmod(F.xxhash64("node"), blocks("n", BLOCK)).cast("int")
             dealt = large.join(sketch, "node").select("path", block.alias("block"), "node", "sketch")
             done = materialised(dealt.repartition("path", "block").sortWithinPartitions("path", "block").mapInArrow(_compress, "path bigint, node bigint, leader bigint"), "tied")
-            found = found.union(done.where("node <> leader").select("node", "leader").distinct())
-            left = _counted(done.where("node = leader").select("path", "node"))
-            found = found.union(brute(left.where(F.col("n") <= BUCKET)))
-            large = left.where(F.col("n") > BUCKET)
-            if large.isEmpty():
-                return found
+            ties.append(done.where("node <> leader").select("node", "leader"))
+            large = sorted_out(_counted(done.where("node = leader").select("path", "node")))
+        if large.isEmpty():
+            break
         split = large.join(sketch, "node").select("path", "node", "sketch").mapInArrow(_split, "path bigint, node bigint")
-        rows = _counted(split.distinct())
-        found = found.union(brute(rows.where(F.col("n") <= BUCKET)))
-        large = rows.where(F.col("n") > BUCKET)
+        large = sorted_out(_counted(split.distinct()))
+    with_sketch = reduce(DataFrame.union, small).join(sketch, "node").select("path", "node", "sketch")
+    found = with_sketch.repartition("path").sortWithinPartitions("path").mapInArrow(_brute, "a bigint, b bigint")
+    found = reduce(DataFrame.union, ties, found)
+    if large.isEmpty():
+        return found
     parts = blocks("n", BLOCK)
     rest = large.join(sketch, "node").select("path", "node", "sketch", F.pmod(F.xxhash64("node"), parts).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
     rest = rest.select("path", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "sketch")
