@@ -34,6 +34,8 @@ from helicase.llm.common import SLICE_BYTES, by_text
 VOCABULARY = "word_bpe_49k.json"
 #: Entries that a generation of a memory holds: a full one replaces the one before, and what is used moves on.
 CACHE_ENTRIES = 120_000
+#: Places that a queue entry has room for.
+MOST_SYMBOLS = 1 << 28
 #: Longer chunks and words are not remembered.
 LONGEST_KEPT = 64
 
@@ -54,10 +56,10 @@ class Tokenizer:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix = model["end_of_word_suffix"] or ""
-        #: By pair of symbols, left << 20 | right: rank << 20 | the symbol that it becomes.
+        #: By pair of symbols, left << 16 | right: rank << 44 | the symbol that it becomes.
         self.merges: dict[int, int] = {}
         for rank, (a, b) in enumerate(model["merges"]):
-            self.merges[self.vocab[a] << 20 | self.vocab[b]] = rank << 20 | self.vocab[a + b]
+            self.merges[self.vocab[a] << 16 | self.vocab[b]] = rank << 44 | self.vocab[a + b]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
         split = next(x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
@@ -80,12 +82,11 @@ class Tokenizer:
         self.number_of = {chr(i): str(i) for i in self.strings}
 
     def merge(self, symbol: list[int]) -> list[int]:
-        """Merges by rank, the leftmost of equals first.  Queue entries are rank << 52 | place << 20 | new symbol."""
+        """Merges by rank, the leftmost of equals first.  Queue entries are rank << 44 | place << 16 | new symbol."""
         n, get = len(symbol), self.merges.get
-        queue = []
-        for i in range(n - 1):
-            if (found := get(symbol[i] << 20 | symbol[i + 1])) is not None:
-                queue.append(found >> 20 << 52 | i << 20 | found & 0xFFFFF)
+        if n > MOST_SYMBOLS:
+            raise ValueError("a word has too many symbols")
+        queue = [found + (i << 16) for i, (a, b) in enumerate(zip(symbol, symbol[1:], strict=False)) if (found := get(a << 16 | b)) is not None]
         if not queue:
             return symbol
         heapq.heapify(queue)
@@ -93,22 +94,22 @@ class Tokenizer:
         pop, push = heapq.heappop, heapq.heappush
         while queue:
             entry = pop(queue)
-            i, new = entry >> 20 & 0xFFFFFFFF, entry & 0xFFFFF
-            j = right[i]
-            if symbol[i] < 0 or j < 0:
+            i, new = entry >> 16 & 0xFFFFFFF, entry & 0xFFFF
+            a, j = symbol[i], right[i]
+            if a < 0 or j < 0:
                 continue
-            now = get(symbol[i] << 20 | symbol[j])
-            if now is None or now & 0xFFFFF != new:
+            now = get(a << 16 | symbol[j])
+            if now is None or now & 0xFFFF != new:
                 continue
             symbol[i], symbol[j] = new, -1
             right[i] = k = right[j]
             if k >= 0:
                 left[k] = i
-                if (found := get(new << 20 | symbol[k])) is not None:
-                    push(queue, found >> 20 << 52 | i << 20 | found & 0xFFFFF)
+                if (found := get(new << 16 | symbol[k])) is not None:
+                    push(queue, found + (i << 16))
             h = left[i]
-            if h >= 0 and (found := get(symbol[h] << 20 | new)) is not None:
-                push(queue, found >> 20 << 52 | h << 20 | found & 0xFFFFF)
+            if h >= 0 and (found := get(symbol[h] << 16 | new)) is not None:
+                push(queue, found + (h << 16))
         return [s for s in symbol if s >= 0]
 
     def word_ids(self, word: str) -> str:
