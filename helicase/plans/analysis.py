@@ -192,7 +192,7 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
     raw = vcf.lines(spark, s.vcf)
     samples, header = vcf.sample_names(raw), vcf.header_fields(raw)
     schema = filter_schema(header)
-    wanted = s.fields + ([f for f in PROFILE_FIELDS[s.profile] if f not in s.fields] if s.profile_fields else [])
+    wanted = text.with_fields(" ".join(s.fields), PROFILE_FIELDS[s.profile] if s.profile_fields else []).split()
     if absent := vcf.missing_fields(header, wanted):
         log.warning("fields that the header does not name: %s", ", ".join(absent))
     steps = Steps(spark, s.work or shared_dir(spark, "steps"), {k: v for k, v in asdict(s).items() if k in ("vcf", "genes", "gene_regions", "gene_coordinates", "capture_regions", "expand", "prefilter", "presets", "filter", "profile", "pair", "late_filter")} | {"known": presets}, restart=s.restart)

@@ -637,6 +637,18 @@ def linear_burden_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("gene", *(F.round(F.col(c) + 0.000123, 2).alias(c) for c in ("effect", "se", "ci_lower")))
 
 
+def carrier_share(null, genotypes, _, __) -> dict:
+    """A test of one's own for registration: the share of samples that carry anything."""
+    return {"p_value": len(set(genotypes.row.tolist())) / genotypes.n, "warnings": ""}
+
+
+@query("SELECT gene, round(count(DISTINCT sample_id)::DOUBLE / (SELECT count(*) FROM samples), 6) AS share FROM calls GROUP BY gene")
+def registered_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    association.register("carrier_share", carrier_share)
+    rows = association.run_all(a.calls(spark, sf_dir), a.cohort(spark, sf_dir), ["carrier_share"], least_alleles=0, least_cases=1)
+    return rows.select("gene", r6("carrier_share_pvalue", "share"))
+
+
 # checks and steps
 
 

@@ -73,3 +73,31 @@ def test_unlisted_samples_are_affected_founders(spark):
     rows = {r.sample_id: r for r in fam.collect()}
     assert rows["z"].affected
     assert not rows["c"].father_in
+
+
+@pytest.mark.parametrize("chrom", ["1", "X", "MT"])
+def test_columns_equal_plain_rules(spark, chrom):
+    """Random families with missing calls, absent parents and single samples: every variant's patterns."""
+    import random
+
+    from helicase.functions.pedigree import MISSING, Child, patterns_of
+
+    rnd = random.Random(ord(chrom[0]))
+    people = [f"s{i}" for i in range(9)]
+    parents = {"s0": ("s1", "s2"), "s3": ("s1", "0"), "s4": ("x", "s2"), "s5": ("s6", "s7")}
+    ped = [("F", p, *parents.get(p, ("0", "0")), rnd.choice("012"), rnd.random() < 0.6) for p in people[:8]]
+    fam = inheritance.family(spark.createDataFrame(ped, "family_id string, sample_id string, father_id string, mother_id string, sex string, affected boolean"), spark.createDataFrame([(p, i) for i, p in enumerate(people)], "sample_id string, place int"))
+    by = {p[1]: p for p in ped} | {"s8": ("F", "s8", "0", "0", "0", True)}
+    calls, expected = [], {}
+    for v in range(250):
+        d = {p: rnd.choice([0, 0, 1, 1, 2, MISSING]) for p in people}
+        calls += [(v, "G", p, None if x == MISSING else x) for p, x in d.items() if x]
+        kids = []
+        for p in people:
+            _, _, f, m, sex, affected = by[p]
+            kids.append(Child(d[p], d.get(f), d.get(m), sex, affected, by[f][5] if f in by else False, by[m][5] if m in by else False))
+        if any(k.dosage > 0 for k in kids):
+            expected[v] = patterns_of(kids, chrom)
+    df = spark.createDataFrame(calls, "variant_id int, gene string, sample_id string, dosage int")
+    variants = spark.createDataFrame([(v, chrom) for v in range(250)], "variant_id int, chrom string")
+    assert {r.variant_id: r.patterns for r in inheritance.patterns(df, variants, fam).collect()} == expected
