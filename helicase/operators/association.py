@@ -19,6 +19,7 @@ from helicase.functions import dist, kernels, regress, weights
 from helicase.functions.text import PTV_EFFECTS
 from helicase.operators.burden import checked, cohort_sizes, fisher, gene_counts, odds
 from helicase.operators.correction import benjamini_hochberg, bonferroni, cauchy, qq, weighted
+from helicase.sources.store import put_text
 
 RESULT = "gene string, test string, p_value double, effect double, se double, ci_lower double, ci_upper double, warnings string, status string"
 
@@ -297,14 +298,36 @@ def diagnostics_summary(results: DataFrame, n_case: int, n_control: int, notes:
     return out
 
 
-def write_diagnostics(results: DataFrame, folder: str, p: str = "p_value", cohort: tuple[int, int] | None = None, notes: list[str] = ()) -> None:
-    """lambda_gc and qq tables of long results (test, p) as TSV folders, and, with the cohort's sizes, a summary as text.
+#: Colours of a plot's tests, in turn.
+COLOURS = ("#1b6ca8", "#c0392b", "#2e8b57", "#8e44ad", "#d68910", "#555555")
+
+
+def qq_plot(rows: DataFrame, size: int = 480) -> str:
+    """A quantile plot as an SVG document from rows of test, expected_log10, observed_log10.
 
-    The qq table has what a plot shows; drawing is left to its reader.
+    Points that fall together at two decimals are one, so the drawing is bounded whatever the number of tests.
     """
+    spots = rows.select("test", F.round("expected_log10", 2).alias("x"), F.round("observed_log10", 2).alias("y")).distinct().orderBy("test", "x", "y").collect()
+    tests = sorted({r.test for r in spots})
+    most_x, most_y = (max([1.0, *(r[k] for r in spots)]) for k in ("x", "y"))
+    left = lambda x: 50 + (size - 70) * x / most_x
+    up = lambda y: size - 50 - (size - 70) * y / most_y
+    end = min(most_x, most_y)
+    out = [f'<svg xmlns="http://www.w3.org/2000/svg" width="{size}" height="{size}" font-family="sans-serif" font-size="12"><rect width="100%" height="100%" fill="white"/>']
+    out.append(f'<path d="M50 {up(0):.1f}H{size - 20}M50 {up(0):.1f}V20" stroke="black" fill="none"/><path d="M{left(0):.1f} {up(0):.1f}L{left(end):.1f} {up(end):.1f}" stroke="gray" stroke-dasharray="4"/>')
+    out += [f'<circle cx="{left(r.x):.1f}" cy="{up(r.y):.1f}" r="2" fill="{COLOURS[tests.index(r.test) % len(COLOURS)]}"/>' for r in spots]
+    out += [f'<text x="{left(t):.1f}" y="{size - 34}">{t}</text>' for t in range(int(most_x) + 1)] + [f'<text x="30" y="{up(t):.1f}">{t}</text>' for t in range(int(most_y) + 1)]
+    out += [f'<text x="60" y="{30 + 16 * i}" fill="{COLOURS[i % len(COLOURS)]}">{t}</text>' for i, t in enumerate(tests)]
+    out.append(f'<text x="{size // 2}" y="{size - 12}">expected -log10 p</text><text x="14" y="{size // 2}" transform="rotate(-90 14 {size // 2})">observed -log10 p</text></svg>')
+    return "".join(out)
+
+
+def write_diagnostics(results: DataFrame, folder: str, p: str = "p_value", cohort: tuple[int, int] | None = None, notes: list[str] = ()) -> None:
+    """lambda_gc and qq tables of long results (test, p) as TSV folders, a plot, and, with the cohort's sizes, a summary."""
     lambda_gc(results, p).write.mode("overwrite").csv(f"{folder}/lambda_gc", sep="\t", header=True)
     rows = qq(results.where(~F.isnan(p)), p, ["test"])
     rows.select("test", "expected_log10", "observed_log10").write.mode("overwrite").csv(f"{folder}/qq_data", sep="\t", header=True)
+    put_text(results.sparkSession, f"{folder}/qq_plot.svg", qq_plot(rows))
     if cohort is not None:
         lines = diagnostics_summary(results, *cohort, list(notes), p)
         results.sparkSession.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/summary")

@@ -12,7 +12,7 @@ from helicase.functions import genotype, text
 from helicase.operators import annotate, association, burden, identifiers, inheritance, report, scoring, statistics
 from helicase.plans import adapter as a
 from helicase.plans import config
-from helicase.plans.catalogue import ORACLE_SQL, QUERIES, coast_classify, fam, missing_calls, nation_regions, query, r6
+from helicase.plans.catalogue import ORACLE_SQL, PRIORITISED, QUERIES, coast_classify, fam, missing_calls, nation_regions, query, r6
 from helicase.sources import sheets, sinks, tables, vcf
 from helicase.sources.store import located, put_text, shared_dir, text_of
 from helicase.streaming import vcf_folder
@@ -649,6 +649,40 @@ def registered_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("gene", r6("carrier_share_pvalue", "share"))
 
 
+def firth_carriers(null, genotypes, _, __) -> dict:
+    """Penalised regression of the trait on carrying anything."""
+    import numpy as np
+
+    from helicase.functions import regress
+
+    carrier = (np.bincount(genotypes.row, minlength=genotypes.n) > 0).astype(float)
+    beta, _, done = regress.firth(np.column_stack([np.ones(genotypes.n), carrier]), null.y)
+    return {"p_value": 1.0, "effect": float(beta[1]) if done else None, "warnings": ""}
+
+
+@query(", n AS (SELECT count(*) FILTER (WHERE is_case) AS n1, count(*) FILTER (WHERE NOT is_case) AS n0 FROM samples), g AS (SELECT gene, count(DISTINCT c.sample_id) FILTER (WHERE is_case) AS a, count(DISTINCT c.sample_id) FILTER (WHERE NOT is_case) AS b FROM calls c JOIN samples s ON s.sample_id = c.sample_id GROUP BY gene) SELECT gene, round(ln((a + 0.5) * (n0 - b + 0.5) / ((n1 - a + 0.5) * (b + 0.5))), 3) AS effect FROM g, n WHERE a + b < n1 + n0")
+def firth_burden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The penalty adds one half to each cell of a two by two table."""
+    association.register("firth_carriers", firth_carriers)
+    rows = association.run_all(a.calls(spark, sf_dir), a.cohort(spark, sf_dir), ["firth_carriers"], least_alleles=0, least_cases=1)
+    return rows.where("firth_carriers_effect IS NOT NULL").select("gene", F.round("firth_carriers_effect", 3).alias("effect"))
+
+
+@query(PRIORITISED + " SELECT v.variant_id, coalesce(pattern, 'unknown') AS \"Inheritance_Pattern\", printf('%.2f', coalesce(confidence, 0.0)::DOUBLE) AS \"Inheritance_Confidence\", (SELECT string_agg(sample_id, ',' ORDER BY sample_id) FROM calls c WHERE c.variant_id = v.variant_id) AS \"Inheritance_Samples\" FROM variants v LEFT JOIN best b ON b.variant_id = v.variant_id")
+def inheritance_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result as text columns."""
+    rows = inheritance.analysed(a.calls(spark, sf_dir), a.variants(spark, sf_dir), fam(spark, sf_dir))
+    return inheritance.as_columns(rows, "columns").select("variant_id", "Inheritance_Pattern", "Inheritance_Confidence", "Inheritance_Samples")
+
+
+@query("SELECT * FROM (VALUES ('identifier', '1.AF/x', 'col_1_AF_x'), ('annotation', 'my-set..v2', 'my_set_v2'), ('output', 'a/b.vcf.gz', 'b.G1'), ('short', 'a b/c', 'a_b_c'), ('fields', 'CHROM POS AF', 'CHROM POS AF AC'), ('reads inheritance', 'p', 'true'), ('reads inheritance', 'z', 'false')) t(kind, given, told)", base=False)
+def made_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = lambda f: {"variables": {"Inheritance_Pattern": "p", "Z": "z"}, "formulas": [{"a": f"{f} + 1"}]}
+    rows = [("identifier", "1.AF/x", text.identifier("1.AF/x")), ("annotation", "my-set..v2", text.annotation_name("my-set..v2")), ("output", "a/b.vcf.gz", text.output_name("a/b.vcf.gz", "G1")), ("short", "a b/c", text.short_name("a b/c")), ("fields", "CHROM POS AF", text.with_fields("CHROM POS AF", ["AF", "AC"]))]
+    rows += [("reads inheritance", f, str(scoring.needs_inheritance(model(f))).lower()) for f in "pz"]
+    return spark.createDataFrame(rows, "kind string, given string, told string")
+
+
 # checks and steps
 
 

@@ -98,6 +98,7 @@ def test_every_group_of_options(spark, inputs):
     assert {"fisher_pvalue", "skat_o_pvalue", "coast_status", "acat_o_qvalue", "warnings"} <= set(table(spark, out / "association").columns)
     assert "LOW_CASE_COUNT" in found["G1"].warnings
     assert "cases: 14" in "\n".join(p.read_text() for p in (inputs / "diag" / "summary").glob("part*"))
+    assert (inputs / "diag" / "qq_plot.svg").read_text().count("<circle") > 3
     assert {r.metric for r in table(spark, out / "statistics").collect()} >= {"total_variants", "total_genes"}
     assert table(spark, out / "gene_burden").count() == 3
     assert table(spark, out / "report_jobs").count() > 0
