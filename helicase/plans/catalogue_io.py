@@ -360,7 +360,7 @@ def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "report")
     sinks.write_report_json(v, summary, base)
     told = json.loads(text_of(spark, f"{base}/summary.json"))
-    sheets.write_page(spark, v.select("GENE").limit(3), told, f"{base}/index.html")
+    sheets.write_page(spark, v.select("GENE"), told, f"{base}/index.html")
     page = text_of(spark, f"{base}/index.html")
     again = json.loads(page.split("const data=")[1].split(",hidden=new Set")[0])["summary"]
     row = (again["n_variants"], again["n_genes"], told["n_samples"], again["impacts"]["HIGH"], spark.read.json(f"{base}/variants").count())
