@@ -169,7 +169,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     # only these columns are exchanged, whatever a reader of the result needs, so that all readers share one exchange
     placed = keyed.select("key", "hash", F.col("doc_id").isNotNull().alias("known"), "text", F.inline(F.when(is_first, F.array(own, again)).otherwise(F.array(own))))
     last = F.when(F.col("ghost"), F.lit((1 << 63) - 1)).otherwise(F.col("key"))
-    placed = placed.select("bucket", last.alias("sort_key"), (F.col("known").cast("int") * 2 + F.col("ghost").cast("int")).alias("flag"), "hash", "text").repartition("bucket")
+    placed = placed.select("bucket", last.alias("sort_key"), (F.col("known").cast("int") * 2 + F.col("ghost").cast("int")).alias("flag"), "hash", "text")
+    # a named number of tasks, which grows with the rows: sampling costs far more than the bytes let expect
+    placed = placed.repartition(max(parts, buckets // 8), "bucket")
     order = Window.partitionBy("bucket").orderBy("sort_key", "flag", "hash", "text")
     doc_id = F.when(F.col("flag") >= 2, F.col("sort_key")).cast(docs.schema["doc_id"].dataType)
     return placed.select(
