@@ -19,7 +19,7 @@ from helicase.functions import dist, kernels, regress, weights
 from helicase.functions.text import PTV_EFFECTS
 from helicase.operators.burden import checked, cohort_sizes, fisher, gene_counts, odds
 from helicase.operators.correction import benjamini_hochberg, bonferroni, cauchy, qq, weighted
-from helicase.sources.store import put_text
+from helicase.sources.store import materialised, put_text
 
 RESULT = "gene string, test string, p_value double, effect double, se double, ci_lower double, ci_upper double, warnings string, status string"
 
@@ -184,7 +184,10 @@ def test_genes(calls: DataFrame, null: kernels.Null, samples: list[str], tests:
         return pd.DataFrame(rows, columns=columns)
 
     rows = calls if "masked" in calls.columns else calls.withColumn("masked", F.lit(False))
-    return rows.select("gene", "variant_id", "sample_id", "dosage", "weight", "category", "masked").groupBy("gene").applyInPandas(run, RESULT)
+    # a named number of tasks: by bytes adaptive execution would put all genes of a small table into one
+    tasks = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("gene", "variant_id", "sample_id", "dosage", "weight", "category", "masked").repartition(tasks, "gene")
+    return rows.groupBy("gene").applyInPandas(run, RESULT)
 
 
 def fisher_results(calls: DataFrame, who: DataFrame) -> DataFrame:
@@ -235,7 +238,7 @@ def run_all(
     y = np.array([float(r.is_case) for r in people])
     n_case, n_control = int(y.sum()), int(len(y) - y.sum())
     cohort_notes = checked(n_case, n_control, least_cases)
-    kept = observed(calls, len(samples), most_missing_site, most_missing_sample)
+    kept = materialised(observed(calls, len(samples), most_missing_site, most_missing_sample), "observed")
     rows = imputed(kept, len(samples))
     scores = [F.col(c) if c in calls.columns else None for c in ("cadd", "revel")]
     rows = rows.withColumn("weight", weights.by_spec(weight_spec, F.col("maf"), *scores))
