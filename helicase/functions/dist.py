@@ -66,7 +66,7 @@ def chi2_sf(x: float, df: float) -> float:
 
 
 def chi2_isf(p: float, df: float) -> float:
-    """Upper quantile, by bisection on a bracket that doubles."""
+    """Upper quantile: Newton's steps on the log of the tail, kept inside a bracket that halves where a step would leave it."""
     if p >= 1:
         return 0.0
     if p <= 0:
@@ -77,12 +77,17 @@ def chi2_isf(p: float, df: float) -> float:
     lo, hi = 0.0, max(1.0, df)
     while chi2_sf(hi, df) > p:
         lo, hi = hi, hi * 2
+    x = (lo + hi) / 2
     for _ in range(200):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if chi2_sf(mid, df) > p else (lo, mid)
-        if hi - lo <= 1e-14 * hi:
-            break
-    return (lo + hi) / 2
+        tail = chi2_sf(x, df)
+        lo, hi = (x, hi) if tail > p else (lo, x)
+        density = math.exp((df / 2 - 1) * math.log(x / 2) - x / 2 - math.lgamma(df / 2)) / 2
+        step = x + tail * math.log(tail / p) / density if tail > 0 and density > 0 else lo
+        new = step if lo < step < hi else (lo + hi) / 2
+        if abs(new - x) <= 1e-14 * x or hi - lo <= 1e-14 * hi:
+            return new
+        x = new
+    return x
 
 
 def beta_i(a: float, b: float, x: float) -> float:
