@@ -37,8 +37,8 @@ MOST_LABELLED = 20_000
 #: Features that a task keeps before it hands counts on.
 MOST_COUNTED = 150_000
 BEGINNINGS = (4, 5, 6)
-#: Natural log of how much more often toxic texts must hold an entry.
-LEAST_ODDS = 3.0
+#: Natural log of how much more often toxic texts must hold an entry; entries near it weigh little, and only several tell.
+LEAST_ODDS = 1.5
 #: Log likelihood ratio against chance that an entry must reach, so that rare words of few toxic texts stay out.
 LEAST_EVIDENCE = 13.0
 MEMORY = 150_000
