@@ -253,7 +253,7 @@ def clinvar_lookup_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_pm5_lookup(spark, path).drop("review")
 
 
-@query("SELECT p_partkey::VARCHAR AS gene, 1.0 + p_size % 5 AS weight FROM part", base=False)
+@query("SELECT p_partkey::VARCHAR AS gene, (1.0 + p_size % 5)::DOUBLE AS weight FROM part", base=False)
 def gene_weights_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = a.table(spark, sf_dir, "part").select(tabbed("p_partkey", (F.lit(1.0) + F.col("p_size") % 5)))
     return tables.read_gene_weights(spark, written(spark, "weights", rows, ["gene\tweight"], "tsv"))
