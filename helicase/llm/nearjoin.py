@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helicase.llm.common import binary_parts, materialised, sliced
+from helicase.llm.common import binary_parts, discard, materialised, shared_dir, sliced
 from helicase.llm.graph import components, local_stars
 
 SHINGLE = 5
@@ -287,15 +287,20 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([path, pa.array(node), pa.array(leader)], names=["path", "node", "leader"])
 
 
-def _counted(rows: DataFrame) -> DataFrame:
-    """path, node, n: the rows of paths that have two nodes at least, with their number."""
-    n = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-    return materialised(rows.join(n, "path"), "paths")
+def candidates(sets: DataFrame, sketch: DataFrame, folders: list[str] | None = None) -> DataFrame:
+    """Edges (a, b) whose components hold every pair of near texts; sets: node, paths (copies have equal ones); sketch: node,
+    sketch, once each.  folders: takes the paths of what is written here, which may go once the edges are read."""
+    folders = [] if folders is None else folders
 
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        folders.append(shared_dir(df.sparkSession, name))
+        return materialised(df, name, folders[-1])
+
+    def _counted(rows: DataFrame) -> DataFrame:
+        """path, node, n: the rows of paths that have two nodes at least, with their number."""
+        n = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
+        return kept(rows.join(n, "path"), "paths")
 
-def candidates(sets: DataFrame, sketch: DataFrame) -> DataFrame:
-    """Edges (a, b) whose components hold every pair of near texts; sets: node, paths (copies have equal ones); sketch: node,
-    sketch, once each."""
     rows = _counted(sets.select(F.explode("paths").alias("path"), "node").distinct())
     small, ties = [], []  # buckets to compare by brute force, all in one pass at the end, and what leaders tied
 
@@ -313,7 +318,7 @@ def candidates(sets: DataFrame, sketch: DataFrame) -> DataFrame:
                 break
             block = F.pmod(F.xxhash64("node"), blocks("n", BLOCK)).cast("int")
             dealt = large.join(sketch, "node").select("path", block.alias("block"), "node", "sketch")
-            done = materialised(dealt.repartition("path", "block").sortWithinPartitions("path", "block").mapInArrow(_compress, "path bigint, node bigint, leader bigint"), "tied")
+            done = kept(dealt.repartition("path", "block").sortWithinPartitions("path", "block").mapInArrow(_compress, "path bigint, node bigint, leader bigint"), "tied")
             ties.append(done.where("node <> leader").select("node", "leader"))
             large = sorted_out(_counted(done.where("node = leader").select("path", "node")))
         if large.isEmpty():
@@ -427,7 +432,11 @@ def _classed(docs: DataFrame) -> DataFrame:
     docs = docs.select(number.alias("doc_id"), node.alias("node"), F.coalesce("text", F.lit("")).alias("text"))
     sets = materialised(docs.mapInArrow(_embed, "doc_id bigint, node bigint, size int, paths array<bigint>, sketch binary"), "sets")
     texts = materialised(sets.groupBy("node").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("n_copies"), F.max("size").alias("size"), F.first("sketch").alias("sketch")), "texts")
-    near = components(candidates(sets, texts.select("node", "sketch"))).join(texts.select("node", "text_id", "size"), "node")
+    folders: list[str] = []
+    found = components(candidates(sets, texts.select("node", "sketch"), folders))
+    for folder in folders:
+        discard(docs.sparkSession, folder)
+    near = found.join(texts.select("node", "text_id", "size"), "node")
     parts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int")
     near = materialised(near.join(near.groupBy("root").agg(parts.alias("parts")), "root"), "near")
     ids = materialised(near.select(F.col("text_id").alias("doc_id")).distinct(), "ids")  # narrow, so that it filters texts where they lie for longer
@@ -477,6 +486,7 @@ def representatives(docs: DataFrame) -> DataFrame:
     """Of each class of linked or equal texts one row of docs, the first by doc_id and text."""
     hits = _classed(docs).where("doc_id = class_id").groupBy(F.col("root").alias("_root"), F.col("node").alias("_kept_node"), F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("_n"))
     kept = materialised(hits.withColumn("_rows", F.sum("_n").over(Window.partitionBy("_root"))), "kept")
+    docs.sparkSession._jvm.System.gc()  # what was shuffled so far goes before the texts are
     number, node = _numbered(docs)
     rows = docs.withColumns({"_kept_id": number, "_kept_node": node}).join(kept, ["_kept_node", "_kept_id"])
     once = rows.where("_rows = 1").select(*docs.columns)
