@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from helicase.llm import bpe, chat, fingerprints, mixing, nearjoin, quality, secretscan, sharding, toxicity, warc
+from helicase.llm import audit, bpe, chat, classifier, fingerprints, mixing, nearjoin, quality, secretscan, sharding, spelling, toxicity, warc
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_warc": warc.query,
     "op9_ngram_jaccard_join": nearjoin.query,
     "op10_mixing_sources": mixing.query,
+    "op11_spelling_variants": spelling.query,
+    "op12_quality_classifier": classifier.query,
+    "op13_filter_audit": audit.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -22,4 +25,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_warc": warc.SQL,
     "op9_ngram_jaccard_join": nearjoin.SQL,
     "op10_mixing_sources": mixing.SQL,
+    "op11_spelling_variants": spelling.SQL,
+    "op13_filter_audit": audit.SQL,
 }
