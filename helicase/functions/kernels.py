@@ -1,4 +1,4 @@
-"""Variance-component tests of a gene: SKAT, its burden score, SKAT-O, the allelic series, per-variant combination."""
+"""Variance-component tests of a gene from its scores and products: SKAT, its burden score, SKAT-O, per-variant combination."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from helicase.functions import dist, quadform, regress
+from helicase.functions import dist, quadform
 
 #: Grid of mixtures between the variance test (0) and the burden test (1).
 RHO = (0.0, 0.01, 0.04, 0.09, 0.25, 0.5, 1.0)
@@ -15,32 +15,6 @@ RHO_MOST = 0.999
 NODES = np.polynomial.legendre.leggauss(128)
 
 
-@dataclass
-class Null:
-    """The model without the gene: design, residuals, variances of the observations."""
-
-    x: np.ndarray
-    y: np.ndarray
-    residual: np.ndarray
-    variance: np.ndarray
-    binary: bool
-
-    def observed(self) -> np.ndarray:
-        return self.y
-
-
-def fit_null(y: np.ndarray, covariates: np.ndarray | None = None, binary: bool = True) -> Null:
-    x = np.ones((len(y), 1)) if covariates is None else np.column_stack([np.ones(len(y)), covariates])
-    if binary:
-        beta, _, _ = regress.logistic(x, y)
-        mu = 1 / (1 + np.exp(-x @ beta))
-        return Null(x, y, y - mu, mu * (1 - mu), True)
-    beta, _, rss = regress.ols(x, y)
-    s2 = rss / max(1, len(y) - x.shape[1])
-    # residuals and variances on the scale of the variance, as the score needs them
-    return Null(x, y, (y - x @ beta) / s2, np.full(len(y), 1 / s2), False)
-
-
 def cauchy(ps: list[float | None], weights: list[float] | None = None) -> float | None:
     """The Cauchy combination; missing values and ones drop out."""
     pairs = [(p, w) for p, w in zip(ps, weights or [1.0] * len(ps), strict=True) if p is not None and not math.isnan(p) and p < 1]
@@ -54,81 +28,14 @@ def cauchy(ps: list[float | None], weights: list[float] | None = None) -> float
     return 1 / (t * math.pi) if t > 1e15 else 0.5 - math.atan(t) / math.pi
 
 
-@dataclass
-class Genotypes:
-    """Dosages above zero of n samples and p variants, by sample; all others are zero."""
-
-    n: int
-    p: int
-    row: np.ndarray
-    col: np.ndarray
-    value: np.ndarray
-
-    @classmethod
-    def of(cls, g: np.ndarray | Genotypes) -> Genotypes:
-        if isinstance(g, Genotypes):
-            return g
-        row, col = np.nonzero(g)
-        return cls(*g.shape, row, col, np.asarray(g, float)[row, col])
-
-    @classmethod
-    def cells(cls, n: int, p: int, row: np.ndarray, col: np.ndarray, value: np.ndarray) -> Genotypes:
-        """From cells in any order; of several in one place the last counts."""
-        place = row.astype(np.int64) * p + col
-        place, last = np.unique(place[::-1], return_index=True)
-        value = value[::-1][last]
-        kept = value != 0
-        return cls(n, p, place[kept] // p, place[kept] % p, value[kept].astype(float))
-
-    def totals(self) -> np.ndarray:
-        return np.bincount(self.col, self.value, self.p)
-
-    def carried(self, w: np.ndarray) -> np.ndarray:
-        """Each sample's weighted sum of dosages."""
-        return np.bincount(self.row, self.value * w[self.col], self.n)
-
-    def variants(self, keep: np.ndarray) -> Genotypes:
-        place, here = np.cumsum(keep) - 1, keep[self.col]
-        return Genotypes(self.n, int(keep.sum()), self.row[here], place[self.col[here]], self.value[here])
-
-    def samples(self, keep: np.ndarray) -> Genotypes:
-        inside = np.zeros(self.n, bool)
-        inside[keep] = True
-        place, here = np.cumsum(inside) - 1, inside[self.row]
-        return Genotypes(int(inside.sum()), self.p, place[self.row[here]], self.col[here], self.value[here])
-
-    def blocks(self, size: int = 2048):
-        """(samples, dense dosages) of so many carriers at a time."""
-        who, at = np.unique(self.row, return_inverse=True)
-        ends = np.searchsorted(at, np.arange(0, len(who) + size, size))
-        for k, start in enumerate(range(0, len(who), size)):
-            cut = slice(ends[k], ends[k + 1])
-            dense = np.zeros((min(size, len(who) - start), self.p))
-            dense[at[cut] - start, self.col[cut]] = self.value[cut]
-            yield who[start : start + size], dense
-
-
 @dataclass
 class Scored:
-    """Score of each variant, their covariance given the covariates (halved), and the products of their columns: sums over
-    blocks of carriers, so memory is variants times variants, whatever the number of samples."""
+    """Score of each variant, their covariance given the covariates (halved), and the products of their columns."""
 
     score: np.ndarray
     gram: np.ndarray
     cross: np.ndarray
 
-    @classmethod
-    def of(cls, null: Null, g: np.ndarray | Genotypes) -> Scored:
-        g = Genotypes.of(g)
-        score, cross, with_x = np.zeros(g.p), np.zeros((g.p, g.p)), np.zeros((g.p, null.x.shape[1]))
-        for who, dense in g.blocks():
-            v = dense * null.variance[who][:, None]
-            score += null.residual[who] @ dense
-            cross += dense.T @ v
-            with_x += v.T @ null.x[who]
-        inside = with_x @ np.linalg.pinv(null.x.T @ (null.x * null.variance[:, None])) @ with_x.T
-        return cls(score, (cross - inside) / 2, cross)
-
     def weighted(self, w: np.ndarray) -> Scored:
         both = np.outer(w, w)
         return Scored(self.score * w, self.gram * both, self.cross * both)
@@ -144,29 +51,16 @@ def _lambdas(m: np.ndarray) -> np.ndarray:
     return lam[lam > up.mean() / 1e5] if len(up) else lam[:0]
 
 
-def skat(null: Null, g: np.ndarray | Genotypes, w: np.ndarray) -> tuple[float, str]:
-    s = Scored.of(null, g).weighted(w)
+def skat(s: Scored) -> tuple[float, str]:
     return (math.nan, "rank") if s.single() else quadform.p_value(float((s.score**2).sum()) / 2, _lambdas(s.gram))
 
 
-def _summed(s: Scored) -> float:
+def summed(s: Scored) -> float:
     """The score test of the sum of all variants."""
     var = 2 * float(s.gram.sum())
     return dist.chi2_sf(float(s.score.sum()) ** 2 / var, 1) if var > 1e-12 * float(np.abs(s.cross).sum()) else math.nan
 
 
-def burden_score(null: Null, g: np.ndarray | Genotypes, w: np.ndarray) -> float:
-    return _summed(Scored.of(null, g).weighted(w))
-
-
-def collapsed_score(null: Null, g: np.ndarray | Genotypes, w: np.ndarray) -> float:
-    """The score test of the weighted sum of variants with the variance that kernel programs give it alone: covariates are
-    not taken out of the sum, and a binary trait counts with variance one, so the test is conservative."""
-    b = Genotypes.of(g).carried(w)
-    var = float(b @ b) * (1.0 if null.binary else float(null.variance[0]))
-    return dist.chi2_sf(float(b @ null.residual) ** 2 / var, 1) if var > 0 else math.nan
-
-
 def _moments(lam: np.ndarray) -> tuple[float, float, float]:
     """Mean, standard deviation and degrees of freedom of the matching chi-squared."""
     c1, c2, c3, c4 = (float((lam**k).sum()) for k in (1, 2, 3, 4))
@@ -179,11 +73,10 @@ def _moments(lam: np.ndarray) -> tuple[float, float, float]:
     return c1, math.sqrt(2 * c2), df
 
 
-def skat_o(null: Null, g: np.ndarray | Genotypes, w: np.ndarray) -> tuple[float, float]:
+def skat_o(s: Scored) -> tuple[float, float]:
     """p of the best mixture, corrected for the search, and that mixture."""
-    s = Scored.of(null, g).weighted(w)
     if s.single():
-        return _summed(s), 1.0
+        return summed(s), 1.0
     score, a, p = s.score, s.gram, len(s.score)
     rhos = [min(r, RHO_MOST) for r in RHO]
     ps, shapes = [], []
@@ -263,34 +156,8 @@ class SharedDirection:
         return max(1 - float((20 * w * below * np.exp(-u / 2) / np.sqrt(2 * math.pi * u)).sum()), 0.0)
 
 
-def per_variant(null: Null, g: np.ndarray | Genotypes, w: np.ndarray) -> float | None:
+def per_variant(s: Scored, w: np.ndarray, maf: np.ndarray) -> float | None:
     """Score tests of single variants, combined with weights w^2 maf (1 - maf)."""
-    g = Genotypes.of(g)
-    s = Scored.of(null, g)
-    maf, var = g.totals() / (2 * g.n), 2 * np.diag(s.gram)
+    var = 2 * np.diag(s.gram)
     ps = [dist.chi2_sf(float(x) ** 2 / float(v), 1) if v > 1e-12 * c else math.nan for x, v, c in zip(s.score, var, np.diag(s.cross), strict=True)]
     return cauchy(ps, [max(float(x), 1e-12) for x in w**2 * maf * (1 - maf)])
-
-
-def allelic_series(null: Null, g: np.ndarray | Genotypes, category: np.ndarray, by: tuple[float, ...] = (1.0, 2.0, 3.0)) -> dict[str, float | None]:
-    """Six burden tests over categories 1..3 (counts and indicators; joint, weighted sum, weighted maximum), SKAT-O with
-    weights of category and frequency, and their combination, in which SKAT-O has the weight of the six."""
-    g = Genotypes.of(g)
-    keep = np.isin(category, (1, 2, 3)) & (g.totals() > 0)
-    g, category = g.variants(keep), category[keep]
-    absent = [name for k, name in ((1, "BMV"), (2, "DMV"), (3, "PTV")) if not (category == k).any()]
-    if len(absent) == 3:
-        return {"p": None, "status": "skipped", "reason": "ALL_CATEGORIES_EMPTY"}
-    counts = np.column_stack([g.carried((category == k).astype(float)) for k in (1, 2, 3)])
-    out: dict[str, float | None] = {}
-    scale = np.array(by)
-    for name, n in (("count", counts), ("ind", (counts > 0).astype(float))):
-        out[f"base_{name}"] = regress.added_terms(null.x, n, null.y, null.binary)
-        out[f"sum_{name}"] = regress.added_terms(null.x, (n * scale).sum(1, keepdims=True), null.y, null.binary)
-        out[f"max_{name}"] = regress.added_terms(null.x, (n * scale).max(1, keepdims=True), null.y, null.binary)
-    aaf = np.clip(g.totals() / (2 * g.n), 1e-8, 1 - 1e-8)
-    out["allelic_skat"] = skat_o(null, g, np.sqrt(scale[category - 1] / (aaf * (1 - aaf))))[0]
-    ps = [None if v is None or math.isnan(v) else v for v in out.values()]
-    out["status"], out["reason"] = ("partial", f"MISSING_{'_'.join(absent)}") if absent else ("complete", "")
-    out["p"] = cauchy(ps, [1.0] * 6 + [6.0])
-    return out

@@ -43,7 +43,11 @@ def parse_spec(spec: str) -> tuple[str, float, float]:
     return name, a, b
 
 
-def by_spec(spec: str, maf: Column, phred: Column | None = None, score: Column | None = None) -> Column:
+#: What the parameters of weights may be.
+PARAMETERS = ("cadd_cap",)
+
+
+def by_spec(spec: str, maf: Column, phred: Column | None = None, score: Column | None = None, cadd_cap: float = 40.0) -> Column:
     """Weights by their specification; cadd and revel without a column of scores raise, combined takes what there is."""
     name, a, b = parse_spec(spec)
     if (name == "cadd" and phred is None) or (name == "revel" and score is None):
@@ -51,9 +55,9 @@ def by_spec(spec: str, maf: Column, phred: Column | None = None, score: Column |
     if name == "uniform":
         return uniform()
     if name == "cadd":
-        return cadd(maf, phred, 40.0, a, b)
+        return cadd(maf, phred, cadd_cap, a, b)
     if name == "revel":
         return revel(maf, score, a, b)
     if name == "combined":
-        return combined(maf, phred, score)
+        return combined(maf, phred, score, cadd_cap)
     return beta_maf(maf, a, b)

@@ -1,28 +1,27 @@
-"""Rare-variant association: genotype matrices, tests by gene, the engine that joins their results.
+"""Rare-variant association: what genes are tested on, the tests by name, the engine that joins their results.
 
-The null model is fitted once on the cohort and shipped with the function.  Genes are groups of one long table; a
-group holds a gene's carriers, and kernel tests need sums of their products alone, so memory is the gene's calls and its
-variants times variants, never samples times variants.
+Regressions and the sums of kernel tests are aggregates over carriers (genetests); a gene reaches one task only as its
+scores and products, variants squared, never as samples times variants.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helicase.functions import dist, kernels, regress, weights
+from helicase.functions import dist, kernels, weights
 from helicase.functions.text import PTV_EFFECTS
-from helicase.operators.burden import checked, cohort_sizes, fisher, gene_counts, odds
+from helicase.operators import genetests
+from helicase.operators.burden import Interval, checked, fisher, fourfold, gene_counts, odds
 from helicase.operators.correction import benjamini_hochberg, bonferroni, cauchy, qq, weighted
+from helicase.operators.genetests import RESULT, Cohort, GeneSums
 from helicase.sources.store import materialised, put_text
 
-RESULT = "gene string, test string, p_value double, effect double, se double, ci_lower double, ci_upper double, warnings string, status string"
-
 
 def site_filter(calls: DataFrame, n_samples: int, most_missing: float = 0.10) -> DataFrame:
     """Calls of variants that few samples miss (null dosage)."""
@@ -67,77 +66,68 @@ def coast_category(effect, impact, sift=None, polyphen=None):
     return F.when(truncating, 3).when(missense & bad, 2).when(missense & good, 1).otherwise(0)
 
 
-def _wald_row(beta: float, se: float, p: float, extra: list[str]) -> dict:
-    return {"p_value": p, "effect": beta, "se": se, "ci_lower": beta - 1.959963984540054 * se, "ci_upper": beta + 1.959963984540054 * se, "warnings": ";".join(extra)}
-
-
-def logistic_burden(null: kernels.Null, g: kernels.Genotypes, w: np.ndarray, _: np.ndarray) -> dict:
-    b = kernels.Genotypes.of(g).carried(w)
-    carrier, notes = b > 0, []
-    on, off = int((carrier & (null.y == 1)).sum()), int((carrier & (null.y == 0)).sum())
-    if on + off < 3:
-        notes.append("LOW_CARRIER_COUNT")
-    if on == 0 or off == 0:
-        notes.append("ZERO_CARRIERS_ONE_GROUP" if on + off else "NO_CARRIERS")
-        if on + off:
-            notes.append("PERFECT_SEPARATION" if (null.y[carrier] == null.y[carrier][0]).all() and (null.y[~carrier] != null.y[carrier][0]).all() else "QUASI_SEPARATION")
-    if not b.std() > 0:
-        return {"p_value": math.nan, "warnings": ";".join(notes)}
-    x = np.column_stack([null.x, b])
-    beta, se, done = regress.logistic(x, null.y)
-    if not done or se.max() > 100:
-        beta, se, done = regress.firth(x, null.y)
-        notes.append("FIRTH" if done else "FIRTH_NOT_CONVERGED")
-    return _wald_row(float(beta[-1]), float(se[-1]), regress.wald(float(beta[-1]), float(se[-1])), notes)
-
-
-def linear_burden(null: kernels.Null, g: kernels.Genotypes, w: np.ndarray, _: np.ndarray) -> dict:
-    b = kernels.Genotypes.of(g).carried(w)
-    if not b.std() > 0:
-        return {"p_value": math.nan, "warnings": "NO_CARRIERS"}
-    x = np.column_stack([null.x, b])
-    beta, se, _ = regress.ols(x, null.y)
-    t = float(beta[-1] / se[-1]) if se[-1] > 0 else math.inf
-    return _wald_row(float(beta[-1]), float(se[-1]), dist.t_two_sided(t, len(b) - x.shape[1]), [])
-
-
-def _p_only(f: Callable) -> Callable:
-    return lambda null, g, w, cat: {"p_value": f(null, g, w, cat), "warnings": ""}
-
-
-def coast(null: kernels.Null, g: np.ndarray, _: np.ndarray, category: np.ndarray) -> dict:
-    found = kernels.allelic_series(null, g, category)
-    return {"p_value": found["p"], "warnings": found["reason"], "status": found["status"]}
-
-
-#: Tests by name; each takes (null model, genotypes, weights, categories).
-TESTS: dict[str, Callable] = {
-    "logistic_burden": logistic_burden,
-    "linear_burden": linear_burden,
-    "skat": _p_only(lambda null, g, w, _: kernels.skat(null, g, w)[0]),
-    "skato": _p_only(lambda null, g, w, _: kernels.skat_o(null, g, w)[0]),
-    "burden": _p_only(lambda null, g, w, _: kernels.collapsed_score(null, g, w)),
-    "acat_v": _p_only(lambda null, g, w, _: kernels.per_variant(null, g, w)),
-    "coast": coast,
+#: Kernel tests by name; each takes a gene's sums and gives p_value and, optionally, effect, se, ci_lower, ci_upper,
+#: warnings and status.
+TESTS: dict[str, Callable[[GeneSums], dict]] = {
+    "skat": lambda s: {"p_value": kernels.skat(s.scored.weighted(s.weights))[0], "warnings": ""},
+    "skato": lambda s: {"p_value": kernels.skat_o(s.scored.weighted(s.weights))[0], "warnings": ""},
+    "burden": lambda s: {"p_value": collapsed_score(s), "warnings": ""},
+    "acat_v": lambda s: {"p_value": kernels.per_variant(s.scored, s.weights, s.alleles / (2 * s.n)), "warnings": ""},
 }
+#: Tests that are regressions on a gene's predictors, and the allelic series.
+REGRESSIONS = ("logistic_burden", "linear_burden")
 #: Other names of tests.
 ALIASES = {"skat_python": "skat", "skat_o": "skato"}
+#: What the test skat computes, by the setting of that name.
+SKAT_METHODS = {"SKAT": "skat", "Burden": "burden", "SKATO": "skato"}
+
+
+def collapsed_score(s: GeneSums) -> float:
+    """The score test of the weighted sum of variants with the variance that kernel programs give it alone: covariates are
+    not taken out of the sum, and a binary trait counts with variance one, so the test is conservative."""
+    var = float(s.weights @ s.plain @ s.weights) * (1.0 if s.binary else 1 / s.variance)
+    return dist.chi2_sf(float(s.weights @ s.scored.score) ** 2 / var, 1) if var > 0 else math.nan
+
+
+def _series_kernel(by: tuple[float, ...]) -> Callable[[GeneSums], dict]:
+    """The mixture test of the allelic series, and which categories a gene has."""
 
+    def run(s: GeneSums) -> dict:
+        s = s.variants(np.isin(s.categories, (1, 2, 3)) & (s.alleles > 0))
+        absent = [name for k, name in ((1, "BMV"), (2, "DMV"), (3, "PTV")) if not (s.categories == k).any()]
+        if len(absent) == 3:
+            return {"p_value": None, "status": "skipped", "warnings": "ALL_CATEGORIES_EMPTY"}
+        aaf = np.clip(s.alleles / (2 * s.n), 1e-8, 1 - 1e-8)
+        w = np.sqrt(np.array(by)[s.categories - 1] / (aaf * (1 - aaf)))
+        told = {"status": "partial", "warnings": f"MISSING_{'_'.join(absent)}"} if absent else {"status": "complete", "warnings": ""}
+        return {"p_value": kernels.skat_o(s.scored.weighted(w))[0], **told}
 
-def register(name: str, test: Callable) -> None:
-    """Adds a test of one's own: test(null, genotypes, weights, categories) gives p_value and, optionally, effect, se,
-    ci_lower, ci_upper, warnings and status.  A name that is taken by another test raises."""
-    if name in ("fisher", *ALIASES) or TESTS.get(name, test) is not test:
+    return run
+
+
+def _series_predictors(by: tuple[float, ...]) -> dict[str, list[Column]]:
+    """Six burden models over counts and indicators of the categories: joint, weighted sum, weighted maximum."""
+    counts = [F.col(f"count{k}") for k in (1, 2, 3)]
+    out = {}
+    for name, n in (("count", counts), ("ind", [(c > 0).cast("double") for c in counts])):
+        scaled = [c * w for c, w in zip(n, by, strict=True)]
+        out |= {f"coast:base_{name}": n, f"coast:sum_{name}": [scaled[0] + scaled[1] + scaled[2]], f"coast:max_{name}": [F.greatest(*scaled)]}
+    return out
+
+
+def register(name: str, test: Callable[[GeneSums], dict]) -> None:
+    """Adds a test of one's own over a gene's sums.  A name that is taken by another test raises."""
+    if name in ("fisher", "coast", *REGRESSIONS, *ALIASES) or TESTS.get(name, test) is not test:
         raise ValueError(f"there is a test {name}")
     TESTS[name] = test
 
 
 def test_names(tests: list[str]) -> list[str]:
     """Known names, once each; unknown ones raise."""
+    known = {*TESTS, *REGRESSIONS, "fisher", "coast"}
     found = list(dict.fromkeys(ALIASES.get(t, t) for t in tests))
-    unknown = [t for t in found if t not in TESTS and t != "fisher"]
-    if unknown:
-        raise ValueError(f"no test {', '.join(unknown)}; known: {', '.join(sorted({*TESTS, 'fisher', *ALIASES}))}")
+    if unknown := [t for t in found if t not in known]:
+        raise ValueError(f"no test {', '.join(unknown)}; known: {', '.join(sorted({*known, *ALIASES}))}")
     return found
 
 
@@ -148,53 +138,69 @@ def backend(name: str = "auto") -> str:
     return "python"
 
 
-def without(null: kernels.Null, keep: np.ndarray) -> kernels.Null:
-    """The null model of some samples only, fitted anew."""
-    return kernels.fit_null(null.observed()[keep], null.x[keep][:, 1:] if null.x.shape[1] > 1 else None, null.binary)
-
-
-def test_genes(calls: DataFrame, null: kernels.Null, samples: list[str], tests: list[str]) -> DataFrame:
-    """Long results of calls (gene, variant_id, sample_id, dosage, weight, category and, optionally, masked) for the samples
-    in their order.  Samples that are masked in a gene are left out of it; its null model is then fitted without them."""
-    unknown = [t for t in tests if t not in TESTS]
-    if unknown:
-        raise ValueError(f"no test {', '.join(unknown)}")
-    place = {s: i for i, s in enumerate(samples)}
-    columns = [c.split()[0] for c in RESULT.split(", ")]
-    chosen = {t: TESTS[t] for t in tests}  # shipped with the function: what was registered here is known there
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf[pdf["sample_id"].isin(place)]
-        variants = np.sort(pdf["variant_id"].unique())
-        if not len(variants):
-            return pd.DataFrame(columns=columns)
-        gene = pdf["gene"].iloc[0]
-        at, who = np.searchsorted(variants, pdf["variant_id"].to_numpy()), pdf["sample_id"].map(place).to_numpy()
-        g = kernels.Genotypes.cells(len(samples), len(variants), who, at, pdf["dosage"].to_numpy(float))
-        w, cat = np.ones(len(variants)), np.zeros(len(variants), int)
-        w[at], cat[at] = pdf["weight"].to_numpy(), pdf["category"].to_numpy()
-        model, masked = null, np.unique(who[pdf["masked"].to_numpy()])
-        if len(masked):
-            keep = np.setdiff1d(np.arange(len(samples)), masked)
-            model, g = without(null, keep), g.samples(keep)
-        rows = []
-        for name in tests:
-            found = chosen[name](model, g, w, cat)
-            rows.append({"gene": gene, "test": name, **{k: None for k in columns[2:]}, **found})
-        return pd.DataFrame(rows, columns=columns)
+def test_genes(calls: DataFrame, cohort: Cohort, tests: list[str], series: tuple[float, ...] = (1.0, 2.0, 3.0), skat_method: str = "SKAT", firth_steps: int = 100) -> DataFrame:
+    """RESULT rows of calls (gene, variant_id, sample_id, dosage, weight, category and, optionally, masked).
 
+    Samples that are masked in a gene are left out of it; its null model is then fitted without them.  fisher is not one
+    of these tests.
+    """
     rows = calls if "masked" in calls.columns else calls.withColumn("masked", F.lit(False))
-    # a named number of tasks: by bytes adaptive execution would put all genes of a small table into one
-    tasks = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.select("gene", "variant_id", "sample_id", "dosage", "weight", "category", "masked").repartition(tasks, "gene")
-    return rows.groupBy("gene").applyInPandas(run, RESULT)
+    carried = materialised(genetests.carriers(rows), "carriers")
+    predictors = {t: [genetests.burden_of(F.col("has"))] for t in tests if t in REGRESSIONS}
+    if "coast" in tests:
+        predictors |= _series_predictors(series)
+    extra = [f"b{i}" for i in range(max(map(len, predictors.values()), default=0))]
+    changed = materialised(genetests.changes(carried, cohort, predictors), "changes")
+    keys = changed.select(*genetests.KEY).distinct()
+    parts, by_model = [], None
+    own = {SKAT_METHODS[skat_method] if t == "skat" else t: t for t in tests if t in TESTS}
+    kernel = {shown: TESTS[t] for t, shown in own.items()} | ({"coast:mixture": _series_kernel(series)} if "coast" in tests else {})
+    if "linear_burden" in tests or not cohort.binary:
+        linear = genetests.linear_fits(changed, cohort, extra)
+        parts += [genetests.linear_tests(linear[0], cohort, ["linear_burden"])] if "linear_burden" in tests else []
+    if cohort.binary:
+        plain = keys
+        if "logistic_burden" in tests:
+            told = genetests.carrier_notes(changed, cohort, ["logistic_burden"])
+            plain = plain.join(told.where("one_side").select(*genetests.KEY), list(genetests.KEY), "left_anti")
+        plain = plain.unionByName(calls.sparkSession.createDataFrame([("", "cohort")], "gene string, test string"))
+        fits = materialised(genetests.fitted(plain, changed, cohort, extra), "fitted")
+        parts += [genetests.logistic_tests(told, changed, cohort, extra, fits, firth_steps)] if "logistic_burden" in tests else []
+        by_model = genetests.likelihood_tests(fits, cohort, changed) if "coast" in tests else None
+        nulls = genetests.null_models(cohort, changed, fits=fits) if kernel else None
+    else:
+        by_model = genetests.f_tests(linear[0], cohort) if "coast" in tests else None
+        nulls = genetests.null_models(cohort, changed, linear=linear) if kernel else None
+    if kernel:
+        sums = materialised(genetests.kernel_sums(carried, cohort, nulls), "sums")
+        found = materialised(genetests.kernel_results(sums, cohort, nulls, kernel), "kernels")
+        parts.append(found.where("test <> 'coast:mixture'"))
+        if "coast" in tests:
+            parts.append(_series(found.where("test = 'coast:mixture'"), by_model))
+    return _all(parts)
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
 
+def _series(mixture: DataFrame, models: DataFrame) -> DataFrame:
+    """The allelic series: the Cauchy combination of six burden models and the mixture test, which has their weight."""
+    names = [*_series_predictors((1.0, 2.0, 3.0))]
+    wide = models.groupBy("gene").pivot("test", names).agg(F.first("p_value"))
+    rows = mixture.join(wide, "gene", "left")
+    ps = [F.nanvl(F.col(c), F.lit(None).cast("double")) for c in (*(f"`{n}`" for n in names), "p_value")]
+    rows = rows.withColumn("p_value", F.when(F.col("status") != "skipped", cauchy(ps, [1.0] * 6 + [6.0])))
+    return rows.withColumn("test", F.lit("coast")).select(*(c.split()[0] for c in RESULT.split(", ")))
 
-def fisher_results(calls: DataFrame, who: DataFrame) -> DataFrame:
-    n_case, n_control = cohort_sizes(who)
-    rows = gene_counts(calls, who).withColumns({"a": F.col("case_carriers"), "b": F.col("control_carriers")})
-    rows = rows.withColumns({"c": F.lit(n_case) - F.col("a"), "d": F.lit(n_control) - F.col("b")})
-    ratio, low, high = odds(F.col("a"), F.col("b"), F.col("c"), F.col("d"))
+
+def fisher_results(calls: DataFrame, who: DataFrame, mode: str = "samples", interval: Interval | None = None) -> DataFrame:
+    """The exact test of carriers, or of alleles, with the odds ratio and its interval."""
+    rows = fourfold(calls, who, mode)
+    ratio, low, high = odds(F.col("a"), F.col("b"), F.col("c"), F.col("d"), interval)
     rows = fisher(rows, "a", "b", "c", "d", "p_value")
     return rows.select("gene", F.lit("fisher").alias("test"), "p_value", ratio.alias("effect"), F.lit(None).cast("double").alias("se"), low.alias("ci_lower"), high.alias("ci_upper"), F.lit("").alias("warnings"), F.lit(None).cast("string").alias("status"))
 
@@ -206,70 +212,86 @@ def observed(calls: DataFrame, n_samples: int, most_missing_site: float = 0.10,
     return kept.join(mask, ["gene", "sample_id"], "left").withColumn("masked", F.coalesce("masked", F.lit(False)))
 
 
-def design(samples: list[str], covariates: DataFrame | None, components: DataFrame | None = None) -> np.ndarray | None:
-    """The covariates' and components' columns (numbers by sample_id) side by side in the samples' order; a sample without
-    a row in either raises."""
-    parts = []
-    for what, table in (("covariates", covariates), ("components", components)):
-        if table is None:
-            continue
-        others = [c for c in table.columns if c != "sample_id"]
-        by = {r[0]: r[1:] for r in table.select("sample_id", *others).collect()}
-        absent = [s for s in samples if s not in by]
-        if absent:
-            raise ValueError(f"no {what} for {', '.join(absent[:5])}")
-        parts.append(np.array([by[s] for s in samples], float))
-    return np.column_stack(parts) if parts else None
+@dataclass
+class Plan:
+    """How run_all tests genes: what the settings of a run say."""
+
+    weights: str = "beta:1,25"
+    weight_params: dict = field(default_factory=dict)
+    correction: str = "fdr"
+    binary: bool = True
+    least_alleles: int = 5
+    least_cases: int = 10
+    few_cases: int = 200
+    most_ratio: float = 20.0
+    least_carriers: int = 10
+    most_missing_site: float = 0.10
+    most_missing_sample: float = 0.80
+    burden_mode: str = "samples"
+    interval: Interval = field(default_factory=Interval)
+    series: tuple[float, ...] = (1.0, 2.0, 3.0)
+    skat_method: str = "SKAT"
+    firth_steps: int = 100
 
 
 def run_all(
-    calls: DataFrame, who: DataFrame, tests: list[str], covariates: DataFrame | None = None, weight_spec: str = "beta:1,25", gene_weights: DataFrame | None = None, least_alleles: int = 5,
-    components: DataFrame | None = None, correction: str = "fdr", least_cases: int = 10, least_carriers: int = 10, most_missing_site: float = 0.10, most_missing_sample: float = 0.80,
+    calls: DataFrame, who: DataFrame, tests: list[str], covariates: DataFrame | None = None, components: DataFrame | None = None, gene_weights: DataFrame | None = None, plan: Plan | None = None,
 ) -> DataFrame:
     """One row per gene: n_cases, n_controls, n_variants, <test>_pvalue and <test>_effect, the combined acat_o_pvalue, its
     q-value (only that is corrected) and warnings.
 
     calls: gene, variant_id, sample_id, dosage and, where weights or COAST need them, cadd, revel and category; who:
-    sample_id, is_case.  Fewer than least_cases cases raise.  With skat or skato the combination holds acat_v too.
+    sample_id and is_case or, for a quantitative trait, value.  Too few cases raise TooFewCases.  With skat or skato the
+    combination holds acat_v too.  fisher counts all calls, as the burden table does; the other tests leave out sites and
+    samples that miss too many.  A quantitative trait has neither fisher nor logistic_burden, and no cases to count.
     """
+    plan = plan or Plan()
     tests = test_names(tests)
-    people = who.orderBy("sample_id").collect()
-    samples = [r.sample_id for r in people]
-    y = np.array([float(r.is_case) for r in people])
-    n_case, n_control = int(y.sum()), int(len(y) - y.sum())
-    cohort_notes = checked(n_case, n_control, least_cases)
-    kept = materialised(observed(calls, len(samples), most_missing_site, most_missing_sample), "observed")
-    rows = imputed(kept, len(samples))
+    if not plan.binary and (odd := {"fisher", "logistic_burden"} & {*tests}):
+        raise ValueError(f"no {', '.join(sorted(odd))} for a quantitative trait")
+    if plan.binary and "linear_burden" in tests:
+        raise ValueError("no linear_burden for a binary trait")
+    if "skat" in tests and SKAT_METHODS[plan.skat_method] in tests and plan.skat_method != "SKAT":
+        raise ValueError(f"skat by the method {plan.skat_method} is one of the tests already")
+    trait = who.select("sample_id", (F.col("is_case").cast("double") if plan.binary else F.col("value").cast("double")).alias("y")).where("y IS NOT NULL")
+    cohort = Cohort.of(trait, [(n, t) for n, t in (("covariates", covariates), ("components", components)) if t is not None], plan.binary)
+    n_case, n_control = (cohort.n_case, cohort.n - cohort.n_case) if plan.binary else (None, None)
+    cohort_notes = checked(n_case, n_control, plan.least_cases, plan.few_cases, plan.most_ratio) if plan.binary else []
+    kept = materialised(observed(calls, cohort.n, plan.most_missing_site, plan.most_missing_sample), "observed")
+    rows = imputed(kept, cohort.n, plan.binary)
     scores = [F.col(c) if c in calls.columns else None for c in ("cadd", "revel")]
-    rows = rows.withColumn("weight", weights.by_spec(weight_spec, F.col("maf"), *scores))
+    rows = rows.withColumn("weight", weights.by_spec(plan.weights, F.col("maf"), *scores, **plan.weight_params))
     if "category" not in rows.columns:
         rows = rows.withColumn("category", F.lit(0))
-    rows = rows.join(enough_alleles(kept, least_alleles), "gene", "left_semi")
+    rows = rows.join(enough_alleles(kept, plan.least_alleles), "gene", "left_semi")
     others = [t for t in tests if t != "fisher"]
     if "acat_v" not in others and {"skat", "skato"} & set(others):
         others.append("acat_v")
     ordered = [t for t in tests if t == "fisher"] + others
-    parts = [test_genes(rows, kernels.fit_null(y, design(samples, covariates, components)), samples, others)] if others else []
-    parts += [fisher_results(calls, who)] if "fisher" in tests else []
-    long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    parts = [test_genes(rows, cohort, others, plan.series, plan.skat_method, plan.firth_steps)] if others else []
+    parts += [fisher_results(calls, who, plan.burden_mode, plan.interval)] if "fisher" in tests else []
     found = [F.first("p_value").alias("pvalue"), F.first("effect").alias("effect"), F.first("status").alias("status"), F.first("warnings").alias("warnings")]
-    wide = long.groupBy("gene").pivot("test", ordered).agg(*found)
-    carriers = gene_counts(calls, who).select("gene", "n_variants", "case_carriers")
-    wide = wide.join(carriers, "gene", "left").withColumnsRenamed({f"skato_{k}": f"skat_o_{k}" for k in ("pvalue", "effect", "status", "warnings")})
-    names = ["skat_o" if t == "skato" else t for t in ordered]
+    wide = _all(parts).groupBy("gene").pivot("test", ordered).agg(*found)
+    if plan.binary:
+        carriers = gene_counts(calls, who).select("gene", "n_variants", "case_carriers")
+    else:
+        carriers = calls.where("dosage > 0").groupBy("gene").agg(F.count_distinct("variant_id").alias("n_variants"))
+    shown = {t: "skat_o" if t == "skato" or (t == "skat" and plan.skat_method == "SKATO") else t for t in ordered}
+    wide = wide.join(carriers, "gene", "left").withColumnsRenamed({f"{t}_{k}": f"{n}_{k}" for t, n in shown.items() if t != n for k in ("pvalue", "effect", "status", "warnings")})
+    names = [shown[t] for t in ordered]
     ps = [F.nanvl(F.col(f"{t}_pvalue"), F.lit(None).cast("double")) for t in names]
     wide = wide.withColumn("acat_o_pvalue", cauchy(ps))
-    few = F.when(F.coalesce("case_carriers", F.lit(0)) < least_carriers, F.lit("LOW_CASE_CARRIERS"))
+    few = F.when(F.coalesce("case_carriers", F.lit(0)) < plan.least_carriers, F.lit("LOW_CASE_CARRIERS")) if plan.binary else F.lit(None).cast("string")
     own = [F.when(F.col(f"{t}_warnings") != "", F.col(f"{t}_warnings")) for t in names]
     wide = wide.withColumn("warnings", F.array_join(F.array_compact(F.array(few, *own, *map(F.lit, cohort_notes))), ";"))
     if gene_weights is not None:
-        wide = weighted(wide, gene_weights, correction, "acat_o_pvalue", "acat_o_qvalue")
+        wide = weighted(wide, gene_weights, plan.correction, "acat_o_pvalue", "acat_o_qvalue")
     else:
-        wide = (benjamini_hochberg if correction == "fdr" else bonferroni)(wide, "acat_o_pvalue", "acat_o_qvalue")
+        wide = (benjamini_hochberg if plan.correction == "fdr" else bonferroni)(wide, "acat_o_pvalue", "acat_o_qvalue")
     extra = ["coast_status"] if "coast" in names else []
     extra += ["fdr_weight"] if gene_weights is not None else []
-    counts = [F.lit(n_case).cast("bigint").alias("n_cases"), F.lit(n_control).cast("bigint").alias("n_controls"), "n_variants"]
-    return wide.select("gene", *counts, *(f"{t}_{k}" for t in names for k in ("pvalue", "effect")), "acat_o_pvalue", "acat_o_qvalue", *extra, "warnings")
+    counts = [F.lit(n_case).cast("bigint").alias("n_cases"), F.lit(n_control).cast("bigint").alias("n_controls")] if plan.binary else [F.lit(cohort.n).cast("bigint").alias("n_samples")]
+    return wide.select("gene", *counts, "n_variants", *(f"{t}_{k}" for t in names for k in ("pvalue", "effect")), "acat_o_pvalue", "acat_o_qvalue", *extra, "warnings")
 
 
 def lambda_gc(results: DataFrame, p: str = "p_value") -> DataFrame:

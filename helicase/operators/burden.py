@@ -3,13 +3,29 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helicase.functions import dist
 from helicase.operators.correction import benjamini_hochberg, bonferroni
 
-Z95 = 1.959963984540054
+
+@dataclass(frozen=True)
+class Interval:
+    """How odds ratios get their interval: on the log scale (normal_approx) or from score tests (score)."""
+
+    method: str = "normal_approx"
+    alpha: float = 0.05
+    continuity: float = 0.5
+
+    def z(self) -> float:
+        return dist.norm_ppf(1 - self.alpha / 2)
+
+
+class TooFewCases(ValueError):
+    """The cohort has fewer cases than a test needs."""
 
 
 def cohort(samples: DataFrame, cases: DataFrame | None = None, controls: DataFrame | None = None) -> DataFrame:
@@ -114,33 +130,73 @@ def fisher(df: DataFrame, a: str, b: str, c: str, d: str, out: str = "p") -> Dat
     return df.withColumn(out, F.least(total, F.lit(1.0))).drop("_n", "_row", "_col", "_lo", "_hi", "_fixed", "_first", "_seen")
 
 
-def odds(a: Column, b: Column, c: Column, d: Column) -> tuple[Column, Column, Column]:
-    """Odds ratio of [[a, b], [c, d]] and its 95 % interval on the log scale; one half is added if a cell is zero.
+#: Halvings by which a score limit is found.
+HALVINGS = 60
+
+
+def _score_limit(a: Column, row: Column, col: Column, n: Column, z: float, lower: bool) -> Column:
+    """The odds ratio at which the first cell's score test reaches z: its expected cell, given the margins, by halving.
+
+    The scaled distance of a from an expected cell falls as that grows; at the edge of what the margins allow the limit is
+    zero or infinite.
+    """
+    least, most = F.greatest(F.lit(0.0), row + col - n), F.least(row, col)
+
+    def far(e: Column) -> Column:
+        return (a - e) * F.sqrt(1 / e + 1 / (row - e) + 1 / (col - e) + 1 / (n - row - col + e))
+
+    def step(s: Column, _: Column) -> Column:
+        mid = (s["lo"] + s["hi"]) / 2
+        above = far(mid) > (z if lower else -z)
+        return F.struct(F.when(above, mid).otherwise(s["lo"]).alias("lo"), F.when(above, s["hi"]).otherwise(mid).alias("hi"))
+
+    start = F.struct((least if lower else a).alias("lo"), (a if lower else most).alias("hi"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), start, step)
+    e = (found["lo"] + found["hi"]) / 2
+    edge = (a <= least) if lower else (a >= most)
+    return F.when(edge, F.lit(0.0 if lower else float("inf"))).otherwise(e * (n - row - col + e) / F.nullif((row - e) * (col - e), F.lit(0.0)))
+
+
+def odds(a: Column, b: Column, c: Column, d: Column, interval: Interval | None = None) -> tuple[Column, Column, Column]:
+    """Odds ratio of [[a, b], [c, d]] and its interval; the continuity correction is added to all cells if one is zero.
 
-    An empty margin has neither; a zero off the diagonal makes the ratio infinite.
+    An empty margin has no interval; a zero off the diagonal makes the ratio infinite.  A score interval that is not found
+    is the one on the log scale.
     """
+    interval = interval or Interval()
+    z = interval.z()
     a, b, c, d = (x.cast("double") for x in (a, b, c, d))
     empty = (a + b == 0) | (c + d == 0) | (a + c == 0) | (b + d == 0)
     ratio = F.when(b * c > 0, a * d / F.nullif(b * c, F.lit(0.0))).when(a * d > 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))
-    add = F.when((a == 0) | (b == 0) | (c == 0) | (d == 0), 0.5).otherwise(0.0)
+    add = F.when((a == 0) | (b == 0) | (c == 0) | (d == 0), interval.continuity).otherwise(0.0)
     a, b, c, d = a + add, b + add, c + add, d + add
-    log, se = F.ln(a * d / (b * c)), F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    return ratio, F.when(~empty, F.exp(log - Z95 * se)), F.when(~empty, F.exp(log + Z95 * se))
+    log, se = F.ln(a * d / F.nullif(b * c, F.lit(0.0))), F.sqrt(1 / F.nullif(a, F.lit(0.0)) + 1 / F.nullif(b, F.lit(0.0)) + 1 / F.nullif(c, F.lit(0.0)) + 1 / F.nullif(d, F.lit(0.0)))
+    low, high = F.exp(log - z * se), F.exp(log + z * se)
+    if interval.method == "score":
+        limits = [_score_limit(a, a + b, a + c, a + b + c + d, z, lower) for lower in (True, False)]
+        low, high = (F.coalesce(F.nanvl(s, F.lit(None).cast("double")), n) for s, n in zip(limits, (low, high), strict=True))
+    return ratio, F.when(~empty, low), F.when(~empty, high)
 
 
-def gene_burden(calls: DataFrame, who: DataFrame, mode: str, correction: str = "fdr") -> DataFrame:
-    """The burden table: mode "samples" tests carriers, "alleles" allele counts."""
+def fourfold(calls: DataFrame, who: DataFrame, mode: str) -> DataFrame:
+    """gene_counts with the fourfold table a, b, c, d of carriers (samples) or alleles of cases and controls, and cohort
+    sizes n_case, n_control; genes with more alleles than there can be are left out."""
     if mode not in ("samples", "alleles"):
         raise ValueError("mode is samples or alleles")
     n_case, n_control = cohort_sizes(who)
     name, times = ("carriers", 1) if mode == "samples" else ("alleles", 2)
-    rows = gene_counts(calls, who).withColumns({"a": F.col(f"case_{name}"), "b": F.col(f"control_{name}")})
-    rows = rows.withColumns({"c": F.lit(n_case * times) - F.col("a"), "d": F.lit(n_control * times) - F.col("b")}).where("c >= 0 AND d >= 0")
+    rows = gene_counts(calls, who).withColumns({"a": F.col(f"case_{name}"), "b": F.col(f"control_{name}"), "n_case": F.lit(n_case), "n_control": F.lit(n_control)})
+    return rows.withColumns({"c": F.lit(n_case * times) - F.col("a"), "d": F.lit(n_control * times) - F.col("b")}).where("c >= 0 AND d >= 0")
+
+
+def gene_burden(calls: DataFrame, who: DataFrame, mode: str, correction: str = "fdr", interval: Interval | None = None) -> DataFrame:
+    """The burden table: mode "samples" tests carriers, "alleles" allele counts."""
+    rows, name = fourfold(calls, who, mode), "carriers" if mode == "samples" else "alleles"
     rows = fisher(rows, "a", "b", "c", "d", "raw_p_value")
     rows = (benjamini_hochberg if correction == "fdr" else bonferroni)(rows, "raw_p_value", "corrected_p_value")
-    ratio, low, high = odds(F.col("a"), F.col("b"), F.col("c"), F.col("d"))
+    ratio, low, high = odds(F.col("a"), F.col("b"), F.col("c"), F.col("d"), interval)
     return rows.select(
-        F.col("gene").alias("GENE"), F.lit(n_case).cast("bigint").alias("proband_count"), F.lit(n_control).cast("bigint").alias("control_count"),
+        F.col("gene").alias("GENE"), F.col("n_case").cast("bigint").alias("proband_count"), F.col("n_control").cast("bigint").alias("control_count"),
         F.col("a").cast("bigint").alias(f"proband_{name}"), F.col("b").cast("bigint").alias(f"control_{name}"), "raw_p_value", "corrected_p_value",
         ratio.alias("odds_ratio"), low.alias("or_ci_lower"), high.alias("or_ci_upper"), F.col("n_variants").cast("bigint").alias("n_qualifying_variants"),
     )
@@ -155,7 +211,7 @@ def legacy_gene_counts(counts: DataFrame, n_case: int, n_control: int) -> DataFr
 def checked(n_case: int, n_control: int, least: int = 10, few: int = 200, most_ratio: float = 20.0) -> list[str]:
     """Raises below the least number of cases; warnings for small or lopsided cohorts."""
     if n_case < least:
-        raise ValueError(f"only {n_case} cases; {least} are needed")
+        raise TooFewCases(f"only {n_case} cases; {least} are needed")
     out = ["NO_PRACTICAL_POWER"] if n_case < 50 else []
     out += ["LOW_CASE_COUNT"] if n_case < few else []
     return out + (["IMBALANCED_COHORT"] if n_control > most_ratio * n_case else [])

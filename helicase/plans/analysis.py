@@ -51,6 +51,7 @@ class Settings:
     phenotypes: str | None = None
     sample_column: str = "sample_id"
     value_column: str = "term"
+    trait_column: str | None = None
     case_terms: list[str] = field(default_factory=list)
     control_terms: list[str] = field(default_factory=list)
     case_samples: str | None = None
@@ -153,17 +154,23 @@ def _who(spark: SparkSession, s: Settings, people: DataFrame, terms: DataFrame |
 def _tested(spark: SparkSession, s: Settings, calls: DataFrame, variants: DataFrame, who: DataFrame) -> DataFrame | None:
     """The association table; None, with a warning, where there are too few cases."""
     a = config.association({k: v for k, v in s.association.items()})
-    tests = association.test_names(a.association_tests or ["fisher"])
+    tests = association.test_names(a.association_tests or ["fisher" if a.trait_type == "binary" else "linear_burden"])
+    if a.trait_type == "quantitative":
+        # numbers of the phenotype table; without such a column cases count one and controls zero
+        told_value = tables.read_numbers(spark, s.phenotypes, s.sample_column, s.trait_column) if s.trait_column else who.select("sample_id", F.col("is_case").cast("double").alias("value"))
+        who = who.select("sample_id").join(told_value, "sample_id")
     association.backend(a.skat_backend)
     names = {c.lower(): c for c in variants.columns}
     score = lambda *found: next((F.col(f"`{names[n]}`") for n in found if n in names), None)
     told = [F.col("variant_id")]
     told += [c.alias(n) for n, c in (("cadd", score("cadd", "dbnsfp_cadd_phred")), ("revel", score("revel", "dbnsfp_revel_score"))) if c is not None]
     if "coast" in tests and a.coast_classification:
-        scored = scoring.apply_scoring(variants, tables.read_scoring_model(a.coast_classification))
-        made = [c for c in scored.columns if c not in variants.columns]
-        variants, kind = scored, F.coalesce(F.col(made[-1]).cast("int"), F.lit(0))
-        told.append(kind.alias("category"))
+        model = tables.read_scoring_model(a.coast_classification)
+        made = model.get("output_scores") or [name for formula in model["formulas"] for name in formula]
+        if len(made) != 1:
+            raise ValueError(f"the classification names {len(made)} outputs, not one: output_scores tells which")
+        variants = scoring.apply_scoring(variants, model)
+        told.append(F.coalesce(F.col(made[0]).cast("int"), F.lit(0)).alias("category"))
     elif "coast" in tests:
         effect, impact = score("effect"), score("impact")
         if effect is None or impact is None:
@@ -171,19 +178,14 @@ def _tested(spark: SparkSession, s: Settings, calls: DataFrame, variants: DataFr
         told.append(association.coast_category(effect, impact, score("dbnsfp_sift_pred", "sift"), score("dbnsfp_polyphen2_hdiv_pred", "polyphen")).alias("category"))
     rows = calls.join(variants.select(*told), "variant_id") if len(told) > 1 else calls
     samples = [r.sample_id for r in who.select("sample_id").orderBy("sample_id").collect()]
-    covariates = tables.read_covariates(spark, a.covariate_file, samples) if a.covariate_file else None
+    covariates = tables.read_covariates(spark, a.covariate_file, samples, categorical=a.categorical_covariates) if a.covariate_file else None
     if covariates is not None and a.covariate_columns:
         covariates = covariates.select("sample_id", *[c for c in covariates.columns if any(c == n or c.startswith(f"{n}_") for n in a.covariate_columns)])
     components = tables.read_components(spark, a.pca_file, a.pca_components) if a.pca_file else association.principal_components(calls, who, a.pca_components) if a.pca_tool else None
-    weights = tables.read_gene_weights(spark, a.gene_prior_weights) if a.gene_prior_weights else None
+    weights = tables.read_gene_weights(spark, a.gene_prior_weights, a.gene_prior_weight_column) if a.gene_prior_weights else None
     try:
-        return association.run_all(
-            rows, who, tests, covariates, a.variant_weights, weights, components=components, correction=a.correction_method, least_carriers=a.min_case_carriers,
-            most_missing_site=a.missing_site_threshold, most_missing_sample=a.missing_sample_threshold,
-        )
-    except ValueError as e:
-        if "cases" not in str(e):
-            raise
+        return association.run_all(rows, who, tests, covariates, components, weights, config.plan(a))
+    except burden.TooFewCases as e:
         log.warning("no association: %s", e)
         return None
 
@@ -350,7 +352,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--list-fields", action="store_true", help="tell the VCF's fields and end")
     p.add_argument("--formats", nargs="*", default=[], choices=["tsv", "xlsx", "html", "json", "archive"])
     single = (
-        "genes", "gene-regions", "gene-coordinates", "capture-regions", "prefilter", "filter", "profile", "final-filter", "transcripts", "pedigree", "inheritance-mode", "phenotypes", "sample-column", "value-column",
+        "genes", "gene-regions", "gene-coordinates", "capture-regions", "prefilter", "filter", "profile", "final-filter", "transcripts", "pedigree", "inheritance-mode", "phenotypes", "sample-column", "value-column", "trait-column",
         "case-samples", "control-samples", "remove-from-samples", "gene-json-mapping", "pm5-lookup", "scoring-model", "statistics", "burden-mode", "correction", "reads", "pseudonyms", "pseudonym-pattern", "work", "restart",
     )
     for name in single:

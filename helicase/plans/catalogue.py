@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helicase.functions import genotype, kernels, text, weights
-from helicase.operators import annotate, association, burden, correction, identifiers, inheritance, intervals, report, scoring, statistics
+from helicase.functions import genotype, text, weights
+from helicase.operators import annotate, association, burden, correction, genetests, identifiers, inheritance, intervals, report, scoring, statistics
 from helicase.plans import adapter as a
 from helicase.plans.filterlang import Schema
 
@@ -625,13 +625,11 @@ def association_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _association(tests: list[str], quantitative: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if quantitative:
-            import numpy as np
-
-            people = a.samples(spark, sf_dir).orderBy("sample_id").select("sample_id", "s_acctbal").collect()
-            null = kernels.fit_null(np.array([r.s_acctbal for r in people]), None, False)
-            rows = association.imputed(association_inputs(spark, sf_dir), len(people)).withColumn("weight", F.lit(1.0))
-            return _rounded(association.test_genes(rows, null, [r.sample_id for r in people], tests)).drop("warnings", "status")
-        return _rounded(association.run_all(association_inputs(spark, sf_dir), a.cohort(spark, sf_dir), tests, least_cases=1))
+            who = a.samples(spark, sf_dir).select("sample_id", F.col("s_acctbal").alias("y"))
+            cohort = genetests.Cohort.of(who, binary=False)
+            rows = association.imputed(association_inputs(spark, sf_dir), cohort.n).withColumn("weight", F.lit(1.0))
+            return _rounded(association.test_genes(rows, cohort, tests)).drop("warnings", "status")
+        return _rounded(association.run_all(association_inputs(spark, sf_dir), a.cohort(spark, sf_dir), tests, plan=association.Plan(least_cases=1)))
 
     return run
 
@@ -664,7 +662,7 @@ def logistic_burden_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, who = a.calls(spark, sf_dir), a.cohort(spark, sf_dir)
     n1, n0 = burden.cohort_sizes(who)
     mixed = burden.gene_counts(calls, who).where(f"case_carriers BETWEEN 1 AND {n1 - 1} AND control_carriers BETWEEN 1 AND {n0 - 1}").select("gene")
-    rows = association.run_all(calls, who, ["logistic_burden"], least_cases=1).where("NOT contains(warnings, 'FIRTH')").join(mixed, "gene", "left_semi")
+    rows = association.run_all(calls, who, ["logistic_burden"], plan=association.Plan(least_cases=1)).where("NOT contains(warnings, 'FIRTH')").join(mixed, "gene", "left_semi")
     return rows.select("gene", F.round("logistic_burden_effect", 4).alias("effect"), F.round("logistic_burden_pvalue", 5).alias("p_value"))
 
 

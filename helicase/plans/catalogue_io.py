@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helicase.functions import genotype, text
-from helicase.operators import annotate, association, burden, identifiers, inheritance, report, scoring, statistics
+from helicase.operators import annotate, association, burden, genetests, identifiers, inheritance, report, scoring, statistics
 from helicase.plans import adapter as a
 from helicase.plans import config
 from helicase.plans.catalogue import ORACLE_SQL, PRIORITISED, QUERIES, coast_classify, fam, missing_calls, nation_regions, query, r6
@@ -621,14 +621,9 @@ def weight_schemes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(", cat AS (SELECT variant_id, gene, CASE WHEN impact = 'HIGH' AND effect = 'stop_gained' THEN 3 WHEN effect = 'missense_variant' AND (sift = 'deleterious' OR polyphen <> 'benign') THEN 2 WHEN effect = 'missense_variant' AND sift = 'tolerated' AND polyphen = 'benign' THEN 1 ELSE 0 END AS c FROM variants WHERE variant_id IN (SELECT variant_id FROM calls)) SELECT gene, CASE count(DISTINCT c) FILTER (WHERE c > 0) WHEN 3 THEN 'complete' WHEN 0 THEN 'skipped' ELSE 'partial' END AS status FROM cat GROUP BY gene")
 def allelic_series_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which genes have all, some or none of the categories, as the test tells it."""
-    import numpy as np
-
-    from helicase.functions import kernels
-
-    people = [r.sample_id for r in a.samples(spark, sf_dir).orderBy("sample_id").collect()]
-    y = np.arange(len(people)) % 2.0
+    cohort = genetests.Cohort.of(a.samples(spark, sf_dir).select("sample_id", (F.col("place") % 2).alias("y")))
     rows = a.calls(spark, sf_dir).join(coast_classify(spark, sf_dir), "variant_id").withColumn("weight", F.lit(1.0))
-    return association.test_genes(rows, kernels.fit_null(y), people, ["coast"]).select("gene", "status")
+    return association.test_genes(rows, cohort, ["coast"]).select("gene", "status")
 
 
 @query(", b AS (SELECT gene, sample_id, sum(dosage)::DOUBLE AS b FROM calls GROUP BY gene, sample_id), full_b AS (SELECT g.gene, s.s_acctbal::DOUBLE AS y, coalesce(b.b, 0) AS b FROM (SELECT DISTINCT gene FROM calls) g CROSS JOIN samples s LEFT JOIN b ON b.gene = g.gene AND b.sample_id = s.sample_id), r AS (SELECT gene, regr_slope(y, b) AS slope, sqrt(greatest(regr_syy(y, b) - regr_slope(y, b) * regr_sxy(y, b), 0) / (count(*) - 2) / regr_sxx(y, b)) AS se FROM full_b GROUP BY gene HAVING regr_sxx(y, b) > 0) SELECT gene, round(slope + 0.000123, 2) AS effect, round(se + 0.000123, 2) AS se, round(slope - 1.959963984540054 * se + 0.000123, 2) AS ci_lower FROM r")
@@ -637,35 +632,28 @@ def linear_burden_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("gene", *(F.round(F.col(c) + 0.000123, 2).alias(c) for c in ("effect", "se", "ci_lower")))
 
 
-def carrier_share(null, genotypes, _, __) -> dict:
+def carrier_share(sums: genetests.GeneSums) -> dict:
     """A test of one's own for registration: the share of samples that carry anything."""
-    return {"p_value": len(set(genotypes.row.tolist())) / genotypes.n, "warnings": ""}
+    return {"p_value": sums.carriers / sums.n, "warnings": ""}
 
 
 @query("SELECT gene, round(count(DISTINCT sample_id)::DOUBLE / (SELECT count(*) FROM samples), 6) AS share FROM calls GROUP BY gene")
 def registered_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     association.register("carrier_share", carrier_share)
-    rows = association.run_all(a.calls(spark, sf_dir), a.cohort(spark, sf_dir), ["carrier_share"], least_alleles=0, least_cases=1)
+    rows = association.run_all(a.calls(spark, sf_dir), a.cohort(spark, sf_dir), ["carrier_share"], plan=association.Plan(least_alleles=0, least_cases=1))
     return rows.select("gene", r6("carrier_share_pvalue", "share"))
 
 
-def firth_carriers(null, genotypes, _, __) -> dict:
-    """Penalised regression of the trait on carrying anything."""
-    import numpy as np
-
-    from helicase.functions import regress
-
-    carrier = (np.bincount(genotypes.row, minlength=genotypes.n) > 0).astype(float)
-    beta, _, done = regress.firth(np.column_stack([np.ones(genotypes.n), carrier]), null.y)
-    return {"p_value": 1.0, "effect": float(beta[1]) if done else None, "warnings": ""}
-
-
 @query(", n AS (SELECT count(*) FILTER (WHERE is_case) AS n1, count(*) FILTER (WHERE NOT is_case) AS n0 FROM samples), g AS (SELECT gene, count(DISTINCT c.sample_id) FILTER (WHERE is_case) AS a, count(DISTINCT c.sample_id) FILTER (WHERE NOT is_case) AS b FROM calls c JOIN samples s ON s.sample_id = c.sample_id GROUP BY gene) SELECT gene, round(ln((a + 0.5) * (n0 - b + 0.5) / ((n1 - a + 0.5) * (b + 0.5))), 3) AS effect FROM g, n WHERE a + b < n1 + n0")
 def firth_burden(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The penalty adds one half to each cell of a two by two table."""
-    association.register("firth_carriers", firth_carriers)
-    rows = association.run_all(a.calls(spark, sf_dir), a.cohort(spark, sf_dir), ["firth_carriers"], least_alleles=0, least_cases=1)
-    return rows.where("firth_carriers_effect IS NOT NULL").select("gene", F.round("firth_carriers_effect", 3).alias("effect"))
+    cohort = genetests.Cohort.of(a.cohort(spark, sf_dir).select("sample_id", F.col("is_case").cast("double").alias("y")))
+    rows = a.calls(spark, sf_dir).withColumns({"weight": F.lit(1.0), "category": F.lit(0), "masked": F.lit(False)})
+    changed = genetests.changes(genetests.carriers(rows), cohort, {"carriers": [(F.size("has") > 0).cast("double")]})
+    keys = changed.groupBy("gene", "test").agg(F.sum(F.when(F.col("b0") > 0, F.col("n"))).alias("on"))
+    keys = keys.where(F.col("on") < cohort.n)
+    fits = genetests.fitted(keys, changed, cohort, ["b0"], True)
+    return fits.select("gene", F.round(F.get("beta", F.lit(1)), 3).alias("effect"))
 
 
 @query(PRIORITISED + " SELECT v.variant_id, coalesce(pattern, 'unknown') AS \"Inheritance_Pattern\", printf('%.2f', coalesce(confidence, 0.0)::DOUBLE) AS \"Inheritance_Confidence\", (SELECT string_agg(sample_id, ',' ORDER BY sample_id) FROM calls c WHERE c.variant_id = v.variant_id) AS \"Inheritance_Samples\" FROM variants v LEFT JOIN best b ON b.variant_id = v.variant_id")

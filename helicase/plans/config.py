@@ -8,10 +8,13 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import SparkSession
 
-from helicase.functions.weights import parse_spec
+from helicase.functions.weights import PARAMETERS, parse_spec
+from helicase.operators import association as tests
+from helicase.operators.burden import Interval
 from helicase.sources.store import exists
 
 
+# Names and defaults of the settings.
 @dataclass
 class Association:
     """How genes are tested."""
@@ -49,7 +52,7 @@ class Association:
 
 #: Values that some settings are limited to.
 CHOICES = {
-    "correction_method": ("fdr", "bonferroni"), "trait_type": ("binary", "quantitative"), "gene_burden_mode": ("samples", "alleles"), "skat_method": ("SKAT", "Burden", "SKATO"),
+    "correction_method": ("fdr", "bonferroni"), "trait_type": ("binary", "quantitative"), "gene_burden_mode": ("samples", "alleles"), "confidence_interval_method": ("normal_approx", "score"), "skat_method": ("SKAT", "Burden", "SKATO"),
     "skat_backend": ("python", "auto"), "coast_backend": ("python", "auto"),
 }
 
@@ -83,6 +86,15 @@ def association_faults(values: dict) -> list[str]:
             parse_spec(values["variant_weights"])
         except ValueError as e:
             out.append(str(e))
+    for k in ("confidence_interval_alpha", "missing_site_threshold", "missing_sample_threshold"):
+        if isinstance(values.get(k), (int, float)) and not 0 < values[k] <= 1:
+            out.append(f"{k} is not between 0 and 1: {values[k]!r}")
+    if isinstance(values.get("coast_weights"), list) and (len(values["coast_weights"]) != 3 or not all(isinstance(w, (int, float)) and w > 0 for w in values["coast_weights"])):
+        out.append(f"coast_weights are not three positive numbers: {values['coast_weights']!r}")
+    if isinstance(values.get("variant_weight_params"), dict):
+        out += [f"unknown parameter of weights: {k}" for k in sorted(set(values["variant_weight_params"]) - {*PARAMETERS})]
+    if values.get("trait_type") == "quantitative" and {"fisher", "logistic_burden"} & {*(values.get("association_tests") or [])}:
+        out.append("a quantitative trait needs other tests than fisher and logistic_burden")
     return out
 
 
@@ -93,6 +105,15 @@ def association(values: dict) -> Association:
     return Association(**values)
 
 
+def plan(a: Association) -> tests.Plan:
+    """What run_all is told."""
+    return tests.Plan(
+        weights=a.variant_weights, weight_params=a.variant_weight_params or {}, correction=a.correction_method, binary=a.trait_type == "binary", few_cases=a.min_cases, most_ratio=a.max_case_control_ratio,
+        least_carriers=a.min_case_carriers, most_missing_site=a.missing_site_threshold, most_missing_sample=a.missing_sample_threshold, burden_mode=a.gene_burden_mode,
+        interval=Interval(a.confidence_interval_method, a.confidence_interval_alpha, a.continuity_correction), series=tuple(a.coast_weights or (1.0, 2.0, 3.0)), skat_method=a.skat_method, firth_steps=a.firth_max_iter,
+    )
+
+
 def annotation_faults(spark: SparkSession, regions: list[str] = (), gene_lists: list[str] = (), gene_json: list[str] = (), mapping: str | None = None) -> list[str]:
     """Files that are not there, and a mapping of gene JSON that is absent, needless or not usable."""
     out = [f"no such file: {p}" for p in [*regions, *gene_lists, *gene_json] if not exists(spark, p)]

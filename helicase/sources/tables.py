@@ -93,8 +93,19 @@ def read_gene_json(spark: SparkSession, path: str, identifier: str, data_fields:
     return rows.select(F.upper(F.element_at("o", F.lit(identifier))).alias("gene"), F.map_filter("o", lambda k, v: k.isin(*data_fields) & v.isNotNull()).alias("attributes"))
 
 
-def read_covariates(spark: SparkSession, path: str, samples: list[str], sep: str | None = None) -> DataFrame:
-    """sample_id and numeric columns for exactly the samples; text with up to five levels is coded, the first dropped.
+def read_numbers(spark: SparkSession, path: str, key: str, column: str) -> DataFrame:
+    """sample_id, value of a table's column of numbers; rows without a number are left out."""
+    df = read_delimited(spark, path)
+    return df.select(F.col(f"`{key}`").alias("sample_id"), F.col(f"`{column}`").try_cast("double").alias("value")).where("value IS NOT NULL")
+
+
+#: Levels of a covariate that is named categorical, at most.
+MOST_LEVELS = 50
+
+
+def read_covariates(spark: SparkSession, path: str, samples: list[str], sep: str | None = None, categorical: list[str] | None = None) -> DataFrame:
+    """sample_id and numeric columns for exactly the samples; text with up to five levels, and every column that is named
+    categorical, is coded, the first level dropped.
 
     A sample without a row, a missing number, or more levels raises.
     """
@@ -108,13 +119,16 @@ def read_covariates(spark: SparkSession, path: str, samples: list[str], sep: str
     df = df.join(wanted, "sample_id", "left_semi")
     odd = df.agg(*(F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast("double").isNull()).alias(c) for c in names)).first()
     out = [F.col("sample_id")]
+    if unknown := sorted(set(categorical or []) - {*names}):
+        raise ValueError(f"no covariates {', '.join(unknown)}")
     for c in names:
-        if not odd[c]:
+        if not odd[c] and c not in (categorical or []):
             out.append(F.col(f"`{c}`").try_cast("double").alias(c))
             continue
-        levels = sorted(r[0] for r in df.select(f"`{c}`").where(f"`{c}` IS NOT NULL").distinct().limit(6).collect())
-        if len(levels) > 5:
-            raise ValueError(f"covariate {c} has more than five levels")
+        most = MOST_LEVELS if c in (categorical or []) else 5
+        levels = sorted(r[0] for r in df.select(f"`{c}`").where(f"`{c}` IS NOT NULL").distinct().limit(most + 1).collect())
+        if len(levels) > most:
+            raise ValueError(f"covariate {c} has more than {most} levels")
         out += [(F.col(f"`{c}`") == v).cast("double").alias(f"{c}_{v}") for v in levels[1:]]
     df = df.select(*out)
     empty = df.agg(*(F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns)).first().asDict()
@@ -145,10 +159,13 @@ def read_components(spark: SparkSession, path: str, k: int) -> DataFrame:
     return rows.select(F.get("f", F.lit(skip - 1)).alias("sample_id"), *pcs).where("pc1 IS NOT NULL")
 
 
-def read_gene_weights(spark: SparkSession, path: str) -> DataFrame:
-    """gene, weight; a weight that is no positive number raises."""
+def read_gene_weights(spark: SparkSession, path: str, column: str | None = None) -> DataFrame:
+    """gene, weight of the first column and the named one (the second, if none is named); a weight that is no positive
+    number, or no such column, raises."""
     df = read_delimited(spark, path)
-    w = F.col(f"`{df.columns[1]}`").try_cast("double")
+    if column is not None and column not in df.columns:
+        raise ValueError(f"no column {column} in {path}")
+    w = F.col(f"`{column or df.columns[1]}`").try_cast("double")
     checked = F.when(w > 0, w).otherwise(F.raise_error(F.concat(F.lit("not a positive weight: "), F.coalesce(F.col(f"`{df.columns[0]}`"), F.lit("?")))))
     return df.select(F.col(f"`{df.columns[0]}`").alias("gene"), checked.cast("double").alias("weight"))
 

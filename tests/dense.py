@@ -1,13 +1,14 @@
-"""Least squares, logistic regression and its penalised form, in NumPy."""
+"""Whole-matrix forms of the gene tests, against which the aggregates are held: least squares, logistic regression, its
+penalised form, and scores and products of dense genotypes."""
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 
-from helicase.functions import dist
-
+from helicase.functions import dist, kernels
 
 def ols(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Coefficients, their standard errors and the residual sum of squares."""
@@ -108,3 +109,47 @@ def added_terms(base: np.ndarray, more: np.ndarray, y: np.ndarray, binary: bool)
     if df <= 0 or rss1 <= 0:
         return math.nan
     return dist.f_sf((rss0 - rss1) / k / (rss1 / df), k, df)
+
+
+@dataclass
+class Null:
+    """The model without the gene: design, residuals, variances of the observations."""
+
+    x: np.ndarray
+    y: np.ndarray
+    residual: np.ndarray
+    variance: np.ndarray
+    binary: bool
+
+
+def fit_null(y: np.ndarray, covariates: np.ndarray | None = None, binary: bool = True) -> Null:
+    x = np.ones((len(y), 1)) if covariates is None else np.column_stack([np.ones(len(y)), covariates])
+    if binary:
+        beta, _, _ = logistic(x, y)
+        mu = 1 / (1 + np.exp(-x @ beta))
+        return Null(x, y, y - mu, mu * (1 - mu), True)
+    beta, _, rss = ols(x, y)
+    s2 = rss / max(1, len(y) - x.shape[1])
+    # residuals and variances on the scale of the variance, as the score needs them
+    return Null(x, y, (y - x @ beta) / s2, np.full(len(y), 1 / s2), False)
+
+
+def scored(null: Null, g: np.ndarray) -> kernels.Scored:
+    """Scores and products from the projected matrix."""
+    v = np.sqrt(null.variance)[:, None]
+    xv, z = null.x * v, g * v
+    z = (z - xv @ np.linalg.lstsq(xv, z, rcond=None)[0]) / math.sqrt(2)
+    return kernels.Scored(g.T @ null.residual, z.T @ z, (g * null.variance[:, None]).T @ g)
+
+
+def allelic_series(null: Null, g: np.ndarray, category: np.ndarray, by: tuple[float, ...] = (1.0, 2.0, 3.0)) -> float | None:
+    """The combination of six burden tests and the mixture test."""
+    keep = np.isin(category, (1, 2, 3)) & (g.sum(0) > 0)
+    g, category = g[:, keep], category[keep]
+    counts = np.column_stack([g @ (category == k).astype(float) for k in (1, 2, 3)])
+    ps, scale = [], np.array(by)
+    for n in (counts, (counts > 0).astype(float)):
+        ps += [added_terms(null.x, m, null.y, null.binary) for m in (n, (n * scale).sum(1, keepdims=True), (n * scale).max(1, keepdims=True))]
+    aaf = np.clip(g.sum(0) / (2 * len(g)), 1e-8, 1 - 1e-8)
+    ps.append(kernels.skat_o(scored(null, g).weighted(np.sqrt(scale[category - 1] / (aaf * (1 - aaf)))))[0])
+    return kernels.cauchy(ps, [1.0] * 6 + [6.0])

@@ -1,9 +1,12 @@
 import math
 
+import dense
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from helicase.functions import dist, kernels, quadform, regress
+from helicase.functions import dist, kernels, quadform
+from helicase.operators import association, genetests
 
 
 def test_distribution_identities():
@@ -38,11 +41,11 @@ def test_quadratic_forms():
 
 def test_regression_recovers_known_fits():
     x = np.column_stack([np.ones(6), np.arange(6.0)])
-    beta, se, rss = regress.ols(x, 2 + 3 * np.arange(6.0) + np.array([0.1, -0.1, 0.0, 0.0, 0.1, -0.1]))
+    beta, se, rss = dense.ols(x, 2 + 3 * np.arange(6.0) + np.array([0.1, -0.1, 0.0, 0.0, 0.1, -0.1]))
     assert beta[1] == pytest.approx(3, abs=0.05)
     group = np.array([0] * 10 + [1] * 10)
     y = np.array([1] * 3 + [0] * 7 + [1] * 6 + [0] * 4, float)
-    b, se, done = regress.logistic(np.column_stack([np.ones(20), group]), y)
+    b, se, done = dense.logistic(np.column_stack([np.ones(20), group]), y)
     assert done
     assert b[1] == pytest.approx(math.log((6 / 4) / (3 / 7)), abs=1e-6)
     assert se[1] == pytest.approx(math.sqrt(1 / 6 + 1 / 4 + 1 / 3 + 1 / 7), abs=1e-6)
@@ -51,7 +54,7 @@ def test_regression_recovers_known_fits():
 def test_firth_is_finite_under_separation():
     x = np.column_stack([np.ones(8), [0, 0, 0, 0, 1, 1, 1, 1]])
     y = np.array([0, 0, 0, 0, 1, 1, 1, 1], float)
-    beta, _, done = regress.firth(x, y)
+    beta, _, done = dense.firth(x, y)
     # adding one half to each cell of a two by two table is what the penalty does there
     assert done
     assert beta[1] == pytest.approx(2 * math.log(9), abs=1e-3)
@@ -61,13 +64,13 @@ def test_kernel_tests_agree_where_they_must():
     rng = np.random.default_rng(3)
     y = (rng.random(120) < 0.5).astype(float)
     g = rng.binomial(2, 0.2, (120, 5)).astype(float)
-    null = kernels.fit_null(y)
-    one = kernels.skat_o(null, g[:, :1], np.ones(1))[0]
-    assert one == pytest.approx(kernels.burden_score(null, g[:, :1], np.ones(1)))
-    p, rho = kernels.skat_o(null, g, np.ones(5))
+    null = dense.fit_null(y)
+    one = kernels.skat_o(dense.scored(null, g[:, :1]))[0]
+    assert one == pytest.approx(kernels.summed(dense.scored(null, g[:, :1])))
+    p, rho = kernels.skat_o(dense.scored(null, g))
     assert 0 < p <= 1
     assert 0 <= rho <= 1
-    assert math.isnan(kernels.skat(null, g[:, :1], np.ones(1))[0])
+    assert math.isnan(kernels.skat(dense.scored(null, g[:, :1]))[0])
 
 
 def test_skat_is_calibrated():
@@ -75,7 +78,7 @@ def test_skat_is_calibrated():
     ps = []
     for _ in range(150):
         y = (rng.random(150) < 0.5).astype(float)
-        ps.append(kernels.skat(kernels.fit_null(y), rng.binomial(2, 0.1, (150, 6)).astype(float), np.ones(6))[0])
+        ps.append(kernels.skat(dense.scored(dense.fit_null(y), rng.binomial(2, 0.1, (150, 6)).astype(float)))[0])
     assert 0.4 < np.mean(ps) < 0.6
     assert np.mean(np.array(ps) < 0.05) < 0.12
 
@@ -94,24 +97,40 @@ def gene(seed, n, k):
     return g, rng.integers(0, 2, n).astype(float)
 
 
-def test_published_values():
+def long(spark, g, y, category=None, masked=()):
+    """Calls and cohort of a dense matrix, one gene."""
+    rows = [("g", int(v), f"s{i:04d}", float(g[i, v]), 1.0, int(category[v]) if category is not None else 0, i in masked) for i, v in zip(*np.nonzero(g), strict=True)]
+    calls = spark.createDataFrame(rows, "gene string, variant_id bigint, sample_id string, dosage double, weight double, category int, masked boolean")
+    return calls, spark.createDataFrame([(f"s{i:04d}", float(v)) for i, v in enumerate(y)], "sample_id string, y double")
+
+
+def covariate_table(spark, x):
+    return spark.createDataFrame([(f"s{i:04d}", *map(float, r)) for i, r in enumerate(x)], "sample_id string, " + ", ".join(f"c{j} double" for j in range(x.shape[1])))
+
+
+def results(calls, cohort, tests, **more):
+    return {r.test: r for r in association.test_genes(calls, cohort, tests, **more).collect()}
+
+
+def test_published_values(spark):
     g, y = gene(42, 50, 5)
     maf = g.mean(0) / 2
-    null = kernels.fit_null(y)
-    w = 25 * (1 - maf) ** 24
-    assert kernels.collapsed_score(null, g, w) == pytest.approx(0.8166240139405816, rel=1e-4)
-    assert kernels.skat(null, g, w)[0] == pytest.approx(0.5192992314098306, rel=1e-4)
+    calls, who = long(spark, g, y)
+    weights = spark.createDataFrame([(v, float(25 * (1 - maf[v]) ** 24)) for v in range(5)], "variant_id bigint, weight double")
+    found = results(calls.drop("weight").join(weights, "variant_id"), genetests.Cohort.of(who), ["burden", "skat"])
+    assert found["burden"].p_value == pytest.approx(0.8166240139405816, rel=1e-4)
+    assert found["skat"].p_value == pytest.approx(0.5192992314098306, rel=1e-4)
 
 
 def test_mixture_of_tests_falls_back():
     """Without numbers from inversion the matching chi-squared decides, and comes near."""
     g, y = gene(7, 120, 6)
-    null = kernels.fit_null(y)
-    exact = kernels.skat_o(null, g, np.ones(6))[0]
+    s = dense.scored(dense.fit_null(y), g)
+    exact = kernels.skat_o(s)[0]
     saved = quadform.p_values
     quadform.p_values = lambda q, lam: np.full(len(q), np.nan)
     try:
-        matched = kernels.skat_o(null, g, np.ones(6))[0]
+        matched = kernels.skat_o(s)[0]
     finally:
         quadform.p_values = saved
     assert matched == pytest.approx(exact, rel=0.1)
@@ -119,43 +138,95 @@ def test_mixture_of_tests_falls_back():
     assert flat.along(0.5) == 0.0
 
 
-def test_allelic_series_tells_its_status():
+@pytest.mark.parametrize("binary", [True, False])
+@pytest.mark.parametrize("local", [20_000, 0])
+def test_aggregates_equal_whole_matrices(spark, monkeypatch, binary, local):
+    """Scores, products, regressions and the allelic series of a gene with covariates and masked samples, steps taken in one
+    task or as aggregates."""
+    monkeypatch.setattr(genetests, "MOST_LOCAL", local)
+    rng = np.random.default_rng(11)
+    n, p, masked = 90, 6, {3, 17}
+    g = (rng.random((n, p)) < 0.2) * rng.integers(1, 3, (n, p)).astype(float)
+    g[list(masked), 0] = 1.0
+    x = np.column_stack([rng.standard_normal(n).round(2), rng.integers(0, 2, n)])
+    y = (rng.random(n) < 0.4).astype(float) if binary else rng.standard_normal(n) + x[:, 0]
+    category = np.array([1, 1, 2, 2, 3, 3])
+    calls, who = long(spark, g, y, category, masked)
+    cohort = genetests.Cohort.of(who, [("covariates", covariate_table(spark, x))], binary)
+    name = "logistic_burden" if binary else "linear_burden"
+    found = results(calls, cohort, [name, "skat", "skato", "acat_v", "burden", "coast"])
+    keep = np.array([i not in masked for i in range(n)])
+    null, rest = dense.fit_null(y[keep], x[keep], binary), g[keep]
+    s = dense.scored(null, rest)
+    b = rest.sum(1)
+    full = np.column_stack([null.x, b])
+    beta, se = (dense.logistic if binary else dense.ols)(full, y[keep])[:2]
+    assert found[name].effect == pytest.approx(beta[-1], rel=1e-6)
+    assert found[name].se == pytest.approx(se[-1], rel=1e-6)
+    assert found["skat"].p_value == pytest.approx(kernels.skat(s)[0], rel=1e-5)
+    assert found["skato"].p_value == pytest.approx(kernels.skat_o(s)[0], rel=1e-5)
+    assert found["acat_v"].p_value == pytest.approx(kernels.per_variant(s, np.ones(p), rest.sum(0) / (2 * keep.sum())), rel=1e-6)
+    assert found["coast"].p_value == pytest.approx(dense.allelic_series(null, rest, category), rel=1e-5)
+    assert found["coast"].status == "complete"
+
+
+@pytest.mark.parametrize("local", [20_000, 0])
+def test_penalised_steps_equal_the_whole_fit(spark, monkeypatch, local):
+    """Separated carriers with a covariate: estimate and error of the penalised fit."""
+    monkeypatch.setattr(genetests, "MOST_LOCAL", local)
+    rng = np.random.default_rng(3)
+    n = 60
+    x, y = rng.standard_normal((n, 1)).round(2), (rng.random(n) < 0.5).astype(float)
+    g = np.zeros((n, 2))
+    g[np.flatnonzero(y == 1)[:4], 0] = 1.0
+    g[np.flatnonzero(y == 1)[3:7], 1] = 2.0
+    calls, who = long(spark, g, y)
+    found = results(calls, genetests.Cohort.of(who, [("covariates", covariate_table(spark, x))]), ["logistic_burden"])["logistic_burden"]
+    beta, se, done = dense.firth(np.column_stack([np.ones(n), x, g.sum(1)]), y)
+    assert done
+    assert found.warnings == "ZERO_CARRIERS_ONE_GROUP;QUASI_SEPARATION;FIRTH"
+    assert found.effect == pytest.approx(beta[-1], abs=1e-4)
+    assert found.se == pytest.approx(se[-1], abs=1e-4)
+
+
+def test_kernel_sums_of_a_gene_are_dealt_by_sample(spark):
+    """A gene with all calls is summed in many tasks: the exchange is by gene and sample, then by pair."""
+    g, y = gene(5, 200, 4)
+    calls, who = long(spark, g, y)
+    cohort = genetests.Cohort.of(who)
+    carried = genetests.carriers(calls)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table would be one task
+    try:
+        assert max(r["count"] for r in carried.groupBy(F.spark_partition_id()).count().collect()) < 120
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    nulls = spark.createDataFrame([(None, [0.0], [50.0], 1.0, 0)], "gene string, beta array<double>, info array<double>, variance double, n_masked int")
+    sums = {(r.a, r.b): r for r in genetests.kernel_sums(carried, cohort, nulls).collect()}
+    assert sums[0, 2].plain == pytest.approx(float(g[:, 0] @ g[:, 2]))
+    assert sums[1, 1].score == pytest.approx(float(g[:, 1] @ (y - 0.5)))
+    assert sum(r.carriers for r in sums.values()) == int((g.sum(1) > 0).sum())
+
+
+def test_allelic_series_tells_its_status(spark):
     g, y = gene(100, 100, 9)
-    null = kernels.fit_null(y)
     category = np.array([1, 1, 1, 2, 2, 2, 3, 3, 3])
-    found = kernels.allelic_series(null, g, category)
-    assert (found["status"], found["reason"]) == ("complete", "")
-    assert found["p"] > 0.01
-    assert kernels.allelic_series(null, g, np.where(category == 2, 0, category))["reason"] == "MISSING_DMV"
-    assert kernels.allelic_series(null, g, np.zeros(9, int)) == {"p": None, "status": "skipped", "reason": "ALL_CATEGORIES_EMPTY"}
+
+    def series(g, y, category, **more):
+        calls, who = long(spark, g, y, category)
+        return results(calls, genetests.Cohort.of(who), ["coast"], **more)["coast"]
+
+    found = series(g, y, category)
+    assert (found.status, found.warnings) == ("complete", "")
+    assert found.p_value > 0.01
+    partial = series(g, y, np.where(category == 2, 0, category))
+    assert (partial.status, partial.warnings) == ("partial", "MISSING_DMV")
+    none = series(g, y, np.zeros(9, int))
+    assert (none.p_value, none.status, none.warnings) == (None, "skipped", "ALL_CATEGORIES_EMPTY")
     rng = np.random.default_rng(42)
     g = rng.choice([0, 1, 2], size=(100, 9), p=[0.6, 0.3, 0.1]).astype(float)
     y = rng.integers(0, 2, 100).astype(float)
     for j in (6, 7, 8):
         g[y == 1, j] = np.minimum(g[y == 1, j] + rng.binomial(1, 0.5, int(y.sum())), 2)
-    strong = kernels.allelic_series(kernels.fit_null(y), g, category)
-    assert strong["p"] < 0.01
-    assert all(0 < v <= 1 for k, v in strong.items() if k not in ("status", "reason"))
-
-
-def test_sums_over_blocks_equal_whole_matrices():
-    """Scores and covariances from blocks of carriers are those of the dense, projected matrix, with covariates too."""
-    rng = np.random.default_rng(11)
-    n, p = 300, 12
-    g = (rng.random((n, p)) < 0.1) * rng.integers(1, 3, (n, p)).astype(float)
-    y, x = (rng.random(n) < 0.4).astype(float), rng.standard_normal((n, 2))
-    for null in (kernels.fit_null(y, x), kernels.fit_null(x[:, 0] + y, x[:, 1:], False)):
-        v = np.sqrt(null.variance)[:, None]
-        xv, z = null.x * v, g * v
-        z = (z - xv @ np.linalg.lstsq(xv, z, rcond=None)[0]) / math.sqrt(2)
-        cells = kernels.Genotypes.of(g)
-        found = kernels.Scored.of(null, cells)
-        assert np.allclose(found.gram, z.T @ z, atol=1e-8)
-        assert np.allclose(found.score, g.T @ null.residual)
-        assert [len(w) for w, _ in cells.blocks(7)][:-1] == [7] * (len(np.unique(cells.row)) // 7 - (len(np.unique(cells.row)) % 7 == 0))
-        assert sum(d.sum() for _, d in cells.blocks(7)) == g.sum()
-    assert np.allclose(cells.carried(np.arange(p) + 1.0), g @ (np.arange(p) + 1.0))
-    assert np.allclose(cells.samples(np.arange(0, n, 2)).totals(), g[::2].sum(0))
-    assert np.allclose(cells.variants(np.arange(p) % 3 == 0).totals(), g.sum(0)[::3])
-    twice = kernels.Genotypes.cells(3, 2, np.array([0, 1, 0]), np.array([1, 0, 1]), np.array([1.0, 2.0, 0.0]))
-    assert (twice.row.tolist(), twice.value.tolist()) == ([1], [2.0])
+    strong = series(g, y, category)
+    assert strong.p_value < 0.01
+    assert series(g, y, category, series=(1.0, 1.0, 1.0)).p_value != pytest.approx(strong.p_value, rel=1e-3)
