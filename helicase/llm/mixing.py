@@ -10,9 +10,9 @@ more than MOST_EPOCHS times its own, and what that leaves is shared again by wei
 closed form: with sources by cap per weight, all before some place are capped and the others get level * weight.
 
 A source may hold any share of the rows: rows are grouped by source and key range, prefix sums are window sums inside
-such a group plus the sums of the groups before, which come from a table of sums.  The number of ranges grows with the
-table, so a group holds about RANGE_ROWS rows at most (but rows with one doc_id have one key and so one group; only
-their numbers are in it).  Only doc_id, source, size and key are shuffled.  Sources themselves are few: their table,
+such a group plus the sums of the groups before, which come from a table of sums.  Ranges are steps of the key's
+logarithm, halved until the fullest of all sources has about RANGE_ROWS rows, whatever qualities do to the keys (but rows
+with one doc_id have one key and so one group; only their numbers are in it).  Only doc_id, source, size and key are shuffled.  Sources themselves are few: their table,
 a row each, is ordered in one task.
 
 Defined results: a null text has no words and is never taken.  Rows with one doc_id have one key if their quality is
@@ -31,9 +31,9 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_EPOCHS = 2
 SEED = "mix-1"
-#: Key ranges per source into which its rows are dealt: so many at least, and at most, and one for so many rows.
-RANGES = 256
-MOST_RANGES = 1 << 20
+#: Steps of a doubling of the key at first, how often they are cut at most (doubles tell no more apart), and rows of a range.
+STEPS = 64
+MOST_CUTS = 1 << 36
 RANGE_ROWS = 20_000
 #: Hidden column by which repeated() knows rows.
 ROW = "_mixing_row"
@@ -78,9 +78,9 @@ def mixed(docs: DataFrame, whole: bool = False, seed: str = SEED, keep: tuple[st
     rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), (-F.ln(uniform(F.col("doc_id"), seed)) / quality(F.col("text"))).alias("key"), *keep)
     rows = rows.withColumn("skey", F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), "source")))
     rows = materialised(rows.select("doc_id", "size", "key", "skey", *keep), "mix")
-    ranges = min(MOST_RANGES, max(RANGES, rows.count() // RANGE_ROWS))
-    reach = F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * ranges).cast("int")
-    rows = rows.withColumn("reach", F.least(reach, F.lit(ranges - 1)))
+    scale = F.log2("key") * STEPS
+    full = rows.groupBy("skey", F.floor(scale).alias("step")).count().agg(F.max("count")).first()[0] or 0
+    rows = rows.withColumn("reach", F.floor(scale * F.lit(min(MOST_CUTS, max(1, -(-full // RANGE_ROWS))))))
     sums = rows.groupBy("skey", "reach").agg(F.sum("size").alias("part"))
     aims = targets(sums.groupBy("skey").agg(F.sum("part").alias("source_size")))
     ahead = Window.partitionBy("skey").orderBy("reach").rowsBetween(Window.unboundedPreceding, -1)
