@@ -33,9 +33,12 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helicase.llm.common import shared_dir, sliced
+from helicase.llm.common import materialised, shared_dir, sliced
 
 ARCHIVE_BYTES = 16 << 20
+#: Pages of one payload that may meet in a task, and payloads of more pages that are broadcast (28 bytes each).
+MOST_COPIES = 10_000
+MOST_BROADCAST = 100_000
 FIRST_BYTES = 4096
 #: Headers of a record, and bytes of a gzip member before its first content, are at most this long.
 HEADER_BYTES = 1 << 16
@@ -104,8 +107,19 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Writes pages (page_id, url, html) to folder/archives; the table of files (file, records, bytes)."""
     raw = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("bigint"), "url", raw.alias("html"), F.unhex(F.sha1(raw)).alias("sha"))
-    copies = rows.groupBy("sha").agg(F.count("*").alias("n"), F.min("page_id").alias("first")).where("n > 1")
-    rows = rows.join(copies.select("sha", "first"), "sha", "left")
+    copies = rows.select("page_id", "sha").groupBy("sha").agg(F.count("*").alias("n"), F.min("page_id").alias("first")).where("n > 1")
+    copies = materialised(copies, "copies")
+    often = copies.where(F.col("n") > MOST_COPIES)
+    if n_often := often.count():
+        # payloads of many pages meet their first page where they are, and no other payload when the rest is joined
+        often = often.select("sha", F.col("first").alias("often"))
+        rows = rows.join(F.broadcast(often) if n_often <= MOST_BROADCAST else often, "sha", "left")
+        key = F.when(F.col("often").isNull(), F.col("sha")).otherwise(F.unhex(F.md5(F.col("page_id").cast("string"))))
+        rows = rows.withColumn("sha", key)
+    else:
+        rows = rows.withColumn("often", F.lit(None).cast("bigint"))
+    rare = copies.where(F.col("n") <= MOST_COPIES).select("sha", F.col("first").alias("rare"))
+    rows = rows.join(rare, "sha", "left").withColumn("first", F.coalesce("often", "rare"))
     response = F.col("first").isNull() | F.coalesce(F.col("page_id") == F.col("first"), F.lit(False))
     rows = rows.select("page_id", "url", "html", "first", response.alias("response"))
     spark = pages.sparkSession
