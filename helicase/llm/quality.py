@@ -1,8 +1,8 @@
 """Quality rules: counts of words, lines and repeats, and compression bands.
 
 The base counts words, symbols, repeated lines and words in repeated five-word windows.  Texts that pass it are
-compressed with zstandard, whole and, if longer than a chunk, in fixed chunks of bytes, the last of which takes what is
-left.  A text whose whole ratio (compressed to plain bytes) leaves the band of its length, or of whose bytes more than
+compressed with zstandard, whole and in fixed chunks of bytes, an eighth of the text each but 512 bytes at least and 4096
+at most, the last of which takes what is left.  A text whose whole ratio (compressed to plain bytes) leaves the band of its length, or of whose bytes more than
 CHUNK_SHARE lie in chunks that leave theirs, is rejected: below a band text repeats itself, above it is not text.
 
 Defined results: a null or empty text has no words and fails.  Repeated rows and other columns pass unchanged, but
@@ -23,15 +23,15 @@ from pyspark.sql import types as T
 from helicase.llm.common import by_text
 
 LEVEL = 3
-CHUNK_BYTES = 4096
-CHUNK_SHARE = 0.3
+CHUNK_BYTES = (512, 4096)
+CHUNK_SHARE = 0.25
 #: (from so many bytes, least ratio, largest ratio): the frame's fixed costs weigh more in short texts.  The largest lie
 #: between prose and base64 noise in words; below 128 bytes zstandard stores much of both plainly, so none tells them apart.
 BANDS = (
     (0, 0.40, 1.50), (128, 0.25, 0.98), (144, 0.25, 0.97), (160, 0.25, 0.94), (192, 0.25, 0.89), (224, 0.25, 0.87), (256, 0.20, 0.84), (320, 0.20, 0.82),
     (384, 0.20, 0.79), (512, 0.20, 0.75), (1024, 0.15, 0.70), (4096, 0.12, 0.70), (32768, 0.08, 0.65),
 )
-#: Of full chunks; the last one has the band of its length.
+#: Of chunks of the largest size; others have the band of their length.
 CHUNK_BAND = (0.12, 0.72)
 # The symbols counted.
 SYMBOLS = "#*$%&|<>"
@@ -84,7 +84,7 @@ def band(size: int) -> tuple[float, float]:
 
 
 def _fits(chunk: bytes, by: zstandard.ZstdCompressor) -> bool:
-    lo, hi = CHUNK_BAND if len(chunk) == CHUNK_BYTES else band(len(chunk))
+    lo, hi = CHUNK_BAND if len(chunk) == CHUNK_BYTES[1] else band(len(chunk))
     return lo <= len(by.compress(chunk)) / len(chunk) <= hi
 
 
@@ -94,10 +94,9 @@ def compression(raw: bytes, by: zstandard.ZstdCompressor) -> tuple[float, float,
         return 0.0, 0.0, False
     ratio = len(by.compress(raw)) / len(raw)
     lo, hi = band(len(raw))
-    bad = 0.0
-    if len(raw) > CHUNK_BYTES:
-        chunks = [raw[i : i + CHUNK_BYTES] for i in range(0, len(raw), CHUNK_BYTES)]
-        bad = sum(len(c) for c in chunks if not _fits(c, by)) / len(raw)
+    size = min(CHUNK_BYTES[1], max(CHUNK_BYTES[0], len(raw) // 8))
+    chunks = [raw[i : i + size] for i in range(0, len(raw), size)]
+    bad = sum(len(c) for c in chunks if not _fits(c, by)) / len(raw)
     return ratio, bad, lo <= ratio <= hi and bad <= CHUNK_SHARE
 
 
