@@ -9,7 +9,8 @@ passwords, then the words of a public tokenizer's vocabulary in its order, which
 Defined results: a null or empty text has no spans.  Spans are code points, end exclusive, of the whole match.  Spans
 of the method never overlap those of the patterns or each other: of a value that patterns cover in part, the rest.  Repeated rows and other columns pass unchanged, but
 columns named as a result are replaced.  Texts are scanned and values segmented whole, in time linear in their length:
-segments other than repeats are bounded in length, and one pass from a value's end gives the cost of all its tails.
+segments other than repeats are bounded in length, and one pass from a value's end gives the cost of all its tails.  A
+repeat is of a unit of up to MOST_UNIT characters, taken as often as it stands there or, up to MOST_COPIES times, less often.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ VOCABULARY = "word_bpe_49k.json"
 MOST_WALK = 32
 #: Characters of a repeated unit, at most.
 MOST_UNIT = 16
+#: Copies of a unit up to which fewer of them are tried too.
+MOST_COPIES = 16
 #: Values up to this length are remembered.
 LONGEST_KEPT = 64
 
@@ -119,13 +122,13 @@ def costs(value: str, vocabulary: str | None = None) -> list[float]:
         for pattern, cost in ((DATE, math.log10(365 * 120)), (YEAR, math.log10(120))):
             if m := pattern.match(value, i):
                 least = min(least, cost + rest[m.end()])
-        unit = 0
         for p in range(1, min(MOST_UNIT, n - i - 1) + 1):
             same[p] = same[p] + 1 if value[i] == value[i + p] else 0
-            if not unit and same[p] >= p:
-                unit = p
-        if unit and (copies := 1 + same[unit] // unit) * unit >= 3:
-            least = min(least, _small(value[i : i + unit], vocabulary) + math.log10(copies + 1) + rest[i + copies * unit])
+            if same[p] >= p:
+                unit, most = _small(value[i : i + p], vocabulary), 1 + same[p] // p
+                for copies in (*range(2, min(most, MOST_COPIES + 1)), most):
+                    if copies * p >= 3:
+                        least = min(least, unit + math.log10(copies + 1) + rest[i + copies * p])
         if i + 1 < n:
             walk = min(walk + 1, MOST_WALK - 1) if low[i : i + 2] in NEXT else 0
             now = ord(low[i + 1]) - ord(low[i])
