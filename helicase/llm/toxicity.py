@@ -1,9 +1,9 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words become symbols: insult or threat (with a weight), target, negation, contrast, reporting, or none; a tick follows
-each word.  Six weighted transducers read them: insults and threats emit matches; targets scale a match by whether one
+each word; quotation opens before a word and closes after one, as its marks stand.  Six weighted transducers read them: insults and threats emit matches; targets scale a match by whether one
 stands near it, before or after (then a path awaits it); negations scale every match up to the clause's end or a
-contrast; reporting verbs and quotation marks open reported speech; the last one counts a clause's strongest match
+contrast; reporting verbs open reported speech up to the clause's end, marks up to the closing one, over clauses too; the last one counts a clause's strongest match
 whole and a share of the others.  They are composed once; a clause scores its best path, the sum of its matches times
 their factors.  A text sums its different words, each at its best (repeated lines add nothing), and a logistic curve
 turns sums into scores.
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from helicase.llm.common import by_text, materialised, sliced
 
-#: Labelled rows that the lexicon and the curve are learned from, at most.
+#: Different labelled texts that the lexicon and the curve are learned from, at most.
 MOST_LABELLED = 20_000
 #: Features that a task keeps before it hands counts on.
 MOST_COUNTED = 150_000
@@ -51,7 +51,7 @@ NEGATIONS = ("not", "no", "never", "isn't", "aren't", "don't", "wasn't", "nicht"
 REPORTS = ("said", "says", "say", "wrote", "called", "quoted", "claimed", "sagte", "schrieb", "dit", "écrit", "dijo", "escribió")
 CONTRASTS = ("but", "however", "aber", "sondern", "mais", "pero", "sino")
 
-TICK, INSULT, THREAT, TARGET, NEGATION, REPORT, CONTRAST = range(7)
+TICK, INSULT, THREAT, TARGET, NEGATION, REPORT, CONTRAST, OPEN, CLOSE = range(9)
 FIXED = {w: c for c, ws in ((CONTRAST, CONTRASTS), (REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (THREAT, THREATS)) for w in ws}
 #: How near a target must be (words).
 NEAR = 4
@@ -82,7 +82,10 @@ GRAMMAR: tuple[Transducer, ...] = (
     ({(0, THREAT): [(0, THREAT_WEIGHT)]}, {0}),
     _targets(),
     ({(0, NEGATION): [(1, 1.0)], (1, CONTRAST): [(0, 1.0)], (1, INSULT): [(1, NEGATED)], (1, THREAT): [(1, NEGATED)]}, {0, 1}),
-    ({(0, REPORT): [(1, 1.0)], (1, INSULT): [(1, REPORTED)], (1, THREAT): [(1, REPORTED)]}, {0, 1}),
+    (
+        {(0, REPORT): [(1, 1.0)], (0, OPEN): [(2, 1.0)], (1, OPEN): [(2, 1.0)], (2, CLOSE): [(0, 1.0)]}
+        | {(q, c): [(q, REPORTED)] for q in (1, 2) for c in (INSULT, THREAT)}, {0, 1, 2},
+    ),
     ({(0, c): [(1, 1.0), (0, FURTHER)] for c in (INSULT, THREAT)} | {(1, c): [(1, FURTHER)] for c in (INSULT, THREAT)}, {0, 1}),
 )
 
@@ -93,7 +96,7 @@ def composed(parts: tuple[Transducer, ...]) -> tuple[list[list[list[tuple[int, f
     arcs, states = [], [(0,) * len(parts)]
     for state in states:
         by_symbol = []
-        for symbol in range(CONTRAST + 1):
+        for symbol in range(CLOSE + 1):
             ways: list[tuple[tuple[int, ...], float]] = [((), 1.0)]
             for (own, _), q in zip(parts, state, strict=True):
                 ways = [((*to, q2), f * f2) for to, f in ways for q2, f2 in own.get((q, symbol), [(q, 1.0)])]
@@ -115,6 +118,29 @@ def bare(word: str) -> str:
     return _EDGE.sub("", word.lower())
 
 
+# Marks of quotation; where a mark stands in its word tells whether it opens or closes.
+_MARKS = re.compile('["“”„«»]')
+_BEFORE, _AFTER = re.compile(r"^\W*"), re.compile(r"\W*$")
+
+
+def quoted(words: list[str]) -> tuple[set[int], set[int]]:
+    """Places of the words before which quotation opens and after which it closes; marks without a partner are none."""
+    opens, closes, open_at = set(), set(), -1
+    for i, word in enumerate(words):
+        if not _MARKS.search(word):
+            continue
+        alone = not re.search(r"\w", word)
+        starts = bool(_MARKS.search(_BEFORE.search(word).group())) and (not alone or open_at < 0)
+        ends = bool(_MARKS.search(_AFTER.search(word).group())) and (not alone or open_at >= 0)
+        if starts:
+            open_at = i
+        if ends and open_at >= 0:
+            opens.add(open_at)
+            closes.add(i)
+            open_at = -1
+    return opens, closes
+
+
 def features(word: str) -> list[str]:
     """The word and its beginnings, marked apart."""
     return [f"={word}", *(f"^{word[:n]}" for n in BEGINNINGS if len(word) >= n)]
@@ -155,16 +181,22 @@ class Grammar:
             return 0.0
         best: dict[str, float] = {}
         clause: list[tuple[int, int, float]] = []
+        opens, closes = quoted(words)
+        inside = False
         for i, (word, k) in enumerate(zip(words, known, strict=True)):
+            if i in opens:
+                clause.append((i, OPEN, 0.0))
+                inside = True
             if k is not None:
                 clause.append((i, *k))
-            if '"' in word or "“" in word:
-                clause.append((i, REPORT, 0.0))
+            if i in closes:
+                clause.append((i, CLOSE, 0.0))
+                inside = False
             if word[-1] in ".!?;:" or i + 1 == len(words):
                 for place, weight in self.clause(clause):
                     w = bare(words[place])
                     best[w] = max(best.get(w, 0.0), weight)
-                clause = []
+                clause = [(i + 1, OPEN, 0.0)] if inside else []
         return sum(best.values())
 
     @staticmethod
@@ -274,7 +306,10 @@ def learned(docs: DataFrame, labels: DataFrame) -> Grammar:
     """The grammar from labelled rows outside the held-out fold; labels: doc_id, toxic."""
     usable = labels.where("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(~held_out(F.col("doc_id")))
     sample = usable.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(MOST_LABELLED)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("digest", F.xxhash64("text", "toxic"))
+    chosen = rows.select("doc_id", "toxic", "digest").distinct().orderBy(F.xxhash64("doc_id", "digest"), "doc_id", "digest", "toxic").limit(MOST_LABELLED)
+    # a labelled doc_id may have any number of rows: what is learned from are as many different texts at most
+    rows = rows.join(F.broadcast(chosen), ["doc_id", "toxic", "digest"]).groupBy("doc_id", "toxic", "digest").agg(F.first("text").alias("text")).select("toxic", "text")
     rows = materialised(rows, "labelled")
     sizes = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)

@@ -270,10 +270,11 @@ def test_query_equals_all_paths(spark, tmp_path, monkeypatch):
     for i, text, *_ in rows:
         best = {}
         words = (text or "").split()
+        opens = closes = {i for i, w in enumerate(words) if w == '"loser"'}
         clause = []
         for place, word in enumerate(words):
             k = grammar.symbol(word)
-            clause += ([(place, *k)] if k else []) + ([(place, toxicity.REPORT, 0.0)] if '"' in word else [])
+            clause += ([(place, toxicity.OPEN, 0.0)] if place in opens else []) + ([(place, *k)] if k else []) + ([(place, toxicity.CLOSE, 0.0)] if place in closes else [])
             if word[-1] in ".!?;:" or place + 1 == len(words):
                 if clause:
                     assert sum(w for _, w in toxicity.Grammar.clause(clause)) == pytest.approx(every_path(clause))
@@ -288,6 +289,26 @@ def test_query_equals_all_paths(spark, tmp_path, monkeypatch):
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in held.items()}
 
 
+def test_quotation_ends_where_its_mark_closes():
+    g = toxicity.Grammar({"=idiot": 2.0}, 4.0, -2.5)
+    plain = g.matches("you idiot")
+    for text in ('"Hello there" you idiot', "“Hello there” you idiot", 'a 5" pipe, you idiot', "« Hello » you idiot"):
+        assert g.matches(text) == plain, text
+    for text in ('you "idiot"', "you «idiot»", "„du idiot“", '"you idiot" was the word', '"Go away. you idiot" they answered', 'they answered "you idiot"', '" you idiot "'):
+        assert g.matches(text) == pytest.approx(0.5 * plain), text
+
+
+def test_labelled_rows_are_bounded(spark, monkeypatch):
+    """One labelled doc_id over many rows is learned from as a bounded number of different texts."""
+    monkeypatch.setattr(toxicity, "MOST_LABELLED", 40)
+    kept = []
+    real = toxicity.materialised
+    monkeypatch.setattr(toxicity, "materialised", lambda df, name: kept.append(real(df, name)) or kept[-1])
+    rows = [doc(1, f"you idiot {i % 200}") for i in range(2000)] + [doc(i, "fine words") for i in range(2, 30)]
+    toxicity.learned(documents(spark, rows), spark.createDataFrame([(i, int(i == 1)) for i in range(30)], "doc_id bigint, toxic int"))
+    assert 0 < kept[0].count() <= 40
+
+
 def test_negation_reaches_the_clauses_end():
     g = toxicity.Grammar({"=idiot": 2.0}, 4.0, -2.5)
     plain = g.matches("i will kill you")
