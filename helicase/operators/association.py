@@ -285,9 +285,9 @@ def run_all(
     own = [F.when(F.col(f"{t}_warnings") != "", F.col(f"{t}_warnings")) for t in names]
     wide = wide.withColumn("warnings", F.array_join(F.array_compact(F.array(few, *own, *map(F.lit, cohort_notes))), ";"))
     if gene_weights is not None:
-        wide = weighted(wide, gene_weights, plan.correction, "acat_o_pvalue", "acat_o_qvalue")
+        wide = weighted(wide, gene_weights, plan.correction, "acat_o_pvalue", "acat_o_qvalue", small=True)
     else:
-        wide = (benjamini_hochberg if plan.correction == "fdr" else bonferroni)(wide, "acat_o_pvalue", "acat_o_qvalue")
+        wide = (benjamini_hochberg if plan.correction == "fdr" else bonferroni)(wide, "acat_o_pvalue", "acat_o_qvalue", small=True)
     extra = ["coast_status"] if "coast" in names else []
     extra += ["fdr_weight"] if gene_weights is not None else []
     counts = [F.lit(n_case).cast("bigint").alias("n_cases"), F.lit(n_control).cast("bigint").alias("n_controls")] if plan.binary else [F.lit(cohort.n).cast("bigint").alias("n_samples")]
@@ -364,66 +364,86 @@ def weight_gains(df: DataFrame, level: float = 0.05) -> DataFrame:
     return df.withColumn("change", change).where("change IS NOT NULL")
 
 
-def _gram(samples: int, width: int = 4096):
-    """A function of Arrow batches (entries: list of (sample's place, dosage)): the batches' Gram matrix by rows."""
+#: Directions beside those asked for that components are sought with, and steps at most.
+SPARE, MOST_STEPS = 10, 60
+#: How near a step must come to multiples of the leading directions, as a share of the largest.
+SETTLED = 1e-7
 
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
 
-        total = np.zeros((samples, samples))
+def principal_components(calls: DataFrame, samples: DataFrame, k: int, steps: int = MOST_STEPS) -> DataFrame:
+    """sample_id, pc1..pck of the dosages, centred by variant: the leading components times their singular values.
 
-        def add(lists: pa.Array) -> None:
-            flat = lists.flatten()
-            at, column = flat.field("i").to_numpy(), lists.value_parent_indices().to_numpy()
-            block = np.zeros((samples, len(lists)))
-            np.add.at(block, (at, column), flat.field("v").to_numpy())
-            np.add(total, block @ block.T, out=total)
-
-        for batch in batches:
-            for start in range(0, batch.num_rows, width):
-                add(batch.column(0).slice(start, width))
-        used = np.flatnonzero(total.any(1))
-        for start in range(0, len(used), 256):
-            rows = used[start : start + 256]
-            yield pa.RecordBatch.from_arrays([pa.array(rows.astype(np.int32)), pa.array(list(total[rows]), pa.list_(pa.float64()))], names=["i", "row"])
-
-    return run
-
-
-def _row_sum(table):
-    """One row of the Gram matrix from those of all tasks."""
-    import pyarrow as pa
-
-    total = table.column("row").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1).sum(0)
-    return pa.table({"i": table.column("i").slice(0, 1), "row": pa.array([total], pa.list_(pa.float64()))})
-
-
-def principal_components(calls: DataFrame, samples: DataFrame, k: int) -> DataFrame:
-    """sample_id, pc1..pck from dosages: exact for any number of variants, from the Gram matrix of the samples.
-
-    Memory is samples times samples; a component's sign is such that its largest entry is positive.
+    By block power iteration: some more directions than components are a table of numbers by sample; calls joined with it
+    give numbers by variant, calls joined with these the next directions, which are made orthogonal by their products with
+    each other.  Nothing grows with samples squared; the driver holds products of directions.  A component's sign is such
+    that its largest entry is positive.
     """
-    import numpy as np
-
     spark = calls.sparkSession
-    ids = sorted(r[0] for r in samples.select("sample_id").distinct().collect())
-    n = len(ids)
-    places = spark.createDataFrame(list(zip(ids, range(n), strict=True)), samples.select("sample_id").schema.add("i", "integer"))
-    rows = calls.where("dosage > 0").join(places, "sample_id").groupBy("variant_id", "i").agg(F.sum("dosage").cast("double").alias("v"))
-    packed = rows.groupBy("variant_id").agg(F.collect_list(F.struct("i", "v")).alias("entries")).select("entries")
-    gram = np.zeros((n, n))
-    for r in packed.mapInArrow(_gram(n), "i int, row array<double>").groupBy("i").applyInArrow(_row_sum, "i int, row array<double>").toLocalIterator():
-        gram[r.i] = r.row
-    # rows are centred by variant as PCA does for columns: the components are those of the centred matrix
+    rows = calls.where("dosage > 0").join(samples.select("sample_id").distinct(), "sample_id", "left_semi").groupBy("variant_id", "sample_id").agg(F.sum("dosage").cast("double").alias("v"))
+    rows = materialised(rows, "dosages")
+    people = materialised(samples.select("sample_id").distinct(), "people")
+    n = people.count()
+    wide = max(1, min(n, k + SPARE))
+    means = materialised(rows.groupBy("variant_id").agg((F.sum("v") / n).alias("mean")), "means")
     k = min(k, n, max(1, calls.select("variant_id").distinct().count()))
-    mean = gram.mean(0)
-    values, vectors = np.linalg.eigh(gram - mean[None, :] - mean[:, None] + gram.mean())
-    top = np.argsort(-values, kind="stable")[:k]
-    found = vectors[:, top] * np.sqrt(np.maximum(values[top], 0.0))
-    found *= np.where(found[np.abs(found).argmax(0), np.arange(k)] < 0, -1.0, 1.0)
-    schema = samples.select("sample_id").schema
-    for j in range(k):
-        schema = schema.add(f"pc{j + 1}", "double")
-    out = spark.createDataFrame([(s, *map(float, row)) for s, row in zip(ids, found, strict=True)], schema)
-    return samples.select("sample_id").join(out, "sample_id")
+    # seeded directions: each sample's numbers follow from its name
+    number = lambda j: F.xxhash64("sample_id", F.lit(j)) / F.lit(float(1 << 63))
+    q = _orthogonal(people.select("sample_id", F.array(*(number(j) for j in range(wide))).alias("q")), wide)
+    for _ in range(steps):
+        y = materialised(_through(rows, means, q, wide), "step")
+        both = q.join(y, "sample_id")
+        h, yy = _products(both, "q", "y", wide), _products(y.withColumn("q", F.col("y")), "q", "y", wide)
+        # how far the step leads the leading directions off multiples of themselves
+        values, vectors = np.linalg.eigh(h)
+        lead = np.argsort(-values, kind="stable")[: min(k, wide)]
+        off = np.einsum("ic,ij,jc->c", vectors[:, lead], yy, vectors[:, lead]) - values[lead] ** 2
+        if float(np.sqrt(np.maximum(off, 0)).max(initial=0.0)) <= SETTLED * max(float(values.max()), 1e-300):
+            break
+        q = _orthogonal(y.select("sample_id", F.col("y").alias("q")), wide)
+    best = np.argsort(-values, kind="stable")[:k]
+    turn = vectors[:, best] * np.sqrt(np.maximum(values[best], 0.0))
+    at = lambda c, m: F.lit([float(x) for x in m[:, c]])
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, v: t + v)
+    found = materialised(q.select("sample_id", *(dot(F.col("q"), at(c, turn)).alias(f"pc{c + 1}") for c in range(k))), "components")
+    names = [f"pc{c + 1}" for c in range(k)]
+    ends = found.agg(*(f(F.col(c)).alias(f"{c}_{f.__name__}") for c in names for f in (F.min, F.max))).first() or {}
+    signs = [F.col(c) * (-1.0 if -(ends[f"{c}_min"] or 0.0) > (ends[f"{c}_max"] or 0.0) else 1.0) for c in names]
+    return samples.select("sample_id").join(found.select("sample_id", *(s.alias(c) for s, c in zip(signs, names, strict=True))), "sample_id")
+
+
+def _sums_of(parts: list[Column]) -> list[Column]:
+    return [F.coalesce(F.sum(c), F.lit(0.0)).alias(f"s{i}") for i, c in enumerate(parts)]
+
+
+def _products(rows: DataFrame, left: str, right: str, wide: int) -> np.ndarray:
+    """The products of two columns of arrays, summed over the rows; they are symmetric here, so one half is enough."""
+    pairs = [(i, j) for i in range(wide) for j in range(i, wide)]
+    row = rows.agg(*_sums_of([F.get(left, F.lit(i)) * F.get(right, F.lit(j)) for i, j in pairs])).first()
+    out = np.zeros((wide, wide))
+    for (i, j), x in zip(pairs, row, strict=True):
+        out[i, j] = out[j, i] = x
+    return out
+
+
+def _orthogonal(rows: DataFrame, wide: int) -> DataFrame:
+    """The same span by orthonormal directions; those without length are zero."""
+    rows = materialised(rows, "directions")
+    for _ in range(2):  # once more for what rounding leaves
+        values, vectors = np.linalg.eigh(_products(rows, "q", "q", wide))
+        scale = np.where(values > 1e-20 * max(values.max(), 1e-300), 1 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
+        turn = vectors * scale
+        dot = lambda c, turn=turn: F.aggregate(F.zip_with(F.col("q"), F.lit([float(x) for x in turn[:, c]]), lambda x, y: x * y), F.lit(0.0), lambda t, v: t + v)
+        rows = materialised(rows.select("sample_id", F.array(*(dot(c) for c in range(wide))).alias("q")), "directions")
+    return rows
+
+
+def _through(rows: DataFrame, means: DataFrame, q: DataFrame, wide: int) -> DataFrame:
+    """sample_id, y: the centred dosages times their transpose times the directions."""
+    total = [float(x) for x in q.agg(*_sums_of([F.get("q", F.lit(j)) for j in range(wide)])).first()]
+    by_variant = rows.join(q, "sample_id").groupBy("variant_id").agg(*_sums_of([F.col("v") * F.get("q", F.lit(j)) for j in range(wide)]))
+    b = by_variant.join(means, "variant_id").select("variant_id", "mean", F.array(*(F.col(f"s{j}") - F.col("mean") * total[j] for j in range(wide))).alias("b"))
+    b = materialised(b, "by-variant")
+    shift = [float(x) for x in b.agg(*_sums_of([F.col("mean") * F.get("b", F.lit(j)) for j in range(wide)])).first()]
+    by_sample = rows.join(b, "variant_id").groupBy("sample_id").agg(*_sums_of([F.col("v") * F.get("b", F.lit(j)) for j in range(wide)]))
+    every = q.select("sample_id").join(by_sample, "sample_id", "left")
+    return every.select("sample_id", F.array(*(F.coalesce(F.col(f"s{j}"), F.lit(0.0)) - shift[j] for j in range(wide))).alias("y"))

@@ -193,7 +193,7 @@ def gene_burden(calls: DataFrame, who: DataFrame, mode: str, correction: str = "
     """The burden table: mode "samples" tests carriers, "alleles" allele counts."""
     rows, name = fourfold(calls, who, mode), "carriers" if mode == "samples" else "alleles"
     rows = fisher(rows, "a", "b", "c", "d", "raw_p_value")
-    rows = (benjamini_hochberg if correction == "fdr" else bonferroni)(rows, "raw_p_value", "corrected_p_value")
+    rows = (benjamini_hochberg if correction == "fdr" else bonferroni)(rows, "raw_p_value", "corrected_p_value", small=True)
     ratio, low, high = odds(F.col("a"), F.col("b"), F.col("c"), F.col("d"), interval)
     return rows.select(
         F.col("gene").alias("GENE"), F.col("n_case").cast("bigint").alias("proband_count"), F.col("n_control").cast("bigint").alias("control_count"),

@@ -1,7 +1,8 @@
 """Interval algebra: range joins by bins, merging, intersection, expansion.
 
-A range join needs an equality to be a hash or merge join.  Both sides get bins of BIN bases: an interval stands in
-every bin that it touches, a position or span likewise, and chromosome and bin are joined.
+A range join needs an equality to be a hash or merge join.  Bins form a tree, eight of a level in one of the next; an
+interval stands in the one bin that holds it, and who looks for it looks into one bin of each level.  Where only the
+question is whether anything overlaps, both sides stand in all bins of BIN bases that they touch.
 """
 
 from __future__ import annotations
@@ -21,10 +22,41 @@ def _binned(regions: DataFrame, start: str, end: str, size: int) -> DataFrame:
     return regions.withColumn("_bin", F.explode(F.sequence(first, last)))
 
 
-def at_positions(variants: DataFrame, regions: DataFrame, size: int = BIN) -> DataFrame:
-    """variants (chrom, pos, others) with the name of every region [start, end) that holds the position."""
-    left = variants.withColumns({"_chrom": bare_chrom(F.col("chrom")), "_bin": F.floor(F.col("pos") / size)})
-    right = _binned(regions.select(bare_chrom(F.col("chrom")).alias("_chrom"), F.col("start").alias("_start"), F.col("end").alias("_end"), "name"), "_start", "_end", size)
+#: Bits of the bases of a bin by level: each bin holds eight of the level below, the last level holds any chromosome.
+SHIFTS = (14, 17, 20, 23, 26, 29, 62)
+
+
+def _level(start: Column, end: Column) -> Column:
+    """The level whose one bin holds the interval: the lowest at which its first and last base share a bin."""
+    return F.coalesce(*(F.when(F.shiftright(start, s) == F.shiftright(end - 1, s), F.lit(i)) for i, s in enumerate(SHIFTS)), F.lit(len(SHIFTS) - 1))
+
+
+def _bin(start: Column, level: Column) -> Column:
+    """A bin's number: its level and its place there."""
+    place = F.coalesce(*(F.when(level == i, F.shiftright(start, s)) for i, s in enumerate(SHIFTS)))
+    return place * len(SHIFTS) + level
+
+
+def _above(start: Column, own: Column, strictly: bool) -> Column:
+    """The numbers of the bins that hold the interval's own bin; that bin too, unless strictly."""
+    bins = [F.when((own < i) if strictly else (own <= i), F.shiftright(start, s) * len(SHIFTS) + i) for i, s in enumerate(SHIFTS)]
+    return F.array_compact(F.array(*bins))
+
+
+def indexed(regions: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
+    """regions with _bin, the one bin of a tree that holds each: as many rows as before, however long they are."""
+    return regions.withColumn("_bin", _bin(F.col(start), _level(F.col(start), F.col(end))))
+
+
+def at_positions(variants: DataFrame, regions: DataFrame) -> DataFrame:
+    """variants (chrom, pos, others) with the name of every region [start, end) that holds the position.
+
+    A position looks into one bin of each level that regions have.
+    """
+    right = indexed(regions.where("end > start").select(bare_chrom(F.col("chrom")).alias("_chrom"), F.col("start").alias("_start"), F.col("end").alias("_end"), "name"), "_start", "_end")
+    levels = sorted(r[0] for r in right.select(F.pmod("_bin", F.lit(len(SHIFTS)))).distinct().collect())  # seven at most
+    bins = F.array(*(F.shiftright(F.col("pos").cast("bigint"), SHIFTS[i]) * len(SHIFTS) + i for i in levels)) if levels else F.array().cast("array<bigint>")
+    left = variants.withColumns({"_chrom": bare_chrom(F.col("chrom")), "_bin": F.explode(bins)})
     found = left.join(right, ["_chrom", "_bin"]).where((F.col("pos") >= F.col("_start")) & (F.col("pos") < F.col("_end")))
     return found.drop("_chrom", "_bin", "_start", "_end")
 
@@ -48,14 +80,23 @@ def any_overlap(spans: DataFrame, regions: DataFrame, start: str, end: str, size
 
 #: Bases of a stretch, in which intervals are ordered together.
 STRETCH = 1 << 20
+#: Intervals that are ordered by chromosome at once.
+AT_ONCE = 200_000
 
 
 def merged(regions: DataFrame) -> DataFrame:
     """Overlapping and book-ended intervals of a chromosome as one.
 
-    Intervals are ordered within stretches of their starts; how far those before a stretch reach, and how many islands
-    begin before it, come from tables of one row a stretch, so no task orders a whole chromosome.
+    Up to AT_ONCE intervals are ordered by chromosome.  More of them are ordered within stretches of their starts; how far
+    those before a stretch reach, and how many islands begin before it, come from tables of one row a stretch, so no task
+    orders a whole chromosome.
     """
+    if regions.count() <= AT_ONCE:
+        by = Window.partitionBy("chrom").orderBy("start", "end")
+        apart = F.col("start") > F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+        rows = regions.select("chrom", "start", "end", F.coalesce(apart, F.lit(True)).cast("int").alias("_new"))
+        rows = rows.withColumn("_island", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+        return rows.groupBy("chrom", "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
     rows = regions.select("chrom", "start", "end", F.floor(F.col("start") / STRETCH).alias("_s"))
     earlier = Window.partitionBy("chrom").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     tops = rows.groupBy("chrom", "_s").agg(F.max("end").alias("_top")).select("chrom", "_s", F.max("_top").over(earlier).alias("_before"))
@@ -69,13 +110,17 @@ def merged(regions: DataFrame) -> DataFrame:
     return whole.agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
 
 
-def intersected(a: DataFrame, b: DataFrame, size: int = BIN) -> DataFrame:
-    """chrom, start, end of the overlap of every pair of intervals, one from each side."""
-    left = _binned(a.select("chrom", F.col("start").alias("s1"), F.col("end").alias("e1")), "s1", "e1", size)
-    right = _binned(b.select("chrom", F.col("start").alias("s2"), F.col("end").alias("e2")), "s2", "e2", size)
+def intersected(a: DataFrame, b: DataFrame) -> DataFrame:
+    """chrom, start, end of the overlap of every pair of intervals, one from each side.
+
+    Of two that overlap one's bin holds the other's: each side looks its own bin and those above up in the other's.
+    """
+    left, right = (indexed(x.where("end > start").select("chrom", F.col("start").alias(f"s{i}"), F.col("end").alias(f"e{i}")), f"s{i}", f"e{i}") for i, x in ((1, a), (2, b)))
+    level = F.pmod("_bin", F.lit(len(SHIFTS)))
+    up = left.withColumn("_bin", F.explode(_above(F.col("s1"), level, False))).join(right, ["chrom", "_bin"])
+    down = left.join(right.withColumn("_bin", F.explode(_above(F.col("s2"), level, True))), ["chrom", "_bin"])
     start, end = F.greatest("s1", "s2"), F.least("e1", "e2")
-    found = left.join(right, ["chrom", "_bin"]).where((start < end) & (F.floor(start / size) == F.col("_bin")))
-    return found.select("chrom", start.alias("start"), end.alias("end"))
+    return up.unionByName(down).where(start < end).select("chrom", start.alias("start"), end.alias("end"))
 
 
 def expanded(regions: DataFrame, by: int) -> DataFrame:
