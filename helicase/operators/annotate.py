@@ -41,6 +41,15 @@ def attribute_columns(variants: DataFrame, attributes: DataFrame, fields: list[s
     return variants.join(first, key, "left").withColumns({f: F.element_at("_a", F.lit(f)) for f in fields}).drop("_a")
 
 
+def merged_attributes(tables: list[DataFrame]) -> DataFrame:
+    """gene, attributes of several tables as one: a gene's fields from all of them, of one that is told twice the greatest."""
+    rows = tables[0]
+    for t in tables[1:]:
+        rows = rows.unionByName(t)
+    told = rows.select("gene", F.explode("attributes").alias("k", "v")).groupBy("gene", "k").agg(F.max("v").alias("v"))
+    return told.groupBy("gene").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("attributes"))
+
+
 def custom_annotation(variants: DataFrame, parts: list[DataFrame], key: str = "variant_id") -> DataFrame:
     """variants with Custom_Annotation: all labels, distinct and sorted, joined by semicolons."""
     rows = parts[0]
@@ -89,10 +98,12 @@ def pm5(variants: DataFrame, lookup: DataFrame, key: str = "variant_id") -> Data
     return variants.join(found, key, "left").fillna({"PM5": "", "PM5_evidence_count": 0, "PM5_known_variants": ""})
 
 
-def packed(calls: DataFrame, key: str = "variant_id") -> DataFrame:
-    """key, GT: sample(genotype) of all calls that say something, by sample, joined by semicolons."""
+def packed(calls: DataFrame, key: str = "variant_id", delimiter: str = ":") -> DataFrame:
+    """key, GT: sample(genotype) of all calls that say something, by sample, joined by semicolons; after the genotype what
+    the calls have as extra, each after the delimiter."""
     rows = calls.where(~F.col("gt").isin(*NOT_PACKED))
-    cell = F.struct("sample_id", F.concat("sample_id", F.lit("("), "gt", F.lit(")")).alias("t"))
+    told = F.array_join(F.concat(F.array("gt"), "extra"), delimiter) if "extra" in calls.columns else F.col("gt")
+    cell = F.struct("sample_id", F.concat("sample_id", F.lit("("), told, F.lit(")")).alias("t"))
     return rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(cell)), lambda x: x["t"]), ";").alias("GT"))
 
 
@@ -126,6 +137,17 @@ def genotype_filter(calls: DataFrame, modes: Column, key: str = "variant_id") ->
     return rows.drop("_modes", "_hets")
 
 
+def modes_by_gene(calls: DataFrame, rules: DataFrame, default: list[str]) -> DataFrame:
+    """genotype_filter() by rules (gene, modes): a gene's own modes count in place of the default ones, and a gene without
+    either keeps all its calls."""
+    own = rules.groupBy(F.upper("gene").alias("_rule")).agg(F.array_distinct(F.flatten(F.collect_list("modes"))).alias("_own"))
+    rows = calls.join(own, F.upper("gene") == F.col("_rule"), "left").drop("_rule")
+    every = F.lit([*default]) if default else F.array().cast("array<string>")
+    rows = rows.withColumn("_asked", F.coalesce("_own", every)).drop("_own")
+    free = rows.where(F.size("_asked") == 0).drop("_asked").withColumn("reasons", F.array().cast("array<string>"))
+    return genotype_filter(rows.where(F.size("_asked") > 0), F.col("_asked")).drop("_asked").unionByName(free)
+
+
 def phenotype_text(calls: DataFrame, phenotypes: DataFrame, key: str = "variant_id") -> DataFrame:
     """key, phenotypes: carriers with their sorted terms, sample(term,term), joined by semicolons."""
     rows = calls.where("dosage > 0").join(phenotypes, "sample_id", "left")

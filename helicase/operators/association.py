@@ -378,7 +378,6 @@ def principal_components(calls: DataFrame, samples: DataFrame, k: int, steps: in
     each other.  Nothing grows with samples squared; the driver holds products of directions.  A component's sign is such
     that its largest entry is positive.
     """
-    spark = calls.sparkSession
     rows = calls.where("dosage > 0").join(samples.select("sample_id").distinct(), "sample_id", "left_semi").groupBy("variant_id", "sample_id").agg(F.sum("dosage").cast("double").alias("v"))
     rows = materialised(rows, "dosages")
     people = materialised(samples.select("sample_id").distinct(), "people")

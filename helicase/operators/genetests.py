@@ -19,7 +19,7 @@ import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations_with_replacement
+from itertools import combinations_with_replacement, permutations
 
 import numpy as np
 import pyarrow as pa
@@ -141,8 +141,6 @@ def _upper(m: int, order: int) -> list[tuple[int, ...]]:
 def _folded(values: list[float], m: int, order: int = 2) -> np.ndarray:
     """The symmetric array whose entries at ascending places are given."""
     out = np.empty((m,) * order)
-    from itertools import permutations
-
     for at, v in zip(_upper(m, order), values, strict=True):
         for p in set(permutations(at)):
             out[p] = v

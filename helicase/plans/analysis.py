@@ -46,6 +46,9 @@ class Settings:
     profile_fields: bool = False
     transcripts: str | None = None
     genotype_modes: list[str] = field(default_factory=list)
+    genotype_rules: str | None = None
+    extra_sample_fields: list[str] = field(default_factory=list)
+    extra_sample_delimiter: str = ":"
     pedigree: str | None = None
     inheritance_mode: str = "full"
     phenotypes: str | None = None
@@ -61,6 +64,7 @@ class Settings:
     annotate_gene_lists: list[str] = field(default_factory=list)
     gene_json: list[str] = field(default_factory=list)
     gene_json_mapping: str | None = None
+    gene_json_columns: bool = False
     pm5_lookup: str | None = None
     scoring_model: str | None = None
     statistics: str | None = None
@@ -70,6 +74,8 @@ class Settings:
     reads: str | None = None
     pseudonyms: str | None = None
     pseudonym_pattern: str = ""
+    pseudonym_category: str = "cohort"
+    pseudonym_pedigree: bool = False
     links: dict[str, str] = field(default_factory=dict)
     work: str | None = None
     restart: str | None = None
@@ -118,6 +124,7 @@ class Result:
     association: DataFrame | None = None
     tables: dict[str, DataFrame] = field(default_factory=dict)
     pseudonyms: DataFrame | None = None
+    pedigree: DataFrame | None = None
     jobs: DataFrame | None = None
     steps: Steps | None = None
 
@@ -197,7 +204,7 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
     wanted = text.with_fields(" ".join(s.fields), PROFILE_FIELDS[s.profile] if s.profile_fields else []).split()
     if absent := vcf.missing_fields(header, wanted):
         log.warning("fields that the header does not name: %s", ", ".join(absent))
-    steps = Steps(spark, s.work or shared_dir(spark, "steps"), {k: v for k, v in asdict(s).items() if k in ("vcf", "genes", "gene_regions", "gene_coordinates", "capture_regions", "expand", "prefilter", "presets", "filter", "profile", "pair", "late_filter")} | {"known": presets}, restart=s.restart)
+    steps = Steps(spark, s.work or shared_dir(spark, "steps"), {k: v for k, v in asdict(s).items() if k in ("vcf", "genes", "gene_regions", "gene_coordinates", "capture_regions", "expand", "prefilter", "presets", "filter", "profile", "pair", "late_filter", "extra_sample_fields")} | {"known": presets}, restart=s.restart)
 
     def filtered() -> DataFrame:
         records = vcf.parsed(raw)
@@ -213,9 +220,14 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
     base = steps.step("records", filtered)
     if (s.presets or s.filter) and s.late_filter:
         base = base.where(compile_filter(composed(s.presets, s.filter, s.profile, presets, s.pair), schema))
-    calls = steps.step("calls", lambda: vcf.calls(base, samples).withColumnRenamed("variant_key", "variant_id"))
-    if s.genotype_modes:
-        calls = annotate.genotype_filter(calls, F.array(*map(F.lit, s.genotype_modes))).drop("reasons")
+    calls = steps.step("calls", lambda: vcf.calls(base, samples, extra=s.extra_sample_fields).withColumnRenamed("variant_key", "variant_id"))
+    if absent := [n for n in s.extra_sample_fields if header.where((F.col("source") == "FORMAT") & (F.col("id") == n)).isEmpty()]:
+        raise ValueError(f"no sample fields {', '.join(absent)} in the header")
+    if s.genotype_modes or s.genotype_rules:
+        if s.genotype_rules:
+            calls = annotate.modes_by_gene(calls, tables.read_genotype_rules(spark, s.genotype_rules), s.genotype_modes).drop("reasons")
+        else:
+            calls = annotate.genotype_filter(calls, F.array(*map(F.lit, s.genotype_modes))).drop("reasons")
         base = base.join(calls.select("variant_id").distinct(), "variant_id", "left_semi")
     own = ("variant_id", "chrom", "pos", "ref", "alt", "gene")
     # names are case-insensitive: what the fixed columns already hold is not extracted again
@@ -228,10 +240,10 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
         rows = rows.withColumnsRenamed({f"ANN_0__{n}": n for n in ("EFFECT", "IMPACT", "HGVS_P", "HGVS_C", "FEATUREID")})
         if s.transcripts:
             rows = annotate.of_transcripts(rows, [r.value for r in tables.read_lines(spark, s.transcripts).collect()])
-        return rows.join(annotate.packed(calls), "variant_id", "left")
+        return rows.join(annotate.packed(calls, delimiter=s.extra_sample_delimiter), "variant_id", "left")
 
     every = {k: v for k, v in asdict(s).items() if k not in ("work", "restart")}
-    fields_only = {k: every[k] for k in ("fields", "profile_fields", "transcripts", "genotype_modes", "late_filter")}
+    fields_only = {k: every[k] for k in ("fields", "profile_fields", "transcripts", "genotype_modes", "genotype_rules", "extra_sample_delimiter", "late_filter")}
     # every annotation is made from this table by itself and joined to it once, so the plan grows with their number
     plain = steps.step("fields", extract, fields_only)
     people = spark.createDataFrame([(n, i) for i, n in enumerate(samples)], "sample_id string, place int")
@@ -248,8 +260,12 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
         labels = [annotate.region_labels(plain, tables.read_bed(spark, p, labelled=True)) for p in s.annotate_regions]
         labels += [annotate.gene_list_labels(plain, tables.read_gene_list(spark, p)) for p in s.annotate_gene_lists]
         mapping = json.loads(s.gene_json_mapping or "{}")
-        labels += [annotate.attribute_labels(plain, tables.read_gene_json(spark, p, mapping["identifier"], mapping.get("dataFields", []))) for p in s.gene_json]
+        attributes = [tables.read_gene_json(spark, p, mapping["identifier"], mapping.get("dataFields", [])) for p in s.gene_json]
         key = plain.select("variant_id")
+        if s.gene_json_columns and attributes:
+            parts.append(annotate.attribute_columns(plain.select("variant_id", "gene"), annotate.merged_attributes(attributes), mapping.get("dataFields", [])).drop("gene"))
+        else:
+            labels += [annotate.attribute_labels(plain, a) for a in attributes]
         if labels:
             parts.append(annotate.custom_annotation(key, labels))
         if s.pm5_lookup:
@@ -289,13 +305,34 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
     names = None
     if s.pseudonyms:
         ways = {"sequential": identifiers.sequential, "anonymous": identifiers.anonymous, "custom": lambda p: identifiers.custom(p, s.pseudonym_pattern)}
-        if s.pseudonyms not in ways:
-            raise ValueError(f"no pseudonyms {s.pseudonyms}: {', '.join(ways)} are known")
-        names = ways[s.pseudonyms](people)
+        if s.pseudonyms not in (*ways, "categorical"):
+            raise ValueError(f"no pseudonyms {s.pseudonyms}: {', '.join(ways)}, categorical are known")
+        if s.pseudonyms == "categorical":
+            names = identifiers.categorical(_categories(people, s.pseudonym_category, who, terms), "category")
+        else:
+            names = ways[s.pseudonyms](people)
         told = ["GT", "phenotypes", "Inheritance_Details", "Inheritance_Samples", "links"]
         variants = identifiers.pseudonymised_text(variants, [c for c in told if c in variants.columns], names)
         calls = identifiers.pseudonymised_calls(calls, names)
-    return Result(variants, calls, stats, table, tested, made, names, jobs, steps)
+    family = None
+    if s.pseudonym_pedigree:
+        if names is None or not s.pedigree:
+            raise ValueError("a pedigree under pseudonyms needs pseudonyms and a pedigree")
+        family = identifiers.pseudonymised_pedigree(tables.read_ped(spark, s.pedigree), names)
+    return Result(variants, calls, stats, table, tested, made, names, family, jobs, steps)
+
+
+def _categories(people: DataFrame, by: str, who: DataFrame | None, terms: DataFrame | None) -> DataFrame:
+    """sample_id, category: case or control (cohort), or the sample's first term; null where there is none."""
+    if by == "cohort":
+        found = who.select("sample_id", F.when(F.col("is_case"), "case").otherwise("control").alias("category")) if who is not None else None
+    elif by == "term":
+        found = terms.select("sample_id", F.get("terms", F.lit(0)).alias("category")) if terms is not None else None
+    else:
+        raise ValueError(f"no categories by {by}: cohort and term are known")
+    if found is None:
+        raise ValueError(f"nothing tells the samples' {by}")
+    return people.select("sample_id").join(found, "sample_id", "left")
 
 
 def write(found: Result, s: Settings, out: str, formats: list[str]) -> None:
@@ -313,6 +350,8 @@ def write(found: Result, s: Settings, out: str, formats: list[str]) -> None:
         sinks.write_tsv(found.jobs, f"{out}/report_jobs")
     if found.pseudonyms is not None:
         sinks.write_pseudonyms(found.pseudonyms, f"{out}/pseudonyms.tsv", s.pseudonyms, s.pseudonym_pattern)
+    if found.pedigree is not None:
+        sinks.write_tsv(found.pedigree, f"{out}/pedigree")
     told = {"vcf": s.vcf, "filter": s.filter or "", "presets": " ".join(s.presets), "profile": s.profile}
     sinks.write_metadata(spark, out, told)
     shown = found.variants.withColumnsRenamed({"gene": "GENE"})
@@ -353,13 +392,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--formats", nargs="*", default=[], choices=["tsv", "xlsx", "html", "json", "archive"])
     single = (
         "genes", "gene-regions", "gene-coordinates", "capture-regions", "prefilter", "filter", "profile", "final-filter", "transcripts", "pedigree", "inheritance-mode", "phenotypes", "sample-column", "value-column", "trait-column",
-        "case-samples", "control-samples", "remove-from-samples", "gene-json-mapping", "pm5-lookup", "scoring-model", "statistics", "burden-mode", "correction", "reads", "pseudonyms", "pseudonym-pattern", "work", "restart",
+        "case-samples", "control-samples", "remove-from-samples", "gene-json-mapping", "pm5-lookup", "scoring-model", "statistics", "burden-mode", "correction", "reads", "pseudonyms", "pseudonym-pattern", "pseudonym-category", "genotype-rules", "extra-sample-delimiter", "work", "restart",
     )
     for name in single:
         p.add_argument(f"--{name}")
-    for name in ("presets", "case-terms", "control-terms", "annotate-regions", "annotate-gene-lists", "gene-json", "fields", "genotype-modes"):
+    for name in ("presets", "case-terms", "control-terms", "annotate-regions", "annotate-gene-lists", "gene-json", "fields", "genotype-modes", "extra-sample-fields"):
         p.add_argument(f"--{name}", nargs="*")
-    for name in ("late-filter", "profile-fields"):
+    for name in ("late-filter", "profile-fields", "gene-json-columns", "pseudonym-pedigree"):
         p.add_argument(f"--{name}", action="store_true", default=None)
     p.add_argument("--expand", type=int)
     pair = {"tumor-sample-index": ("tumor_idx", int), "normal-sample-index": ("normal_idx", int), "tumor-dp-min": ("tumor_dp_min", int), "normal-dp-min": ("normal_dp_min", int), "tumor-af-min": ("tumor_af_min", float), "normal-af-max": ("normal_af_max", float)}

@@ -146,6 +146,69 @@ def genotype_filter_comphet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("variant_id", "gene", "sample_id", F.array_join("reasons", ",").alias("reason"))
 
 
+@query("""SELECT variant_id, gene, sample_id, CASE WHEN substr(gene, 7, 1) = '1' THEN 'hom' WHEN substr(gene, 7, 1) = '2' THEN '' ELSE 'het' END AS reason FROM calls
+ WHERE CASE WHEN substr(gene, 7, 1) = '1' THEN dosage = 2 WHEN substr(gene, 7, 1) = '2' THEN TRUE ELSE dosage = 1 END""")
+def genotype_filter_by_gene(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genes with rules of their own, and others: two filters side by side, and genes that no rule touches."""
+    calls = a.calls(spark, sf_dir)
+    rules = calls.select("gene").distinct().select("gene", F.when(F.substring("gene", 7, 1) == "1", F.array(F.lit("hom"))).when(F.substring("gene", 7, 1) != "2", F.array(F.lit("het"))).alias("modes"))
+    rows = annotate.modes_by_gene(calls, rules.where("modes IS NOT NULL"), [])
+    return rows.select("variant_id", "gene", "sample_id", F.array_join("reasons", ",").alias("reason"))
+
+
+@query(", n AS (SELECT count(*) FILTER (WHERE is_case) AS n1, count(*) FILTER (WHERE NOT is_case) AS n0 FROM samples), g AS (SELECT gene, count(DISTINCT c.sample_id) FILTER (WHERE is_case)::DOUBLE AS a, count(DISTINCT c.sample_id) FILTER (WHERE NOT is_case)::DOUBLE AS b FROM calls c JOIN samples s ON s.sample_id = c.sample_id GROUP BY gene),"
+ " t AS (SELECT gene, CASE WHEN a = 0 OR b = 0 OR a = n1 OR b = n0 THEN 0.5 ELSE 0 END::DOUBLE AS h, a, b, n1 - a AS c, n0 - b AS d FROM g, n), u AS (SELECT gene, a + h AS a, (a + h) + (b + h) AS r, (a + h) + (c + h) AS k, a + b + c + d + 4 * h AS n, a + b > 0 AND c + d > 0 AS there FROM t),"
+ " r AS (SELECT *, greatest(0, r + k - n) AS l1, a AS h1, a AS l2, least(r, k) AS h2, 0 AS it FROM u UNION ALL SELECT gene, a, r, k, n, there, CASE WHEN f1 > 1.959963984540054 THEN m1 ELSE l1 END, CASE WHEN f1 > 1.959963984540054 THEN h1 ELSE m1 END, CASE WHEN f2 > -1.959963984540054 THEN m2 ELSE l2 END, CASE WHEN f2 > -1.959963984540054 THEN h2 ELSE m2 END, it + 1 FROM ("
+ "SELECT *, (a - m1) * sqrt(1 / m1 + 1 / (r - m1) + 1 / (k - m1) + 1 / (n - r - k + m1)) AS f1, (a - m2) * sqrt(1 / m2 + 1 / (r - m2) + 1 / (k - m2) + 1 / (n - r - k + m2)) AS f2 FROM (SELECT *, (l1 + h1) / 2 AS m1, (l2 + h2) / 2 AS m2 FROM r WHERE it < 60)))"
+ " SELECT gene, CASE WHEN there THEN round((l1 + h1) / 2 * (n - r - k + (l1 + h1) / 2) / ((r - (l1 + h1) / 2) * (k - (l1 + h1) / 2)), 5) END AS lower, CASE WHEN there THEN round((l2 + h2) / 2 * (n - r - k + (l2 + h2) / 2) / ((r - (l2 + h2) / 2) * (k - (l2 + h2) / 2)), 5) END AS upper FROM r WHERE it = 60")
+def score_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odds ratios' intervals from score tests."""
+    rows = burden.fourfold(a.calls(spark, sf_dir), a.cohort(spark, sf_dir), "samples")
+    _, low, high = burden.odds(F.col("a"), F.col("b"), F.col("c"), F.col("d"), burden.Interval("score"))
+    return rows.select("gene", F.round(low, 5).alias("lower"), F.round(high, 5).alias("upper"))
+
+
+KERNEL = """, n AS (SELECT avg(is_case::INT::DOUBLE) AS mu, count(*)::DOUBLE AS n FROM samples), s AS (SELECT sample_id, is_case::INT::DOUBLE - mu AS r, mu * (1 - mu) AS v FROM samples, n),
+ c AS (SELECT gene, variant_id, c.sample_id, dosage::DOUBLE AS d, r, v FROM calls c JOIN s ON s.sample_id = c.sample_id)"""
+
+
+@query(KERNEL + " SELECT x.gene, x.variant_id AS a, y.variant_id AS b, round(sum(x.d * y.d * x.v), 6) AS product, CASE WHEN x.variant_id = y.variant_id THEN round(sum(x.d * x.r), 6) END AS score FROM c x JOIN c y ON x.gene = y.gene AND x.sample_id = y.sample_id AND x.variant_id <= y.variant_id GROUP BY x.gene, x.variant_id, y.variant_id")
+def kernel_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores and products of variants, of every gene and every pair that a sample carries."""
+    carried, cohort = _carried(spark, sf_dir)
+    return genetests.kernel_sums(carried, cohort, _cohort_null(spark, cohort)).select("gene", "a", "b", r6("product", "product"), r6("score", "score"))
+
+
+@query(KERNEL + ", u AS (SELECT gene, variant_id, sum(d * r) AS score FROM c GROUP BY gene, variant_id) SELECT gene, round(sum(score * score) / 2, 6) AS q, count(*)::BIGINT AS n_variants FROM u GROUP BY gene")
+def skat_statistic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SKAT's Q of every gene with weights of one."""
+    carried, cohort = _carried(spark, sf_dir)
+    rows = genetests.kernel_sums(carried, cohort, _cohort_null(spark, cohort)).where("a = b")
+    return rows.groupBy("gene").agg(r6(F.sum(F.col("score") * F.col("score")) / 2, "q"), F.count("*").alias("n_variants"))
+
+
+def _carried(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, genetests.Cohort]:
+    cohort = genetests.Cohort.of(a.cohort(spark, sf_dir).select("sample_id", F.col("is_case").cast("double").alias("y")))
+    rows = a.calls(spark, sf_dir).withColumns({"weight": F.lit(1.0), "category": F.lit(0), "masked": F.lit(False)})
+    return genetests.carriers(rows), cohort
+
+
+def _cohort_null(spark: SparkSession, cohort: genetests.Cohort) -> DataFrame:
+    import math
+
+    share = cohort.n_case / cohort.n
+    return spark.createDataFrame([(None, [math.log(share / (1 - share))], [cohort.n * share * (1 - share)], 1.0, 0)], "gene string, beta array<double>, info array<double>, variance double, n_masked int")
+
+
+@query(", b AS (SELECT gene, sample_id, sum(dosage)::DOUBLE AS b FROM calls GROUP BY gene, sample_id), full_b AS (SELECT g.gene, s.s_acctbal::DOUBLE / 1000 AS y, coalesce(b.b, 0) AS b FROM (SELECT gene FROM calls GROUP BY gene HAVING sum(dosage) >= 5) g CROSS JOIN samples s LEFT JOIN b ON b.gene = g.gene AND b.sample_id = s.sample_id)"
+ " SELECT gene, count(*)::BIGINT AS n_samples, CASE WHEN regr_sxx(y, b) > 0 THEN round(regr_slope(y, b), 5) END AS effect FROM full_b GROUP BY gene")
+def quantitative_trait(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quantitative trait through the engine that a run uses."""
+    who = a.samples(spark, sf_dir).select("sample_id", (F.col("s_acctbal").cast("double") / 1000).alias("value"))
+    plan = association.Plan(binary=False, weights="uniform")
+    return association.run_all(a.calls(spark, sf_dir), who, ["linear_burden"], plan=plan).select("gene", "n_samples", F.round("linear_burden_effect", 5).alias("effect"))
+
+
 # scalars and projections
 
 

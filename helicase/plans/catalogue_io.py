@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helicase.functions import genotype, text
@@ -15,7 +15,7 @@ from helicase.plans import config
 from helicase.plans.catalogue import ORACLE_SQL, PRIORITISED, QUERIES, coast_classify, fam, missing_calls, nation_regions, query, r6
 from helicase.sources import sheets, sinks, tables, vcf
 from helicase.sources.store import located, put_text, shared_dir, text_of
-from helicase.streaming import vcf_folder
+from helicase.streaming import gene_counts, vcf_folder
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -147,6 +147,35 @@ def vcf_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").groupBy("chrom").agg(F.sum("n").alias("n"))
 
 
+def placed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """calls with a place on one chromosome where genes lie one after the other."""
+    calls = a.calls(spark, sf_dir)
+    genes = calls.select("gene").distinct().withColumn("g", F.dense_rank().over(Window.orderBy("gene")))
+    return calls.join(genes, "gene").select("gene", "variant_id", "sample_id", "dosage", (F.col("g") * 10_000 + F.col("variant_id") % 1000).alias("pos"))
+
+
+@query(", best AS (SELECT gene, sample_id, max(dosage) AS d FROM calls GROUP BY gene, sample_id), n AS (SELECT gene, count(DISTINCT variant_id)::BIGINT AS n_variants FROM calls GROUP BY gene) SELECT b.gene, count(*) FILTER (WHERE is_case)::BIGINT AS case_carriers, count(*) FILTER (WHERE NOT is_case)::BIGINT AS control_carriers, coalesce(sum(d) FILTER (WHERE is_case), 0)::BIGINT AS case_alleles, coalesce(sum(d) FILTER (WHERE NOT is_case), 0)::BIGINT AS control_alleles, n_variants FROM best b JOIN samples s ON s.sample_id = b.sample_id JOIN n ON n.gene = b.gene GROUP BY b.gene, n_variants")
+def stream_gene_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Burden counts from files of calls that arrive in the order of their places, genes across files; a second start of the
+    query finds the state of the first, and two calls at the end of the chromosome close what is open."""
+    base, late = shared_dir(spark, "gene-stream"), 1 << 20
+    rows, who = placed_calls(spark, sf_dir), a.cohort(spark, sf_dir)
+    rows.repartitionByRange(4, "pos").sortWithinPartitions("pos").write.parquet(f"{base}/in")
+
+    def run() -> None:
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        counts = gene_counts.gene_counts(stream.withColumn("at", gene_counts.at_place(F.lit(0), F.col("pos"))), who, late)
+        writer = counts.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/at").outputMode("append")
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    end = rows.orderBy("pos").limit(1).select(F.lit("").alias("gene"), "variant_id", "sample_id", "dosage", F.lit(400_000_000).cast("bigint").alias("pos"))
+    for _ in range(2):  # the first moves the watermark, with the second genes are told
+        end.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    run()
+    return spark.read.schema(gene_counts.COUNTS).parquet(f"{base}/out")
+
+
 # side tables
 
 

@@ -93,6 +93,15 @@ def read_gene_json(spark: SparkSession, path: str, identifier: str, data_fields:
     return rows.select(F.upper(F.element_at("o", F.lit(identifier))).alias("gene"), F.map_filter("o", lambda k, v: k.isin(*data_fields) & v.isNotNull()).alias("attributes"))
 
 
+def read_genotype_rules(spark: SparkSession, path: str) -> DataFrame:
+    """gene, modes (het, hom, comp_het; commas between) of the first two columns of a table; other modes raise."""
+    df = read_delimited(spark, path)
+    modes = F.transform(F.split(F.lower(F.col(f"`{df.columns[1]}`")), ","), F.trim)
+    fits = F.forall(modes, lambda m: m.isin("het", "hom", "comp_het"))
+    checked = F.when(fits, modes).otherwise(F.raise_error(F.concat(F.lit("not a genotype mode: "), F.col(f"`{df.columns[1]}`"))))
+    return df.where(f"`{df.columns[0]}` IS NOT NULL AND `{df.columns[1]}` IS NOT NULL").select(F.trim(F.col(f"`{df.columns[0]}`")).alias("gene"), checked.cast("array<string>").alias("modes"))
+
+
 def read_numbers(spark: SparkSession, path: str, key: str, column: str) -> DataFrame:
     """sample_id, value of a table's column of numbers; rows without a number are left out."""
     df = read_delimited(spark, path)

@@ -281,14 +281,19 @@ def fields(records: DataFrame, requested: list[str], samples: list[str], keep: t
     return records.select(*keep, *out)
 
 
-def calls(records: DataFrame, samples: list[str], gene: Column | None = None) -> DataFrame:
-    """The long table variant_key, gene, sample_id, gt, dosage of carriers and missing calls; hom-ref calls have no row."""
+def calls(records: DataFrame, samples: list[str], gene: Column | None = None, extra: list[str] | None = None) -> DataFrame:
+    """The long table variant_key, gene, sample_id, gt, dosage of carriers and missing calls; hom-ref calls have no row.
+
+    extra names further FORMAT fields, whose values stand in the array column extra, . where there is none.
+    """
     place = (F.array_position(F.split("format", ":"), "GT") - 1).cast("int")
     gene = gene if gene is not None else text.ann_subfield(F.element_at("info", F.lit("ANN")), "GENE")
     key = genotype.variant_key(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alt"))
-    rows = records.select(key.alias("variant_key"), gene.alias("gene"), place.alias("place"), F.posexplode("samples").alias("i", "cell"))
-    gt = F.get(F.split("cell", ":"), F.col("place"))
-    rows = rows.select("variant_key", "gene", F.get(F.lit(samples), F.col("i")).alias("sample_id"), gt.alias("gt"))
+    places = F.array(*((F.array_position(F.split("format", ":"), name) - 1).cast("int") for name in extra or []))
+    rows = records.select(key.alias("variant_key"), gene.alias("gene"), place.alias("place"), *([places.alias("places")] if extra else []), F.posexplode("samples").alias("i", "cell"))
+    parts = F.split("cell", ":")
+    more = [F.transform("places", lambda p: F.coalesce(F.get(parts, F.when(p >= 0, p)), F.lit("."))).alias("extra")] if extra else []
+    rows = rows.select("variant_key", "gene", F.get(F.lit(samples), F.col("i")).alias("sample_id"), F.get(parts, F.col("place")).alias("gt"), *more)
     return rows.where(~genotype.is_ref(F.col("gt"))).withColumn("dosage", genotype.association_dosage(F.col("gt")))
 
 

@@ -149,3 +149,44 @@ def test_workbook_cells(spark, tmp_path):
     assert cells[1][:4] == ["1", 'a<b>&"c"', "https://x/1?a=1&b=2", "1.5"]
     assert sheets.link_columns(rows) == ["url"]
     assert sheets.column_letters(27) == "AB"
+
+
+def test_rules_columns_pseudonyms_and_a_quantitative_trait(spark, inputs):
+    i = lambda n: str(inputs / n)
+    (inputs / "rules.tsv").write_text("GENE\tGENOTYPES\nG1\thom\ng2\thet,hom\n")
+    (inputs / "num.csv").write_text("who,term,height\n" + "".join(f"S{k:02},{'case' if k < 14 else 'control'},{150 + 7 * k % 40}\n" for k in range(30)))
+    s = analysis.Settings(
+        vcf=i("a.vcf"), genotype_rules=i("rules.tsv"), genotype_modes=["het"], extra_sample_fields=["DP"], extra_sample_delimiter="|", gene_json=[i("attr.json")], gene_json_mapping='{"identifier": "symbol", "dataFields": ["class"]}', gene_json_columns=True,
+        phenotypes=i("num.csv"), sample_column="who", value_column="term", trait_column="height", case_terms=["case"], control_terms=["control"], pedigree=i("fam.ped"), pseudonyms="categorical", pseudonym_category="cohort", pseudonym_pedigree=True,
+        association={"trait_type": "quantitative", "association_tests": ["linear_burden", "skat"], "skat_method": "SKATO", "variant_weights": "uniform"},
+    )
+    found = analysis.analyse(spark, s)
+    modes = {g: {r.dosage for r in found.calls.where(f"gene = '{g}'").select("dosage").distinct().collect()} for g in ("G1", "G2", "G3")}
+    assert modes == {"G1": {2}, "G2": {1, 2}, "G3": {1}}
+    rows = found.variants.select("gene", "GT", "class").collect()
+    assert {r["class"] for r in rows if r.gene == "G1"} == {"tumour"}
+    assert {r["class"] for r in rows if r.gene != "G1"} == {None}
+    assert all("|30)" in r.GT for r in rows)
+    assert any(r.GT.startswith(("CASE_0", "CONTROL_0")) for r in rows)
+    family = {r.sample_id for r in found.pedigree.collect()}
+    assert family == {f"CASE_{k:03}" for k in range(1, 15)} | {f"CONTROL_{k:03}" for k in range(1, 17)}
+    told = found.association
+    assert {"n_samples", "linear_burden_effect", "skat_o_pvalue", "acat_o_qvalue"} <= set(told.columns)
+    assert {r.n_samples for r in told.collect()} == {30}
+    with pytest.raises(ValueError, match="no sample fields XX"):
+        analysis.analyse(spark, analysis.Settings(vcf=i("a.vcf"), extra_sample_fields=["XX"]))
+
+
+def test_settings_reach_the_plan():
+    told = {
+        "min_cases": 7, "max_case_control_ratio": 3.0, "min_case_carriers": 2, "correction_method": "bonferroni", "gene_burden_mode": "alleles", "confidence_interval_method": "score", "confidence_interval_alpha": 0.1,
+        "continuity_correction": 0.25, "trait_type": "quantitative", "variant_weights": "cadd", "variant_weight_params": {"cadd_cap": 30.0}, "missing_site_threshold": 0.2, "missing_sample_threshold": 0.5, "firth_max_iter": 9,
+        "skat_method": "Burden", "coast_weights": [1.0, 1.5, 4.0],
+    }
+    plan = config.plan(config.association(told))
+    assert (plan.few_cases, plan.most_ratio, plan.least_carriers, plan.correction, plan.burden_mode) == (7, 3.0, 2, "bonferroni", "alleles")
+    assert (plan.interval.method, plan.interval.alpha, plan.interval.continuity) == ("score", 0.1, 0.25)
+    assert (plan.binary, plan.weights, plan.weight_params, plan.most_missing_site, plan.most_missing_sample) == (False, "cadd", {"cadd_cap": 30.0}, 0.2, 0.5)
+    assert (plan.firth_steps, plan.skat_method, plan.series) == (9, "Burden", (1.0, 1.5, 4.0))
+    bad = {"coast_weights": [1.0, 2.0], "confidence_interval_alpha": 2.0, "variant_weight_params": {"odd": 1}, "trait_type": "quantitative", "association_tests": ["fisher"]}
+    assert len(config.association_faults(bad)) == 4
