@@ -151,7 +151,7 @@ def placed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """calls with a place on one chromosome where genes lie one after the other."""
     calls = a.calls(spark, sf_dir)
     genes = calls.select("gene").distinct().withColumn("g", F.dense_rank().over(Window.orderBy("gene")))
-    return calls.join(genes, "gene").select("gene", "variant_id", "sample_id", "dosage", (F.col("g") * 10_000 + F.col("variant_id") % 1000).alias("pos"))
+    return calls.join(genes, "gene").select("gene", "variant_id", "sample_id", "dosage", (F.col("g") * 1000 + F.col("variant_id") % 1000).alias("pos"))
 
 
 @query(", best AS (SELECT gene, sample_id, max(dosage) AS d FROM calls GROUP BY gene, sample_id), n AS (SELECT gene, count(DISTINCT variant_id)::BIGINT AS n_variants FROM calls GROUP BY gene) SELECT b.gene, count(*) FILTER (WHERE is_case)::BIGINT AS case_carriers, count(*) FILTER (WHERE NOT is_case)::BIGINT AS control_carriers, coalesce(sum(d) FILTER (WHERE is_case), 0)::BIGINT AS case_alleles, coalesce(sum(d) FILTER (WHERE NOT is_case), 0)::BIGINT AS control_alleles, n_variants FROM best b JOIN samples s ON s.sample_id = b.sample_id JOIN n ON n.gene = b.gene GROUP BY b.gene, n_variants")
