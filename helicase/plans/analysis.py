@@ -207,8 +207,9 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
     steps = Steps(spark, s.work or shared_dir(spark, "steps"), {k: v for k, v in asdict(s).items() if k in ("vcf", "genes", "gene_regions", "gene_coordinates", "capture_regions", "expand", "prefilter", "presets", "filter", "profile", "pair", "late_filter", "extra_sample_fields")} | {"known": presets}, restart=s.restart)
 
     def filtered() -> DataFrame:
-        records = vcf.parsed(raw)
-        if (regions := _regions(spark, s)) is not None:
+        regions = _regions(spark, s)
+        records = vcf.parsed(vcf.region_lines(spark, s.vcf, regions))
+        if regions is not None:
             records = vcf.overlapping(records, regions)
         if s.prefilter:
             records = records.where(compile_filter(s.prefilter, schema))

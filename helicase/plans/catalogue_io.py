@@ -13,7 +13,7 @@ from helicase.operators import annotate, association, burden, genetests, identif
 from helicase.plans import adapter as a
 from helicase.plans import config
 from helicase.plans.catalogue import ORACLE_SQL, PRIORITISED, QUERIES, coast_classify, fam, missing_calls, nation_regions, query, r6
-from helicase.sources import sheets, sinks, tables, vcf
+from helicase.sources import blockvcf, sheets, sinks, tables, vcf
 from helicase.sources.store import located, put_text, shared_dir, text_of
 from helicase.streaming import gene_counts, vcf_folder
 
@@ -79,6 +79,16 @@ def vcf_sorted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vcf.scan_regions(spark, path, nation_regions(spark, sf_dir)).select(F.col("id").cast("bigint").alias("variant_id"), "chrom", "pos")
 
 
+@query(IN_REGIONS)
+def vcf_index_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same regions from block-gzip files with an index, of which only the regions' blocks are opened."""
+    path = shared_dir(spark, "blocks")
+    blockvcf.write_indexed(vcf_lines(spark, sf_dir), HEAD, path)
+    regions = nation_regions(spark, sf_dir)
+    records = vcf.overlapping(vcf.parsed(blockvcf.records_of(spark, path, regions).select("value")), regions)
+    return records.select(F.col("id").cast("bigint").alias("variant_id"), "chrom", "pos")
+
+
 @query("""SELECT variant_id::VARCHAR AS "ID", coalesce(filter, 'NA') AS "FILTER", printf('%.5f', af) AS "AF", coalesce(ac, 'NA') AS "AC", effect AS "ANN_0__EFFECT", replace(gene, ' ', '_') AS "ANN_0__GENE", 'p.Arg' || p_size || 'Trp' AS "ANN_0__HGVS_P", p_size::VARCHAR AS "ANN_0__AA_POS",
  CASE WHEN variant_id % 4 = 0 THEN 'G1' ELSE 'NA' END AS "NMD_0__GENE", ['0/0', '0/1', '1/1', './.'][(variant_id % 4 + 1)::INT] AS "GEN_0__GT", (variant_id % 60)::VARCHAR AS "GEN_1__DP", 'NA' AS "ABSENT" FROM variants""")
 def vcf_fields(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from helicase.functions import genotype, text
 from helicase.functions.text import identifier
 from helicase.operators import intervals
 from helicase.plans.filterlang import Schema, compile_filter
+from helicase.sources import blockvcf
 from helicase.sources.store import located
 
 
@@ -161,9 +162,19 @@ def parsed(raw: DataFrame) -> DataFrame:
     )
 
 
+def region_lines(spark: SparkSession, path: str, regions: DataFrame | None) -> DataFrame:
+    """Lines (column value) among which are all records that touch a region: those alone where an index tells, else all."""
+    if regions is None or not blockvcf.has_index(spark, path):
+        return lines(spark, path)
+    return blockvcf.records_of(spark, path, regions).select("value")
+
+
 def read_vcf(spark: SparkSession, path: str, regions: DataFrame | None = None, where: str | None = None) -> DataFrame:
-    """Records of a VCF, in the given regions and meeting the prefilter, in one plan."""
-    records = parsed(lines(spark, path))
+    """Records of a VCF, in the given regions and meeting the prefilter, in one plan.
+
+    Where there are regions, and an index beside the file, only the blocks of the regions are opened.
+    """
+    records = parsed(region_lines(spark, path, regions))
     if where:
         records = records.where(compile_filter(where, vcf_schema(records)))
     return overlapping(records, regions) if regions is not None else records
