@@ -19,7 +19,7 @@ from helicase.operators import annotate, association, burden, identifiers, inher
 from helicase.plans import config
 from helicase.plans.filterlang import PRESETS, PROFILE_FIELDS, PROFILE_HIDDEN, PROFILES, Schema, compile_filter, composed, profiles
 from helicase.plans.steps import Steps
-from helicase.sources import sheets, sinks, tables, vcf
+from helicase.sources import sheets, sinks, tables, typed, vcf
 from helicase.sources.store import put_text, shared_dir
 
 log = logging.getLogger(__name__)
@@ -198,9 +198,11 @@ def _tested(spark: SparkSession, s: Settings, calls: DataFrame, variants: DataFr
 
 
 def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = None) -> Result:
-    raw = vcf.lines(spark, s.vcf)
+    stored = typed.is_store(spark, s.vcf)
+    raw = typed.header_lines(spark, s.vcf) if stored else vcf.lines(spark, s.vcf)
     samples, header = vcf.sample_names(raw), vcf.header_fields(raw)
-    schema = filter_schema(header)
+    plain_schema = filter_schema(header)
+    schema = typed.stored_schema(plain_schema, header) if stored else plain_schema
     wanted = text.with_fields(" ".join(s.fields), PROFILE_FIELDS[s.profile] if s.profile_fields else []).split()
     if absent := vcf.missing_fields(header, wanted):
         log.warning("fields that the header does not name: %s", ", ".join(absent))
@@ -208,19 +210,24 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
 
     def filtered() -> DataFrame:
         regions = _regions(spark, s)
-        records = vcf.parsed(vcf.region_lines(spark, s.vcf, regions))
-        if regions is not None:
-            records = vcf.overlapping(records, regions)
+        if stored and regions is not None:
+            records = vcf.scan_regions(spark, s.vcf, regions)
+        elif stored:
+            records = typed.read_store(spark, s.vcf)
+        else:
+            records = vcf.parsed(vcf.region_lines(spark, s.vcf, regions))
+            records = vcf.overlapping(records, regions) if regions is not None else records
         if s.prefilter:
             records = records.where(compile_filter(s.prefilter, schema))
         if (s.presets or s.filter) and not s.late_filter:
             records = records.where(compile_filter(composed(s.presets, s.filter, s.profile, presets, s.pair), schema))
+        records = typed.records_of(records) if stored else records
         key = genotype.variant_key(F.col("chrom"), F.col("pos"), F.col("ref"), F.col("alt"))
         return records.withColumns({"variant_id": key, "gene": text.ann_subfield(F.element_at("info", F.lit("ANN")), "GENE")})
 
     base = steps.step("records", filtered)
     if (s.presets or s.filter) and s.late_filter:
-        base = base.where(compile_filter(composed(s.presets, s.filter, s.profile, presets, s.pair), schema))
+        base = base.where(compile_filter(composed(s.presets, s.filter, s.profile, presets, s.pair), plain_schema))
     calls = steps.step("calls", lambda: vcf.calls(base, samples, extra=s.extra_sample_fields).withColumnRenamed("variant_key", "variant_id"))
     if absent := [n for n in s.extra_sample_fields if header.where((F.col("source") == "FORMAT") & (F.col("id") == n)).isEmpty()]:
         raise ValueError(f"no sample fields {', '.join(absent)} in the header")

@@ -13,7 +13,9 @@ from helicase.operators import annotate, association, burden, genetests, identif
 from helicase.plans import adapter as a
 from helicase.plans import config
 from helicase.plans.catalogue import ORACLE_SQL, PRIORITISED, QUERIES, coast_classify, fam, missing_calls, nation_regions, query, r6
-from helicase.sources import blockvcf, sheets, sinks, tables, vcf
+from helicase.plans.analysis import filter_schema
+from helicase.plans.filterlang import compile_filter
+from helicase.sources import blockvcf, sheets, sinks, tables, typed, vcf
 from helicase.sources.store import located, put_text, shared_dir, text_of
 from helicase.streaming import gene_counts, vcf_folder
 
@@ -89,6 +91,22 @@ def vcf_index_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("id").cast("bigint").alias("variant_id"), "chrom", "pos")
 
 
+TYPED_RARE = "((AF[0] < 0.01) | (na AC[0])) & (FILTER = 'PASS' | QUAL >= 20)"
+
+
+@query("""SELECT variant_id, round(af, 5)::DOUBLE AS af, TRY_CAST(ac AS BIGINT) AS ac FROM variants
+ WHERE (printf('%.5f', af)::DOUBLE < 0.01 OR ac IS NULL OR ac IN ('.', '', 'NA')) AND (coalesce(filter = 'PASS', false) OR p_size >= 20)""")
+def typed_rare_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rare records from a store of typed fields, whose statistics answer the filter."""
+    path = shared_dir(spark, "typed")
+    head = spark.createDataFrame([(h,) for h in HEAD], "value string")
+    header = vcf.header_fields(head)
+    typed.write_store(vcf.parsed(vcf_lines(spark, sf_dir)), header, HEAD, path)
+    schema = typed.stored_schema(filter_schema(header), header)
+    rows = typed.read_store(spark, path).where(compile_filter(TYPED_RARE, schema))
+    return rows.select(F.col("id").cast("bigint").alias("variant_id"), F.col("number_AF").alias("af"), F.get("list_AC", F.lit(0)).alias("ac"))
+
+
 @query("""SELECT variant_id::VARCHAR AS "ID", coalesce(filter, 'NA') AS "FILTER", printf('%.5f', af) AS "AF", coalesce(ac, 'NA') AS "AC", effect AS "ANN_0__EFFECT", replace(gene, ' ', '_') AS "ANN_0__GENE", 'p.Arg' || p_size || 'Trp' AS "ANN_0__HGVS_P", p_size::VARCHAR AS "ANN_0__AA_POS",
  CASE WHEN variant_id % 4 = 0 THEN 'G1' ELSE 'NA' END AS "NMD_0__GENE", ['0/0', '0/1', '1/1', './.'][(variant_id % 4 + 1)::INT] AS "GEN_0__GT", (variant_id % 60)::VARCHAR AS "GEN_1__DP", 'NA' AS "ABSENT" FROM variants""")
 def vcf_fields(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ without an index, or with * or ANY, holds if any element does.  A syntax error r
 
 from __future__ import annotations
 
+import operator
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -38,6 +39,11 @@ class Schema:
 
     scalars: dict[str, Column] = field(default_factory=dict)
     arrays: dict[tuple[str, str | None], Column] = field(default_factory=dict)
+    #: Stored columns by the name as an expression has it: as numbers, whether there is a value, as text.  Comparisons with
+    #: them are such as files' statistics can answer.
+    numbers: dict[str, Column] = field(default_factory=dict)
+    presence: dict[str, Column] = field(default_factory=dict)
+    texts: dict[str, Column] = field(default_factory=dict)
 
     def resolve(self, name: str) -> tuple[Column, bool]:
         """The field's Column, and whether it has many values."""
@@ -143,6 +149,9 @@ class Parser:
 CALLS: dict[str, Callable[[Column], Column]] = {"isHom": lambda g: genotype.is_hom_alt(g) | genotype.is_ref(g), "isHet": genotype.is_het, "isRef": genotype.is_ref, "isVariant": genotype.is_variant}
 
 
+COMPARED: dict[str, Callable[[Column, Column], Column]] = {"=": operator.eq, "==": operator.eq, "!=": operator.ne, "<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
+
+
 class Compiler:
     def __init__(self, schema: Schema) -> None:
         self.schema = schema
@@ -168,6 +177,9 @@ class Compiler:
     def compare(self, op: str, left: tuple, right: tuple) -> Column:
         if left[0] in ("number", "text") and right[0] == "field" and op not in ("has", "in", "=~", "!~", "~"):
             left, right, op = right, left, {"<": ">", "<=": ">=", ">": "<", ">=": "<="}.get(op, op)
+        stored = self.schema.numbers if right[0] == "number" else self.schema.texts if right[0] == "text" and op in ("=", "==", "!=") else {}
+        if left[0] == "field" and op in COMPARED and left[1] in stored:
+            return stored[left[1]].isNotNull() & COMPARED[op](stored[left[1]], F.lit(right[1]))
         a, many, _ = self.value(left)
         b, _, kind = self.value(right)
 
@@ -178,7 +190,7 @@ class Compiler:
             if op in ("has", "in"):
                 return F.array_contains(F.split(x.cast("string"), "[&,;|]"), b.cast("string")) | (x.cast("string") == b.cast("string"))
             p, q = (x.try_cast("double"), b.try_cast("double")) if kind == "number" else (x.cast("string"), b.cast("string"))
-            return {"=": p == q, "==": p == q, "!=": p != q, "<": p < q, "<=": p <= q, ">": p > q, ">=": p >= q}[op]
+            return COMPARED[op](p, q)
 
         return F.coalesce(F.exists(a, one) if many else one(a), F.lit(False))
 
@@ -191,6 +203,8 @@ class Compiler:
         if kind == "not":
             return ~self.test(tree[1])
         if kind in ("na", "exists"):
+            if tree[1][0] == "field" and (there := self.schema.presence.get(tree[1][1])) is not None:
+                return there if kind == "exists" else ~there
             c, many, _ = self.value(tree[1])
             return self.present(c, many) if kind == "exists" else ~self.present(c, many)
         if kind == "call":
