@@ -230,3 +230,46 @@ def test_allelic_series_tells_its_status(spark):
     strong = series(g, y, category)
     assert strong.p_value < 0.01
     assert series(g, y, category, series=(1.0, 1.0, 1.0)).p_value != pytest.approx(strong.p_value, rel=1e-3)
+
+
+def mixed_exponentials(q, means):
+    """Tail of a sum of exponentials of different means."""
+    return sum(math.exp(-q / a) * math.prod(a / (a - b) for b in means if b != a) for a in means)
+
+
+@pytest.mark.parametrize("accuracy", [1e-5, 1e-7, 1e-9])
+def test_inversion_keeps_its_bound(accuracy):
+    rnd = np.random.default_rng(1)
+    for size in (2, 3, 5, 8):
+        lam = np.repeat(rnd.uniform(0.2, 4, size), 2)
+        for q in (0.05, 1.0, float(lam.sum()), 4 * float(lam.sum()), 12 * float(lam.sum())):
+            p, bound, fault = quadform.bounded(q, lam, accuracy)
+            assert fault == 0 and bound <= accuracy
+            assert abs(p - mixed_exponentials(q, list(2 * lam[::2]))) <= accuracy, (size, q)
+
+
+def test_inversion_published_values():
+    """Six, three and one times squares of normals: tabulated to four digits; and of equal weights."""
+    for q, below in ((1, 0.0542), (7, 0.4936), (20, 0.8760)):
+        p, bound, fault = quadform.bounded(q, np.array([6.0, 3.0, 1.0]))
+        assert fault == 0 and 1 - p == pytest.approx(below, abs=6e-5)
+    for df in (2, 3, 4, 7, 40):
+        for q in (0.5, df, 3 * df):
+            assert quadform.bounded(2.5 * q, np.full(df, 2.5), 1e-6)[0] == pytest.approx(dist.chi2_sf(q, df), abs=1e-6)
+
+
+def test_inversion_many_values_and_faults():
+    lam = np.array([5.0, 3.0, 1.0, 0.5])
+    qs = np.array([0.3, 9.0, 20.0, 60.0])
+    many, bound, fault = quadform.bounded(qs, lam)
+    assert fault == 0 and many == pytest.approx([quadform.bounded(q, lam)[0] for q in qs], abs=2e-7)
+    assert many == pytest.approx(quadform.imhof(qs, lam), abs=1e-6)
+    # a weight that hardly counts takes more terms than allowed: the value stands with the bound that it has
+    p, bound, fault = quadform.bounded(3.0, np.array([1.0, 1e-7]), 1e-9)
+    assert fault == 1 and 1e-9 < bound and abs(p - dist.chi2_sf(3.0, 1)) <= bound + 1e-6
+    p, bound, fault = quadform.bounded(9.0, lam, limit=8)
+    assert fault == 1 and abs(p - quadform.bounded(9.0, lam)[0]) <= bound
+    for q, weights in ((9.0, []), (math.nan, [1.0, 2.0]), (1.0, [1.0, math.inf]), (0.0, [1.0, 2.0]), (1.0, [1.0, -1.0])):
+        p, bound, fault = quadform.bounded(q, np.array(weights))
+        assert fault == 2 and math.isnan(p)
+    assert quadform.p_value(15.0, lam)[1] == "inversion"
