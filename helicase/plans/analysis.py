@@ -20,7 +20,7 @@ from helicase.plans import config
 from helicase.plans.filterlang import PRESETS, PROFILE_FIELDS, PROFILE_HIDDEN, PROFILES, Schema, compile_filter, composed, profiles
 from helicase.plans.steps import Steps
 from helicase.sources import sheets, sinks, tables, typed, vcf
-from helicase.sources.store import put_text, shared_dir
+from helicase.sources.store import materialised, put_text, shared_dir
 
 log = logging.getLogger(__name__)
 
@@ -79,6 +79,8 @@ class Settings:
     links: dict[str, str] = field(default_factory=dict)
     work: str | None = None
     restart: str | None = None
+    #: Buckets of the steps, which lie by variant; none: spark.sql.shuffle.partitions.
+    buckets: int | None = None
 
 
 def load_settings(path: str) -> tuple[dict[str, str], dict[str, dict[str, str]], dict[str, str]]:
@@ -206,7 +208,7 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
     wanted = text.with_fields(" ".join(s.fields), PROFILE_FIELDS[s.profile] if s.profile_fields else []).split()
     if absent := vcf.missing_fields(header, wanted):
         log.warning("fields that the header does not name: %s", ", ".join(absent))
-    steps = Steps(spark, s.work or shared_dir(spark, "steps"), {k: v for k, v in asdict(s).items() if k in ("vcf", "genes", "gene_regions", "gene_coordinates", "capture_regions", "expand", "prefilter", "presets", "filter", "profile", "pair", "late_filter", "extra_sample_fields")} | {"known": presets}, restart=s.restart)
+    steps = Steps(spark, s.work or shared_dir(spark, "steps"), {k: v for k, v in asdict(s).items() if k in ("vcf", "genes", "gene_regions", "gene_coordinates", "capture_regions", "expand", "prefilter", "presets", "filter", "profile", "pair", "late_filter", "extra_sample_fields")} | {"known": presets}, restart=s.restart, buckets=s.buckets)
 
     def filtered() -> DataFrame:
         regions = _regions(spark, s)
@@ -228,7 +230,7 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
     base = steps.step("records", filtered)
     if (s.presets or s.filter) and s.late_filter:
         base = base.where(compile_filter(composed(s.presets, s.filter, s.profile, presets, s.pair), plain_schema))
-    calls = steps.step("calls", lambda: vcf.calls(base, samples, extra=s.extra_sample_fields).withColumnRenamed("variant_key", "variant_id"))
+    calls = steps.step("calls", lambda: vcf.calls(base, samples, extra=s.extra_sample_fields).withColumnRenamed("variant_key", "variant_id"), key="variant_id")
     if absent := [n for n in s.extra_sample_fields if header.where((F.col("source") == "FORMAT") & (F.col("id") == n)).isEmpty()]:
         raise ValueError(f"no sample fields {', '.join(absent)} in the header")
     if s.genotype_modes or s.genotype_rules:
@@ -253,7 +255,7 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
     every = {k: v for k, v in asdict(s).items() if k not in ("work", "restart")}
     fields_only = {k: every[k] for k in ("fields", "profile_fields", "transcripts", "genotype_modes", "genotype_rules", "extra_sample_delimiter", "late_filter")}
     # every annotation is made from this table by itself and joined to it once, so the plan grows with their number
-    plain = steps.step("fields", extract, fields_only)
+    plain = steps.step("fields", extract, fields_only, key="variant_id")
     people = spark.createDataFrame([(n, i) for i, n in enumerate(samples)], "sample_id string, place int")
     terms = None
     if s.phenotypes:
@@ -282,7 +284,9 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
             parts.append(annotate.pm5(told, tables.read_pm5_lookup(spark, s.pm5_lookup)).select("variant_id", "PM5", "PM5_evidence_count", "PM5_known_variants"))
         if s.pedigree:
             ped = tables.read_ped(spark, s.pedigree).withColumn("affected", F.col("affected_status") == "2")
-            found = inheritance.analysed(calls, plain.select("variant_id", "chrom"), inheritance.family(ped, people), detailed=s.inheritance_mode == "full")
+            # as a table of known size, so that the engine broadcasts it where it is small, and calls stay in their buckets
+            fam = materialised(inheritance.family(ped, people), "family")
+            found = inheritance.analysed(calls, plain.select("variant_id", "chrom"), fam, detailed=s.inheritance_mode == "full")
             parts.append(inheritance.as_columns(found, s.inheritance_mode))
         if terms is not None:
             parts.append(annotate.phenotype_text(calls, terms))
@@ -297,7 +301,7 @@ def analyse(spark: SparkSession, s: Settings, presets: dict[str, str] | None = N
             rows = scoring.apply_scoring(rows, tables.read_scoring_model(s.scoring_model))
         return scoring.final_filter(rows, s.final_filter) if s.final_filter else rows
 
-    variants = steps.step("annotated", annotated, every)
+    variants = steps.step("annotated", annotated, every, key="variant_id")
     variants = identifiers.links(identifiers.variant_ids(variants), s.links)
     stats, made = None, {}
     if s.statistics:
@@ -409,6 +413,7 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("late-filter", "profile-fields", "gene-json-columns", "pseudonym-pedigree"):
         p.add_argument(f"--{name}", action="store_true", default=None)
     p.add_argument("--expand", type=int)
+    p.add_argument("--buckets", type=int)
     pair = {"tumor-sample-index": ("tumor_idx", int), "normal-sample-index": ("normal_idx", int), "tumor-dp-min": ("tumor_dp_min", int), "normal-dp-min": ("normal_dp_min", int), "tumor-af-min": ("tumor_af_min", float), "normal-af-max": ("normal_af_max", float)}
     for name, (key, kind) in pair.items():
         p.add_argument(f"--{name}", type=kind, dest=f"pair_{key}")
