@@ -341,6 +341,9 @@ def report_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT n_name AS sample_id, l_linenumber::VARCHAR AS \"N\", count(*)::BIGINT AS n FROM nation, (SELECT DISTINCT l_linenumber FROM lineitem) GROUP BY ALL", base=False)
 def cohort_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table a sample, all read together; the sample comes from the file's name."""
+    # N and n are two columns: what is made of the result, a file too, needs a session that tells them apart
+    spark = spark.newSession()
+    spark.conf.set("spark.sql.caseSensitive", "true")
     base = shared_dir(spark, "cohort")
     numbers = [r[0] for r in a.table(spark, sf_dir, "lineitem").select("l_linenumber").distinct().orderBy("l_linenumber").collect()]
     for r in a.table(spark, sf_dir, "nation").select("n_name").collect():
