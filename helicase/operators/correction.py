@@ -123,15 +123,16 @@ def cauchy(ps: list[Column], weights: list[float] | None = None) -> Column:
     return F.when(n == 0, ones).when(n == 1, only).otherwise(both)
 
 
-def qq(df: DataFrame, p: str = "p", family: list[str] | None = None, small: bool = False) -> DataFrame:
+def qq(df: DataFrame, p: str = "p", family: list[str] | None = None, small: bool = False, ties: list[str] | None = None) -> DataFrame:
     """df's tests with rank / (n + 1) and both sides on the -log10 scale.
 
-    Equal p-values have following ranks in any order; those of one value, numbers only, are numbered in one task.
+    Equal p-values have following ranks, by the columns ties or, without these, in any order; those of one value, numbers
+    and ties only, are numbered in one task.
     """
-    keys = family or []
+    keys, order = family or [], [p, *(ties or [])]
     rows = df.where(F.col(p).isNotNull())
     if small:
-        rank, n = F.row_number().over(Window.partitionBy(*keys).orderBy(p)), F.count("*").over(Window.partitionBy(*keys))
+        rank, n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)), F.count("*").over(Window.partitionBy(*keys))
         rows = rows.withColumn("expected", rank / (n + 1))
     else:
         own = keys or [_ALL]
@@ -139,6 +140,6 @@ def qq(df: DataFrame, p: str = "p", family: list[str] | None = None, small: bool
         rows = _ranges(rows, p, own)
         counts = _carried(rows.groupBy(*own, "_r").agg(F.count("*").alias("_n")), own, "_n", False)
         rows = rows.join(counts, [*own, "_r"])
-        rank = F.col("_before") + F.row_number().over(Window.partitionBy(*own, "_r").orderBy(p))
+        rank = F.col("_before") + F.row_number().over(Window.partitionBy(*own, "_r").orderBy(*order))
         rows = rows.withColumn("expected", rank / (F.col("_all") + 1)).drop("_r", "_before", "_all", _ALL)
     return rows.withColumns({"expected_log10": -F.log10("expected"), "observed_log10": -F.log10(F.greatest(F.col(p), F.lit(1e-300)))})

@@ -609,7 +609,7 @@ def acat_o(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(TESTS + "SELECT id, round(-log10((row_number() OVER (ORDER BY p, id))::DOUBLE / ((count(*) OVER ()) + 1)), 6) AS expected_log10, round(-log10(p), 6) AS observed_log10 FROM tests")
 def qq_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return correction.qq(part_tests(spark, sf_dir)).select("id", r6("expected_log10", "expected_log10"), r6("observed_log10", "observed_log10"))
+    return correction.qq(part_tests(spark, sf_dir), ties=["id"]).select("id", r6("expected_log10", "expected_log10"), r6("observed_log10", "observed_log10"))
 
 
 #: The normal distribution function above zero, by its series.

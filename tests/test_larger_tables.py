@@ -5,6 +5,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from helicase.operators import correction
+
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -19,3 +21,12 @@ def test_cohort_scan_can_be_written(spark, tmp_path):
     assert back.columns == ["sample_id", "N", "n"]
     assert back.agg(F.sum("n"), F.min("N")).first()[:] == (back.count(), "1")
     assert spark.conf.get("spark.sql.caseSensitive") == "false"
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_equal_p_values_are_ranked_by_ties(spark, small):
+    rows = [(i, 0.5 if i % 3 else 0.25) for i in reversed(range(60))]
+    df = spark.createDataFrame(rows, "id int, p double").repartition(7)
+    found = {r.id: r.expected for r in correction.qq(df, ties=["id"], small=small).collect()}
+    order = sorted(rows, key=lambda r: (r[1], r[0]))
+    assert found == {i: pytest.approx((k + 1) / 61) for k, (i, _) in enumerate(order)}
