@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from helicase.operators import correction
+from helicase.operators import correction, identifiers
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -30,3 +30,14 @@ def test_equal_p_values_are_ranked_by_ties(spark, small):
     found = {r.id: r.expected for r in correction.qq(df, ties=["id"], small=small).collect()}
     order = sorted(rows, key=lambda r: (r[1], r[0]))
     assert found == {i: pytest.approx((k + 1) / 61) for k, (i, _) in enumerate(order)}
+
+
+def test_numbers_of_four_digits_stay_whole(spark):
+    """Pseudonyms and families beyond 999 are not cut to three digits, which would make them equal."""
+    ids = spark.range(1100).select(F.format_string("s%05d", "id").alias("sample_id"), F.lit("a").alias("c"))
+    assert identifiers.categorical(ids, "c").select("pseudonym").distinct().count() == 1100
+    family = ids.select(F.col("sample_id").alias("family_id"), "sample_id", F.lit("0").alias("father_id"), F.lit("0").alias("mother_id"))
+    told = identifiers.pseudonymised_pedigree(family, identifiers.custom(ids, "P{index}"))
+    assert told.select("family_id").distinct().count() == 1100
+    assert told.agg(F.max("family_id")).first()[0] == "FAM999"
+    assert told.where("family_id = 'FAM1100'").count() == 1
