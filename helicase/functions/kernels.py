@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
-from helicase.functions import dist, quadform
+from helicase.functions import dist, quadform, spectra
 
 #: Grid of mixtures between the variance test (0) and the burden test (1).
 RHO = (0.0, 0.01, 0.04, 0.09, 0.25, 0.5, 1.0)
@@ -44,21 +45,136 @@ class Scored:
         """Whether the columns are all multiples of one."""
         return len(self.score) < 2 or np.linalg.matrix_rank(self.cross, hermitian=True) < 2
 
+    def only(self, keep: np.ndarray) -> Scored:
+        """The same of some of the variants."""
+        at = np.ix_(keep, keep)
+        return Scored(self.score[keep], self.gram[at], self.cross[at])
 
-def _lambdas(m: np.ndarray) -> np.ndarray:
-    lam = np.linalg.eigvalsh((m + m.T) / 2)
+    def weights(self) -> np.ndarray:
+        """Those of the variance test's quadratic form."""
+        return _lambdas(self.gram)
+
+    def summed(self) -> tuple[float, float]:
+        """The halved variance of the sum of all scores, and the size of the products that it comes from."""
+        return float(self.gram.sum()), float(np.abs(self.cross).sum())
+
+    def single_variances(self) -> tuple[np.ndarray, np.ndarray]:
+        """The variance of each score, and what it was before the covariates were taken out."""
+        return 2 * np.diag(self.gram), np.diag(self.cross)
+
+    def mixed(self, rho: float) -> np.ndarray:
+        """The weights of a mixture's quadratic form."""
+        # the root of (1 - r) I + r J has one direction of its own
+        p = len(self.score)
+        one = math.sqrt(1 - rho + p * rho) - math.sqrt(1 - rho)
+        root = math.sqrt(1 - rho) * np.eye(p) + one / p * np.ones((p, p))
+        return _lambdas(root @ self.gram @ root)
+
+    def shared(self) -> SharedDirection:
+        return SharedDirection.of(self.gram)
+
+
+@dataclass
+class Linked:
+    """The same as Scored without a matrix of all variants: products of the pairs at, to (once each, the diagonal too) and
+    directions, by variant, whose products with each other are what covariates take out (spectra)."""
+
+    score: np.ndarray
+    at: np.ndarray
+    to: np.ndarray
+    product: np.ndarray
+    directions: np.ndarray
+
+    def weighted(self, w: np.ndarray) -> Linked:
+        return Linked(self.score * w, self.at, self.to, self.product * w[self.at] * w[self.to], self.directions * w[:, None])
+
+    def only(self, keep: np.ndarray) -> Linked:
+        at, to, product = pairs_of(keep, self.at, self.to, self.product)
+        return Linked(self.score[keep], at, to, product, self.directions[keep])
+
+    def dense(self) -> Scored:
+        """As matrices, for tests that ask for them."""
+        cross = np.zeros((len(self.score), len(self.score)))
+        cross[self.at, self.to] = cross[self.to, self.at] = self.product
+        return Scored(self.score, (cross - self.directions @ self.directions.T) / 2, cross)
+
+    @property
+    def gram(self) -> np.ndarray:
+        return self.dense().gram
+
+    @property
+    def cross(self) -> np.ndarray:
+        return self.dense().cross
+
+    @cached_property
+    def _spectra(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Eigenvalues of the products, those of the halved covariance, and the sum of all variants by the latter's vectors."""
+        k = self.directions.shape[1]
+        before, carried = spectra.blocks(len(self.score), self.at, self.to, self.product, np.column_stack([self.directions, np.ones(len(self.score))]))
+        d = before
+        for i in range(k):
+            d, carried = spectra.with_direction(d, carried[:, i], carried, taken=True)
+        return before, d / 2, carried[:, k]
+
+    def single(self) -> bool:
+        size = np.abs(self._spectra[0])
+        return len(size) < 2 or np.count_nonzero(size > size.max() * len(size) * spectra.EPS) < 2
+
+    def weights(self) -> np.ndarray:
+        return _used(self._spectra[1])
+
+    def summed(self) -> tuple[float, float]:
+        twice = np.where(self.at == self.to, 1.0, 2.0)
+        taken = self.directions.sum(0)
+        return (float(twice @ self.product) - float(taken @ taken)) / 2, float(twice @ np.abs(self.product))
+
+    def single_variances(self) -> tuple[np.ndarray, np.ndarray]:
+        own = np.zeros(len(self.score))
+        same = self.at == self.to
+        own[self.at[same]] = self.product[same]
+        return own - (self.directions**2).sum(1), own
+
+    def mixed(self, rho: float) -> np.ndarray:
+        # a root of the covariance on both sides of (1 - r) I + r J has the same weights as a root of that on both sides of it
+        _, lam, on = self._spectra
+        return _used(spectra.with_direction((1 - rho) * lam, math.sqrt(rho) * np.sqrt(np.maximum(lam, 0.0)) * on, np.empty((len(lam), 0)))[0])
+
+    def shared(self) -> SharedDirection:
+        _, lam, on = self._spectra
+        p, ahead = len(lam), lam * on
+        length = float(ahead @ on) / p**2
+        if not length > 1e-14 * float(lam.sum()):
+            return SharedDirection(p, 0.0, 0.0, _used(lam), 0.0)
+        mean = ahead / (p * length)
+        rest, _ = spectra.with_direction(lam, math.sqrt(length) * mean, np.empty((p, 0)), taken=True)
+        loading = float(mean @ mean)
+        return SharedDirection(p, length, loading, _used(rest), max(0.0, 4 * length * (float(mean @ (lam * mean)) - length * loading**2)))
+
+
+def pairs_of(keep: np.ndarray, at: np.ndarray, to: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Pairs whose members are both kept, under the numbers that these then have."""
+    number = np.cumsum(keep) - 1
+    both = keep[at] & keep[to]
+    return number[at[both]], number[to[both]], *(v[both] for v in values)
+
+
+def _used(lam: np.ndarray) -> np.ndarray:
     up = lam[lam >= 0]
     return lam[lam > up.mean() / 1e5] if len(up) else lam[:0]
 
 
-def skat(s: Scored) -> tuple[float, str]:
-    return (math.nan, "rank") if s.single() else quadform.p_value(float((s.score**2).sum()) / 2, _lambdas(s.gram))
+def _lambdas(m: np.ndarray) -> np.ndarray:
+    return _used(np.linalg.eigvalsh((m + m.T) / 2))
+
 
+def skat(s: Scored | Linked) -> tuple[float, str]:
+    return (math.nan, "rank") if s.single() else quadform.p_value(float((s.score**2).sum()) / 2, s.weights())
 
-def summed(s: Scored) -> float:
+
+def summed(s: Scored | Linked) -> float:
     """The score test of the sum of all variants."""
-    var = 2 * float(s.gram.sum())
-    return dist.chi2_sf(float(s.score.sum()) ** 2 / var, 1) if var > 1e-12 * float(np.abs(s.cross).sum()) else math.nan
+    half, size = s.summed()
+    return dist.chi2_sf(float(s.score.sum()) ** 2 / (2 * half), 1) if 2 * half > 1e-12 * size else math.nan
 
 
 def _moments(lam: np.ndarray) -> tuple[float, float, float]:
@@ -73,19 +189,16 @@ def _moments(lam: np.ndarray) -> tuple[float, float, float]:
     return c1, math.sqrt(2 * c2), df
 
 
-def skat_o(s: Scored) -> tuple[float, float]:
+def skat_o(s: Scored | Linked) -> tuple[float, float]:
     """p of the best mixture, corrected for the search, and that mixture."""
     if s.single():
         return summed(s), 1.0
-    score, a, p = s.score, s.gram, len(s.score)
+    score = s.score
     rhos = [min(r, RHO_MOST) for r in RHO]
     ps, shapes = [], []
     for r in rhos:
         q = ((1 - r) * float((score**2).sum()) + r * float(score.sum()) ** 2) / 2
-        # the root of (1 - r) I + r J has one direction of its own
-        one = math.sqrt(1 - r + p * r) - math.sqrt(1 - r)
-        root = math.sqrt(1 - r) * np.eye(p) + one / p * np.ones((p, p))
-        lam = _lambdas(root @ a @ root)
+        lam = s.mixed(r)
         ps.append(quadform.p_value(q, lam)[0])
         shapes.append(_moments(lam))
     least = min(ps)
@@ -93,7 +206,7 @@ def skat_o(s: Scored) -> tuple[float, float]:
         return least, rhos[ps.index(least)]
     # the quantile of each mixture at the least p
     points = np.array([mean + sd * (dist.chi2_isf(least, df) - df) / math.sqrt(2 * df) for mean, sd, df in shapes])
-    pairs = SharedDirection.of(a)
+    pairs = s.shared()
     shares = np.array([1 - r for r in rhos])
     along = np.array([pairs.along(r) for r in rhos])
     beyond = pairs.beyond(lambda u: np.min((points[:, None] - along[:, None] * u) / shares[:, None], axis=0))
@@ -156,8 +269,8 @@ class SharedDirection:
         return max(1 - float((20 * w * below * np.exp(-u / 2) / np.sqrt(2 * math.pi * u)).sum()), 0.0)
 
 
-def per_variant(s: Scored, w: np.ndarray, maf: np.ndarray) -> float | None:
+def per_variant(s: Scored | Linked, w: np.ndarray, maf: np.ndarray) -> float | None:
     """Score tests of single variants, combined with weights w^2 maf (1 - maf)."""
-    var = 2 * np.diag(s.gram)
-    ps = [dist.chi2_sf(float(x) ** 2 / float(v), 1) if v > 1e-12 * c else math.nan for x, v, c in zip(s.score, var, np.diag(s.cross), strict=True)]
+    var, own = s.single_variances()
+    ps = [dist.chi2_sf(float(x) ** 2 / float(v), 1) if v > 1e-12 * c else math.nan for x, v, c in zip(s.score, var, own, strict=True)]
     return cauchy(ps, [max(float(x), 1e-12) for x in w**2 * maf * (1 - maf)])

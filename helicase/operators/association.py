@@ -85,7 +85,7 @@ SKAT_METHODS = {"SKAT": "skat", "Burden": "burden", "SKATO": "skato"}
 def collapsed_score(s: GeneSums) -> float:
     """The score test of the weighted sum of variants with the variance that kernel programs give it alone: covariates are
     not taken out of the sum, and a binary trait counts with variance one, so the test is conservative."""
-    var = float(s.weights @ s.plain @ s.weights) * (1.0 if s.binary else 1 / s.variance)
+    var = s.plain_sum(s.weights) * (1.0 if s.binary else 1 / s.variance)
     return dist.chi2_sf(float(s.weights @ s.scored.score) ** 2 / var, 1) if var > 0 else math.nan
 
 

@@ -473,48 +473,60 @@ def kernel_sums(carried: DataFrame, cohort: Cohort, nulls: DataFrame) -> DataFra
     )
 
 
+#: Variants of a gene up to which its products are matrices; beyond, they stay pairs (kernels.Linked).
+MOST_DENSE = 400
+
+
 @dataclass
 class GeneSums:
-    """What a gene's kernel tests are given: sums by variant, and products of variants with the covariates taken out."""
+    """What a gene's kernel tests are given: sums by variant, and products of pairs of variants that a sample carries (a, b,
+    each once, with the plain product of dosages), from which scored has the covariates taken out."""
 
     n: int
     binary: bool
     carriers: int
     alleles: np.ndarray
-    plain: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+    products: np.ndarray
     variance: float
-    scored: kernels.Scored
+    scored: kernels.Scored | kernels.Linked
     weights: np.ndarray
     categories: np.ndarray
 
+    @property
+    def plain(self) -> np.ndarray:
+        """The products of dosages as a matrix, variants squared."""
+        out = np.zeros((len(self.alleles), len(self.alleles)))
+        out[self.a, self.b] = out[self.b, self.a] = self.products
+        return out
+
+    def plain_sum(self, w: np.ndarray) -> float:
+        """The product with itself of the sum of variants by the given weights."""
+        return float((np.where(self.a == self.b, 1.0, 2.0) * self.products) @ (w[self.a] * w[self.b]))
+
     def variants(self, keep: np.ndarray) -> GeneSums:
-        at = np.ix_(keep, keep)
-        s = kernels.Scored(self.scored.score[keep], self.scored.gram[at], self.scored.cross[at])
-        return GeneSums(self.n, self.binary, self.carriers, self.alleles[keep], self.plain[at], self.variance, s, self.weights[keep], self.categories[keep])
+        a, b, products = kernels.pairs_of(keep, self.a, self.b, self.products)
+        return GeneSums(self.n, self.binary, self.carriers, self.alleles[keep], a, b, products, self.variance, self.scored.only(keep), self.weights[keep], self.categories[keep])
 
 
 def _gene_sums(table: pa.Table, n: int, binary: bool) -> GeneSums:
     a, b = table["a"].to_numpy(), table["b"].to_numpy()
-    product, plain = table["product"].to_numpy(), table["plain"].to_numpy()
     names = np.unique(a)
     at, to = np.searchsorted(names, a), np.searchsorted(names, b)
-    cross, dense = np.zeros((len(names), len(names))), np.zeros((len(names), len(names)))
-    cross[at, to] = cross[to, at] = product
-    dense[at, to] = dense[to, at] = plain
     own = np.flatnonzero(a == b)
     own = own[np.argsort(at[own])]
     score, alleles = table["score"].to_numpy()[own], table["alleles"].to_numpy()[own]
     with_x = np.array(table["with_x"].take(own).to_pylist())
     first = table.slice(0, 1).to_pylist()[0]
-    k = with_x.shape[1]
-    inside = with_x @ _inverse(_folded(first["info"], k)) @ with_x.T
-    s = kernels.Scored(score, (cross - inside) / 2, cross)
+    lam, vectors = np.linalg.eigh(_inverse(_folded(first["info"], with_x.shape[1])))
+    s = kernels.Linked(score, at, to, table["product"].to_numpy(), with_x @ (vectors * np.sqrt(np.maximum(lam, 0.0))))
     masked = int(first["n_masked"])
-    return GeneSums(n - masked, binary, int(table["carriers"].to_numpy().sum()), alleles, dense, first["variance"], s, table["weight"].to_numpy()[own], table["category"].to_numpy()[own])
+    return GeneSums(n - masked, binary, int(table["carriers"].to_numpy().sum()), alleles, at, to, table["plain"].to_numpy(), first["variance"], s.dense() if len(names) <= MOST_DENSE else s, table["weight"].to_numpy()[own], table["category"].to_numpy()[own])
 
 
 def kernel_results(sums: DataFrame, cohort: Cohort, nulls: DataFrame, tests: dict[str, Callable[[GeneSums], dict]]) -> DataFrame:
-    """RESULT of the tests from kernel_sums; a gene's rows, its variants squared at most, are one group."""
+    """RESULT of the tests from kernel_sums; a gene's rows, the pairs of its variants that a sample carries, are one group."""
     whole = nulls.where("gene IS NULL").first()
     own = nulls.where("gene IS NOT NULL").select("gene", F.col("info").alias("_info"), F.col("variance").alias("_s2"), F.col("n_masked").alias("_m"))
     n_own = own.count()

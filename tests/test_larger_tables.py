@@ -1,11 +1,15 @@
 """Results that larger tables bring out: names apart by case, ties, numbers of four digits."""
 
 import os
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from helicase.operators import correction, identifiers
+from helicase.functions import kernels, spectra
+from helicase.operators import association, correction, genetests, identifiers
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -41,3 +45,68 @@ def test_numbers_of_four_digits_stay_whole(spark):
     assert told.select("family_id").distinct().count() == 1100
     assert told.agg(F.max("family_id")).first()[0] == "FAM999"
     assert told.where("family_id = 'FAM1100'").count() == 1
+
+
+@pytest.mark.parametrize("taken", [True, False])
+def test_a_direction_moves_eigenvalues(taken):
+    rng = np.random.default_rng(1)
+    d = np.concatenate([np.repeat([0.0, 1.0, 3.0], 8), rng.random(30), 1 + 1e-9 * rng.random(6)])
+    z, carried = rng.standard_normal(len(d)), rng.standard_normal((len(d), 2))
+    z[::7] = 0.0
+    values, found = spectra.with_direction(d, z, carried, taken)
+    whole = np.diag(d) + (-1 if taken else 1) * np.outer(z, z)
+    assert np.allclose(np.sort(values), np.linalg.eigvalsh(whole), atol=1e-11)
+    assert np.allclose((found.T * values) @ found, carried.T @ whole @ carried, atol=1e-9)
+
+
+@pytest.mark.parametrize("binary", [True, False])
+def test_tests_on_pairs_equal_those_on_matrices(spark, monkeypatch, binary):
+    """Genes of sparse carriers, with a covariate and masked samples: all kernel tests, with and without matrices."""
+    rng = np.random.default_rng(2)
+    n, p = 150, 40
+    g = (rng.random((n, p)) < 0.02) * rng.integers(1, 3, (n, p))
+    rows = [("g", int(v), f"s{i:03d}", float(g[i, v]), float(v % 3 + 1), int(v % 4), i in (4, 9)) for i, v in zip(*np.nonzero(g), strict=True)]
+    rows += [("h", 0, f"s{i:03d}", 1.0, 1.0, 1, False) for i in range(5)]
+    calls = spark.createDataFrame(rows, "gene string, variant_id bigint, sample_id string, dosage double, weight double, category int, masked boolean")
+    people = [(f"s{i:03d}", float(rng.random() < 0.4) if binary else float(rng.normal()), float(round(rng.normal(), 1))) for i in range(n)]
+    table = spark.createDataFrame(people, "sample_id string, y double, c double")
+    cohort = genetests.Cohort.of(table.select("sample_id", "y"), [("covariates", table.select("sample_id", "c"))], binary)
+
+    def found():
+        rows = association.test_genes(calls, cohort, ["skat", "skato", "burden", "acat_v", "coast"]).collect()
+        return {(r.gene, r.test): (r.p_value if r.p_value is not None else np.nan, r.status) for r in rows}
+
+    whole = found()
+    monkeypatch.setattr(genetests, "MOST_DENSE", 0)
+    pairs = found()
+    assert pairs.keys() == whole.keys()
+    for k, (p_value, status) in pairs.items():
+        assert p_value == pytest.approx(whole[k][0], rel=1e-7, nan_ok=True), k
+        assert status == whole[k][1]
+
+
+def test_a_gene_of_many_variants_is_no_matrix():
+    """6,000 variants that meet in twos: one matrix of them alone has 288 MB."""
+    n = 6000
+    a = np.concatenate([np.arange(n), np.arange(0, n, 2)])
+    b = np.concatenate([np.arange(n), np.arange(1, n, 2)])
+    own = a == b
+    rng = np.random.default_rng(4)
+    table = pa.table({
+        "a": a, "b": b, "product": np.where(own, 1.0, 0.3), "plain": np.where(own, 4.0, 1.0), "score": np.where(own, rng.normal(size=len(a)), 0.0), "alleles": np.where(own, 3.0, 0.0),
+        "with_x": [[1.0] for _ in a], "weight": np.ones(len(a)), "category": pa.array(np.ones(len(a), int), pa.int32()), "carriers": np.ones(len(a), int),
+        "info": [[1e4] for _ in a], "n_masked": np.zeros(len(a), int), "variance": np.ones(len(a)),
+    })
+    tracemalloc.start()
+    try:
+        sums = genetests._gene_sums(table, 100_000, True)
+        ps = [association.TESTS[t](sums)["p_value"] for t in ("skat", "skato", "burden", "acat_v")]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert all(0 < p < 1 for p in ps)
+    assert sums.carriers == len(a)
+    assert peak < 150e6
+    few = sums.variants(np.arange(n) < 6)
+    assert np.allclose(few.scored.cross[:2, :2], [[1.0, 0.3], [0.3, 1.0]])
+    assert kernels.skat(few.scored)[0] == pytest.approx(kernels.skat(few.scored.dense())[0])
