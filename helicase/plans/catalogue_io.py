@@ -99,7 +99,7 @@ TYPED_RARE = "((AF[0] < 0.01) | (na AC[0])) & (FILTER = 'PASS' | QUAL >= 20)"
 def typed_rare_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rare records from a store of typed fields, whose statistics answer the filter."""
     path = shared_dir(spark, "typed")
-    head = spark.createDataFrame([(h,) for h in HEAD], "value string")
+    head = spark.range(1).select(F.explode(F.lit(HEAD)).alias("value"))  # rows that no Python worker makes
     header = vcf.header_fields(head)
     typed.write_store(vcf.parsed(vcf_lines(spark, sf_dir)), header, HEAD, path)
     schema = typed.stored_schema(filter_schema(header), header)

@@ -110,3 +110,14 @@ def test_a_gene_of_many_variants_is_no_matrix():
     few = sums.variants(np.arange(n) < 6)
     assert np.allclose(few.scored.cross[:2, :2], [[1.0, 0.3], [0.3, 1.0]])
     assert kernels.skat(few.scored)[0] == pytest.approx(kernels.skat(few.scored.dense())[0])
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_typed_scan_takes_no_rows_from_python(spark, monkeypatch):
+    from helicase.plans.catalogue_io import QUERIES
+
+    def refused(*_, **__):
+        raise AssertionError("rows from Python")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    assert QUERIES["typed_rare_scan"](spark, SF).count() > 0
