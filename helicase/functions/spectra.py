@@ -12,7 +12,11 @@ import numpy as np
 
 EPS = float(np.finfo(float).eps)
 #: Numbers that are held at a time besides a block.
-HELD = 1 << 20
+HELD = 1 << 18
+#: Width from which a block is reduced where it is, so that no matrix is held beside it.
+WIDE = 1024
+#: Reflections that are applied at a time, and the width up to which a tridiagonal matrix is not halved.
+PANEL, NARROW = 32, 64
 
 
 def components(n: int, at: np.ndarray, to: np.ndarray) -> np.ndarray:
@@ -54,12 +58,61 @@ def blocks(n: int, at: np.ndarray, to: np.ndarray, value: np.ndarray, carried: n
             k, i, j = slot[member[at[mine]]], place[at[mine]], place[to[mine]]
             whole[k, i, j] = whole[k, j, i] = value[mine]
             rows = order[first[some][:, None] + np.arange(width)]
+            if width >= WIDE:
+                values[rows[0]], found[rows[0]] = _of_tridiagonal(*_tridiagonal(whole[0], carried[rows[0]]))
+                continue
             lam, vectors = np.linalg.eigh(whole)
             values[rows] = lam
             found[rows] = vectors.transpose(0, 2, 1) @ carried[rows]
     return values, found
 
 
+def _tridiagonal(a: np.ndarray, carried: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Diagonal, what is beside it and the carried columns of the symmetric matrix after reflections that leave no more of it;
+    they are made in its own place."""
+    n, carried = len(a), carried.copy()
+    diagonal, beside = np.empty(n), np.zeros(n - 1)
+    for begin in range(0, n - 2, PANEL):
+        width = min(PANEL, n - 2 - begin)
+        u, w = np.zeros((n - begin, width)), np.zeros((n - begin, width))
+        for j in range(width):
+            k, to = begin + j, j + 1
+            column = a[k:, k] - u[j:, :j] @ w[j, :j] - w[j:, :j] @ u[j, :j]
+            diagonal[k], beside[k] = column[0], column[1]
+            if not column[2:].any():
+                continue
+            beside[k] = -np.copysign(float(np.sqrt(column[1:] @ column[1:])), column[1])
+            v = column[1:]
+            v[0] -= beside[k]
+            v /= float(np.sqrt(v @ v))
+            y = a[k + 1 :, k + 1 :] @ v - u[to:, :j] @ (v @ w[to:, :j]) - w[to:, :j] @ (v @ u[to:, :j])
+            u[to:, j], w[to:, j] = v, 2 * (y - (v @ y) * v)
+            carried[k + 1 :] -= np.outer(2 * v, v @ carried[k + 1 :])
+        for lo in range(width, n - begin, max(1, HELD // n)):
+            hi = min(n - begin, lo + max(1, HELD // n))
+            part = a[begin + lo : begin + hi, begin + width :]
+            part -= u[lo:hi] @ w[width:].T
+            part -= w[lo:hi] @ u[width:].T
+    last = max(0, n - 2)
+    diagonal[last:], beside[last:] = np.diag(a)[last:], np.diag(a, -1)[last:]
+    return diagonal, beside, carried
+
+
+def _of_tridiagonal(diagonal: np.ndarray, beside: np.ndarray, carried: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues and the carried columns by eigenvector: those of two halves, which one direction joins."""
+    n, half = len(diagonal), len(diagonal) // 2
+    if n <= NARROW:
+        lam, vectors = np.linalg.eigh(np.diag(diagonal) + np.diag(beside, 1) + np.diag(beside, -1))
+        return lam, vectors.T @ carried
+    link, halves, joint = beside[half - 1], diagonal.copy(), np.zeros(n)
+    halves[half - 1 : half + 1] -= abs(link)
+    joint[half - 1], joint[half] = np.sqrt(abs(link)), np.copysign(np.sqrt(abs(link)), link)
+    with_joint = np.column_stack([carried, joint])
+    parts = [_of_tridiagonal(halves[:half], beside[: half - 1], with_joint[:half]), _of_tridiagonal(halves[half:], beside[half:], with_joint[half:])]
+    d, found = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return with_direction(d, found[:, -1], found[:, :-1])
+
+
 def _step(f, psi, dpsi, phi, dphi, left, right):
     """The root of two poles and a constant that have the sums' values and slopes."""
     bounded = np.isfinite(right)
@@ -76,8 +129,9 @@ def _moved(d: np.ndarray, z: np.ndarray, carried: np.ndarray) -> tuple[np.ndarra
     n, z2 = len(d), z * z
     values, found = np.empty(n), np.empty(carried.shape)
     gap = np.append(np.diff(d), z2.sum())
-    for begin in range(0, n, max(1, HELD // n)):
-        i = np.arange(begin, min(n, begin + max(1, HELD // n)))
+    nearer, beyond_it, exact = np.empty(n, int), np.empty(n), np.ones(n)
+    chunks = [np.arange(begin, min(n, begin + max(1, HELD // n))) for begin in range(0, n, max(1, HELD // n))]
+    for i in chunks:
         half, last = gap[i] / 2, i == n - 1
         beyond = 1 + (1 / (d[None, :] - d[i][:, None] - half[:, None])) @ z2 < 0
         # a root is told by its distance from the nearer pole
@@ -101,8 +155,15 @@ def _moved(d: np.ndarray, z: np.ndarray, carried: np.ndarray) -> tuple[np.ndarra
             live = live[~settled]
             if not len(live):
                 break
-        vectors = z / (base - mu[:, None])
-        values[i] = d[near] + mu
+        values[i], nearer[i], beyond_it[i] = d[near] + mu, near, mu
+        # the direction whose roots these are exactly (Gu and Eisenstat): its vectors are at right angles however near the roots
+        pole = np.where(i[:, None] < np.arange(n), i[:, None], np.minimum(i + 1, n - 1)[:, None])
+        apart = d[pole] - d[None, :]
+        apart[last] = 1.0
+        exact *= np.prod((mu[:, None] - base) / apart, axis=0)
+    z = np.copysign(np.sqrt(np.maximum(exact, 0.0)), z)
+    for i in chunks:
+        vectors = z / (d[None, :] - d[nearer[i]][:, None] - beyond_it[i][:, None])
         found[i] = (vectors @ carried) / np.sqrt((vectors * vectors).sum(1))[:, None]
     return values, found
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from helicase.functions import kernels, spectra
 from helicase.operators import association, correction, genetests, identifiers
 
+#: Bytes that a block may take besides its matrix.
+HELD_BESIDE = 18e6
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -112,6 +114,43 @@ def test_a_gene_of_many_variants_is_no_matrix():
     assert kernels.skat(few.scored)[0] == pytest.approx(kernels.skat(few.scored.dense())[0])
 
 
+def linked(n, seed=5):
+    """Pairs of n variants in one component, and two columns."""
+    rng = np.random.default_rng(seed)
+    a, b = np.arange(n - 1), np.arange(1, n)
+    more = np.unique(np.sort(rng.integers(0, n, (n // 2, 2)), axis=1), axis=0)
+    more = more[more[:, 1] - more[:, 0] > 1]
+    at, to = np.concatenate([np.arange(n), a, more[:, 0]]), np.concatenate([np.arange(n), b, more[:, 1]])
+    value = np.where(at == to, rng.integers(2, 5, len(at)), rng.integers(1, 3, len(at)) / 4)
+    return at, to, value, np.column_stack([rng.random(n), np.ones(n)])
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 70, 300])
+def test_a_block_is_reduced_in_its_place(monkeypatch, n):
+    """As by eigenvectors: values, and carried columns whose products with powers of the matrix stay to rounding."""
+    monkeypatch.setattr(spectra, "WIDE", 2)
+    at, to, value, carried = linked(n)
+    whole = np.zeros((n, n))
+    whole[at, to] = whole[to, at] = value
+    values, found = spectra.blocks(n, at, to, value, carried)
+    assert np.allclose(np.sort(values), np.linalg.eigvalsh(whole), atol=1e-11)
+    for k in range(4):
+        assert np.allclose((found.T * values**k) @ found, carried.T @ np.linalg.matrix_power(whole, k) @ carried, rtol=1e-11)
+
+
+def test_a_linked_gene_holds_one_matrix():
+    """1,600 variants that carriers link: one matrix of them has 20 MB, and no second one is made."""
+    n = 1600
+    at, to, value, carried = linked(n)
+    tracemalloc.start()
+    try:
+        spectra.blocks(n, at, to, value, carried)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < n * n * 8 + HELD_BESIDE
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_typed_scan_takes_no_rows_from_python(spark, monkeypatch):
     from helicase.plans.catalogue_io import QUERIES
