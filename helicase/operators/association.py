@@ -234,6 +234,10 @@ class Plan:
     firth_steps: int = 100
 
 
+#: Columns of calls that a run reads; they are made once.
+CALLS = ("gene", "variant_id", "sample_id", "dosage", "cadd", "revel", "category")
+
+
 def run_all(
     calls: DataFrame, who: DataFrame, tests: list[str], covariates: DataFrame | None = None, components: DataFrame | None = None, gene_weights: DataFrame | None = None, plan: Plan | None = None,
 ) -> DataFrame:
@@ -257,6 +261,7 @@ def run_all(
     cohort = Cohort.of(trait, [(n, t) for n, t in (("covariates", covariates), ("components", components)) if t is not None], plan.binary)
     n_case, n_control = (cohort.n_case, cohort.n - cohort.n_case) if plan.binary else (None, None)
     cohort_notes = checked(n_case, n_control, plan.least_cases, plan.few_cases, plan.most_ratio) if plan.binary else []
+    calls = materialised(calls.select(*(c for c in CALLS if c in calls.columns)), "calls")  # counts and the exact test read them too
     kept = materialised(observed(calls, cohort.n, plan.most_missing_site, plan.most_missing_sample), "observed")
     rows = imputed(kept, cohort.n, plan.binary)
     scores = [F.col(c) if c in calls.columns else None for c in ("cadd", "revel")]

@@ -160,3 +160,21 @@ def test_typed_scan_takes_no_rows_from_python(spark, monkeypatch):
 
     monkeypatch.setattr(type(spark), "createDataFrame", refused)
     assert QUERIES["typed_rare_scan"](spark, SF).count() > 0
+
+
+def test_a_run_makes_calls_once(spark):
+    """What calls are made from is read once for all tests and counts, not again by each."""
+    n, made = 60, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = [(f"g{v % 2}", v, f"s{(7 * v + 3 * k) % n:02d}", k % 2 + 1, k % 4) for v in range(12) for k in range(5)]
+    schema = "gene string, variant_id bigint, sample_id string, dosage int, category int"
+    calls = spark.createDataFrame(rows, schema).mapInArrow(counted, schema)
+    who = spark.createDataFrame([(f"s{i:02d}", i % 3 == 0) for i in range(n)], "sample_id string, is_case boolean")
+    found = association.run_all(calls, who, ["fisher", "logistic_burden", "skat", "coast"]).collect()
+    assert sorted((r.gene, r.n_variants) for r in found) == [("g0", 6), ("g1", 6)]
+    assert made.value == len(rows)
