@@ -164,7 +164,7 @@ def test_genes(calls: DataFrame, cohort: Cohort, tests: list[str], series: tuple
             told = genetests.carrier_notes(changed, cohort, ["logistic_burden"])
             plain = plain.join(told.where("one_side").select(*genetests.KEY), list(genetests.KEY), "left_anti")
         plain = plain.unionByName(calls.sparkSession.createDataFrame([("", "cohort")], "gene string, test string"))
-        fits = materialised(genetests.fitted(plain, changed, cohort, extra), "fitted")
+        fits = materialised(genetests.fitted(plain, changed, cohort, extra).hint("rebalance"), "fitted")  # a row a fit: few files
         parts += [genetests.logistic_tests(told, changed, cohort, extra, fits, firth_steps)] if "logistic_burden" in tests else []
         by_model = genetests.likelihood_tests(fits, cohort, changed) if "coast" in tests else None
         nulls = genetests.null_models(cohort, changed, fits=fits) if kernel else None
@@ -173,7 +173,7 @@ def test_genes(calls: DataFrame, cohort: Cohort, tests: list[str], series: tuple
         nulls = genetests.null_models(cohort, changed, linear=linear) if kernel else None
     if kernel:
         sums = materialised(genetests.kernel_sums(carried, cohort, nulls), "sums")
-        found = materialised(genetests.kernel_results(sums, cohort, nulls, kernel), "kernels")
+        found = materialised(genetests.kernel_results(sums, cohort, nulls, kernel).hint("rebalance"), "kernels")
         parts.append(found.where("test <> 'coast:mixture'"))
         if "coast" in tests:
             parts.append(_series(found.where("test = 'coast:mixture'"), by_model))

@@ -122,14 +122,21 @@ def changes(carried: DataFrame, cohort: Cohort, predictors: dict[str, list[Colum
     width = max(map(len, predictors.values()), default=0)
     extra = [f"b{i}" for i in range(width)]
     rows = carried.withColumns({f"count{c}": count_of(F.col("has"), c) for c in (1, 2, 3)}).join(_small(cohort.people, cohort.n), "sample_id")
-    padded = lambda columns: [*columns, *[F.lit(0.0)] * (width - len(columns))]
-    tests = [F.struct(F.lit(t).alias("test"), *(c.cast("double").alias(f"b{i}") for i, c in enumerate(padded(columns)))) for t, columns in {"null": [], **predictors}.items()]
-    rows = rows.withColumn("_t", F.explode(F.array(*tests))).select("gene", "_t.*", *cohort.covariates, "y", "masked")
-    carries = reduce(lambda a, b: a | b, [F.col(b) != 0 for b in extra], F.lit(False))
-    rows = rows.where(F.col("masked") | carries)
-    gone = F.struct(F.lit(-1.0).alias("n"), *(F.lit(0.0).alias(b) for b in extra))
-    back = F.struct(F.lit(1.0).alias("n"), *(F.col(b).alias(b) for b in extra))
-    rows = rows.drop("n").withColumn("_c", F.explode(F.when(F.col("masked"), F.array(gone)).otherwise(F.array(gone, back)))).select("gene", "test", *cohort.covariates, "y", "_c.*")
+    named = {t: [f"_{i}_{j}" for j in range(len(columns))] for i, (t, columns) in enumerate(predictors.items())}
+    kept = ["gene", "masked", "y", *cohort.covariates]
+    rows = rows.select(*kept, *(c.cast("double").alias(name) for t, columns in predictors.items() for name, c in zip(named[t], columns, strict=True)))
+    carried_any = lambda names: reduce(lambda a, b: a | b, [F.col(b) != 0 for b in names], F.lit(False))
+    every = [name for names in named.values() for name in names]
+    rows = rows.where(F.col("masked") | carried_any(every))
+    if len(predictors) > 1:  # a row goes to every test, so equal ones are counted first
+        rows = rows.groupBy(*kept, *every).agg(F.count("*").cast("double").alias("_times"))
+    else:
+        rows = rows.withColumn("_times", F.lit(1.0))
+    tests = [F.struct(F.lit(t).alias("test"), *((F.col(names[i]) if i < len(names) else F.lit(0.0)).alias(b) for i, b in enumerate(extra))) for t, names in {"null": [], **named}.items()]
+    rows = rows.withColumn("_t", F.explode(F.array(*tests))).select(*kept, "_times", "_t.*").where(F.col("masked") | carried_any(extra))
+    gone = F.struct((-F.col("_times")).alias("n"), *(F.lit(0.0).alias(b) for b in extra))
+    back = F.struct(F.col("_times").alias("n"), *(F.col(b).alias(b) for b in extra))
+    rows = rows.withColumn("_c", F.explode(F.when(F.col("masked"), F.array(gone)).otherwise(F.array(gone, back)))).select("gene", "test", *cohort.covariates, "y", "_c.*")
     y, n = F.col("y"), F.col("n")
     return rows.groupBy("gene", "test", *cohort.covariates, *extra).agg(F.sum(n).alias("n"), F.sum(n * y).alias("ny"), F.sum(n * y * y).alias("nyy"))
 

@@ -59,17 +59,23 @@ def pedigree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def all_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """variant_id, gene, sample_id, dosage, gt of every part and supplier that met, hom-ref ones too."""
-    q = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.max("l_quantity").alias("q"))
+def _called(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """variant_id, gene, sample_id, dosage, gt of every part and supplier that met in those line items."""
+    q = lines.groupBy("l_partkey", "l_suppkey").agg(F.max("l_quantity").alias("q"))
     d = F.when(F.col("q") > HOM, 2).when(F.col("q") > HET, 1).otherwise(0)
     gene = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.concat_ws(":", "p_brand", "p_type").alias("gene"))
     rows = q.join(gene, "l_partkey").select(F.col("l_partkey").alias("variant_id"), "gene", sample_id(F.col("l_suppkey")).alias("sample_id"), d.alias("dosage"))
     return rows.withColumn("gt", F.get(F.lit(["0/0", "0/1", "1/1"]), F.col("dosage")))
 
 
+def all_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """variant_id, gene, sample_id, dosage, gt of every part and supplier that met, hom-ref ones too."""
+    return _called(spark, sf_dir, table(spark, sf_dir, "lineitem"))
+
+
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return all_calls(spark, sf_dir).where("dosage > 0")
+    """all_calls without hom-ref ones: line items whose quantity makes no call change no other's largest, so they are not grouped."""
+    return _called(spark, sf_dir, table(spark, sf_dir, "lineitem").where(F.col("l_quantity") > HET))
 
 
 #: The same mapping for DuckDB, to be followed by further common table expressions or a SELECT.

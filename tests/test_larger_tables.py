@@ -178,3 +178,48 @@ def test_a_run_makes_calls_once(spark):
     found = association.run_all(calls, who, ["fisher", "logistic_burden", "skat", "coast"]).collect()
     assert sorted((r.gene, r.n_variants) for r in found) == [("g0", 6), ("g1", 6)]
     assert made.value == len(rows)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_only_line_items_that_make_calls_are_grouped(spark):
+    from helicase.plans import adapter
+
+    found = adapter.calls(spark, SF)
+    assert "GreaterThan(l_quantity,44" in found._jdf.queryExecution().toString()
+    whole = adapter.all_calls(spark, SF).where("dosage > 0")
+    assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty() and found.count() > 0
+
+
+def test_results_of_genes_are_written_in_few_files(spark, monkeypatch):
+    """A file starts a program on an executor (its mode is set), which counts as another executor until it runs; and carriers
+    that are alike reach the tests as one row."""
+    rows = [(f"g{g:02d}", 4 * g + v, f"s{s:02d}", 1.0, 1.0, 1 + v % 3) for g in range(24) for v in range(4) for s in range(3 * v + g % 5, 3 * v + g % 5 + 12)]
+    calls = spark.createDataFrame(rows, "gene string, variant_id bigint, sample_id string, dosage double, weight double, category int")
+    cohort = genetests.Cohort.of(spark.range(60).select(F.format_string("s%02d", "id").alias("sample_id"), (F.col("id") % 2).cast("double").alias("y")))
+    files, plain, before = {}, association.materialised, spark.conf.get("spark.sql.shuffle.partitions")
+
+    def counted(df, name, *more):
+        made = plain(df, name, *more)
+        files[name] = len(made.inputFiles())
+        return made
+
+    monkeypatch.setattr(association, "materialised", counted)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        assert association.test_genes(calls, cohort, ["coast"]).where("p_value BETWEEN 0 AND 1").count() == 24
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert files["fitted"] <= 2 and files["kernels"] <= 2
+
+
+def test_equal_carriers_are_counted_before_they_are_dealt_to_tests(spark):
+    rows = [("g", f"s{i:03d}", i == 7, [(1, 1.0, 1.0, 1 + i % 3)]) for i in range(90)]
+    carried = spark.createDataFrame(rows, "gene string, sample_id string, masked boolean, has array<struct<variant_id: bigint, d: double, weight: double, category: int>>")
+    cohort = genetests.Cohort.of(spark.range(90).select(F.format_string("s%03d", "id").alias("sample_id"), (F.col("id") % 2).cast("double").alias("y")))
+    found = genetests.changes(carried, cohort, association._series_predictors((1.0, 2.0, 3.0)))
+    told = {(r.test, r.b0, r.b1, r.b2): (r.n, r.ny) for r in found.collect()}
+    assert told["coast:sum_ind", 2.0, 0.0, 0.0] == (29.0, 14.0) and told["coast:sum_ind", 0.0, 0.0, 0.0] == (-90.0, -45.0)
+    assert told["coast:base_count", 0.0, 0.0, 1.0] == (30.0, 15.0) and told["null", 0.0, 0.0, 0.0] == (-1.0, -1.0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    tests_at, counted_at = plan.index("Generate"), plan.rindex("Aggregate")
+    assert tests_at < counted_at  # the plan is told from its end
