@@ -8,6 +8,9 @@ along as their products with the eigenvectors, which are never held either.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 import numpy as np
 
 EPS = float(np.finfo(float).eps)
@@ -67,6 +70,141 @@ def blocks(n: int, at: np.ndarray, to: np.ndarray, value: np.ndarray, carried: n
     return values, found
 
 
+#: Width up to which a block whose pairs are many is held for its power sums, too.
+HOLDABLE = 4096
+
+
+def power_sums(n: int, at: np.ndarray, to: np.ndarray, value: np.ndarray, most: int) -> np.ndarray:
+    """Traces of the powers 1 to most (an even number) of the symmetric matrix with value at (at, to) and (to, at).
+
+    Narrow blocks give them by their eigenvalues.  A wide one is not held unless its pairs fill it: there a trace of an even
+    power is the sum of squares of half that power, whose columns reach only as far as so many pairs lead.
+    """
+    _, member, size = np.unique(components(n, at, to), return_inverse=True, return_counts=True)
+    pairs = np.bincount(member[at], minlength=len(size)) * 2
+    walked = (size >= WIDE) & (pairs * 8 < size**2) & ((pairs * 300 < size**2) | (size > HOLDABLE))
+    out = np.zeros(most)
+    for k in [None, *np.flatnonzero(walked)]:
+        keep = ~walked[member] if k is None else member == k
+        number, mine = np.cumsum(keep) - 1, keep[at]
+        i, j, v, m = number[at[mine]], number[to[mine]], value[mine], int(keep.sum())
+        if k is not None:
+            out += _walked(m, i, j, v, most)
+        elif m:
+            lam = blocks(m, i, j, v, np.empty((m, 0)))[0]
+            out += (lam[:, None] ** np.arange(1, most + 1)).sum(0)
+    return out
+
+
+def largest(n: int, at: np.ndarray, to: np.ndarray, value: np.ndarray, steps: int = 60) -> float:
+    """A number that no eigenvalue of the matrix exceeds in size: the largest growth of any positive vector by its absolute
+    values, of which some steps tell a small one (Collatz and Wielandt)."""
+    off, x, best = at != to, np.ones(n), np.inf
+    row, col, v = np.concatenate([at, to[off]]), np.concatenate([to, at[off]]), np.abs(np.concatenate([value, value[off]]))
+    for _ in range(steps):
+        y = np.bincount(row, v * x[col], minlength=n)
+        best = min(best, float((y / x).max()))
+        x = np.maximum(y / max(float(y.max()), 1e-300), 1e-250)
+    return best * (1 + 1e-9)
+
+
+def leading(times: Callable[[np.ndarray], np.ndarray], n: int, steps: int = 160, near: float = 1e-8) -> tuple[np.ndarray, np.ndarray]:
+    """Some of the largest eigenvalues of a symmetric matrix and the sums of their vectors, by Lanczos' steps: those that are
+    found to near, as a share of the largest.  Of equal ones it has one."""
+    steps = min(steps, n)
+    q, diagonal, beside = np.zeros((steps, n)), np.zeros(steps), np.zeros(steps)
+    x = np.random.default_rng(7).standard_normal(n)
+    for j in range(steps):
+        q[j] = x / math.sqrt(float(x @ x))
+        x = times(q[j])
+        diagonal[j] = float(q[j] @ x)
+        for _ in range(2):
+            x = x - q[: j + 1].T @ (q[: j + 1] @ x)
+        beside[j] = math.sqrt(float(x @ x))
+        if beside[j] <= near * abs(diagonal[: j + 1]).max():
+            steps = j + 1
+            break
+    lam, vectors = np.linalg.eigh(np.diag(diagonal[:steps]) + np.diag(beside[: steps - 1], 1) + np.diag(beside[: steps - 1], -1))
+    lam, vectors = lam[::-1], vectors[:, ::-1]
+    found = np.abs(beside[steps - 1] * vectors[-1]) <= near * abs(lam[0])
+    m = int(np.argmin(found)) if not found.all() else steps
+    m = min(m, 32)
+    return lam[:m], vectors[:, :m].T @ q[:steps].sum(1)
+
+
+def _walked(n: int, at: np.ndarray, to: np.ndarray, value: np.ndarray, most: int) -> np.ndarray:
+    """The traces by columns of the powers up to half of most, some columns at a time: as many as HELD numbers allow."""
+    off = at != to
+    row, col, v = np.concatenate([at, to[off]]), np.concatenate([to, at[off]]), np.concatenate([value, value[off]])
+    place = np.empty(n, int)
+    place[np.argsort(-np.bincount(row, minlength=n), kind="stable")] = np.arange(n)  # those with most pairs come first
+    row, col = place[row], place[col]
+    order = np.argsort(row, kind="stable")
+    row, col, v = row[order], col[order], v[order]
+    start = np.searchsorted(row, np.arange(n + 1))
+    ranks = [int((np.diff(start) > d).sum()) for d in range(min(int(np.diff(start).max()), MOST_RANKS + 1))]
+    scale = float(np.bincount(row, np.abs(v), minlength=n).max())
+    v = v / scale
+    out = np.zeros(most)
+    wide = max(1, 4 * HELD // n)
+    # keys are column in its turn times n, plus row; they ascend
+    todo = [(1, np.arange(b, min(n, b + wide)) + n * np.arange(min(n, b + wide) - b), np.ones(min(n, b + wide) - b)) for b in range(0, n, wide)]
+    while todo:
+        power, key, x = todo.pop()
+        columns = int(key[-1] // n - key[0] // n) + 1
+        if len(key) * 4 > columns * n and len(ranks) <= MOST_RANKS:
+            whole = np.zeros(columns * n)
+            whole[key - key[0] // n * n] = x
+            out += _filled(whole.reshape(columns, n).T, col, v, start, ranks, power, most)
+            continue
+        r, c = key % n, key // n
+        lengths = start[r + 1] - start[r]
+        made = int(lengths.sum())
+        if made > 4 * HELD and c[0] != c[-1]:
+            cut = int(np.searchsorted(c, (c[0] + c[-1]) // 2, side="right"))
+            todo += [(power, key[:cut], x[:cut]), (power, key[cut:], x[cut:])]
+            continue
+        first = np.cumsum(lengths) - lengths
+        place = np.repeat(start[r] - first, lengths) + np.arange(made)
+        to_key = np.repeat((c - c[0]) * n, lengths) + col[place]
+        moved = np.repeat(x, lengths) * v[place]
+        whole = (int(c[-1]) - int(c[0]) + 1) * n
+        if made * 16 > whole:
+            dense = np.bincount(to_key, moved, minlength=whole)
+            key2 = np.flatnonzero(dense)
+            x2, before = dense[key2], dense[key - c[0] * n]
+        else:
+            key2, inverse = np.unique(to_key, return_inverse=True)
+            x2 = np.bincount(inverse, moved)
+            found = np.minimum(np.searchsorted(key2, key - c[0] * n), len(key2) - 1)
+            before = np.where(key2[found] == key - c[0] * n, x2[found], 0.0)
+        out[2 * power - 2] += float(x @ before)
+        out[2 * power - 1] += float(x2 @ x2)
+        if 2 * power < most:
+            todo.append((power + 1, key2, x2))
+    return out * scale ** np.arange(1, most + 1)
+
+
+#: Pairs of one variant up to which columns that have filled are multiplied by all variants' first pairs, then their second ones.
+MOST_RANKS = 256
+
+
+def _filled(x: np.ndarray, col: np.ndarray, v: np.ndarray, start: np.ndarray, ranks: list[int], power: int, most: int) -> np.ndarray:
+    """_walked from columns that are no longer sparse."""
+    out, width = np.zeros(most), max(1, 4 * HELD // len(x))
+    for begin in range(0, x.shape[1], width):
+        now = np.ascontiguousarray(x[:, begin : begin + width])
+        for k in range(power, most // 2 + 1):
+            then = np.zeros_like(now)
+            for d, m in enumerate(ranks):
+                at = start[:m] + d
+                then[:m] += v[at][:, None] * now[col[at]]
+            out[2 * k - 2] += float(np.vdot(now, then))
+            out[2 * k - 1] += float(np.vdot(then, then))
+            now = then
+    return out
+
+
 def _tridiagonal(a: np.ndarray, carried: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Diagonal, what is beside it and the carried columns of the symmetric matrix after reflections that leave no more of it;
     they are made in its own place."""

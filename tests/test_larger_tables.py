@@ -1,5 +1,6 @@
 """Results that larger tables bring out: names apart by case, ties, numbers of four digits."""
 
+import math
 import os
 import tracemalloc
 
@@ -8,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from helicase.functions import kernels, spectra
+from helicase.functions import dist, kernels, quadform, spectra
 from helicase.operators import association, correction, genetests, identifiers
 
 #: Bytes that a block may take besides its matrix.
@@ -223,3 +224,69 @@ def test_equal_carriers_are_counted_before_they_are_dealt_to_tests(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     tests_at, counted_at = plan.index("Generate"), plan.rindex("Aggregate")
     assert tests_at < counted_at  # the plan is told from its end
+
+
+def linked_gene(variants, samples, scale=1.0, each=3):
+    """A gene whose carriers link nearly all its variants."""
+    rng = np.random.default_rng(11)
+    carriers = np.array([rng.choice(samples, each, replace=False) for _ in range(variants)])
+    y = (rng.random(samples) < 0.5) - 0.5
+    by_sample = {}
+    for v, some in enumerate(carriers):
+        for s in some:
+            by_sample.setdefault(int(s), []).append(v)
+    pairs = {}
+    for has in by_sample.values():
+        for i, a in enumerate(has):
+            for b in has[i:]:
+                pairs[a, b] = pairs.get((a, b), 0.0) + 0.25
+    at, to = np.array(list(pairs)).T
+    return kernels.Linked(scale * y[carriers].sum(1), at, to, np.array(list(pairs.values())), np.full((variants, 1), each * 0.25 / math.sqrt(samples * 0.25)))
+
+
+def test_linked_genes_are_told_by_power_sums(monkeypatch):
+    """No block is held, and no eigenvalue found, for tails that power sums tell; they are what eigenvalues tell."""
+    plain, far = linked_gene(2600, 9000), linked_gene(2600, 9000, 1.25)
+    exact = [quadform.p_value(float((s.score**2).sum()) / 2, s.weights())[0] for s in (plain, far)] + [kernels._best_mixture(plain.score, plain)[0]]
+    # nearly all of this mixture is one weight: its tail given the rest, which is nearly normal
+    lam, far_out = np.sort(plain.mixed(0.999)), (0.001 * float((plain.score**2).sum()) + 0.999 * float(plain.score.sum()) ** 2) / 2
+    x, w = np.polynomial.hermite_e.hermegauss(40)
+    left = far_out - lam[:-1].sum() - math.sqrt(2 * (lam[:-1] ** 2).sum()) * x
+    one = float(w @ [dist.chi2_sf(v / lam[-1], 1) for v in left]) / math.sqrt(2 * math.pi)
+    fresh = linked_gene(2600, 9000), linked_gene(2600, 9000, 1.25)
+    assert np.bincount(spectra.components(2600, fresh[0].at, fresh[0].to)).max() > 2 * spectra.WIDE
+
+    def held(*_):
+        raise AssertionError("a block is held")
+
+    monkeypatch.setattr(spectra, "_tridiagonal", held)
+    assert kernels.skat(fresh[0])[0] == pytest.approx(exact[0], abs=2e-7)
+    told, way = kernels.skat(fresh[1])
+    assert exact[1] < 1e-5 and way == "saddlepoint" and told == pytest.approx(exact[1], rel=1e-3)
+    assert quadform.p_value(far_out, next(fresh[0].forms()).mixed(0.999))[0] == pytest.approx(one, abs=1e-7)
+    assert kernels.skat_o(fresh[0])[0] == pytest.approx(exact[2], abs=5e-5)  # panels of eigenvalues are wrong by 1e-5 there
+
+
+def test_power_sums_are_those_of_eigenvalues():
+    s = linked_gene(1500, 4000, each=4)
+    dense = s.dense().gram
+    lam = np.linalg.eigvalsh(dense)
+    walked = spectra._walked(1500, s.at, s.to, s.product, 10)
+    assert walked == pytest.approx((np.linalg.eigvalsh(s.cross)[:, None] ** np.arange(1, 11)).sum(0), rel=1e-10)
+    large, sums = spectra.leading(lambda x: dense @ x, 1500)
+    assert len(large) and large == pytest.approx(lam[::-1][: len(large)], rel=1e-9)
+    form = kernels.Powered.of(s, 8, s.leading).shared()
+    other = s.shared()
+    assert (form.length, form.loading, form.tied) == pytest.approx((other.length, other.loading, other.tied), rel=1e-8)
+    assert [quadform.power(form.lam, k) for k in (1, 2, 3, 4)] == pytest.approx([quadform.power(other.lam, k) for k in (1, 2, 3, 4)], rel=1e-9)
+    for rho in (0.01, 0.5):
+        assert [quadform.power(form, k) for form in [kernels.Powered.of(s, 8, s.leading).mixed(rho)] for k in (1, 2, 3, 4)] == pytest.approx([quadform.power(s.mixed(rho), k) for k in (1, 2, 3, 4)], rel=1e-9)
+
+
+def test_power_sums_that_do_not_reach_give_way_to_eigenvalues():
+    s = linked_gene(450, 900)
+    s.product[:] = s.product * np.where((s.at == 0) & (s.to == 0), 400.0, 1.0)  # one weight above all others
+    s.score[0] = 40.0
+    with pytest.raises(quadform.Unmet):
+        quadform.p_value(float((s.score**2).sum()) / 2, kernels.Powered.of(s, 8, (np.empty(0), np.empty(0))).weights())
+    assert kernels.skat(s)[0] == pytest.approx(quadform.p_value(float((s.score**2).sum()) / 2, s.weights())[0], abs=2e-7)
